@@ -7,7 +7,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -21,13 +20,10 @@ class Log:
         self.full_schema = T.StructType([*schema.fields, T.StructField(number, T.LongType())])
 
     def entries(self) -> DataFrame:
-        """All entries; empty if nothing was ever written, while any other error is raised."""
-        try:
-            return self.spark.read.schema(self.full_schema).parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        """All entries; empty if nothing was ever written, while any error is raised."""
+        if not path_exists(self.spark, self.path):
             return self.spark.createDataFrame([], self.full_schema)
+        return self.spark.read.schema(self.full_schema).parquet(self.path)
 
     def write(self, number: int, entry: Mapping) -> None:
         row = tuple(entry[name] for name in self.schema.names)
@@ -36,11 +32,7 @@ class Log:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table directory is there, by the same test a read makes."""
-    try:
-        spark.read.schema("value string").text(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
-    return True
+    """Whether a path is there, asked of the file system it lies in."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    settings = spark._jsparkSession.sessionState().newHadoopConf()
+    return place.getFileSystem(settings).exists(place)
