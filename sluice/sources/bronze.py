@@ -1,13 +1,11 @@
 """The raw table: append-only, all text, one directory per commit version.
 
-``<root>/data/_commit_version=<n>/`` holds the rows and ``<root>/commits/version=<n>/`` the
-commit entry. A version counts once its entry is there.
+``<root>/data/_commit_version=<n>/`` holds the rows and ``<root>/commits/`` an entry for each
+version. A version counts once its entry is there.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,12 +18,12 @@ RESERVED = frozenset([*FEED_COLUMNS, *POSITION])
 
 COMMIT = T.StructType(
     [
+        T.StructField("version", T.LongType()),
         T.StructField("stream_id", T.StringType()),
         T.StructField("files", T.LongType()),
         T.StructField("bytes", T.LongType()),
         T.StructField("rows", T.LongType()),
         T.StructField("columns", T.ArrayType(T.StringType())),
-        T.StructField("committed_at", T.TimestampType()),
     ]
 )
 
@@ -39,7 +37,7 @@ class BronzeTable:
         self.spark = spark
         self.root = root.rstrip("/")
         self.data = f"{self.root}/data"
-        self.log = Log(spark, f"{self.root}/commits", "version", COMMIT)
+        self.log = Log(spark, f"{self.root}/commits", COMMIT)
 
     # -- state ---------------------------------------------------------------------------
 
@@ -55,7 +53,7 @@ class BronzeTable:
 
     def columns(self, after: int | None = None, upto: int | None = None) -> list[str]:
         """Raw columns of the versions in ``(after, upto]``, in order of first appearance."""
-        commits = self._between(self.commits(), "version", after, upto)
+        commits = between(self.commits(), "version", after, upto)
         first_seen = (
             commits.select("version", F.posexplode("columns").alias("position", "name"))
             .groupBy("name")
@@ -66,15 +64,7 @@ class BronzeTable:
 
     def size(self, after: int | None = None, upto: int | None = None) -> int:
         """Bytes of landed files behind the versions in ``(after, upto]``."""
-        return self._between(self.commits(), "version", after, upto).agg(F.sum("bytes")).first()[0] or 0
-
-    @staticmethod
-    def _between(df: DataFrame, column: str, after: int | None, upto: int | None) -> DataFrame:
-        if after is not None:
-            df = df.filter(F.col(column) > after)
-        if upto is not None:
-            df = df.filter(F.col(column) <= upto)
-        return df
+        return between(self.commits(), "version", after, upto).agg(F.sum("bytes")).first()[0] or 0
 
     # -- writing -------------------------------------------------------------------------
 
@@ -101,16 +91,15 @@ class BronzeTable:
             counted, F.count(F.lit(1)).alias("rows")
         )
         stamped.write.mode("overwrite").parquet(f"{self.data}/{COMMIT_VERSION}={version}")
-        self.log.write(
-            version,
+        self.log.append(
             {
+                "version": version,
                 "stream_id": stream_id,
                 "files": files,
                 "bytes": size,
                 "rows": counted.get["rows"],
                 "columns": columns,
-                "committed_at": dt.datetime.now(dt.UTC),
-            },
+            }
         )
 
     # -- reading -------------------------------------------------------------------------
@@ -136,14 +125,14 @@ class BronzeTable:
 
     def read_changes(self, after: int, upto: int) -> DataFrame:
         """Feed rows of the versions in ``(after, upto]``; only their directories are listed."""
-        window = self._between(self.commits(), "version", after, upto).select("version").orderBy("version")
+        window = between(self.commits(), "version", after, upto).select("version").orderBy("version")
         paths = [f"{self.data}/{COMMIT_VERSION}={row.version}" for row in window.collect()]
         schema = self.schema()
         if paths:
             rows = self.spark.read.schema(schema).option("basePath", self.data).parquet(*paths)
         else:
             rows = self.spark.createDataFrame([], schema)
-        return self._between(rows, COMMIT_VERSION, after, upto).withColumn(CHANGE_TYPE, F.lit(INSERT))
+        return between(rows, COMMIT_VERSION, after, upto).withColumn(CHANGE_TYPE, F.lit(INSERT))
 
     def assert_versioned(self) -> None:
         """Fail unless every row can be told by version: the table has commits and their column."""
@@ -153,3 +142,12 @@ class BronzeTable:
         found = self.spark.read.parquet(self.data).columns
         if COMMIT_VERSION not in found:
             raise ValueError(f"{self.root} has no {COMMIT_VERSION} column")
+
+
+def between(df: DataFrame, column: str, after: int | None, upto: int | None) -> DataFrame:
+    """Rows whose ``column`` lies in ``(after, upto]``; a bound left out is no bound."""
+    if after is not None:
+        df = df.filter(F.col(column) > after)
+    if upto is not None:
+        df = df.filter(F.col(column) <= upto)
+    return df

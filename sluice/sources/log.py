@@ -1,23 +1,26 @@
-"""Small append-only log tables: one Parquet directory per entry.
+"""Small append-only log tables: one Parquet file per entry.
 
-An entry's number is its directory, so writing an entry again replaces it.
+An entry is one file, so it is there or it is not. Each log has one writer.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+WRITTEN_AT = "written_at"
+
 
 class Log:
-    def __init__(self, spark: SparkSession, path: str, number: str, schema: T.StructType) -> None:
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType) -> None:
         self.spark = spark
         self.path = path
-        self.number = number
         self.schema = schema
-        self.full_schema = T.StructType([*schema.fields, T.StructField(number, T.LongType())])
+        self.full_schema = T.StructType([*schema, T.StructField(WRITTEN_AT, T.TimestampType())])
 
     def entries(self) -> DataFrame:
         """All entries; empty if nothing was ever written, while any error is raised."""
@@ -25,10 +28,10 @@ class Log:
             return self.spark.createDataFrame([], self.full_schema)
         return self.spark.read.schema(self.full_schema).parquet(self.path)
 
-    def write(self, number: int, entry: Mapping) -> None:
-        row = tuple(entry[name] for name in self.schema.names)
-        one = self.spark.createDataFrame([row], self.schema).coalesce(1)
-        one.write.mode("overwrite").parquet(f"{self.path}/{self.number}={number}")
+    def append(self, entry: Mapping) -> None:
+        row = F.from_json(F.lit(json.dumps(dict(entry))), self.schema)
+        one = self.spark.range(0, 1, 1, 1).select(row.alias("entry"))
+        one.select("entry.*", F.current_timestamp().alias(WRITTEN_AT)).write.mode("append").parquet(self.path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -1,14 +1,13 @@
 """The typed table: Parquet in key buckets, of which a load rewrites only the touched ones.
 
-``<root>/data/_load=<n>/_bucket=<b>/`` holds the rows and ``<root>/loads/load=<n>/`` the log
-entry, which is the commit: rows and merged raw version become visible together. A bucket's
+``<root>/data/_load=<n>/_bucket=<b>/`` holds the rows and ``<root>/loads/`` an entry for each
+load, which is its commit: rows and merged raw version become visible together. A bucket's
 rows are those of the last load that wrote it. Rows with a NULL in the key match nothing, so
 they are never rewritten: they sit in bucket -1, to which each load only adds.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import json
 import math
 from collections.abc import Sequence
@@ -31,6 +30,7 @@ MAX_BUCKETS = 1 << 14
 
 ENTRY = T.StructType(
     [
+        T.StructField("load", T.LongType()),
         T.StructField("kind", T.StringType()),
         T.StructField("raw_version", T.LongType()),
         T.StructField("rows_in", T.LongType()),
@@ -39,7 +39,6 @@ ENTRY = T.StructType(
         T.StructField("keys", T.ArrayType(T.StringType())),
         T.StructField("schema", T.StringType()),
         T.StructField("base_load", T.LongType()),
-        T.StructField("loaded_at", T.TimestampType()),
     ]
 )
 
@@ -83,7 +82,7 @@ class SilverTable:
         self.root = root.rstrip("/")
         self.data = f"{self.root}/data"
         self.compact_every = compact_every
-        self.log = Log(spark, f"{self.root}/loads", "load", ENTRY)
+        self.log = Log(spark, f"{self.root}/loads", ENTRY)
 
     # -- state ---------------------------------------------------------------------------
 
@@ -167,9 +166,6 @@ class SilverTable:
             return placed
         return placed.hint("rebalance", BUCKET)
 
-    def _commit(self, load: int, entry: dict) -> None:
-        self.log.write(load, {**entry, "loaded_at": dt.datetime.now(dt.UTC)})
-
     def write_full(
         self,
         rows: DataFrame,
@@ -188,9 +184,9 @@ class SilverTable:
         counting = placed.observe(counted, F.count(F.lit(1)).alias("rows"))
         counting.write.mode("overwrite").partitionBy(BUCKET).parquet(place)
         written = self.spark.read.schema(_bucketed(rows.schema)).parquet(place).select(BUCKET).distinct()
-        self._commit(
-            load,
+        self.log.append(
             {
+                "load": load,
                 "kind": FULL,
                 "raw_version": raw_version,
                 "rows_in": counted.get["rows"],
@@ -199,7 +195,7 @@ class SilverTable:
                 "keys": list(keys),
                 "schema": rows.schema.json(),
                 "base_load": load,
-            },
+            }
         )
         return counted.get["rows"]
 
@@ -229,9 +225,9 @@ class SilverTable:
             # A shuffle-free merge adds a file per bucket; now and then put them together.
             result = result.hint("rebalance", BUCKET)
         result.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.data}/{LOAD}={load}")
-        self._commit(
-            load,
+        self.log.append(
             {
+                "load": load,
                 "kind": MERGE,
                 "raw_version": raw_version,
                 "rows_in": counts["rows"],
@@ -240,7 +236,7 @@ class SilverTable:
                 "keys": list(keys),
                 "schema": rows.schema.json(),
                 "base_load": state.base_load,
-            },
+            }
         )
         return counts["rows"]
 
@@ -272,9 +268,9 @@ class SilverTable:
     def log_empty(self, raw_version: int) -> None:
         """Note versions that held no rows, so they are not looked at again."""
         state = self.state()
-        self._commit(
-            state.load + 1,
+        self.log.append(
             {
+                "load": state.load + 1,
                 "kind": EMPTY,
                 "raw_version": raw_version,
                 "rows_in": 0,
@@ -283,7 +279,7 @@ class SilverTable:
                 "keys": state.keys,
                 "schema": state.schema.json(),
                 "base_load": state.base_load,
-            },
+            }
         )
 
 

@@ -1,0 +1,229 @@
+from __future__ import annotations
+
+import gzip
+from collections import Counter
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from sluice import BronzeTable, Contract, Field, ingest, read_raw, run_bronze
+from sluice.sources.bronze import LostCheckpointError
+from sluice.sources.csv_files import fold_names
+from tests.helpers import MEMBERS, Desk, rows
+
+KDM = Contract((Field("k", "string", is_primary_key=True), Field("d", "string"), Field("m", "string")))
+
+
+def raw(desk, *names):
+    return rows(read_raw(desk.spark, desk.dataset, desk.layout).select(*names))
+
+
+def bronze(desk):
+    return BronzeTable(desk.spark, desk.layout.raw_of(desk.dataset))
+
+
+def test_files_present_new_and_nested_are_taken_once(spark, tmp_path):
+    desk = Desk(spark, tmp_path, KDM)
+    desk.put("a.csv", "k,d,m\n1,x,5\n")
+    desk.put("deep/er/b.csv", "k,d,m\n2,y,6\n")
+    assert desk.take_up().version == 0
+    assert raw(desk, "k", "d", "m") == Counter([("1", "x", "5"), ("2", "y", "6")])
+    desk.put("c.csv", "k,d,m\n3,z,7\n")
+    assert desk.take_up().version == 1
+    status = desk.take_up()
+    assert (status.state, status.version) == ("up_to_date", 1)
+    assert raw(desk, "k") == Counter([("1",), ("2",), ("3",)])
+
+
+def test_a_rewritten_file_is_not_taken_again(spark, tmp_path):
+    desk = Desk(spark, tmp_path, KDM)
+    desk.put("a.csv", "k,d,m\n1,x,5\n")
+    desk.take_up()
+    desk.put("a.csv", "k,d,m\n9,x,5\n")
+    assert desk.take_up().state == "up_to_date"
+    assert raw(desk, "k") == Counter([("1",)])
+
+
+def test_columns_go_by_name(spark, tmp_path):
+    desk = Desk(spark, tmp_path, KDM)
+    desk.put("a.csv", "k,d,m\n1,x,5\n")
+    desk.put("b.csv", "m,k,d\r\n6,2,y\r\n")
+    desk.put("c.csv", "\n\nd,extra,k\nz,e,3\n")
+    desk.take_up()
+    assert raw(desk, "k", "d", "m", "extra") == Counter(
+        [("1", "x", "5", None), ("2", "y", "6", None), ("3", "z", None, "e")]
+    )
+
+
+def test_a_later_file_may_widen_the_table(spark, tmp_path):
+    desk = Desk(spark, tmp_path, KDM)
+    desk.put("a.csv", "k,d\n1,x\n")
+    desk.take_up()
+    desk.put("b.csv", "k,d,m\n2,y,6\n")
+    desk.take_up()
+    assert bronze(desk).columns() == ["k", "d", "m"]
+    assert bronze(desk).columns(after=-1, upto=0) == ["k", "d"]
+    assert raw(desk, "k", "d", "m") == Counter([("1", "x", None), ("2", "y", "6")])
+
+
+def test_header_details(spark, tmp_path):
+    desk = Desk(spark, tmp_path, KDM)
+    desk.put("bom.csv", "﻿k,d,m,,\n1,x,5,,\n")
+    desk.put("quoted.csv", '"k","d, or not",m\n2,y,6\n')
+    desk.put("repeat.csv", "k,m,m\n3,7,8\n")
+    desk.put("blank.csv", "\n\n")
+    desk.put("empty.csv", "")
+    desk.put("only_header.csv", "k,d,m")
+    desk.take_up()
+    got = read_raw(spark, desk.dataset, desk.layout)
+    assert set(got.columns) == {"k", "d", "m", "_c3", "_c4", "d, or not", "m1", "m2"}
+    assert raw(desk, "k") == Counter([("1",), ("2",), ("3",)])
+    assert rows(got.filter("k = '3'").select("m", "m1", "m2")) == Counter([(None, "7", "8")])
+
+
+def test_a_name_in_other_case_is_the_same_raw_column(spark, tmp_path):
+    desk = Desk(spark, tmp_path, KDM)
+    desk.put("a.csv", "k,Email\n1,x\n")
+    desk.take_up()
+    desk.put("b.csv", "email,K\ny,2\n")
+    desk.take_up()
+    assert bronze(desk).columns() == ["k", "Email"]
+    assert raw(desk, "k", "Email") == Counter([("1", "x"), ("2", "y")])
+
+
+def test_fold_names():
+    assert fold_names([], ["a", "B"]) == ["a", "B"]
+    assert fold_names(["A"], ["a", "b"]) == ["A", "b"]
+    assert fold_names(["A"], ["a", "A"]) == ["A", "A1"]
+
+
+def test_odd_file_names_and_compression(spark, tmp_path):
+    desk = Desk(spark, tmp_path, KDM)
+    names = ["a b.csv", "c[1].csv", "d%20{e}.csv", "x,y.csv", "back\\slash*.csv", "q?.csv", "ü.csv"]
+    for i, name in enumerate(names):
+        desk.put(name, f"k,d,m\n{i},x,5\n")
+    (desk.landing / "z.csv.gz").write_bytes(gzip.compress(b"m,k,d\n5,gz,x\n"))
+    desk.take_up()
+    assert raw(desk, "k", "m") == Counter([(str(i), "5") for i in range(len(names))] + [("gz", "5")])
+
+
+def test_short_and_long_lines(spark, tmp_path):
+    desk = Desk(spark, tmp_path, KDM)
+    desk.put("a.csv", "k,d,m\n1\n2,x,5,more\n")
+    desk.take_up()
+    assert raw(desk, "k", "d", "m") == Counter([("1", None, None), ("2", "x", "5")])
+
+
+def test_csv_options(spark, tmp_path):
+    options = {"sep": ";", "multiLine": "true"}
+    desk = Desk(spark, tmp_path, KDM, csv_options=options)
+    desk.put("a.csv", 'k;d;m\n1;"two\nlines";5\n')
+    desk.put("b.csv", '"k";m;"d"\n2;6;x\n')
+    desk.take_up()
+    assert raw(desk, "k", "d", "m") == Counter([("1", "two\nlines", "5"), ("2", "x", "6")])
+
+
+def test_headers_that_run_over_lines(spark, tmp_path):
+    desk = Desk(spark, tmp_path, KDM, csv_options={"multiLine": "true"})
+    desk.put("a.csv", '"k\n1",d\n1,x\n')
+    desk.put("b.csv", '"k\n2",d\n2,y\n')
+    desk.take_up()
+    got = read_raw(spark, desk.dataset, desk.layout)
+    assert sorted(got.columns) == ["d", "k\n1", "k\n2"]
+    assert rows(got.select("d", "`k\n1`", "`k\n2`")) == Counter([("x", "1", None), ("y", None, "2")])
+
+
+def test_batches_of_files_are_versions(spark, tmp_path):
+    desk = Desk(spark, tmp_path, KDM, max_files=2)
+    for i in range(5):
+        desk.put(f"f{i}.csv", f"k,d,m\n{i},x,5\n")
+    assert desk.take_up().version == 2
+    commits = {row.version: row for row in bronze(desk).commits().collect()}
+    assert [commits[v].files for v in range(3)] == [2, 2, 1]
+    assert [commits[v].rows for v in range(3)] == [2, 2, 1]
+    assert bronze(desk).size() == 5 * len("k,d,m\n0,x,5\n")
+    assert bronze(desk).latest_version() == 2
+    feed = bronze(desk).read_changes(after=0, upto=1)
+    assert {(r._commit_version, r._change_type) for r in feed.collect()} == {(1, "insert")}
+    assert bronze(desk).read_upto(1).count() == 4
+    assert bronze(desk).read_changes(after=2, upto=2).count() == 0
+
+
+def test_rows_know_their_place_in_the_file(spark, tmp_path, settings):
+    settings("spark.sql.files.maxPartitionBytes", "2000")
+    settings("spark.sql.files.openCostInBytes", "0")
+    desk = Desk(spark, tmp_path, KDM)
+    desk.put("a.csv", "k,d,m\n" + "".join(f"{i},x,5\n" for i in range(3000)))
+    desk.take_up()
+    table = bronze(desk).read_upto(0)
+    assert table.select("_block_start").distinct().count() > 5
+    order = [int(r.k) for r in table.orderBy("_source_file", "_block_start", "_row_id").collect()]
+    assert order == list(range(3000))
+
+
+def test_a_replayed_version_leaves_one_copy(spark, root):
+    table = BronzeTable(spark, f"{root}/t")
+    line = spark.createDataFrame([("1", "f", 0, 0)], "k string, _source_file string, _block_start long, _row_id long")
+    # Written but not committed: the commit failed.
+    line.withColumn("_commit_timestamp", F.current_timestamp()).write.parquet(f"{table.data}/_commit_version=0")
+    assert not table.exists()
+    table.write_version(line, 0, "s")
+    table.write_version(line, 0, "s")
+    assert table.read_upto(0).count() == 1
+    assert table.commits().count() == 1
+    table.assert_versioned()
+
+
+def test_a_crash_between_commit_and_checkpoint(spark, tmp_path, monkeypatch):
+    desk = Desk(spark, tmp_path, KDM)
+    desk.put("a.csv", "k,d,m\n1,x,5\n")
+    write = BronzeTable.write_version
+
+    def write_then_fail(self, *args, **kwargs):
+        write(self, *args, **kwargs)
+        raise RuntimeError("lost driver")
+
+    monkeypatch.setattr(BronzeTable, "write_version", write_then_fail)
+    (status,) = run_bronze(spark, [desk.dataset], desk.layout)
+    assert status.state == "failed"
+    monkeypatch.undo()
+    desk.put("b.csv", "k,d,m\n2,x,5\n")
+    desk.take_up()
+    desk.take_up()
+    assert raw(desk, "k") == Counter([("1",), ("2",)])
+
+
+def test_a_lost_checkpoint_does_not_overwrite_versions(spark, tmp_path):
+    desk = Desk(spark, tmp_path, KDM)
+    desk.put("a.csv", "k,d,m\n1,x,5\n")
+    desk.take_up()
+    desk.put("b.csv", "k,d,m\n2,x,5\n")
+    with pytest.raises(StreamingQueryException, match=LostCheckpointError.__name__):
+        ingest(spark, str(desk.landing), bronze(desk).root, f"{tmp_path}/another_checkpoint")
+    assert raw(desk, "k") == Counter([("1",)])
+
+
+def test_reserved_names_are_refused(spark, tmp_path):
+    desk = Desk(spark, tmp_path, KDM)
+    desk.put("a.csv", "k,_commit_version\n1,5\n")
+    (status,) = run_bronze(spark, [desk.dataset], desk.layout)
+    assert status.state == "failed"
+    assert "reserved column names" in status.detail
+
+
+def test_a_failing_dataset_leaves_the_others_alone(spark, tmp_path):
+    good = Desk(spark, tmp_path, MEMBERS, "good")
+    bad = Desk(spark, tmp_path, MEMBERS, "bad")
+    good.put("a.csv", "member_id\nA\n")
+    bad.put("a.csv", "_change_type\nA\n")
+    statuses = run_bronze(spark, [bad.dataset, good.dataset], good.layout)
+    assert [status.state for status in statuses] == ["failed", "loaded"]
+
+
+def test_table_checks(spark, root):
+    table = BronzeTable(spark, f"{root}/nothing")
+    assert table.latest_version() is None
+    assert not table.exists()
+    with pytest.raises(ValueError, match="no commits"):
+        table.assert_versioned()
