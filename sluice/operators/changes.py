@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.columns import any_null, none_null, quoted_all
+from sluice.functions.columns import any_null, none_null, quoted, quoted_all
 
 CHANGE_TYPE = "_change_type"
 COMMIT_VERSION = "_commit_version"
@@ -37,23 +38,30 @@ def table_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> D
     names = before.columns
     both = before.withColumn("_n", F.lit(-1)).unionByName(after.withColumn("_n", F.lit(1)))
     net = both.groupBy(*quoted_all(names)).agg(F.sum("_n").alias("_n")).filter(F.col("_n") != 0)
+    # The rows are distinct now. Those with a NULL key are spread by their other values.
+    spread = F.when(any_null(keys), F.xxhash64(*quoted_all(names))).otherwise(F.lit(0).cast("long"))
+    net = net.withColumn("_spread", spread)
 
-    alone = F.when(F.col("_n") > 0, INSERT).otherwise(DELETE)
-    image = F.when(F.col("_n") > 0, UPDATE_AFTER).otherwise(UPDATE_BEFORE)
-
-    whole = net.filter(none_null(keys))
-    updated = (
-        whole.groupBy(*quoted_all(keys))
-        .agg(((F.min("_n") < 0) & (F.max("_n") > 0)).alias("_updated"))
-        .filter("_updated")
+    sides = net.groupBy(*[quoted(key).alias(f"_key{i}") for i, key in enumerate(keys)], "_spread").agg(
+        ((F.min("_n") < 0) & (F.max("_n") > 0)).alias("_updated")
     )
-    known = whole.join(updated, on=list(keys), how="left").withColumn(
-        CHANGE_TYPE, F.when(F.col("_updated").isNotNull(), image).otherwise(alone)
+    sides = sides.withColumnRenamed("_spread", "_spread_of")
+    # Null-safe, for both sides to be the same plan: plain equality would filter one of them
+    # below the aggregate, and the shuffle of the two tables could not be shared.
+    same_key = reduce(
+        Column.__and__,
+        [quoted(key).eqNullSafe(F.col(f"_key{i}")) for i, key in enumerate(keys)],
+        F.col("_spread") == F.col("_spread_of"),
     )
-    loose = net.filter(any_null(keys)).withColumn(CHANGE_TYPE, alone)
-
-    out = [*quoted_all(names), F.col(CHANGE_TYPE), F.abs("_n").alias(COPIES)]
-    return known.select(*out).unionByName(loose.select(*out))
+    known = net.join(sides.filter("_updated"), same_key, "left")
+    updated = F.col("_updated").isNotNull() & none_null(keys)
+    change = (
+        F.when(updated & (F.col("_n") > 0), UPDATE_AFTER)
+        .when(updated, UPDATE_BEFORE)
+        .when(F.col("_n") > 0, INSERT)
+        .otherwise(DELETE)
+    )
+    return known.select(*quoted_all(names), change.alias(CHANGE_TYPE), F.abs("_n").alias(COPIES))
 
 
 def keep_changes(feed: DataFrame, types: Sequence[str] = TAKEN_UP) -> DataFrame:

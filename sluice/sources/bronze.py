@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from sluice.operators.changes import CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, FEED_COLUMNS, INSERT
 from sluice.sources.csv_files import BLOCK_START, POSITION, ROW_ID, SOURCE_FILE
-from sluice.sources.log import Log
+from sluice.sources.log import Log, path_exists
 
 RESERVED = frozenset([*FEED_COLUMNS, *POSITION])
 
@@ -135,13 +135,12 @@ class BronzeTable:
         return between(rows, COMMIT_VERSION, after, upto).withColumn(CHANGE_TYPE, F.lit(INSERT))
 
     def assert_versioned(self) -> None:
-        """Fail unless every row can be told by version: the table has commits and their column."""
+        """Fail unless rows can be told by version: the last commit has its directory."""
         latest = self.latest_version()
         if latest is None:
             raise ValueError(f"{self.root} has no commits")
-        found = self.spark.read.parquet(self.data).columns
-        if COMMIT_VERSION not in found:
-            raise ValueError(f"{self.root} has no {COMMIT_VERSION} column")
+        if not path_exists(self.spark, f"{self.data}/{COMMIT_VERSION}={latest}"):
+            raise ValueError(f"{self.root} lacks the rows of version {latest}")
 
 
 def between(df: DataFrame, column: str, after: int | None, upto: int | None) -> DataFrame:

@@ -131,18 +131,18 @@ class SilverTable:
         """The current rows, or those of some buckets, with their load and bucket."""
         # At most one row per bucket and per load with loose rows.
         current = self._current(state).collect()
+        wanted = None if buckets is None else set(buckets)
         by_load: dict[int, list] = {}
         for row in current:
-            by_load.setdefault(row.load, []).append(row)
-        wanted = None if buckets is None else set(buckets)
+            if wanted is None or row.bucket in wanted:
+                by_load.setdefault(row.load, []).append(row)
         paths = []
         for load, rows in sorted(by_load.items()):
             place = f"{self.data}/{LOAD}={load}"
-            if wanted is None and len(rows) == rows[0].of:
-                paths.append(place)  # nothing in this load is superseded
+            if len(rows) == rows[0].of:
+                paths.append(place)  # all the load wrote
             else:
-                chosen = sorted(row.bucket for row in rows if wanted is None or row.bucket in wanted)
-                paths += [f"{place}/{BUCKET}={bucket}" for bucket in chosen]
+                paths += [f"{place}/{BUCKET}={bucket}" for bucket in sorted(row.bucket for row in rows)]
         full = T.StructType(
             [*schema, T.StructField(LOAD, T.LongType()), T.StructField(BUCKET, T.IntegerType())]
         )

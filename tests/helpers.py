@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+import time
 from collections import Counter
 from pathlib import Path
 
@@ -35,11 +37,15 @@ class Desk:
         self.layout = Layout.under(f"file:{tmp_path}")
         self.landing = tmp_path / "landing" / name
         self.landing.mkdir(parents=True, exist_ok=True)
+        self.clock = time.time() - 100_000
 
     def put(self, name: str, text: str) -> None:
         path = self.landing / name
         path.parent.mkdir(parents=True, exist_ok=True)
         path.write_bytes(text.encode())
+        # A second apart: the stream takes files by time, and a test writes them all at once.
+        self.clock += 1
+        os.utime(path, (self.clock, self.clock))
 
     def take_up(self):
         statuses = run_bronze(self.spark, [self.dataset], self.layout)

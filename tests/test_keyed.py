@@ -58,6 +58,21 @@ def test_upsert_keeps_a_null_value_too(spark):
     assert rows(upsert(target, frame(spark, [(1, "x", 9)]), KEYS, keep=["v"])) == Counter([(1, "x", None)])
 
 
+def test_odd_key_names(spark):
+    names = ["a.b", "c d", "e`f"]
+    target = spark.createDataFrame([(1, "x", 1), (2, "x", 2), (None, "x", 3)], "k int, c string, v int").toDF(*names)
+    source = spark.createDataFrame([(1, "x", 9), (None, "x", 8)], "k int, c string, v int").toDF(*names)
+    merged = upsert(target, source, names[:2])
+    assert merged.columns == names
+    assert rows(merged) == Counter([(1, "x", 9), (2, "x", 2), (None, "x", 3), (None, "x", 8)])
+    kept = upsert(target, source, names[:2], keep=names[2:])
+    assert rows(kept) == Counter([(1, "x", 1), (2, "x", 2), (None, "x", 3), (None, "x", 8)])
+    both = target.unionByName(source)
+    assert rows(duplicate_keys(both, names[:2])) == Counter([(1, "x", 2)])
+    assert rows(latest_per_key(both, names[:2], names[2:])) == Counter([(1, "x", 9), (2, "x", 2), (None, "x", 8)])
+    assert table_changes(target, source, names[:2]).count() == 5
+
+
 def test_upsert_matches_columns_by_name(spark):
     source = frame(spark, [(1, "x", 9)]).select("v", "c", "k")
     assert rows(upsert(frame(spark, [(1, "x", 1)]), source, KEYS)) == Counter([(1, "x", 9)])
