@@ -88,9 +88,11 @@ def one_dataset(
     return Dataset(name, f"raw_{name}", contract, **options), Layout.under(fresh_root(spark))
 
 
-def land(df: DataFrame, dataset: Dataset, layout: Layout, wave: int, partition_by: str | None = None) -> None:
+def land(
+    df: DataFrame, dataset: Dataset, layout: Layout, wave: int, partition_by: str | None = None, **options
+) -> None:
     """Put rows in the landing directory as CSV files, in a directory of their own."""
-    writer = df.write.option("header", True)
+    writer = df.write.option("header", True).options(**options)
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.csv(f"{layout.landing_of(dataset)}/wave{wave}")

@@ -33,6 +33,7 @@ from sluice import (
     keep_changes,
     latest_per_key,
     load_summary,
+    preview,
     raise_failures,
     read_raw,
     read_typed,
@@ -367,3 +368,75 @@ def q25_summary_of_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summarize(spark, datasets, layout)
 
 
+@query
+def q26_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The few rows shown after a load are rows of the table."""
+    orders = conform(as_text(table(spark, sf_dir, "orders")), ORDERS)
+    shown = preview(orders)
+    found = shown.join(orders, ORDERS.names, "left_semi")
+    return found.agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query
+def q27_strict_conform(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raising parsers agree with the tolerant ones where every date is readable."""
+    return conform(as_text(table(spark, sf_dir, "orders")), ORDERS, strict=True)
+
+
+@query
+def q28_names_in_other_case(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = as_text(table(spark, sf_dir, "customer"))
+    shouted = customer.toDF(*[name.upper() for name in customer.columns])
+    exact = conform(shouted, CUSTOMER).withColumn("matching", F.lit("exact"))
+    return exact.unionByName(conform(shouted, CUSTOMER, ignore_case=True).withColumn("matching", F.lit("any case")))
+
+
+@query
+def q29_unique_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of a dataset that takes a repeated key for an error."""
+    dataset, layout = one_dataset(spark, "orders", ORDERS, on_duplicate="error")
+    orders = table(spark, sf_dir, "orders").withColumn("o_totalprice", money("o_totalprice"))
+    for number, wave in enumerate([orders, reordered(orders, "O", 5)]):
+        land(as_text(wave), dataset, layout, number)
+        run(spark, dataset, layout)
+    return read_typed(spark, dataset, layout)
+
+
+@query
+def q30_latest_of_a_hot_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of all lines under one key."""
+    lines = table(spark, sf_dir, "lineitem")
+    key = F.when(F.col("l_returnflag") == "R", -1).otherwise(F.col("l_orderkey"))
+    return latest_per_key(lines.withColumn("l_orderkey", key), ["l_orderkey"], order=["l_shipdate", "l_partkey"])
+
+
+@query
+def q31_changes_with_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changes of a table in which keys, and after a projection whole rows, repeat."""
+    before = table(spark, sf_dir, "lineitem").select("l_linenumber", "l_returnflag", "l_linestatus", "l_quantity")
+    more = F.when(F.col("l_returnflag") == "R", F.col("l_quantity") + 1).otherwise(F.col("l_quantity"))
+    after = before.withColumn("l_quantity", more)
+    return table_changes(before, after, ["l_linenumber", "l_quantity"])
+
+
+@query
+def q32_multi_line_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text that runs over lines, a composite key, two loads."""
+    contract = Contract(
+        (
+            Field("conv_id", "long", is_primary_key=True),
+            Field("turn", "long", is_primary_key=True),
+            Field("role", "string"),
+            Field("text", "string"),
+        )
+    )
+    options = {"multiLine": "true", "escape": '"'}
+    dataset, layout = one_dataset(spark, "conversations", contract, csv_options=options)
+    talks = as_text(table(spark, sf_dir, "conversations"))
+    later = talks.withColumns(
+        {"turn": (F.col("turn").cast("long") + 1).cast("string"), "text": F.concat_ws(": ", "role", "text")}
+    )
+    for number, wave in enumerate([talks, later]):
+        land(wave, dataset, layout, number, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        run(spark, dataset, layout)
+    return read_typed(spark, dataset, layout)

@@ -184,4 +184,46 @@ WHERE c_mktsegment <> 'BUILDING'""",
     "q25_summary_of_loads": """
 SELECT 'orders' AS dataset, count(*) AS row_count FROM orders
 UNION ALL SELECT 'customer' AS dataset, count(*) AS row_count FROM customer""",
+    "q26_preview": "SELECT least(5, count(*)) AS row_count FROM orders",
+    "q27_strict_conform": ORDERS_TYPED,
+    "q28_names_in_other_case": f"""
+SELECT *, 'any case' AS matching FROM ({CUSTOMER_TYPED})
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, NULL, 'exact' FROM customer""",
+    "q29_unique_loads": f"""
+WITH s AS ({_orders_wave('O', 5)})
+SELECT * FROM s
+UNION ALL
+SELECT * FROM ({ORDERS_TYPED}) t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t.o_orderkey)""",
+    "q30_latest_of_a_hot_key": """
+WITH keyed AS (
+  SELECT * REPLACE (CASE WHEN l_returnflag = 'R' THEN -1 ELSE l_orderkey END AS l_orderkey) FROM lineitem),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_partkey DESC,
+    l_suppkey DESC, l_linenumber DESC, l_quantity DESC, l_extendedprice DESC, l_discount DESC, l_tax DESC,
+    l_returnflag DESC, l_linestatus DESC) AS rn FROM keyed)
+SELECT * EXCLUDE (rn) FROM ranked WHERE rn = 1""",
+    "q31_changes_with_copies": """
+WITH both_sides AS (
+  SELECT l_linenumber, l_returnflag, l_linestatus, l_quantity, -1 AS n FROM lineitem
+  UNION ALL
+  SELECT l_linenumber, l_returnflag, l_linestatus,
+         CASE WHEN l_returnflag = 'R' THEN l_quantity + 1 ELSE l_quantity END, 1 FROM lineitem),
+net AS (
+  SELECT l_linenumber, l_returnflag, l_linestatus, l_quantity, sum(n) AS n FROM both_sides
+  GROUP BY l_linenumber, l_returnflag, l_linestatus, l_quantity HAVING sum(n) <> 0),
+marked AS (
+  SELECT *, min(n) OVER k < 0 AND max(n) OVER k > 0 AS updated FROM net
+  WINDOW k AS (PARTITION BY l_linenumber, l_quantity))
+SELECT l_linenumber, l_returnflag, l_linestatus, l_quantity,
+       CASE WHEN updated AND n > 0 THEN 'update_postimage' WHEN updated THEN 'update_preimage'
+            WHEN n > 0 THEN 'insert' ELSE 'delete' END AS _change_type,
+       CAST(abs(n) AS BIGINT) AS _copies
+FROM marked""",
+    "q32_multi_line_run": """
+WITH s AS (SELECT conv_id, turn + 1 AS turn, role, role || ': ' || text AS text FROM conversations)
+SELECT * FROM s
+UNION ALL
+SELECT conv_id, turn, role, text FROM conversations t
+WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.conv_id = t.conv_id AND s.turn = t.turn)""",
 }

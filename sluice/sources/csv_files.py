@@ -7,10 +7,11 @@ each group is read with its own header, and the groups are combined by name.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
+from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,30 +76,31 @@ def session_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterat
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-# One file per task, and only a few lines of each handed to Python.
-_FIRST_LINES = {
+# One file per task.
+_WHOLE_FILES = {
     "spark.sql.files.maxPartitionBytes": str(1 << 40),
     "spark.sql.files.openCostInBytes": str(1 << 40),
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "8",
 }
 
 
-def first_line_reader() -> Callable[[Iterator], Iterator]:
-    """Task function: the first line of its file that is not blank.
+def first_lines(
+    spark: SparkSession, files: Sequence[LandedFile], options: Mapping[str, str]
+) -> dict[str, str]:
+    """URI -> first line that is not blank, for the files that have one.
 
-    A closure, so it travels by value and the workers need no copy of this package.
+    One task per file, which stops after that line: no DataFrame operator ends a partition
+    early without ending the others, hence the partition iterator.
     """
-
-    def first_line(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        for batch in batches:
-            for uri, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if line.strip():
-                    yield pa.RecordBatch.from_pydict({"uri": [uri], "line": [line]})
-                    return  # stops the scan of this file
-
-    return first_line
+    text_options = {name: options[name] for name in ("encoding", "lineSep") if name in options}
+    with session_settings(spark, _WHOLE_FILES):
+        lines = (
+            spark.read.options(**text_options)
+            .text([literal_path(file.path) for file in files])
+            .select(F.col("_metadata.file_path"), "value")
+            .rdd.mapPartitions(lambda rows: islice((tuple(row) for row in rows if row[1].strip()), 1))
+            .collect()
+        )
+    return dict(lines)
 
 
 def header_groups(
@@ -109,22 +111,13 @@ def header_groups(
     One job reads the first line of each file. Spark itself then turns one header of each
     kind into column names, so quoting, blank and repeated cells follow its rules.
     """
-    text_options = {name: options[name] for name in ("encoding", "lineSep") if name in options}
-    with session_settings(spark, _FIRST_LINES):
-        lines = (
-            spark.read.options(**text_options)
-            .text([literal_path(file.path) for file in files])
-            .select(F.col("_metadata.file_path").alias("uri"), "value")
-            .mapInArrow(first_line_reader(), "uri string, line string")
-            .collect()
-        )
-    line_of = {row.uri: row.line for row in lines}
+    line_of = first_lines(spark, files, options)
     by_header: dict[tuple[str, str], list[str]] = {}
     for file in sorted(files, key=lambda file: file.uri):
         if file.uri in line_of:
             line = line_of[file.uri]
             # A quoted cell that runs on to the next line: this header is known from its file only.
-            runs_on = line.count(options.get("quote", '"')) % 2 == 1
+            runs_on = line.count(options.get("quote") or '"') % 2 == 1
             by_header.setdefault((line, file.uri if runs_on else ""), []).append(file.path)
     groups = []
     for paths in by_header.values():

@@ -153,7 +153,15 @@ class SilverTable:
     # -- writing -------------------------------------------------------------------------
 
     def _tasks(self) -> int:
-        return int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        """Width of a shuffle, before AQE puts neighbours together."""
+        initial = self.spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+        return int(initial or self.spark.conf.get("spark.sql.shuffle.partitions"))
+
+    @staticmethod
+    def _write(rows: DataFrame, place: str) -> None:
+        """Write a load's buckets; whatever a load that failed left there goes first."""
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(BUCKET).parquet(place)
 
     def _by_bucket(self, rows: DataFrame, keys: Sequence[str], buckets: int, shuffled_by_key: bool) -> DataFrame:
         """Add the bucket, with the rows of one bucket in few tasks, so a write makes few files.
@@ -182,7 +190,7 @@ class SilverTable:
         placed = self._by_bucket(rows, keys, buckets, shuffled_by_key)
         place = f"{self.data}/{LOAD}={load}"
         counting = placed.observe(counted, F.count(F.lit(1)).alias("rows"))
-        counting.write.mode("overwrite").partitionBy(BUCKET).parquet(place)
+        self._write(counting, place)
         written = self.spark.read.schema(_bucketed(rows.schema)).parquet(place).select(BUCKET).distinct()
         self.log.append(
             {
@@ -224,7 +232,7 @@ class SilverTable:
         if self.compact_every and load % self.compact_every == 0:
             # A shuffle-free merge adds a file per bucket; now and then put them together.
             result = result.hint("rebalance", BUCKET)
-        result.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.data}/{LOAD}={load}")
+        self._write(result, f"{self.data}/{LOAD}={load}")
         self.log.append(
             {
                 "load": load,

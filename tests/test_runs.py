@@ -9,7 +9,8 @@ from dataclasses import replace
 from decimal import Decimal
 
 import pytest
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, given
+from hypothesis import settings as hypothesis_settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -320,7 +321,9 @@ def fails_at(monkeypatch, target: str, after: bool):
 
 
 @pytest.mark.parametrize("merging", [False, True])
-def test_a_crash_before_the_load_is_logged(spark, tmp_path, monkeypatch, merging):
+def test_a_crash_before_the_load_is_logged(spark, tmp_path, monkeypatch, settings, merging):
+    settings("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    monkeypatch.setattr("sluice.sources.silver.BUCKET_BYTES", 1)
     desk = Desk(spark, tmp_path, KV)
     desk.put("a.csv", "k,v,w\nA,1,x\nB,1,x\n,0,loose\n")
     if merging:
@@ -333,6 +336,7 @@ def test_a_crash_before_the_load_is_logged(spark, tmp_path, monkeypatch, merging
     (status,) = run_silver(spark, [desk.dataset], desk.layout)
     assert status.state == "failed"
     monkeypatch.undo()
+    monkeypatch.setattr("sluice.sources.silver.BUCKET_BYTES", 1)
     if merging:
         assert typed(desk) == before
     else:
@@ -361,7 +365,7 @@ lines = st.lists(st.tuples(st.sampled_from(["", "A", "B", "C", "D", "E"]), st.in
 steps = st.lists(st.tuples(lines, st.sampled_from(["none", "take", "run"])), min_size=1, max_size=4)
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@hypothesis_settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(steps)
 def test_any_series_of_files_and_runs_gives_the_same_table(spark, tmp_path_factory, series):
     """The typed table is what a dict makes of the lines, however the files fall into runs."""
