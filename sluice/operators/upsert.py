@@ -38,9 +38,12 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], keep: Sequ
 
 def keep_values(target: DataFrame, source: DataFrame, keys: Sequence[str], keep: Sequence[str]) -> DataFrame:
     """Source rows, with the ``keep`` columns taken from the matching target row where there is one."""
-    held = target.groupBy(*quoted_all(keys)).agg(F.first(F.struct(*quoted_all(keep))).alias("_held"))
     loose = source.filter(any_null(keys))
-    joined = source.filter(none_null(keys)).join(held, on=list(keys), how="left")
+    whole = source.filter(none_null(keys))
+    # Only the target rows in question go on, and one of them per key.
+    matched = target.join(whole.select(*quoted_all(keys)), on=list(keys), how="left_semi")
+    held = matched.groupBy(*quoted_all(keys)).agg(F.max(F.struct(*quoted_all(keep))).alias("_held"))
+    joined = whole.join(held, on=list(keys), how="left")
     chosen = [
         F.when(F.col("_held").isNotNull(), F.col("_held").getField(name)).otherwise(quoted(name)).alias(name)
         if name in keep

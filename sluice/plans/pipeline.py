@@ -157,9 +157,12 @@ def incoming(raw: DataFrame, dataset: Dataset) -> DataFrame:
     typed = conform(raw, contract, dataset.strict, dataset.ignore_case, carry=ARRIVAL)
     if dataset.on_duplicate == "latest":
         typed = latest_per_key(typed, contract.keys, order=ARRIVAL, row_id=ARRIVAL)
-    elif not (repeated := duplicate_keys(typed, contract.keys)).isEmpty():
-        example = repeated.first().asDict()
-        raise DuplicateKeyError(f"a load of {dataset.name} holds the same key more than once, such as {example}")
+    else:
+        repeated = duplicate_keys(typed, contract.keys).first()
+        if repeated is not None:
+            raise DuplicateKeyError(
+                f"a load of {dataset.name} holds the same key more than once, such as {repeated.asDict()}"
+            )
     return typed.select(*quoted_all(contract.names))
 
 

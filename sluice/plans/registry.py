@@ -6,6 +6,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 from sluice.plans.contract import Contract
+from sluice.streaming.ingest import MAX_FILES
 
 
 @dataclass(frozen=True)
@@ -16,7 +17,7 @@ class Dataset:
     raw_name: str
     contract: Contract | None = None
     csv_options: Mapping[str, str] = field(default_factory=dict)
-    max_files: int = 1000
+    max_files: int = MAX_FILES
     on_duplicate: str = "latest"
     strict: bool = False
     ignore_case: bool = False

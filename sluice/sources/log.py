@@ -29,7 +29,7 @@ class Log:
         return self.spark.read.schema(self.full_schema).parquet(self.path)
 
     def append(self, entry: Mapping) -> None:
-        row = F.from_json(F.lit(json.dumps(dict(entry))), self.schema)
+        row = F.from_json(F.lit(json.dumps(dict(entry))), self.schema, {"mode": "FAILFAST"})
         one = self.spark.range(0, 1, 1, 1).select(row.alias("entry"))
         one.select("entry.*", F.current_timestamp().alias(WRITTEN_AT)).write.mode("append").parquet(self.path)
 

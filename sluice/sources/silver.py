@@ -262,10 +262,9 @@ class SilverTable:
         return self.spark.read.schema(_bucketed(rows.schema)).parquet(place), counted.get
 
     def _small(self, staged: DataFrame, counts: dict, keys: Sequence[str]) -> DataFrame:
-        """Broadcast the staged keys if their measured size allows; else Spark shuffles both sides."""
-        limit = self._broadcast_limit()
+        """The staged keys, to be broadcast if their measured size allows; else Spark decides."""
         narrow = staged.select(*quoted_all(keys))
-        return F.broadcast(narrow) if (counts["key_bytes"] or 0) <= limit else narrow.hint("merge")
+        return F.broadcast(narrow) if (counts["key_bytes"] or 0) <= self._broadcast_limit() else narrow
 
     def _broadcast_limit(self) -> int:
         threshold = self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")

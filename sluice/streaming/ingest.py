@@ -12,6 +12,9 @@ from sluice.sources.csv_files import LandedFile, header_groups, new_files, read_
 
 STREAM_ID = "sql.streaming.queryId"
 
+# Files of one micro-batch, whose names the driver holds.
+MAX_FILES = 10_000
+
 # A century: no late file is passed over on account of its age.
 KEEP_ALL = "36500d"
 
@@ -22,7 +25,7 @@ def start_ingest(
     root: str,
     checkpoint: str,
     options: Mapping[str, str] | None = None,
-    max_files: int = 1000,
+    max_files: int = MAX_FILES,
     max_file_age: str = KEEP_ALL,
 ) -> StreamingQuery:
     """Start a stream that appends every file not seen before, then stops.
@@ -40,11 +43,14 @@ def start_ingest(
         groups = header_groups(session, files, csv_options) if files else []
         if not groups:
             return
+        stream_id = session.sparkContext.getLocalProperty(STREAM_ID)
+        if stream_id is None:
+            raise RuntimeError("the stream's id is not known to this thread: Python threads must be pinned")
         rows = read_by_name(session, groups, bronze.columns(), csv_options)
         bronze.write_version(
             rows,
             batch_id,
-            stream_id=session.sparkContext.getLocalProperty(STREAM_ID),
+            stream_id=stream_id,
             files=len(files),
             size=sum(file.length for file in files),
         )
@@ -64,7 +70,7 @@ def ingest(
     root: str,
     checkpoint: str,
     options: Mapping[str, str] | None = None,
-    max_files: int = 1000,
+    max_files: int = MAX_FILES,
     max_file_age: str = KEEP_ALL,
 ) -> None:
     """Take up all new files and wait until they are committed."""

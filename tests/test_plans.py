@@ -63,7 +63,7 @@ def test_a_checked_broadcast_survives_the_key_filter(parquet, spark, settings):
     settings("spark.sql.autoBroadcastJoinThreshold", "-1")
     small = F.broadcast(parquet.select("k"))
     assert "BroadcastHashJoin" in plan(unmatched(parquet, small, ["k"]))
-    assert "SortMergeJoin" in plan(unmatched(parquet, parquet.select("k").hint("merge"), ["k"]))
+    assert "SortMergeJoin" in plan(unmatched(parquet, parquet.select("k"), ["k"]))
 
 
 def test_latest_per_key_combines_before_the_shuffle(parquet):
