@@ -125,7 +125,7 @@ def load_silver(spark: SparkSession, dataset: Dataset, layout: Layout) -> Status
 
     silver = SilverTable(spark, layout.typed_of(dataset))
     state = silver.state()
-    merging = state is not None and silver.exists()
+    merging = silver.has_rows(state)
     after = state.raw_version if merging else None
     if merging:
         check_evolution(state.schema, state.keys, contract)
@@ -135,7 +135,7 @@ def load_silver(spark: SparkSession, dataset: Dataset, layout: Layout) -> Status
     raw = keep_changes(bronze.read_changes(after, upto)) if merging else bronze.read_upto(upto)
     if raw.isEmpty():
         if merging:
-            silver.log_empty(upto)
+            silver.log_empty(state, upto)
         return Status(dataset.name, EMPTY, version=upto)
 
     rows = incoming(raw, dataset)
@@ -145,9 +145,11 @@ def load_silver(spark: SparkSession, dataset: Dataset, layout: Layout) -> Status
         if dataset.keep_when_missing:
             present = source_names(bronze.columns(after, upto), contract, dataset.ignore_case)
             keep = [name for name in contract.names if name not in present]
-        count = silver.merge(rows, contract.keys, upto, keep, shuffled_by_key=by_key)
+        count = silver.merge(state, rows, contract.keys, upto, keep, shuffled_by_key=by_key)
     else:
-        count = silver.write_full(rows, contract.keys, upto, bronze.size(upto=upto), shuffled_by_key=by_key)
+        count = silver.write_full(
+            state, rows, contract.keys, upto, size=bronze.size(upto=upto), shuffled_by_key=by_key
+        )
     return Status(dataset.name, LOADED, version=upto, rows=count)
 
 

@@ -6,7 +6,7 @@ version. A version counts once its entry is there.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,6 +24,7 @@ COMMIT = T.StructType(
         T.StructField("bytes", T.LongType()),
         T.StructField("rows", T.LongType()),
         T.StructField("columns", T.ArrayType(T.StringType())),
+        T.StructField("known_columns", T.ArrayType(T.StringType())),
     ]
 )
 
@@ -44,23 +45,28 @@ class BronzeTable:
     def commits(self) -> DataFrame:
         return self.log.entries()
 
+    def head(self) -> Row | None:
+        """The last commit; its ``known_columns`` are those of all versions so far."""
+        return self.commits().orderBy(F.desc("version")).first()
+
     def latest_version(self) -> int | None:
         """The last committed version, None if the table does not exist yet."""
-        return self.commits().agg(F.max("version")).first()[0]
+        head = self.head()
+        return None if head is None else head.version
 
     def exists(self) -> bool:
-        return self.latest_version() is not None
+        return self.head() is not None
+
+    def known_columns(self) -> list[str]:
+        """Raw columns of the table, in order of first appearance."""
+        head = self.head()
+        return [] if head is None else list(head.known_columns)
 
-    def columns(self, after: int | None = None, upto: int | None = None) -> list[str]:
-        """Raw columns of the versions in ``(after, upto]``, in order of first appearance."""
+    def columns(self, after: int | None, upto: int | None) -> list[str]:
+        """Raw columns that some version in ``(after, upto]`` has."""
         commits = between(self.commits(), "version", after, upto)
-        first_seen = (
-            commits.select("version", F.posexplode("columns").alias("position", "name"))
-            .groupBy("name")
-            .agg(F.min(F.struct("version", "position")).alias("at"))
-            .orderBy("at")
-        )
-        return [row.name for row in first_seen.collect()]
+        names = commits.select(F.explode("columns").alias("name")).distinct()
+        return sorted(row.name for row in names.collect())
 
     def size(self, after: int | None = None, upto: int | None = None) -> int:
         """Bytes of landed files behind the versions in ``(after, upto]``."""
@@ -73,16 +79,17 @@ class BronzeTable:
 
         A version left without its commit entry is written over by the replay.
         """
-        last = self.commits().select("version", "stream_id").orderBy(F.desc("version")).first()
-        if last is not None:
-            if last.stream_id != stream_id:
+        head = self.head()
+        if head is not None:
+            if head.stream_id != stream_id:
                 raise LostCheckpointError(
-                    f"{self.root} holds versions of stream {last.stream_id}, not {stream_id}: "
+                    f"{self.root} holds versions of stream {head.stream_id}, not {stream_id}: "
                     "restore its checkpoint or use a fresh raw table"
                 )
-            if last.version >= version:
+            if head.version >= version:
                 return
         columns = [name for name in rows.columns if name not in POSITION]
+        known = [] if head is None else list(head.known_columns)
         clash = RESERVED.intersection(columns)
         if clash:
             raise ValueError(f"reserved column names in the files: {sorted(clash)}")
@@ -99,6 +106,7 @@ class BronzeTable:
                 "bytes": size,
                 "rows": counted.get["rows"],
                 "columns": columns,
+                "known_columns": [*known, *(name for name in columns if name not in known)],
             }
         )
 
@@ -106,7 +114,7 @@ class BronzeTable:
 
     def schema(self) -> T.StructType:
         """All raw columns as text. Known from the commits, so no file footer is merged."""
-        text = [T.StructField(name, T.StringType()) for name in self.columns()]
+        text = [T.StructField(name, T.StringType()) for name in self.known_columns()]
         return T.StructType(
             [
                 *text,

@@ -56,7 +56,7 @@ class SilverState:
     buckets: int
     keys: list[str]
     schema: T.StructType
-    base_load: int | None
+    base_load: int
 
 
 def bucket_count(size: int, tasks: int) -> int:
@@ -101,17 +101,16 @@ class SilverTable:
 
     def exists(self) -> bool:
         """Whether there are rows to read: the log alone does not make a table."""
-        state = self.state()
-        return state is not None and self._is_whole(state)
+        return self.has_rows(self.state())
 
-    def _is_whole(self, state: SilverState) -> bool:
-        return state.base_load is not None and path_exists(self.spark, f"{self.data}/{LOAD}={state.base_load}")
+    def has_rows(self, state: SilverState | None) -> bool:
+        return state is not None and path_exists(self.spark, f"{self.data}/{LOAD}={state.base_load}")
 
     # -- reading -------------------------------------------------------------------------
 
     def read(self) -> DataFrame:
         state = self.state()
-        if state is None or not self._is_whole(state):
+        if not self.has_rows(state):
             raise ValueError(f"{self.root} holds no table")
         return self._read(state, state.schema).drop(LOAD, BUCKET)
 
@@ -176,6 +175,7 @@ class SilverTable:
 
     def write_full(
         self,
+        state: SilverState | None,
         rows: DataFrame,
         keys: Sequence[str],
         raw_version: int,
@@ -183,8 +183,7 @@ class SilverTable:
         shuffled_by_key: bool = False,
     ) -> int:
         """Make ``rows`` the table, in one write. ``size`` is the rough size that sets the buckets."""
-        last = self.state()
-        load = 0 if last is None else last.load + 1
+        load = 0 if state is None else state.load + 1
         buckets = bucket_count(size, self._tasks())
         counted = Observation()
         placed = self._by_bucket(rows, keys, buckets, shuffled_by_key)
@@ -209,6 +208,7 @@ class SilverTable:
 
     def merge(
         self,
+        state: SilverState,
         rows: DataFrame,
         keys: Sequence[str],
         raw_version: int,
@@ -220,7 +220,6 @@ class SilverTable:
         The rows are written to a staging place first: they feed the bucket list, the join and
         the new buckets, and a lost executor then costs no recomputation.
         """
-        state = self.state()
         load = state.load + 1
         staged, counts = self._stage(rows, keys, state.buckets, shuffled_by_key)
         touched = sorted(row[BUCKET] for row in staged.select(BUCKET).distinct().collect())
@@ -272,9 +271,8 @@ class SilverTable:
         scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(digits[-1], 1)
         return int(digits.rstrip("kmg")) * scale
 
-    def log_empty(self, raw_version: int) -> None:
+    def log_empty(self, state: SilverState, raw_version: int) -> None:
         """Note versions that held no rows, so they are not looked at again."""
-        state = self.state()
         self.log.append(
             {
                 "load": state.load + 1,

@@ -46,7 +46,7 @@ def start_ingest(
         stream_id = session.sparkContext.getLocalProperty(STREAM_ID)
         if stream_id is None:
             raise RuntimeError("the stream's id is not known to this thread: Python threads must be pinned")
-        rows = read_by_name(session, groups, bronze.columns(), csv_options)
+        rows = read_by_name(session, groups, bronze.known_columns(), csv_options)
         bronze.write_version(
             rows,
             batch_id,

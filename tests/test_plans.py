@@ -122,3 +122,38 @@ def test_listing_the_landing_directory_reads_no_file(spark, tmp_path):
     text = stream._jsq.explainInternal(False)
     assert "ReadSchema: struct<path:string,length:bigint>" in text
     assert "content" not in text.split("FileScan binaryFile")[1].split("Batched")[0]
+
+
+@pytest.fixture
+def skew(settings):
+    """Small thresholds, so that AQE treats a few kilobytes as a big partition."""
+    settings("spark.sql.autoBroadcastJoinThreshold", "-1")
+    settings("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    settings("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "10000")
+    settings("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
+    settings("spark.sql.adaptive.advisoryPartitionSizeInBytes", "10000")
+    settings("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1000")
+
+
+def hot(spark, root, rows=60_000):
+    """A third of the rows under one key, the others under keys of their own."""
+    key = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id"))
+    noise = F.sha2(F.col("id").cast("string"), 256)
+    spark.range(0, rows, 1, 16).select(key.alias("k"), noise.alias("v")).write.parquet(f"{root}/hot")
+    return spark.read.parquet(f"{root}/hot")
+
+
+def test_a_hot_key_in_the_target_is_split(spark, root, skew):
+    target = hot(spark, root)
+    source = target.filter("k > 10").withColumn("v", F.lit("new"))
+    merged = upsert(target, source, ["k"])
+    assert "SortMergeJoin(skew=true)" in executed(merged)
+    assert merged.count() == target.count()
+
+
+def test_a_hot_key_with_many_changes_is_split(spark, root, skew):
+    before = hot(spark, root)
+    after = before.withColumn("v", F.concat("v", F.lit("!")))
+    changes = table_changes(before, after, ["k"])
+    assert "SortMergeJoin(skew=true)" in executed(changes)
+    assert changes.count() == 2 * before.count()
