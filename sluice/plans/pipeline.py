@@ -140,16 +140,15 @@ def load_silver(spark: SparkSession, dataset: Dataset, layout: Layout) -> Status
 
     rows = incoming(raw, dataset)
     by_key = dataset.on_duplicate == "latest"
+    size = bronze.size(upto=upto)
     if merging:
         keep: list[str] = []
         if dataset.keep_when_missing:
             present = source_names(bronze.columns(after, upto), contract, dataset.ignore_case)
             keep = [name for name in contract.names if name not in present]
-        count = silver.merge(state, rows, contract.keys, upto, keep, shuffled_by_key=by_key)
+        count = silver.merge(state, rows, contract.keys, upto, size, keep, shuffled_by_key=by_key)
     else:
-        count = silver.write_full(
-            state, rows, contract.keys, upto, size=bronze.size(upto=upto), shuffled_by_key=by_key
-        )
+        count = silver.write_full(state, rows, contract.keys, upto, size, shuffled_by_key=by_key)
     return Status(dataset.name, LOADED, version=upto, rows=count)
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +27,7 @@ LOOSE = -1
 
 BUCKET_BYTES = 1 << 30
 MAX_BUCKETS = 1 << 14
+GROWTH = 4  # buckets are recounted once the table calls for this many times more
 
 ENTRY = T.StructType(
     [
@@ -104,7 +105,7 @@ class SilverTable:
         return self.has_rows(self.state())
 
     def has_rows(self, state: SilverState | None) -> bool:
-        return state is not None and path_exists(self.spark, f"{self.data}/{LOAD}={state.base_load}")
+        return state is not None and path_exists(self.spark, self._place(state.base_load))
 
     # -- reading -------------------------------------------------------------------------
 
@@ -137,7 +138,7 @@ class SilverTable:
                 by_load.setdefault(row.load, []).append(row)
         paths = []
         for load, rows in sorted(by_load.items()):
-            place = f"{self.data}/{LOAD}={load}"
+            place = self._place(load)
             if len(rows) == rows[0].of:
                 paths.append(place)  # all the load wrote
             else:
@@ -149,6 +150,16 @@ class SilverTable:
             return self.spark.createDataFrame([], full)
         return self.spark.read.schema(full).option("basePath", self.data).parquet(*paths)
 
+    def superseded(self) -> DataFrame:
+        """Directories of logged loads that the table no longer reads, free to be removed."""
+        state = self.state()
+        if state is None:
+            return self.spark.createDataFrame([], "path string")
+        written = self.loads().select("load", F.explode("written").alias("bucket"))
+        old = written.join(self._current(state), ["load", "bucket"], "left_anti")
+        path = F.concat(F.lit(f"{self.data}/{LOAD}="), "load", F.lit(f"/{BUCKET}="), "bucket")
+        return old.select(path.alias("path"))
+
     # -- writing -------------------------------------------------------------------------
 
     def _tasks(self) -> int:
@@ -187,24 +198,11 @@ class SilverTable:
         buckets = bucket_count(size, self._tasks())
         counted = Observation()
         placed = self._by_bucket(rows, keys, buckets, shuffled_by_key)
-        place = f"{self.data}/{LOAD}={load}"
-        counting = placed.observe(counted, F.count(F.lit(1)).alias("rows"))
-        self._write(counting, place)
-        written = self.spark.read.schema(_bucketed(rows.schema)).parquet(place).select(BUCKET).distinct()
-        self.log.append(
-            {
-                "load": load,
-                "kind": FULL,
-                "raw_version": raw_version,
-                "rows_in": counted.get["rows"],
-                "buckets": buckets,
-                "written": sorted(row[BUCKET] for row in written.collect()),
-                "keys": list(keys),
-                "schema": rows.schema.json(),
-                "base_load": load,
-            }
-        )
-        return counted.get["rows"]
+        self._write(placed.observe(counted, F.count(F.lit(1)).alias("rows")), self._place(load))
+        count = counted.get["rows"]
+        made = SilverState(load, raw_version, buckets, list(keys), rows.schema, base_load=load)
+        self._commit(made, FULL, count, self._buckets_in(load))
+        return count
 
     def merge(
         self,
@@ -212,40 +210,72 @@ class SilverTable:
         rows: DataFrame,
         keys: Sequence[str],
         raw_version: int,
+        size: int,
         keep: Sequence[str] = (),
         shuffled_by_key: bool = False,
     ) -> int:
         """Upsert ``rows``, each key at most once, into the buckets they fall in.
 
         The rows are written to a staging place first: they feed the bucket list, the join and
-        the new buckets, and a lost executor then costs no recomputation.
+        the new buckets, and a lost executor then costs no recomputation. A table that has
+        outgrown its buckets is written anew with more of them.
         """
-        load = state.load + 1
         staged, counts = self._stage(rows, keys, state.buckets, shuffled_by_key)
-        touched = sorted(row[BUCKET] for row in staged.select(BUCKET).distinct().collect())
-        whole = [bucket for bucket in touched if bucket != LOOSE]
+        buckets = bucket_count(size, self._tasks())
+        grown = buckets >= GROWTH * state.buckets
+        touched = None if grown else sorted(row[BUCKET] for row in staged.select(BUCKET).distinct().collect())
 
-        target = self._read(state, rows.schema, whole).drop(LOAD)
-        incoming = keep_values(target, staged, keys, keep) if keep else staged
-        result = unmatched(target, self._small(staged, counts, keys), keys).unionByName(incoming)
-        if self.compact_every and load % self.compact_every == 0:
+        load = state.load + 1
+        read = None if grown else [bucket for bucket in touched if bucket != LOOSE]
+        target = self._read(state, rows.schema, read).drop(LOAD)
+        whole = target.filter(F.col(BUCKET) != LOOSE)  # by directory; a loose row has no match
+        incoming = keep_values(whole, staged, keys, keep) if keep else staged
+        result = unmatched(whole, self._small(staged, counts, keys), keys).unionByName(incoming)
+        if grown:
+            result = self._by_bucket(result.drop(BUCKET), keys, buckets, shuffled_by_key=False)
+            result = result.unionByName(target.filter(F.col(BUCKET) == LOOSE))
+        elif self.compact_every and load % self.compact_every == 0:
             # A shuffle-free merge adds a file per bucket; now and then put them together.
             result = result.hint("rebalance", BUCKET)
-        self._write(result, f"{self.data}/{LOAD}={load}")
+        self._write(result, self._place(load))
+
+        made = SilverState(
+            load,
+            raw_version,
+            buckets if grown else state.buckets,
+            list(keys),
+            rows.schema,
+            base_load=load if grown else state.base_load,
+        )
+        self._commit(made, FULL if grown else MERGE, counts["rows"], self._buckets_in(load) if grown else touched)
+        return counts["rows"]
+
+    def log_empty(self, state: SilverState, raw_version: int) -> None:
+        """Note versions that held no rows, so they are not looked at again."""
+        self._commit(replace(state, load=state.load + 1, raw_version=raw_version), EMPTY, 0, [])
+
+    def _commit(self, made: SilverState, kind: str, rows_in: int, written: Sequence[int]) -> None:
         self.log.append(
             {
-                "load": load,
-                "kind": MERGE,
-                "raw_version": raw_version,
-                "rows_in": counts["rows"],
-                "buckets": state.buckets,
-                "written": touched,
-                "keys": list(keys),
-                "schema": rows.schema.json(),
-                "base_load": state.base_load,
+                "load": made.load,
+                "kind": kind,
+                "raw_version": made.raw_version,
+                "rows_in": rows_in,
+                "buckets": made.buckets,
+                "written": list(written),
+                "keys": made.keys,
+                "schema": made.schema.json(),
+                "base_load": made.base_load,
             }
         )
-        return counts["rows"]
+
+    def _place(self, load: int) -> str:
+        return f"{self.data}/{LOAD}={load}"
+
+    def _buckets_in(self, load: int) -> list[int]:
+        """Buckets a load wrote: at most one row each."""
+        written = self.spark.read.schema(f"{BUCKET} int").parquet(self._place(load)).distinct()
+        return sorted(row[BUCKET] for row in written.collect())
 
     def _stage(
         self, rows: DataFrame, keys: Sequence[str], buckets: int, shuffled_by_key: bool
@@ -271,22 +301,6 @@ class SilverTable:
         scale = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}.get(digits[-1], 1)
         return int(digits.rstrip("kmg")) * scale
 
-    def log_empty(self, state: SilverState, raw_version: int) -> None:
-        """Note versions that held no rows, so they are not looked at again."""
-        self.log.append(
-            {
-                "load": state.load + 1,
-                "kind": EMPTY,
-                "raw_version": raw_version,
-                "rows_in": 0,
-                "buckets": state.buckets,
-                "written": [],
-                "keys": state.keys,
-                "schema": state.schema.json(),
-                "base_load": state.base_load,
-            }
-        )
-
 
 def _bucketed(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema, T.StructField(BUCKET, T.IntegerType())])

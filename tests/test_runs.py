@@ -279,6 +279,32 @@ def test_buckets_are_rewritten_only_if_touched(spark, tmp_path, monkeypatch):
     assert files.count() == state.buckets
 
 
+def test_a_table_that_outgrows_its_buckets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("sluice.sources.silver.BUCKET_BYTES", 500)
+    desk = Desk(spark, tmp_path, KV, keep_when_missing=True)
+    desk.put("a.csv", "k,v,w\nK1,1,x\nK2,2,x\n,1,loose\n")
+    desk.run()
+    assert silver(desk).state().buckets == 1
+    desk.put("b.csv", "k,v\n" + "".join(f"K{i},{-i}\n" for i in range(2, 700)) + ",2\n")
+    desk.run()
+    state = silver(desk).state()
+    assert state.buckets == 8
+    assert (state.load, state.base_load) == (1, 1)
+    expected = {f"K{i}": (f"K{i}", -i, "x" if i == 2 else None) for i in range(2, 700)}
+    expected["K1"] = ("K1", 1, "x")
+    loose = [(None, 1, "loose"), (None, 2, None)]
+    assert typed(desk) == Counter([*expected.values(), *loose])
+    desk.put("c.csv", "k,v,w\nK5,5,y\n")
+    desk.run()
+    expected["K5"] = ("K5", 5, "y")
+    assert typed(desk) == Counter([*expected.values(), *loose])
+    last = silver(desk).loads().orderBy(F.desc("load")).first()
+    assert (last.kind, len(last.written)) == ("merge", 1)
+    # Of the first load nothing is read any more, of the second not the bucket of K5.
+    old = {row.path.split("/data/")[1] for row in silver(desk).superseded().collect()}
+    assert old == {"_load=0/_bucket=-1", "_load=0/_bucket=0", f"_load=1/_bucket={last.written[0]}"}
+
+
 def test_compaction_and_both_join_strategies_agree(spark, tmp_path, monkeypatch, settings):
     monkeypatch.setattr("sluice.sources.silver.BUCKET_BYTES", 200)
     settings("spark.sql.autoBroadcastJoinThreshold", "-1")
