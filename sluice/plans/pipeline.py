@@ -18,7 +18,7 @@ from sluice.operators.reports import load_summary
 from sluice.plans.contract import check_evolution
 from sluice.plans.registry import Dataset, Layout
 from sluice.sources.bronze import BronzeTable
-from sluice.sources.csv_files import POSITION
+from sluice.sources.csv_files import FEW_LISTING_TASKS, POSITION, session_settings
 from sluice.sources.silver import SilverTable
 from sluice.streaming.ingest import start_ingest
 
@@ -97,14 +97,16 @@ def run_bronze(
         after = bronze.latest_version()
         return Status(dataset.name, UP_TO_DATE if after == before else LOADED, version=after)
 
-    return _isolated(spark, work, datasets, at_once)
+    with session_settings(spark, FEW_LISTING_TASKS):
+        return _isolated(spark, work, datasets, at_once)
 
 
 def run_silver(
     spark: SparkSession, datasets: Sequence[Dataset], layout: Layout, at_once: int = 4
 ) -> list[Status]:
     """Bring every typed table up to its raw table, several datasets at a time."""
-    return _isolated(spark, lambda dataset: load_silver(spark, dataset, layout), datasets, at_once)
+    with session_settings(spark, FEW_LISTING_TASKS):
+        return _isolated(spark, lambda dataset: load_silver(spark, dataset, layout), datasets, at_once)
 
 
 def load_silver(spark: SparkSession, dataset: Dataset, layout: Layout) -> Status:

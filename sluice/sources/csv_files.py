@@ -76,8 +76,13 @@ def session_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterat
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
-# One file per task.
-_WHOLE_FILES = {
+# A list of files is checked path by path; Spark would start a task for each of them.
+FEW_LISTING_TASKS = {"spark.sql.sources.parallelPartitionDiscovery.parallelism": "256"}
+
+# Up to this size a file is read whole for its first line; a task of its own would cost more.
+SMALL_FILE = 4 << 20
+
+_ONE_FILE_PER_TASK = {
     "spark.sql.files.maxPartitionBytes": str(1 << 40),
     "spark.sql.files.openCostInBytes": str(1 << 40),
 }
@@ -86,21 +91,30 @@ _WHOLE_FILES = {
 def first_lines(
     spark: SparkSession, files: Sequence[LandedFile], options: Mapping[str, str]
 ) -> dict[str, str]:
-    """URI -> first line that is not blank, for the files that have one.
-
-    One task per file, which stops after that line: no DataFrame operator ends a partition
-    early without ending the others, hence the partition iterator.
-    """
+    """URI -> first line that is not blank, for the files that have one."""
+    small = [file.path for file in files if file.length <= SMALL_FILE]
+    large = [file.path for file in files if file.length > SMALL_FILE]
     text_options = {name: options[name] for name in ("encoding", "lineSep") if name in options}
-    with session_settings(spark, _WHOLE_FILES):
-        lines = (
-            spark.read.options(**text_options)
-            .text([literal_path(file.path) for file in files])
-            .select(F.col("_metadata.file_path"), "value")
-            .rdd.mapPartitions(lambda rows: islice((tuple(row) for row in rows if row[1].strip()), 1))
-            .collect()
-        )
-    return dict(lines)
+
+    def lines_of(paths: Sequence[str]) -> DataFrame:
+        text = spark.read.options(**text_options).text([literal_path(path) for path in paths])
+        return text.select(F.col("_metadata.file_path").alias("uri"), "value", "_metadata.file_block_start")
+
+    found = []
+    if small:
+        place = F.struct("file_block_start", F.monotonically_increasing_id())
+        lines = lines_of(small).withColumn("place", place).filter(F.col("value").rlike("[^\\x00-\\x20]"))
+        found += lines.groupBy("uri").agg(F.min_by("value", "place")).collect()
+    if large:
+        # One task per file, which stops after that line. No DataFrame operator ends one
+        # partition early without ending the others, hence the partition iterator.
+        with session_settings(spark, _ONE_FILE_PER_TASK):
+            found += (
+                lines_of(large)
+                .rdd.mapPartitions(lambda rows: islice((row[:2] for row in rows if max(row[1], default="") > " "), 1))
+                .collect()
+            )
+    return {uri: line for uri, line in found}
 
 
 def header_groups(
@@ -108,8 +122,8 @@ def header_groups(
 ) -> list[HeaderGroup]:
     """The files of one micro-batch by header; files without a line drop out.
 
-    One job reads the first line of each file. Spark itself then turns one header of each
-    kind into column names, so quoting, blank and repeated cells follow its rules.
+    The first line of a file tells its header. Spark itself turns one header of each kind into
+    column names, so quoting, blank and repeated cells follow its rules.
     """
     line_of = first_lines(spark, files, options)
     by_header: dict[tuple[str, str], list[str]] = {}

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from sluice.sources.bronze import BronzeTable
-from sluice.sources.csv_files import LandedFile, header_groups, new_files, read_by_name
+from sluice.sources.csv_files import (
+    FEW_LISTING_TASKS,
+    LandedFile,
+    header_groups,
+    new_files,
+    read_by_name,
+    session_settings,
+)
 
 STREAM_ID = "sql.streaming.queryId"
 
@@ -39,21 +46,10 @@ def start_ingest(
         session = batch.sparkSession
         # At most max_files rows, each a path and a size.
         files = [LandedFile(row.path, row.uri, row.length) for row in batch.collect()]
-        bronze = BronzeTable(session, root)
-        groups = header_groups(session, files, csv_options) if files else []
-        if not groups:
-            return
         stream_id = session.sparkContext.getLocalProperty(STREAM_ID)
         if stream_id is None:
             raise RuntimeError("the stream's id is not known to this thread: Python threads must be pinned")
-        rows = read_by_name(session, groups, bronze.known_columns(), csv_options)
-        bronze.write_version(
-            rows,
-            batch_id,
-            stream_id=stream_id,
-            files=len(files),
-            size=sum(file.length for file in files),
-        )
+        take_up(session, BronzeTable(session, root), batch_id, stream_id, files, csv_options)
 
     return (
         new_files(spark, landing, max_files, max_file_age)
@@ -64,6 +60,22 @@ def start_ingest(
     )
 
 
+def take_up(
+    session: SparkSession,
+    bronze: BronzeTable,
+    version: int,
+    stream_id: str,
+    files: Sequence[LandedFile],
+    options: Mapping[str, str],
+) -> None:
+    """Write the rows of some files as one version; files without a line make none."""
+    groups = header_groups(session, files, options) if files else []
+    if groups:
+        rows = read_by_name(session, groups, bronze.known_columns(), options)
+        size = sum(file.length for file in files)
+        bronze.write_version(rows, version, stream_id, files=len(files), size=size)
+
+
 def ingest(
     spark: SparkSession,
     landing: str,
@@ -74,4 +86,5 @@ def ingest(
     max_file_age: str = KEEP_ALL,
 ) -> None:
     """Take up all new files and wait until they are committed."""
-    start_ingest(spark, landing, root, checkpoint, options, max_files, max_file_age).awaitTermination()
+    with session_settings(spark, FEW_LISTING_TASKS):
+        start_ingest(spark, landing, root, checkpoint, options, max_files, max_file_age).awaitTermination()

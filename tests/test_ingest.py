@@ -82,6 +82,26 @@ def test_header_details(spark, tmp_path):
     assert rows(got.filter("k = '3'").select("m", "m1", "m2")) == Counter([(None, "7", "8")])
 
 
+def test_small_and_large_files_take_different_ways_to_the_header(spark, tmp_path, monkeypatch, settings):
+    settings("spark.sql.files.maxPartitionBytes", "500")
+    settings("spark.sql.files.openCostInBytes", "0")
+    desk = Desk(spark, tmp_path, KDM)
+    body = "".join(f"{i},x,5\n" for i in range(500))
+    for number in range(6):
+        desk.put(f"f{number}.csv", f"\n  \n{'k,d,m' if number % 2 else 'd,k,m'}\n{body}")
+    desk.take_up()
+    assert read_raw(spark, desk.dataset, desk.layout).filter("k = 'x'").count() == 3 * 500
+    monkeypatch.setattr("sluice.sources.csv_files.SMALL_FILE", 10)
+    for number in range(6, 12):
+        desk.put(f"f{number}.csv", f"\n  \n{'k,d,m' if number % 2 else 'd,k,m'}\n{body}")
+    desk.put("blank.csv", "\n" * 1000)
+    desk.take_up()
+    got = read_raw(spark, desk.dataset, desk.layout)
+    assert got.columns == ["d", "k", "m"]
+    assert got.filter("k = 'x'").count() == 6 * 500
+    assert got.filter("d = 'x'").count() == 6 * 500
+
+
 def test_a_name_in_other_case_is_the_same_raw_column(spark, tmp_path):
     desk = Desk(spark, tmp_path, KDM)
     desk.put("a.csv", "k,Email\n1,x\n")
@@ -212,6 +232,18 @@ def test_reserved_names_are_refused(spark, tmp_path):
     assert "reserved column names" in status.detail
 
 
+def test_starting_a_stream_leaves_the_session_alone(spark, tmp_path, settings):
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    settings(name, "77")
+    desk = Desk(spark, tmp_path, KDM)
+    for number in range(40):
+        desk.put(f"f{number}.csv", f"k,d,m\n{number},x,5\n")
+    settings("spark.sql.sources.parallelPartitionDiscovery.threshold", "2")
+    desk.take_up()
+    assert spark.conf.get(name) == "77"
+    assert raw(desk, "k") == Counter([(str(n),) for n in range(40)])
+
+
 def test_a_failing_dataset_leaves_the_others_alone(spark, tmp_path):
     good = Desk(spark, tmp_path, MEMBERS, "good")
     bad = Desk(spark, tmp_path, MEMBERS, "bad")
