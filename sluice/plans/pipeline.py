@@ -121,9 +121,10 @@ def load_silver(spark: SparkSession, dataset: Dataset, layout: Layout) -> Status
         raise ValueError("; ".join(problems))
 
     bronze = BronzeTable(spark, layout.raw_of(dataset))
-    upto = bronze.latest_version()  # fixed first: what is committed later waits for the next run
-    if upto is None:
+    head = bronze.head()  # fixed first: what is committed later waits for the next run
+    if head is None:
         return Status(dataset.name, SKIPPED, "no raw table")
+    upto = head.version
 
     silver = SilverTable(spark, layout.typed_of(dataset))
     state = silver.state()
@@ -134,7 +135,7 @@ def load_silver(spark: SparkSession, dataset: Dataset, layout: Layout) -> Status
         if state.raw_version >= upto:
             return Status(dataset.name, UP_TO_DATE, version=upto)
 
-    raw = keep_changes(bronze.read_changes(after, upto)) if merging else bronze.read_upto(upto)
+    raw = keep_changes(bronze.read_changes(after, upto, head)) if merging else bronze.read_upto(upto, head)
     if raw.isEmpty():
         if merging:
             silver.log_empty(state, upto)
@@ -142,7 +143,7 @@ def load_silver(spark: SparkSession, dataset: Dataset, layout: Layout) -> Status
 
     rows = incoming(raw, dataset)
     by_key = dataset.on_duplicate == "latest"
-    size = bronze.size(upto=upto)
+    size = head.known_bytes
     if merging:
         keep: list[str] = []
         if dataset.keep_when_missing:

@@ -25,6 +25,7 @@ COMMIT = T.StructType(
         T.StructField("rows", T.LongType()),
         T.StructField("columns", T.ArrayType(T.StringType())),
         T.StructField("known_columns", T.ArrayType(T.StringType())),
+        T.StructField("known_bytes", T.LongType()),
     ]
 )
 
@@ -46,7 +47,7 @@ class BronzeTable:
         return self.log.entries()
 
     def head(self) -> Row | None:
-        """The last commit; its ``known_columns`` are those of all versions so far."""
+        """The last commit; ``known_columns`` and ``known_bytes`` are of all versions so far."""
         return self.commits().orderBy(F.desc("version")).first()
 
     def latest_version(self) -> int | None:
@@ -68,10 +69,6 @@ class BronzeTable:
         names = commits.select(F.explode("columns").alias("name")).distinct()
         return sorted(row.name for row in names.collect())
 
-    def size(self, after: int | None = None, upto: int | None = None) -> int:
-        """Bytes of landed files behind the versions in ``(after, upto]``."""
-        return between(self.commits(), "version", after, upto).agg(F.sum("bytes")).first()[0] or 0
-
     # -- writing -------------------------------------------------------------------------
 
     def write_version(self, rows: DataFrame, version: int, stream_id: str, files: int = 0, size: int = 0) -> None:
@@ -107,14 +104,16 @@ class BronzeTable:
                 "rows": counted.get["rows"],
                 "columns": columns,
                 "known_columns": [*known, *(name for name in columns if name not in known)],
+                "known_bytes": size + (0 if head is None else head.known_bytes),
             }
         )
 
     # -- reading -------------------------------------------------------------------------
 
-    def schema(self) -> T.StructType:
+    def _schema(self, head: Row | None) -> T.StructType:
         """All raw columns as text. Known from the commits, so no file footer is merged."""
-        text = [T.StructField(name, T.StringType()) for name in self.known_columns()]
+        head = head or self.head()
+        text = [T.StructField(name, T.StringType()) for name in head.known_columns]
         return T.StructType(
             [
                 *text,
@@ -126,16 +125,16 @@ class BronzeTable:
             ]
         )
 
-    def read_upto(self, upto: int) -> DataFrame:
-        """Every row of the versions up to and including ``upto``."""
-        table = self.spark.read.schema(self.schema()).parquet(self.data)
+    def read_upto(self, upto: int, head: Row | None = None) -> DataFrame:
+        """Every row of the versions up to and including ``upto``; ``head`` if it is at hand."""
+        table = self.spark.read.schema(self._schema(head)).parquet(self.data)
         return table.filter(F.col(COMMIT_VERSION) <= upto)
 
-    def read_changes(self, after: int, upto: int) -> DataFrame:
+    def read_changes(self, after: int, upto: int, head: Row | None = None) -> DataFrame:
         """Feed rows of the versions in ``(after, upto]``; only their directories are listed."""
-        window = between(self.commits(), "version", after, upto).select("version").orderBy("version")
-        paths = [f"{self.data}/{COMMIT_VERSION}={row.version}" for row in window.collect()]
-        schema = self.schema()
+        window = between(self.commits(), "version", after, upto).select("version").collect()
+        paths = [f"{self.data}/{COMMIT_VERSION}={version}" for version in sorted(row.version for row in window)]
+        schema = self._schema(head)
         if paths:
             rows = self.spark.read.schema(schema).option("basePath", self.data).parquet(*paths)
         else:

@@ -80,7 +80,7 @@ def session_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterat
 FEW_LISTING_TASKS = {"spark.sql.sources.parallelPartitionDiscovery.parallelism": "256"}
 
 # Up to this size a file is read whole for its first line; a task of its own would cost more.
-SMALL_FILE = 4 << 20
+SMALL_FILE = 16 << 20
 
 _ONE_FILE_PER_TASK = {
     "spark.sql.files.maxPartitionBytes": str(1 << 40),

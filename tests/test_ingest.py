@@ -162,7 +162,7 @@ def test_batches_of_files_are_versions(spark, tmp_path):
     commits = {row.version: row for row in bronze(desk).commits().collect()}
     assert [commits[v].files for v in range(3)] == [2, 2, 1]
     assert [commits[v].rows for v in range(3)] == [2, 2, 1]
-    assert bronze(desk).size() == 5 * len("k,d,m\n0,x,5\n")
+    assert bronze(desk).head().known_bytes == 5 * len("k,d,m\n0,x,5\n")
     assert bronze(desk).latest_version() == 2
     feed = bronze(desk).read_changes(after=0, upto=1)
     assert {(r._commit_version, r._change_type) for r in feed.collect()} == {(1, "insert")}
@@ -259,7 +259,7 @@ def test_table_checks(spark, root):
     assert not table.exists()
     with pytest.raises(ValueError, match="no commits"):
         table.assert_versioned()
-    entry = {"version": 3, "stream_id": "s", "files": 1, "bytes": 1, "rows": 1, "columns": ["k"], "known_columns": ["k"]}
+    entry = {"version": 3, "stream_id": "s", "files": 1, "bytes": 1, "rows": 1, "columns": ["k"], "known_columns": ["k"], "known_bytes": 1}
     table.log.append(entry)
     assert table.latest_version() == 3
     with pytest.raises(ValueError, match="rows of version 3"):
