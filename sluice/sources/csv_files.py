@@ -90,31 +90,43 @@ _ONE_FILE_PER_TASK = {
 
 def first_lines(
     spark: SparkSession, files: Sequence[LandedFile], options: Mapping[str, str]
-) -> dict[str, str]:
-    """URI -> first line that is not blank, for the files that have one."""
+) -> dict[str, bytes]:
+    """URI -> first line that is neither blank nor a comment, for the files that have one.
+
+    As bytes: lines in an encoding other than UTF-8 stay apart.
+    """
     small = [file.path for file in files if file.length <= SMALL_FILE]
     large = [file.path for file in files if file.length > SMALL_FILE]
-    text_options = {name: options[name] for name in ("encoding", "lineSep") if name in options}
+    line_options = {"lineSep": options["lineSep"]} if "lineSep" in options else {}
+    comment = options.get("comment", "").encode()
 
     def lines_of(paths: Sequence[str]) -> DataFrame:
-        text = spark.read.options(**text_options).text([literal_path(path) for path in paths])
-        return text.select(F.col("_metadata.file_path").alias("uri"), "value", "_metadata.file_block_start")
+        text = spark.read.options(**line_options).text([literal_path(path) for path in paths])
+        return text.select(
+            F.col("_metadata.file_path").alias("uri"),
+            F.col("value").cast("binary").alias("line"),
+            F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"),
+        )
+
+    def counts(line: bytes) -> bool:
+        return max(line, default=0) > 32 and not (comment and bytes(line).startswith(comment))
 
     found = []
     if small:
-        place = F.struct("file_block_start", F.monotonically_increasing_id())
-        lines = lines_of(small).withColumn("place", place).filter(F.col("value").rlike("[^\\x00-\\x20]"))
-        found += lines.groupBy("uri").agg(F.min_by("value", "place")).collect()
+        lines = lines_of(small).filter(F.col("line").cast("string").rlike("[^\\x00-\\x20]"))
+        if comment:
+            lines = lines.filter(~F.startswith("line", F.lit(comment)))
+        found += lines.groupBy("uri").agg(F.min_by("line", "place")).collect()
     if large:
         # One task per file, which stops after that line. No DataFrame operator ends one
         # partition early without ending the others, hence the partition iterator.
         with session_settings(spark, _ONE_FILE_PER_TASK):
             found += (
                 lines_of(large)
-                .rdd.mapPartitions(lambda rows: islice((row[:2] for row in rows if max(row[1], default="") > " "), 1))
+                .rdd.mapPartitions(lambda rows: islice((row[:2] for row in rows if counts(row[1])), 1))
                 .collect()
             )
-    return {uri: line for uri, line in found}
+    return {uri: bytes(line) for uri, line in found}
 
 
 def header_groups(
@@ -126,12 +138,13 @@ def header_groups(
     column names, so quoting, blank and repeated cells follow its rules.
     """
     line_of = first_lines(spark, files, options)
-    by_header: dict[tuple[str, str], list[str]] = {}
+    quote = (options.get("quote") or '"').encode()
+    by_header: dict[tuple[bytes, str], list[str]] = {}
     for file in sorted(files, key=lambda file: file.uri):
         if file.uri in line_of:
             line = line_of[file.uri]
             # A quoted cell that runs on to the next line: this header is known from its file only.
-            runs_on = line.count(options.get("quote") or '"') % 2 == 1
+            runs_on = line.count(quote) % 2 == 1
             by_header.setdefault((line, file.uri if runs_on else ""), []).append(file.path)
     groups = []
     for paths in by_header.values():

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import gzip
 from collections import Counter
+from dataclasses import replace
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -144,6 +145,26 @@ def test_csv_options(spark, tmp_path):
     assert raw(desk, "k", "d", "m") == Counter([("1", "two\nlines", "5"), ("2", "x", "6")])
 
 
+@pytest.mark.parametrize("small", [1 << 20, 1])
+def test_comments_before_the_header(spark, tmp_path, monkeypatch, small):
+    monkeypatch.setattr("sluice.sources.csv_files.SMALL_FILE", small)
+    desk = Desk(spark, tmp_path, KDM, csv_options={"comment": "#"})
+    desk.put("a.csv", "# made today\n\nk,d,m\n1,x,5\n")
+    desk.put("b.csv", "# made today\nm,k,d\n6,2,y\n")
+    desk.take_up()
+    assert raw(desk, "k", "d", "m") == Counter([("1", "x", "5"), ("2", "y", "6")])
+
+
+@pytest.mark.parametrize("small", [1 << 20, 1])
+def test_headers_in_another_encoding(spark, tmp_path, monkeypatch, small):
+    monkeypatch.setattr("sluice.sources.csv_files.SMALL_FILE", small)
+    desk = Desk(spark, tmp_path, KDM, csv_options={"encoding": "ISO-8859-1"})
+    (desk.landing / "a.csv").write_bytes("é,è\n1,ü\n".encode("latin-1"))
+    (desk.landing / "b.csv").write_bytes("è,é\nö,2\n".encode("latin-1"))
+    desk.take_up()
+    assert raw(desk, "é", "è") == Counter([("1", "ü"), ("2", "ö")])
+
+
 def test_headers_that_run_over_lines(spark, tmp_path):
     desk = Desk(spark, tmp_path, KDM, csv_options={"multiLine": "true"})
     desk.put("a.csv", '"k\n1",d\n1,x\n')
@@ -253,6 +274,14 @@ def test_a_failing_dataset_leaves_the_others_alone(spark, tmp_path):
     assert [status.state for status in statuses] == ["failed", "loaded"]
 
 
+def test_a_landing_directory_that_is_not_there(spark, tmp_path):
+    desk = Desk(spark, tmp_path, KDM)
+    elsewhere = replace(desk.dataset, name="nowhere")
+    (status,) = run_bronze(spark, [elsewhere], desk.layout)
+    assert status.state == "failed"
+    assert "PATH_NOT_FOUND" in status.detail
+
+
 def test_table_checks(spark, root):
     table = BronzeTable(spark, f"{root}/nothing")
     assert table.latest_version() is None
