@@ -225,6 +225,7 @@ def orders_in_versions(spark: SparkSession, sf_dir: str) -> BronzeTable:
             {
                 "o_totalprice": price,
                 "_source_file": F.lit(f"orders{version}.csv"),
+                "_file_no": F.lit(0),
                 "_block_start": F.lit(0).cast("long"),
                 "_row_id": F.monotonically_increasing_id(),
             }

@@ -18,7 +18,7 @@ from sluice.operators.reports import load_summary
 from sluice.plans.contract import check_evolution
 from sluice.plans.registry import Dataset, Layout
 from sluice.sources.bronze import BronzeTable
-from sluice.sources.csv_files import FEW_LISTING_TASKS, POSITION, session_settings
+from sluice.sources.csv_files import FEW_LISTING_TASKS, POSITION, ROW_ORDER, session_settings
 from sluice.sources.silver import SilverTable
 from sluice.streaming.ingest import start_ingest
 
@@ -31,7 +31,7 @@ SKIPPED = "skipped"
 FAILED = "failed"
 
 # Later versions win; within one, later files by name, and later lines within a file.
-ARRIVAL = (COMMIT_VERSION, *POSITION)
+ARRIVAL = (COMMIT_VERSION, *ROW_ORDER)
 
 
 class DuplicateKeyError(ValueError):

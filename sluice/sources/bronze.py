@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.operators.changes import CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, FEED_COLUMNS, INSERT
-from sluice.sources.csv_files import BLOCK_START, POSITION, ROW_ID, SOURCE_FILE
+from sluice.sources.csv_files import BLOCK_START, FILE_NO, POSITION, ROW_ID, SOURCE_FILE
 from sluice.sources.log import Log, path_exists
 
 RESERVED = frozenset([*FEED_COLUMNS, *POSITION])
@@ -118,6 +118,7 @@ class BronzeTable:
             [
                 *text,
                 T.StructField(SOURCE_FILE, T.StringType()),
+                T.StructField(FILE_NO, T.IntegerType()),
                 T.StructField(BLOCK_START, T.LongType()),
                 T.StructField(ROW_ID, T.LongType()),
                 T.StructField(COMMIT_TIMESTAMP, T.TimestampType()),

@@ -6,6 +6,7 @@ each group is read with its own header, and the groups are combined by name.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
@@ -19,11 +20,15 @@ from pyspark.sql import types as T
 
 from sluice.functions.columns import quoted, quoted_all
 
-# Where a row came from: the file, its split, and a number that grows within the split.
+# Where a row came from: the file, its number by name among those of the micro-batch, its
+# split, and a number that grows within the split. The last three are the order of the rows;
+# they are short, so a shuffle can carry them.
 SOURCE_FILE = "_source_file"
+FILE_NO = "_file_no"
 BLOCK_START = "_block_start"
 ROW_ID = "_row_id"
-POSITION = (SOURCE_FILE, BLOCK_START, ROW_ID)
+ROW_ORDER = (FILE_NO, BLOCK_START, ROW_ID)
+POSITION = (SOURCE_FILE, *ROW_ORDER)
 
 LISTING = "path string, modificationTime timestamp, length long, content binary"
 
@@ -171,8 +176,18 @@ def fold_names(known: Sequence[str], columns: Sequence[str]) -> list[str]:
     return out
 
 
+def numbered(spark: SparkSession, files: Sequence[LandedFile]) -> DataFrame:
+    """(uri, number) of the files in order of their names."""
+    uris = F.from_json(F.lit(json.dumps(sorted(file.uri for file in files))), "array<string>")
+    return spark.range(0, 1, 1, 1).select(F.posexplode(uris).alias(FILE_NO, SOURCE_FILE))
+
+
 def read_by_name(
-    spark: SparkSession, groups: Sequence[HeaderGroup], known: Sequence[str], options: Mapping[str, str]
+    spark: SparkSession,
+    files: Sequence[LandedFile],
+    groups: Sequence[HeaderGroup],
+    known: Sequence[str],
+    options: Mapping[str, str],
 ) -> DataFrame:
     """All rows of the groups as text, columns matched by name, plus where each row came from."""
     names = list(known)
@@ -196,5 +211,9 @@ def read_by_name(
             )
         )
     union = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
-    present = set(union.columns)
-    return union.select(*[quoted(name) for name in names if name in present], *POSITION)
+    # As many rows as the micro-batch has files, which the driver holds anyway.
+    rows = union.join(F.broadcast(numbered(spark, files)), SOURCE_FILE, "left")
+    unknown = F.raise_error(F.concat(F.lit("a row of a file that was not listed: "), SOURCE_FILE)).cast("int")
+    rows = rows.withColumn(FILE_NO, F.coalesce(FILE_NO, unknown))
+    present = set(rows.columns)
+    return rows.select(*[quoted(name) for name in names if name in present], *POSITION)

@@ -16,6 +16,9 @@ from tests.helpers import MEMBERS, Desk, rows
 KDM = Contract((Field("k", "string", is_primary_key=True), Field("d", "string"), Field("m", "string")))
 
 
+LINE = "k string, _source_file string, _file_no int, _block_start long, _row_id long"
+
+
 def raw(desk, *names):
     return rows(read_raw(desk.spark, desk.dataset, desk.layout).select(*names))
 
@@ -199,13 +202,13 @@ def test_rows_know_their_place_in_the_file(spark, tmp_path, settings):
     desk.take_up()
     table = bronze(desk).read_upto(0)
     assert table.select("_block_start").distinct().count() > 5
-    order = [int(r.k) for r in table.orderBy("_source_file", "_block_start", "_row_id").collect()]
+    order = [int(r.k) for r in table.orderBy("_file_no", "_block_start", "_row_id").collect()]
     assert order == list(range(3000))
 
 
 def test_a_replayed_version_leaves_one_copy(spark, root):
     table = BronzeTable(spark, f"{root}/t")
-    line = spark.createDataFrame([("1", "f", 0, 0)], "k string, _source_file string, _block_start long, _row_id long")
+    line = spark.createDataFrame([("1", "f", 0, 0, 0)], LINE)
     # Written but not committed: the commit failed.
     line.withColumn("_commit_timestamp", F.current_timestamp()).write.parquet(f"{table.data}/_commit_version=0")
     assert not table.exists()
