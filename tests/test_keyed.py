@@ -132,7 +132,8 @@ def test_changes_replayed_give_the_later_table(spark, before, after):
 
 def test_change_filter(spark):
     types = ["insert", "update_preimage", "update_postimage", "delete"]
-    feed = spark.createDataFrame([(i, t, 1, 1) for i, t in enumerate(types)], "v int, _change_type string, _commit_version int, _own int")
+    schema = "v int, _change_type string, _commit_version int, _own int"
+    feed = spark.createDataFrame([(i, t, 1, 1) for i, t in enumerate(types)], schema)
     assert [r.v for r in keep_changes(feed).orderBy("v").collect()] == [0, 2]
     assert [r.v for r in keep_changes(feed, TAKEN_UP_COMPAT).collect()] == [0]
     assert drop_feed_columns(feed).columns == ["v", "_own"]

@@ -132,7 +132,8 @@ def test_duplicates_as_an_error(spark, tmp_path):
 
 
 def test_null_keys_are_added_by_each_load(spark, tmp_path):
-    contract = Contract((Field("k", "integer", is_primary_key=True), Field("c", "string", is_primary_key=True), Field("v", "integer")))
+    keys = (Field("k", "integer", is_primary_key=True), Field("c", "string", is_primary_key=True))
+    contract = Contract((*keys, Field("v", "integer")))
     desk = Desk(spark, tmp_path, contract)
     desk.put("a.csv", "k,c,v\nbad,x,1\nbad,x,1\n1,,2\n1,x,3\n")
     desk.run()
@@ -247,7 +248,8 @@ def test_many_datasets_summary_and_views(spark, tmp_path):
     raise_failures(run_bronze(spark, datasets, members.layout))
     raise_failures(run_silver(spark, datasets, members.layout))
     assert rows(summarize(spark, datasets, members.layout)) == Counter([("members", 2), ("results", 3)])
-    assert register_views(spark, datasets, members.layout, namespace="typed_tables") == ["members_silver", "results_silver"]
+    views = register_views(spark, datasets, members.layout, namespace="typed_tables")
+    assert views == ["members_silver", "results_silver"]
     assert spark.catalog.databaseExists("typed_tables")
     # The scores of a member add up to the member's points.
     wrong = spark.sql(
@@ -315,7 +317,9 @@ def test_compaction_and_both_join_strategies_agree(spark, tmp_path, monkeypatch,
         expected |= lines
         desk.put(f"f{wave}.csv", "k,v,w\n" + "".join(f"{k},{v},{w}\n" for k, (v, w) in lines.items()) + ",1,loose\n")
         desk.take_up()
-        monkeypatch.setattr("sluice.plans.pipeline.SilverTable", lambda spark, root: SilverTable(spark, root, compact_every=2))
+        monkeypatch.setattr(
+            "sluice.plans.pipeline.SilverTable", lambda spark, root: SilverTable(spark, root, compact_every=2)
+        )
         desk.load()
         monkeypatch.undo()
         monkeypatch.setattr("sluice.sources.silver.BUCKET_BYTES", 200)
