@@ -2,8 +2,10 @@
 
 The ids of a text are those of `Tokenizer.encode(text, add_special_tokens=False)`, with the
 strings of special tokens taken as ordinary text. For byte-level BPE files without a normaliser
-a text is the sum of its parts at single spaces, so the ids of each distinct part are kept in a
-table of bounded size per Python worker; other files encode each text as it stands.
+a text is the sum of its parts at single spaces: the library encodes every distinct part once,
+and its ids are kept in a table of bounded size per Python worker, found by a 64-bit hash of the
+part. Two of a worker's parts share a hash with a probability of about one in ten million. Other
+files encode each text as it stands.
 """
 
 from __future__ import annotations
@@ -13,12 +15,14 @@ import os
 
 import numpy as np
 
-#: Distinct parts kept per worker. When full, the table starts anew.
-PARTS = 700_000
-#: Signs that end many words; a byte-level pattern always parts them from the letters before.
-ENDINGS = ".,!?;:%$#*&|"
-#: Characters given to the library at once.
-BLOCK = 2_000_000
+from sluice.llm.hashing import BYTES, running, stretches
+
+#: Distinct parts kept per worker. When there are more, the table starts anew.
+PARTS = 2_000_000
+#: Bytes handled at once.
+BLOCK = 1_000_000
+#: Set apart the parts at the start of a text, which have no space before them.
+_HEAD = np.uint64(0x5851F42D4C957F2D)
 
 _encoders: dict[str, Encoder] = {}
 
@@ -30,6 +34,71 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+class Table:
+    """Runs of ids by 64-bit keys: open addressing in numpy arrays."""
+
+    def __init__(self, dtype: np.dtype) -> None:
+        self.dtype = dtype
+        self.clear()
+
+    def clear(self) -> None:
+        self.bits, self.n, self.used = 16, 0, 0
+        self.keys = np.zeros(1 << self.bits, np.uint64)
+        self.at = np.zeros(1 << self.bits, np.int32)
+        self.count = np.zeros(1 << self.bits, np.int32)
+        self.ids = np.zeros(1 << 18, self.dtype)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The slot of each key, -1 if it is not there."""
+        out = np.full(len(keys), -1, np.int64)
+        mask = len(self.keys) - 1
+        slots = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+        which = np.arange(len(keys))
+        while len(which):
+            there = self.keys[slots]
+            wanted = keys[which]
+            hit = there == wanted
+            out[which[hit]] = slots[hit]
+            on = np.flatnonzero(~hit & (there != 0))
+            which, slots = which[on], slots[on] + 1 & mask
+        return out
+
+    def put(self, keys: np.ndarray, runs: list[bytes], counts: np.ndarray) -> None:
+        """New, distinct keys. A count of -1 stands for a part that has no ids of its own."""
+        while 2 * (self.n + len(keys)) > len(self.keys):
+            self._grow()
+        raw = np.frombuffer(b"".join(runs), self.dtype)
+        if self.used + len(raw) > len(self.ids):
+            more = max(len(self.ids), len(raw))
+            self.ids = np.concatenate([self.ids, np.zeros(more, self.dtype)])
+        self.ids[self.used : self.used + len(raw)] = raw
+        sizes = np.maximum(counts, 0)
+        self._place(keys, self.used + np.cumsum(sizes) - sizes, counts)
+        self.used += len(raw)
+        self.n += len(keys)
+
+    def _place(self, keys: np.ndarray, at: np.ndarray, counts: np.ndarray) -> None:
+        mask = len(self.keys) - 1
+        slots = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+        which = np.arange(len(keys))
+        while len(which):
+            free = np.flatnonzero(self.keys[slots] == 0)
+            self.keys[slots[free]] = keys[which[free]]  # of several for one slot, one stays
+            won = self.keys[slots] == keys[which]
+            mine, here = which[won], slots[won]
+            self.at[here], self.count[here] = at[mine], counts[mine]
+            which, slots = which[~won], slots[~won] + 1 & mask
+
+    def _grow(self) -> None:
+        full = np.flatnonzero(self.keys)
+        keys, at, count = self.keys[full], self.at[full], self.count[full]
+        self.bits += 1
+        self.keys = np.zeros(1 << self.bits, np.uint64)
+        self.at = np.zeros(1 << self.bits, np.int32)
+        self.count = np.zeros(1 << self.bits, np.int32)
+        self._place(keys, at, count)
+
+
 class Encoder:
     def __init__(self, path: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -45,9 +114,7 @@ class Encoder:
         self.first = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.first[i] = token.startswith("Ġ")
-        self.parts: dict[str, bytes | None] = {}
-        self.heads: dict[str, bytes] = {}
-        self.endings: dict[str, bytes] = {}
+        self.table = Table(self.dtype)
 
     def _splits_at_spaces(self, path: str) -> bool:
         with open(path, encoding="utf-8") as file:
@@ -74,90 +141,100 @@ class Encoder:
     def many(self, texts: list[str | None]) -> list[bytes]:
         if not self.by_parts:
             return [self.whole(text) if text else b"" for text in texts]
-        out: list[bytes] = []
-        waiting: list[str | None] = []
+        out: list[list[bytes]] = [[] for _ in texts]
+        waiting: list[tuple[int, bytes, bool]] = []
         held = 0
-        for text in texts:
-            waiting.append(text)
-            held += len(text or "")
-            if held >= BLOCK:
-                out += self._block(waiting)
-                waiting, held = [], 0
-        return out + self._block(waiting)
-
-    def _block(self, texts: list[str | None]) -> list[bytes]:
-        get = self.parts.get
-        split: list[tuple[str, str, list[str], list[bytes | None]]] = []
-        missing: dict[str, None] = {}
-        for text in texts:
-            words = text.split(" ") if text else [""]
-            head = words.pop(0)  # has no space before it
-            found = list(map(get, words))
-            if None in found:
-                missing.update(dict.fromkeys([w for w, f in zip(words, found) if f is None]))
-            split.append((text or "", head, words, found))
-        if missing:
-            self._learn([w for w in missing if w not in self.parts])
-        out = []
-        for text, head, words, found in split:
-            if None in found:
-                found = list(map(get, words))
-            if None in found or words and (not head or head[-1].isspace()):
-                out.append(self.whole(text))
+        for i, text in enumerate(texts):
+            for piece, is_head in _pieces((text or "").encode()):
+                waiting.append((i, piece, is_head))
+                held += len(piece)
+                if held >= BLOCK:
+                    self._block(waiting, out)
+                    waiting, held = [], 0
+        if waiting:
+            self._block(waiting, out)
+        return [runs[0] if len(runs) == 1 else b"".join(runs) for runs in out]
+
+    def _block(self, pieces: list[tuple[int, bytes, bool]], out: list[list[bytes]]) -> None:
+        data = np.frombuffer(b" ".join([piece for _, piece, _ in pieces]) + b" ", np.uint8)
+        ends = np.flatnonzero(data == 32)
+        starts = np.concatenate([[0], ends[:-1] + 1])
+        keys = stretches(running(data, BYTES), starts, ends)
+        begin = np.cumsum([0] + [len(piece) + 1 for _, piece, _ in pieces])
+        first = np.searchsorted(starts, begin[:-1])
+        heads = first[[is_head for _, _, is_head in pieces]]
+        keys[heads] ^= _HEAD
+        keys[keys == 0] = 1
+        slots = self.table.find(keys)
+        missing = np.flatnonzero(slots < 0)
+        if len(missing):
+            self._learn(data, starts, ends, keys, missing, heads)
+            slots[missing] = self.table.find(keys[missing])
+        counts = self.table.count[slots]
+        unsafe = np.logical_or.reduceat(counts < 0, first)
+        sizes = np.maximum(counts, 0)
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        places = np.repeat(self.table.at[slots] - total[:-1], sizes) + np.arange(total[-1])
+        raw = self.table.ids[places].tobytes()
+        cuts = (total[np.append(first, len(starts))] * self.width).tolist()
+        for j, (i, piece, is_head) in enumerate(pieces):
+            if unsafe[j]:
+                text = piece.decode()
+                out[i].append(self.whole(text if is_head else " " + text) if text or not is_head else b"")
             else:
-                first = self.heads.get(head)
-                if first is None:
-                    first = self.whole(head)
-                    if len(head) < 100:
-                        self.heads[head] = first
-                out.append(first + b"".join(found))
-        for table in (self.parts, self.heads, self.endings):
-            if len(table) > PARTS:
-                table.clear()
-        return out
-
-    def _learn(self, words: list[str]) -> None:
-        """Ids of ' word' for each word; None for words that touch other white space."""
-        plain: dict[str, None] = {}
-        ended: list[tuple[str, str]] = []
-        for word in words:
-            stem = word.rstrip(ENDINGS)
-            if stem is not word and stem.isalpha():
-                ended.append((word, stem))
-                if stem not in self.parts:
-                    plain[stem] = None
-            elif not word or word[0].isspace() or word[-1].isspace():
-                self.parts[word] = None
-            else:
-                plain[word] = None
-        self._encode(list(plain))
-        for word, stem in ended:
-            ending = word[len(stem) :]
-            if ending not in self.endings:
-                self.endings[ending] = self.whole(ending)
-            self.parts[word] = self.parts[stem] + self.endings[ending]
-
-    def _encode(self, words: list[str]) -> None:
+                out[i].append(raw[cuts[j] : cuts[j + 1]])
+        if self.table.n > PARTS:
+            self.table.clear()
+
+    def _learn(self, data, starts, ends, keys, missing, heads) -> None:
+        new, at = np.unique(keys[missing], return_index=True)
+        at = missing[at]
+        is_head = np.zeros(len(starts), bool)
+        is_head[heads] = True
+        raw = data.tobytes()
+        words = [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist())]
+        runs: list[bytes | None] = [None] * len(words)
+        plain = []
+        for j, (word, head) in enumerate(zip(words, is_head[at].tolist())):
+            if head:
+                # the empty text has no ids; a head that ends in white space may join what follows
+                if not word or not word[-1].isspace():
+                    runs[j] = self.whole(word) if word else b""
+            elif word and not word[0].isspace() and not word[-1].isspace():
+                plain.append(j)
+        for j, run in zip(plain, self._encode([words[j] for j in plain])):
+            runs[j] = run
+        counts = np.array([-1 if run is None else len(run) // self.width for run in runs], np.int32)
+        self.table.put(new, [run or b"" for run in runs], counts)
+
+    def _encode(self, words: list[str]) -> list[bytes]:
         """Ids of ' word' for words that touch no white space.
 
         Put together with single spaces they are encoded as one text: only the first token of
         each word starts with the sign of the space.
         """
-        start = 0
-        while start < len(words):
-            stop, size = start, 0
-            while stop < len(words) and size < BLOCK:
-                size += len(words[stop]) + 1
-                stop += 1
-            some = words[start:stop]
-            encoded = self.tokenizer.encode_batch_fast([" " + " ".join(some)], add_special_tokens=False)[0]
-            ids = np.array(encoded.ids, self.dtype)
-            at = np.flatnonzero(self.first[ids])
-            if len(at) != len(some) or (len(at) and at[0]):
-                for word in some:
-                    self.parts[word] = self.whole(" " + word)
-            else:
-                raw, starts = ids.tobytes(), (at * self.width).tolist()
-                ends = [*starts[1:], len(raw)]
-                self.parts.update(zip(some, [raw[a:b] for a, b in zip(starts, ends)]))
-            start = stop
+        if not words:
+            return []
+        encoded = self.tokenizer.encode_batch_fast([" " + " ".join(words)], add_special_tokens=False)[0]
+        ids = np.array(encoded.ids, self.dtype)
+        at = np.flatnonzero(self.first[ids])
+        if len(at) != len(words) or at[0]:
+            return [self.whole(" " + word) for word in words]
+        raw, starts = ids.tobytes(), (at * self.width).tolist()
+        return [raw[a:b] for a, b in zip(starts, [*starts[1:], len(raw)])]
+
+
+def _pieces(data: bytes) -> list[tuple[bytes, bool]]:
+    """A long text cut at spaces between words, each cut space left out; and which piece is first."""
+    if len(data) <= 2 * BLOCK:
+        return [(data, True)]
+    out, start = [], 0
+    while len(data) - start > 2 * BLOCK:
+        cut = data.find(b" ", start + BLOCK)
+        while cut >= 0 and not (33 <= data[cut - 1] < 127 and cut + 1 < len(data) and 33 <= data[cut + 1] < 127):
+            cut = data.find(b" ", cut + 1)
+        if cut < 0:
+            break
+        out.append((data[start:cut], start == 0))
+        start = cut + 1
+    return [*out, (data[start:], start == 0)]
