@@ -55,15 +55,18 @@ class Languages:
     """Dictionaries by language; compressors are made once per process."""
 
     dictionaries: dict[str, bytes]
+    #: Search for matches less thoroughly, in half the time.
+    fast: bool = False
     _ready: list | None = field(default=None, repr=False)
 
     def __getstate__(self) -> dict:
-        return {"dictionaries": self.dictionaries, "_ready": None}
+        return {"dictionaries": self.dictionaries, "fast": self.fast, "_ready": None}
 
     def _compressors(self) -> list:
         if self._ready is None:
             import zstandard
 
+            strategy = zstandard.STRATEGY_LAZY if self.fast else zstandard.STRATEGY_BTOPT
             self._ready = []
             for name in sorted(self.dictionaries):
                 content = b" " + self.dictionaries[name] + b" " + CARRIER
@@ -73,7 +76,7 @@ class Languages:
                         3,
                         source_size=BLOCK,
                         dict_size=DICTIONARY,
-                        strategy=zstandard.STRATEGY_BTOPT,
+                        strategy=strategy,
                         min_match=3,
                         write_content_size=False,
                         write_dict_id=False,
@@ -108,6 +111,7 @@ def learn(
     text_col: str = "text",
     lang_col: str = "lang",
     rows: int = ROWS,
+    fast: bool = False,
 ) -> Languages:
     """Dictionaries from at most `rows` rows per language, chosen by a hash of the id.
 
@@ -135,7 +139,7 @@ def learn(
     share = {name: b" ".join(p for p in parts if p)[:DICTIONARY] for name, parts in gathered.items()}
     # equal sizes, so that no language gains by a longer dictionary
     kept = {name: content for name, content in share.items() if len(content) >= 8}
-    return Languages(kept)
+    return Languages(kept, fast)
 
 
 def identify(docs: DataFrame, languages: Languages, text_col: str = "text", margin: float = MARGIN) -> DataFrame:

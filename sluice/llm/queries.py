@@ -8,13 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.llm import langid, toxicity
 from sluice.llm.common import scratch
 from sluice.llm.dedup import exact_duplicates
+from sluice.llm.main_text import extract
 from sluice.llm.mixing import mix
 from sluice.llm.packing import pack
+from sluice.llm.pii import pseudonymise
 from sluice.llm.token_files import read_token_files, write_token_files
+from sluice.llm.topk import top_k
 
 TOKENIZER = "byte_bpe_50k.json"
+#: Key of the surrogates in the query; a real run takes a secret one.
+DEMO_KEY = b"not a secret: key of the demonstration"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +31,13 @@ def tokenizer() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = toxicity.fold(F.col("doc_id"), 4) == 2
+    found = langid.identify(docs, langid.learn(docs, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = pack(table(spark, sf_dir, "documents"), tokenizer(), end_id=0, size=1024)
     return pieces.select(
@@ -32,6 +45,29 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = pseudonymise(table(spark, sf_dir, "documents"), DEMO_KEY)
+    return done.select("doc_id", "text", "n_entities")
+
+
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = toxicity.fold(F.col("doc_id"), 3) == 1
+    languages = langid.learn(docs, ~held_out, fast=True)
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
+    labelled = docs.filter(~held_out).join(labels, "doc_id")
+    scored = toxicity.classify(docs, toxicity.train(labelled, languages))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     files = write_token_files(docs, scratch(spark, "token-files"), tokenizer(), end_id=2)
@@ -48,7 +84,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
+    "op3_main_text": op3_main_text,
+    "op5_pii": op5_pii,
+    "op6_topk": op6_topk,
+    "op7_toxicity": op7_toxicity,
     "op8_token_files": op8_token_files,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mixing": op10_mixing,

@@ -55,4 +55,19 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """
 
-SQL: dict[str, str] = {"op9_exact_dedup": OP9, "op10_mixing": OP10}
+OP6 = r"""
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS ints
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.ints, c.ints)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, rank, vec_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s
+) r WHERE rank <= 10
+"""
+
+SQL: dict[str, str] = {"op6_topk": OP6, "op9_exact_dedup": OP9, "op10_mixing": OP10}

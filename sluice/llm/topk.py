@@ -20,7 +20,6 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from sluice.llm.common import quoted, ship, written
 
@@ -100,20 +99,20 @@ def _vector_block(number: int, ids: list[np.ndarray], parts: list[np.ndarray]) -
         "ids": np.concatenate(ids).astype("<i8").tobytes(),
         "ints": ints.astype("<i8").tobytes(),
     }
-    return _one(row, _VECTORS)
+    return _one(row)
 
 
-def _one(row: dict, fields: str) -> pa.RecordBatch:
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    return pa.RecordBatch.from_pylist([row], to_arrow_schema(T._parse_datatype_string(fields)))
+def _one(row: dict) -> pa.RecordBatch:
+    kinds = {"block": pa.int64(), "n": pa.int32(), "dims": pa.int32(), "shift": pa.int32()}
+    schema = pa.schema([(name, kinds.get(name, pa.binary())) for name in row])
+    return pa.RecordBatch.from_pylist([row], schema)
 
 
 def _sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in batch.to_pylist():
             ints = np.frombuffer(row["ints"], "<i8").reshape(row["n"], row["dims"])
-            yield _one(row | slices(ints), _BLOCK)
+            yield _one(row | slices(ints))
 
 
 def slices(ints: np.ndarray) -> dict:
