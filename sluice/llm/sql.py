@@ -57,10 +57,10 @@ FROM p
 
 OP6 = r"""
 WITH v AS (
-    SELECT vec_id, list_transform(embedding, x -> floor(1024 * x::DOUBLE)) AS ints
+    SELECT vec_id, [floor(1024 * x::DOUBLE) for x in embedding] AS ints
     FROM embeddings
     WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-      AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+      AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
 ), s AS (
     SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.ints, c.ints)::BIGINT AS score
     FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id

@@ -249,7 +249,7 @@ def top_k(
         F.col("dims").alias("q_dims"),
         F.col("ids").alias("q_ids"),
         F.col("ints").alias("q_ints"),
-        F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).cast("long").alias("part"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"),
     )
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
