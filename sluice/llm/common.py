@@ -61,3 +61,20 @@ def ship(spark: SparkSession) -> None:
     context.addPyFile(archive)
     sys.path[:] = known  # the driver keeps using the library it has
     context._sluice_shipped = True
+
+
+#: Rows of (id, hash) that are sent to every task, at most.
+BROADCAST_ROWS = 500_000
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows of `docs` but those whose id and hash of text are in `gone` (doc, content).
+
+    `gone` is sent to every task if it has few rows, else both sides are shuffled by their ids.
+    """
+    few = gone.count() <= BROADCAST_ROWS
+    text = F.xxhash64(quoted(text_col).cast("string"))
+    named = gone.select(F.struct(F.col("doc").alias("id"), F.col("content").alias("text")).alias("gone"))
+    rows = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"), quoted(id_col).alias("id"), text.alias("text"))
+    same = F.col("id").eqNullSafe(F.col("gone.id")) & (F.col("text") == F.col("gone.text"))
+    return rows.join(F.broadcast(named) if few else named, same, "left_anti").select("row.*")

@@ -14,10 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import SPACES, quoted, written
-
-#: Hashes that are sent to every task, at most; beyond it the texts are shuffled to them.
-BROADCAST_ROWS = 500_000
+from sluice.llm.common import BROADCAST_ROWS, SPACES, quoted, without, written
 
 
 def normalised(text: Column) -> Column:
@@ -41,15 +38,41 @@ def exact_duplicates(
     Texts are equal when identical after deleting white space; null counts as empty, so empty and
     blank texts are one group. Of a group the row with the most code points in the original text,
     then the smallest id, stays; a null id comes after all others. `group_size` counts rows.
-    Repeated rows with the same id and size as the kept one are that same document and are all
+    Rows repeated with the same id and size as the kept one are that same document and are all
     marked kept. An empty table gives no rows; other columns are left out. `hash_of` maps the
     normalised text to the grouping hash.
     """
+    return _marked(docs, id_col, text_col, hash_of).select(
+        F.col("doc").alias(id_col), "keep_id", "group_size", "kept", "text_sha256"
+    )
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of `docs`, with all their columns, that `exact_duplicates` keeps.
+
+    Of rows repeated with one id and text, one stays.
+    """
+    marked = written(_marked(docs, id_col, text_col, content_hash).select("doc", "content", "kept"), "marked")
+    unique = without(docs, marked.filter("not kept").select("doc", "content").distinct(), id_col, text_col)
+    repeated = marked.filter("kept").groupBy("doc", "content").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    if repeated.isEmpty():
+        return unique
+    repeated = written(repeated.select("doc", "content"), "repeated")
+    text = F.xxhash64(quoted(text_col).cast("string"))
+    key = F.struct(quoted(id_col).alias("id"), text.alias("text"))
+    rows = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"), key.alias("key"))
+    same = F.col("key.id").eqNullSafe(F.col("doc")) & (F.col("key.text") == F.col("content"))
+    one = rows.join(repeated, same, "left_semi").groupBy("key").agg(F.first("row").alias("row")).select("row.*")
+    return without(unique, repeated, id_col, text_col).unionByName(one)
+
+
+def _marked(docs: DataFrame, id_col: str, text_col: str, hash_of) -> DataFrame:
     rows = docs.select(quoted(id_col).alias("doc"), quoted(text_col).cast("string").alias("text"))
     content = normalised(F.col("text"))
     hashed = written(
         rows.select(
             "doc",
+            F.xxhash64("text").alias("content"),
             hash_of(content).alias("hash"),
             F.sha2(content.cast("binary"), 256).alias("sha"),
             F.coalesce(F.char_length("text"), F.lit(0)).cast("long").alias("points"),
@@ -78,7 +101,8 @@ def exact_duplicates(
     keep = F.when(alone, F.col("doc")).otherwise(F.col("best.doc"))
     is_best = F.col("doc").eqNullSafe(F.col("best.doc")) & (F.col("points") == -F.col("best.fewer"))
     return joined.select(
-        F.col("doc").alias(id_col),
+        "doc",
+        "content",
         keep.alias("keep_id"),
         F.coalesce("size", F.lit(1)).cast("long").alias("group_size"),
         (alone | is_best).alias("kept"),

@@ -142,13 +142,8 @@ def learn(
     return Languages(kept, fast)
 
 
-def identify(docs: DataFrame, languages: Languages, text_col: str = "text", margin: float = MARGIN) -> DataFrame:
-    """All columns of `docs` and `lang_pred`, `score` (0 to 1), `margin` and `rejected`.
-
-    A null text, one without a letter, or any text if no language was learned, is `und` with
-    score 0, and rejected. Columns of `docs` with these names are replaced. An empty table gives
-    no rows.
-    """
+def _guessed(docs: DataFrame, languages: Languages, text_col: str) -> DataFrame:
+    """Rows as `row`, with `guess`."""
     ship(docs.sparkSession)
     kind = T.StructType(
         [
@@ -168,7 +163,26 @@ def identify(docs: DataFrame, languages: Languages, text_col: str = "text", marg
                 ["lang_pred", "score", "margin"],
             )
 
-    own = [quoted(c) for c in docs.columns if c not in ("lang_pred", "score", "margin", "rejected")]
-    found = docs.select(F.struct(*own).alias("row"), guess(quoted(text_col).cast("string")).alias("guess"))
-    unsure = (F.col("guess.margin") < margin) | (F.col("guess.lang_pred") == UNKNOWN)
-    return found.select("row.*", "guess.*", unsure.alias("rejected"))
+    own = [quoted(c) for c in docs.columns]
+    return docs.select(F.struct(*own).alias("row"), guess(quoted(text_col).cast("string")).alias("guess"))
+
+
+def _unsure(margin: float) -> Column:
+    return (F.col("guess.margin") < margin) | (F.col("guess.lang_pred") == UNKNOWN)
+
+
+def identify(docs: DataFrame, languages: Languages, text_col: str = "text", margin: float = MARGIN) -> DataFrame:
+    """All columns of `docs` and `lang_pred`, `score` (0 to 1), `margin` and `rejected`.
+
+    A null text, one without a letter, or any text if no language was learned, is `und` with
+    score 0, and rejected. Columns of `docs` with these names are replaced. An empty table gives
+    no rows.
+    """
+    own = [c for c in docs.columns if c not in ("lang_pred", "score", "margin", "rejected")]
+    columns = [F.col("row").getField(c).alias(c) for c in own]
+    return _guessed(docs, languages, text_col).select(*columns, "guess.*", _unsure(margin).alias("rejected"))
+
+
+def accepted(docs: DataFrame, languages: Languages, text_col: str = "text", margin: float = MARGIN) -> DataFrame:
+    """The rows of `docs`, with all their columns, that `identify` does not reject."""
+    return _guessed(docs, languages, text_col).filter(~_unsure(margin)).select("row.*")

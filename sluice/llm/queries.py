@@ -15,6 +15,7 @@ from sluice.llm.main_text import extract
 from sluice.llm.mixing import mix
 from sluice.llm.packing import pack
 from sluice.llm.pii import pseudonymise
+from sluice.llm.similarity import similar_components
 from sluice.llm.token_files import read_token_files, write_token_files
 from sluice.llm.topk import top_k
 
@@ -49,6 +50,10 @@ def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_components(table(spark, sf_dir, "documents"), k=5, percent=75)
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = pseudonymise(table(spark, sf_dir, "documents"), DEMO_KEY)
     return done.select("doc_id", "text", "n_entities")
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
     "op3_main_text": op3_main_text,
+    "op4_ngram_join": op4_ngram_join,
     "op5_pii": op5_pii,
     "op6_topk": op6_topk,
     "op7_toxicity": op7_toxicity,

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import quoted, ship, written
+from sluice.llm.common import quoted, ship, without, written
 from sluice.llm.components import components
 from sluice.llm.hashing import LOWER_BYTES, mixed, running, stretches, words
 from sluice.llm.signature_tree import SignatureTree
@@ -437,11 +437,7 @@ def similar_components(
     words have an empty set and are linked with nothing. Repeated rows are linked with each other.
     An empty table gives no rows; other columns are left out.
     """
-    join = Shingled(docs, id_col, text_col, k, percent)
-    labels = components(join.links(spanning=True)).withColumnRenamed("node", "item")
-    rows = join.described.join(labels, "item", "left").select(
-        "doc", "n", F.coalesce("label", "item").alias("group")
-    )
+    rows = _grouped(docs, id_col, text_col, k, percent)
     least = rows.filter("group IS NOT NULL").groupBy("group").agg(F.min("doc").alias("least"))
     return rows.join(least, "group", "left").select(
         F.col("doc").alias(id_col),
@@ -450,6 +446,31 @@ def similar_components(
     )
 
 
+def _grouped(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int) -> DataFrame:
+    """doc, content, n and group of each row; the group is null for empty sets."""
+    join = Shingled(docs, id_col, text_col, k, percent)
+    labels = components(join.links(spanning=True)).withColumnRenamed("node", "item")
+    return join.described.join(labels, "item", "left").select(
+        "doc", "content", "n", F.coalesce("label", "item").alias("group")
+    )
+
+
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75
+) -> DataFrame:
+    """The rows of `docs`, with all their columns, without the linked copies of the first of a group.
+
+    The row with the least id stays (a null id only if all are null; then the least hash of the
+    text). Rows without words stay. Rows repeated with one id and text stay or go together.
+    """
+    rows = written(_grouped(docs, id_col, text_col, k, percent).filter("group IS NOT NULL"), "grouped")
+    best = F.min(F.struct(F.col("doc").isNull().alias("no_id"), "doc", "content")).alias("best")
+    several = rows.groupBy("group").agg(best, F.count(F.lit(1)).alias("size")).filter("size > 1")
+    stays = F.col("doc").eqNullSafe(F.col("best.doc")) & (F.col("content") == F.col("best.content"))
+    gone = rows.join(several, "group").filter(~stays).select("doc", "content").distinct()
+    return without(docs, written(gone, "gone"), id_col, text_col)
+
+
 def similar_pairs(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, percent: int = 75
 ) -> tuple[DataFrame, DataFrame]:

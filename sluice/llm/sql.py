@@ -55,6 +55,34 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """
 
+OP4 = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM documents
+), s AS (
+    SELECT DISTINCT doc_id, unnest(
+        CASE WHEN len(words) >= 5 THEN [words[i:i + 4] for i in range(1, len(words) - 3)]
+             WHEN len(words) > 0 THEN [words] ELSE [] END) AS shingle
+    FROM w
+), n AS (
+    SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), l AS (
+    SELECT a.doc_id AS x, b.doc_id AS y
+    FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    JOIN n na ON na.doc_id = a.doc_id JOIN n nb ON nb.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id, na.n, nb.n
+    HAVING 100 * count(*) >= 75 * (na.n + nb.n - count(*))
+), r AS (
+    SELECT doc_id AS x, doc_id AS y FROM documents
+    UNION
+    SELECT r.x, l.y FROM r JOIN l ON l.x = r.y
+)
+SELECT d.doc_id, coalesce(any_value(n.n), 0)::BIGINT AS n_shingles, min(r.y) AS component_id
+FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id JOIN r ON r.x = d.doc_id
+GROUP BY d.doc_id
+"""
+
 OP6 = r"""
 WITH v AS (
     SELECT vec_id, [floor(1024 * x::DOUBLE) for x in embedding] AS ints
@@ -70,4 +98,8 @@ SELECT query_id, rank, vec_id, score FROM (
 ) r WHERE rank <= 10
 """
 
-SQL: dict[str, str] = {"op6_topk": OP6, "op9_exact_dedup": OP9, "op10_mixing": OP10}
+SQL: dict[str, str] = {
+    "op4_ngram_join": OP4,
+    "op6_topk": OP6,
+    "op9_exact_dedup": OP9, "op10_mixing": OP10,
+}
