@@ -9,7 +9,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: The characters that part words, as a class body for Java, Python and RE2 patterns.
@@ -63,6 +63,25 @@ def ship(spark: SparkSession) -> None:
     context._sluice_shipped = True
 
 
+def first_by_hash(df: DataFrame, group: str, order: str, rows: int, groups: int) -> DataFrame:
+    """At most `rows` rows of each group, those with the least values of `order`, a 64-bit hash.
+
+    Groups are counted first, so that about eight times as many rows as are wanted get as far as
+    the window. More than `groups` groups are an error.
+    """
+    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("n")).limit(groups + 1).collect()
+    if len(counts) > groups:
+        raise ValueError(f"{group} has more than {groups} values")
+    likely = F.lit(False)
+    for value, n in counts:
+        here = F.col(group).eqNullSafe(F.lit(value))
+        if n > 8 * rows:
+            here &= F.col(order) < F.lit((8 * rows << 64) // n - (1 << 63))
+        likely |= here
+    place = Window.partitionBy(group).orderBy(order, *[F.col(c) for c in df.columns if c not in (group, order)])
+    return df.filter(likely).withColumn("_place", F.row_number().over(place)).filter(F.col("_place") <= rows).drop("_place")
+
+
 #: Rows of (id, hash) that are sent to every task, at most.
 BROADCAST_ROWS = 500_000
 

@@ -19,11 +19,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import quoted, ship
+from sluice.llm.common import first_by_hash, quoted, ship
 
 UNKNOWN = "und"
 #: Labelled rows per language that are learned from, at most.
@@ -129,15 +129,10 @@ def learn(
     length = F.char_length("text")
     place = F.pmod(F.col("order"), F.greatest(length - PIECE, F.lit(0)) + 1).cast("int") + 1
     pieces = known.select("lang", "order", F.substring("text", place, F.lit(PIECE)).alias("piece"))
-    first = Window.partitionBy("lang").orderBy("order", "piece")
-    chosen = pieces.withColumn("n", F.row_number().over(first)).filter(F.col("n") <= rows)
     gathered: dict[str, list[bytes]] = {}
-    for row in chosen.orderBy("lang", "n").toLocalIterator():
+    for row in first_by_hash(pieces, "lang", "order", rows, LANGUAGES).orderBy("lang", "order", "piece").collect():
         gathered.setdefault(row.lang, []).append(letters(row.piece))
-        if len(gathered) > LANGUAGES:
-            raise ValueError(f"more than {LANGUAGES} languages")
     share = {name: b" ".join(p for p in parts if p)[:DICTIONARY] for name, parts in gathered.items()}
-    # equal sizes, so that no language gains by a longer dictionary
     kept = {name: content for name, content in share.items() if len(content) >= 8}
     return Languages(kept, fast)
 

@@ -67,9 +67,8 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = toxicity.fold(F.col("doc_id"), 3) == 1
     languages = langid.learn(docs, ~held_out, fast=True)
-    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
-    labelled = docs.filter(~held_out).join(labels, "doc_id")
-    scored = toxicity.classify(docs, toxicity.train(labelled, languages))
+    classifier = toxicity.train(docs.filter(~held_out), table(spark, sf_dir, "labels"), languages)
+    scored = toxicity.classify(docs, classifier)
     return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted")
 
 
