@@ -19,10 +19,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fresh_root(spark: SparkSession) -> str:
-    """A new directory in the shared folder of the cluster; a local one only if none is named."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    """A new directory in the shared folder of the cluster; a local one on a local master only."""
+    shared = spark.conf.get("spark.checkpoint.dir", "")
     if shared:
         return f"{shared.rstrip('/')}/run-{uuid.uuid4().hex}"
+    if not spark.conf.get("spark.master", "").startswith("local"):
+        raise ValueError("spark.checkpoint.dir names no shared folder")
     return f"file:{tempfile.mkdtemp(prefix='run-')}"
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.inputs import (
@@ -37,6 +38,7 @@ from sluice import (
     raise_failures,
     read_raw,
     read_typed,
+    read_unfit,
     register_views,
     run_bronze,
     run_silver,
@@ -46,6 +48,9 @@ from sluice import (
     upsert,
 )
 
+from sluice.sources.csv_files import session_settings
+from sluice.sources.silver import SilverTable
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -106,7 +111,7 @@ def q03_multi_format_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def q04_cast_overflow(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = as_text(table(spark, sf_dir, "events"), STAMP_FORMAT)
-    return conform(raw, EVENTS).select("event_id", "value")
+    return conform(raw, EVENTS).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @query
@@ -117,27 +122,24 @@ def q05_missing_and_extra(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- change rows -------------------------------------------------------------------------
 
-SHORT_ORDER = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
-
 
 def orders_after(orders: DataFrame) -> DataFrame:
     """The orders some time later: pending ones under new keys, urgent ones at a new price."""
+    before = typed_orders(orders)
     key = F.when(F.col("o_orderstatus") == "P", -1 - F.col("o_orderkey")).otherwise(F.col("o_orderkey"))
     urgent = F.col("o_orderpriority") == "1-URGENT"
-    price = F.when(urgent, money("o_totalprice") + 1).otherwise(money("o_totalprice"))
-    return orders.select(
-        key.alias("o_orderkey"), "o_custkey", "o_orderstatus", price.cast("decimal(12,2)").alias("o_totalprice")
-    )
+    price = F.when(urgent, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    return before.withColumns({"o_orderkey": key, "o_totalprice": price.cast("decimal(12,2)")})
 
 
-def short_orders(orders: DataFrame) -> DataFrame:
-    return orders.withColumn("o_totalprice", money("o_totalprice")).select(*SHORT_ORDER)
+def typed_orders(orders: DataFrame) -> DataFrame:
+    return orders.withColumns({"o_totalprice": money("o_totalprice"), "o_orderdate": F.col("o_orderdate").cast("date")})
 
 
 @query
 def q06_table_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    return table_changes(short_orders(orders), orders_after(orders), ["o_orderkey"])
+    return table_changes(typed_orders(orders), orders_after(orders), ["o_orderkey"])
 
 
 @query
@@ -163,7 +165,7 @@ def no_key_if_low(orders: DataFrame) -> DataFrame:
 @query
 def q08_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    return upsert(short_orders(orders), reordered(orders, "F", 1), ["o_orderkey"])
+    return upsert(typed_orders(orders), typed_orders(reordered(orders, "F", 1)), ["o_orderkey"])
 
 
 @query
@@ -178,8 +180,8 @@ def q09_upsert_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def q10_upsert_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
-    target = short_orders(no_key_if_low(orders))
-    source = no_key_if_low(reordered(orders, "F", 1))
+    target = typed_orders(no_key_if_low(orders))
+    source = typed_orders(no_key_if_low(reordered(orders, "F", 1)))
     return upsert(target, source, ["o_orderkey"])
 
 
@@ -224,8 +226,8 @@ def orders_in_versions(spark: SparkSession, sf_dir: str) -> BronzeTable:
         rows = orders.withColumns(
             {
                 "o_totalprice": price,
+                "_file_time": F.lit("2024-01-01").cast("timestamp"),
                 "_source_file": F.lit(f"orders{version}.csv"),
-                "_file_no": F.lit(0),
                 "_block_start": F.lit(0).cast("long"),
                 "_row_id": F.monotonically_increasing_id(),
             }
@@ -300,7 +302,7 @@ def q20_typed_table_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q21_null_key_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads of all events; those of one type have no key and are added both times."""
     dataset, layout = one_dataset(spark, "events", EVENTS)
-    events = as_text(table(spark, sf_dir, "events"), STAMP_FORMAT).drop("props")
+    events = as_text(table(spark, sf_dir, "events"), STAMP_FORMAT)
     key = F.when(F.col("event_type") != "click", F.col("event_id"))
     for wave in range(2):
         user = (F.col("user_id").cast("long") + wave).cast("string")
@@ -441,3 +443,185 @@ def q32_multi_line_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         land(wave, dataset, layout, number, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
         run(spark, dataset, layout)
     return read_typed(spark, dataset, layout)
+
+
+# -- order, surplus, contracts that change, buckets, statuses ----------------------------
+
+
+@query
+def q33_order_of_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The later of two landings wins, though its files come first by name, in one batch or in many."""
+    orders = table(spark, sf_dir, "orders").withColumn("o_totalprice", money("o_totalprice"))
+    found = []
+    for max_files in (1, 10_000):
+        dataset, layout = one_dataset(spark, "orders", ORDERS, max_files=max_files)
+        land(as_text(orders).coalesce(2), dataset, layout, 9)
+        land(as_text(reordered(orders, "F", 7)).coalesce(2), dataset, layout, 1)
+        run(spark, dataset, layout)
+        found.append(read_typed(spark, dataset, layout).withColumn("max_files", F.lit(max_files)))
+    return found[0].unionByName(found[1])
+
+
+@query
+def q34_lines_that_do_not_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with a cell too many or too few: what fits is a row, the line is kept whole."""
+    contract = Contract(tuple(field for field in CUSTOMER.fields if field.name != "c_acctbal"))
+    dataset, layout = one_dataset(spark, "customer", contract)
+    segment = F.col("c_mktsegment")
+    cells = (F.col("c_custkey").cast("string"), "c_name", F.col("c_nationkey").cast("string"))
+    line = (
+        F.when(segment == "BUILDING", F.concat_ws(",", *cells, segment, F.lit("more")))
+        .when(segment == "MACHINERY", F.concat_ws(",", *cells))
+        .otherwise(F.concat_ws(",", *cells, segment))
+    )
+    lines = table(spark, sf_dir, "customer").select(line.alias("c_custkey,c_name,c_nationkey,c_mktsegment"))
+    land(lines, dataset, layout, 0, sep="|")
+    run(spark, dataset, layout)
+    rows = read_typed(spark, dataset, layout)
+    text = F.concat_ws(",", *(F.col(name).cast("string") for name in contract.names))
+    unfit = read_unfit(spark, dataset, layout).select(F.lit("unfit").alias("kind"), "line")
+    return unfit.unionByName(rows.select(F.lit("row").alias("kind"), text.alias("line")))
+
+
+def in_buckets(spark: SparkSession, dataset: Dataset, layout: Layout, least: int) -> Column:
+    return F.lit(SilverTable(spark, layout.typed_of(dataset)).state().buckets >= least)
+
+
+def bytes_for_buckets(df: DataFrame, buckets: int) -> int:
+    """A bucket size that gives a table of these rows about so many buckets."""
+    return max(1, df.count() * 20 // buckets)
+
+
+@query
+def q35_column_comes_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A column that left the contract and came back is NULL but for rows loaded since."""
+    customer = table(spark, sf_dir, "customer")
+    dataset, layout = one_dataset(spark, "customer", CUSTOMER, bucket_bytes=bytes_for_buckets(customer, 8))
+    text = as_text(customer)
+    land(text, dataset, layout, 0)
+    run(spark, dataset, layout)
+    narrow = Contract(tuple(field for field in CUSTOMER.fields if field.name != "c_acctbal"))
+    land(text.filter("c_mktsegment = 'MACHINERY'"), dataset, layout, 1)
+    run(spark, replace(dataset, contract=narrow), layout)
+    land(text.filter("c_mktsegment = 'BUILDING'"), dataset, layout, 2)
+    run(spark, dataset, layout)
+    return read_typed(spark, dataset, layout).withColumn("bucketed", in_buckets(spark, dataset, layout, 4))
+
+
+@query
+def q36_merge_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merge into at least eight buckets, with the keys broadcast and with both sides shuffled."""
+    orders = table(spark, sf_dir, "orders").withColumn("o_totalprice", money("o_totalprice"))
+    size = bytes_for_buckets(orders, 12)
+    found = []
+    for branch, limit in (("broadcast", "1g"), ("shuffled", "-1")):
+        dataset, layout = one_dataset(spark, "orders", ORDERS, bucket_bytes=size)
+        land(as_text(orders), dataset, layout, 0)
+        run(spark, dataset, layout)
+        land(as_text(reordered(orders, "F", 1)), dataset, layout, 1)
+        with session_settings(spark, {"spark.sql.autoBroadcastJoinThreshold": limit}):
+            run(spark, dataset, layout)
+        bucketed = in_buckets(spark, dataset, layout, 8)
+        found.append(
+            read_typed(spark, dataset, layout).withColumns({"branch": F.lit(branch), "bucketed": bucketed})
+        )
+    return found[0].unionByName(found[1])
+
+
+@query
+def q37_what_a_load_found_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the status of a load tells of files with a misspelt header and values out of range."""
+    dataset, layout = one_dataset(spark, "events", EVENTS)
+    land(as_text(table(spark, sf_dir, "events"), STAMP_FORMAT).withColumnRenamed("user_id", "user_ld"), dataset, layout, 0)
+    raise_failures(run_bronze(spark, [dataset], layout))
+    (status,) = run_silver(spark, [dataset], layout)
+    raise_failures([status])
+    rows = [("absent", name, status.rows) for name in status.absent]
+    rows += [("unreadable", name, n) for name, n in status.unreadable.items()]
+    rows += [("null", name, n) for name, n in status.null_violations.items()]
+    return spark.createDataFrame(rows, "kind string, column_name string, n long")
+
+
+@query
+def q38_runs_without_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file with a header only, then rows, then nothing new, then a header only."""
+    dataset, layout = one_dataset(spark, "customer", CUSTOMER)
+    customer = as_text(table(spark, sf_dir, "customer"))
+    rows = []
+    for step, wave in enumerate((customer.filter("false"), customer, None, customer.filter("false")), start=1):
+        if wave is not None:
+            land(wave.coalesce(1), dataset, layout, step)
+        statuses = [*run_bronze(spark, [dataset], layout), *run_silver(spark, [dataset], layout)]
+        raise_failures(statuses)
+        rows.append((step, statuses[0].state, statuses[1].state, statuses[1].rows))
+    return spark.createDataFrame(rows, "step int, taken string, state string, row_count long")
+
+
+@query
+def q39_gates_and_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What becomes of datasets that cannot be loaded, next to one that can."""
+    layout = Layout.under(fresh_root(spark))
+    unkeyed = Contract(tuple(replace(field, is_primary_key=False) for field in CUSTOMER.fields))
+    odd = Contract((*CUSTOMER.fields, Field("odd", "varchar")))
+    kept = Contract((*CUSTOMER.fields, Field("_bucket", "string")))
+    datasets = [
+        Dataset("customer", "raw_customer", CUSTOMER),
+        Dataset("nokey", "raw_nokey", unkeyed),
+        Dataset("nocontract", "raw_nocontract"),
+        Dataset("badtype", "raw_badtype", odd),
+        Dataset("reserved", "raw_reserved", kept),
+        Dataset("shared1", "raw_shared", CUSTOMER),
+        Dataset("shared2", "raw_shared", CUSTOMER),
+    ]
+    for dataset in datasets:
+        land(as_text(table(spark, sf_dir, "customer")), dataset, layout, 0)
+    run_bronze(spark, datasets, layout)
+    rows = [(status.dataset, status.state, status.rows) for status in run_silver(spark, datasets, layout)]
+    return spark.createDataFrame(rows, "dataset string, state string, row_count long")
+
+
+@query
+def q40_strict_without_ansi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raising parsers without ANSI mode, with a second format and dates that nothing reads."""
+    priority = F.col("o_orderpriority")
+    written = (
+        F.when(priority == "1-URGENT", F.date_format("o_orderdate", "dd/MM/yyyy"))
+        .when(priority == "2-HIGH", F.date_format("o_orderdate", "yyyy.MM.dd"))
+        .otherwise("n/a")
+    )
+    raw = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").cast("string").alias("o_orderkey"), written.alias("o_orderdate")
+    )
+    contract = Contract(
+        (
+            Field("o_orderkey", "long", is_primary_key=True),
+            Field("o_orderdate", "date", date_formats=("dd/MM/yyyy", "yyyy.MM.dd")),
+        )
+    )
+    place = f"{fresh_root(spark)}/strict"
+    with session_settings(spark, {"spark.sql.ansi.enabled": "false"}):
+        conform(raw, contract, strict=True).write.parquet(place)
+    return spark.read.parquet(place)
+
+
+@query
+def q41_zone_of_a_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times without a zone are read in the zone that the run names, not in the session's."""
+    dataset, layout = one_dataset(spark, "events", EVENTS)
+    land(as_text(table(spark, sf_dir, "events"), STAMP_FORMAT), dataset, layout, 0)
+    raise_failures(run_bronze(spark, [dataset], layout))
+    raise_failures(run_silver(spark, [dataset], layout, time_zone="+05:30"))
+    typed = read_typed(spark, dataset, layout)
+    return typed.select("event_id", F.unix_micros("ts").alias("at"), "user_id", "event_type", "value")
+
+
+@query
+def q42_views_in_a_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A view of the catalog on a table of several loads."""
+    dataset, layout = orders_in_waves(spark, sf_dir)
+    (view,) = register_views(spark, [dataset], layout, namespace="typed")
+    return spark.sql(
+        f"""SELECT o_orderstatus, count(*) AS row_count, min(o_orderdate) AS first_day,
+                   cast(sum(o_totalprice) AS decimal(22,2)) AS total
+            FROM {view} GROUP BY o_orderstatus"""
+    )

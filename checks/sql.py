@@ -24,7 +24,7 @@ WITH waves AS (
 SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
 FROM ranked WHERE rn = 1"""
 
-SHORT = "o_orderkey, o_custkey, o_orderstatus, o_totalprice"
+SHORT = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 
 CHANGES = f"""
 WITH b AS (SELECT {SHORT} FROM ({ORDERS_TYPED})),
@@ -32,21 +32,17 @@ a AS (
   SELECT CASE WHEN o_orderstatus = 'P' THEN -1 - o_orderkey ELSE o_orderkey END AS o_orderkey,
          o_custkey, o_orderstatus,
          CAST(CASE WHEN o_orderpriority = '1-URGENT' THEN CAST(o_totalprice AS DECIMAL(12,2)) + 1
-                   ELSE CAST(o_totalprice AS DECIMAL(12,2)) END AS DECIMAL(12,2)) AS o_totalprice
-  FROM orders),
-pairs AS (
-  SELECT b.o_orderkey AS bk, a.o_orderkey AS ak, b.o_custkey AS bc, a.o_custkey AS ac,
-         b.o_orderstatus AS bs, a.o_orderstatus AS as_, b.o_totalprice AS bp, a.o_totalprice AS ap
-  FROM b FULL JOIN a ON b.o_orderkey = a.o_orderkey)
-SELECT ak AS o_orderkey, ac AS o_custkey, as_ AS o_orderstatus, ap AS o_totalprice,
-       CASE WHEN bk IS NULL THEN 'insert' ELSE 'update_postimage' END AS _change_type,
+                   ELSE CAST(o_totalprice AS DECIMAL(12,2)) END AS DECIMAL(12,2)) AS o_totalprice,
+         CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority
+  FROM orders)
+SELECT a.*, CASE WHEN b.o_orderkey IS NULL THEN 'insert' ELSE 'update_postimage' END AS _change_type,
        CAST(1 AS BIGINT) AS _copies
-FROM pairs WHERE ak IS NOT NULL AND (bk IS NULL OR bc <> ac OR bs <> as_ OR bp <> ap)
+FROM a LEFT JOIN b ON a.o_orderkey = b.o_orderkey
+WHERE b.o_orderkey IS NULL OR a.o_totalprice <> b.o_totalprice
 UNION ALL
-SELECT bk, bc, bs, bp,
-       CASE WHEN ak IS NULL THEN 'delete' ELSE 'update_preimage' END,
-       CAST(1 AS BIGINT)
-FROM pairs WHERE bk IS NOT NULL AND (ak IS NULL OR bc <> ac OR bs <> as_ OR bp <> ap)"""
+SELECT b.*, CASE WHEN a.o_orderkey IS NULL THEN 'delete' ELSE 'update_preimage' END, CAST(1 AS BIGINT)
+FROM b LEFT JOIN a ON a.o_orderkey = b.o_orderkey
+WHERE a.o_orderkey IS NULL OR a.o_totalprice <> b.o_totalprice"""
 
 UPSERT = f"""
 WITH t AS (SELECT {SHORT} FROM ({ORDERS_TYPED})), s AS (SELECT {SHORT} FROM ({_orders_wave('F', 1)}))
@@ -86,7 +82,8 @@ SQL: dict[str, str] = {
         CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE CAST(o_orderdate AS DATE) END AS o_orderdate
         FROM orders""",
     "q03_multi_format_timestamps": "SELECT event_id, ts FROM events",
-    "q04_cast_overflow": "SELECT event_id, TRY_CAST(value AS DECIMAL(4,2)) AS value FROM events",
+    "q04_cast_overflow": """SELECT event_id, ts, user_id, event_type,
+        TRY_CAST(value AS DECIMAL(4,2)) AS value FROM events""",
     "q05_missing_and_extra": """SELECT c_custkey, c_name, c_nationkey,
         CAST(NULL AS DECIMAL(10,2)) AS c_acctbal, c_mktsegment FROM customer""",
     "q06_table_changes": CHANGES,
@@ -102,10 +99,10 @@ WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.conv_id = t.conv_id AND s.turn = t.tur
     "q10_upsert_null_keys": f"""
 WITH t AS (
   SELECT CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderkey END AS o_orderkey,
-         o_custkey, o_orderstatus, o_totalprice FROM ({ORDERS_TYPED})),
+         o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM ({ORDERS_TYPED})),
 s AS (
   SELECT CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderkey END AS o_orderkey,
-         o_custkey, o_orderstatus, o_totalprice FROM ({_orders_wave('F', 1)}))
+         o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM ({_orders_wave('F', 1)}))
 SELECT * FROM s
 UNION ALL
 SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t.o_orderkey)""",
@@ -226,4 +223,56 @@ SELECT * FROM s
 UNION ALL
 SELECT conv_id, turn, role, text FROM conversations t
 WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.conv_id = t.conv_id AND s.turn = t.turn)""",
+    "q33_order_of_arrival": f"""
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, max_files
+FROM ({_orders_wave('F', 7)}) CROSS JOIN (VALUES (1), (10000)) m(max_files)
+UNION ALL
+SELECT t.*, max_files FROM ({ORDERS_TYPED}) t CROSS JOIN (VALUES (1), (10000)) m(max_files)
+WHERE o_orderstatus <> 'F'""",
+    "q34_lines_that_do_not_fit": """
+SELECT 'unfit' AS kind, CASE WHEN c_mktsegment = 'BUILDING'
+       THEN concat_ws(',', c_custkey, c_name, c_nationkey, c_mktsegment, 'more')
+       ELSE concat_ws(',', c_custkey, c_name, c_nationkey) END AS line
+FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY')
+UNION ALL
+SELECT 'row', concat_ws(',', c_custkey, c_name, c_nationkey, CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_mktsegment END)
+FROM customer""",
+    "q35_column_comes_back": f"""
+SELECT c_custkey, c_name, c_nationkey,
+       CASE WHEN c_mktsegment = 'BUILDING' THEN c_acctbal END AS c_acctbal, c_mktsegment, TRUE AS bucketed
+FROM ({CUSTOMER_TYPED})""",
+    "q36_merge_in_buckets": f"""
+WITH s AS ({_orders_wave('F', 1)})
+SELECT *, 'broadcast' AS branch, TRUE AS bucketed FROM s
+UNION ALL SELECT *, 'broadcast', TRUE FROM ({ORDERS_TYPED}) t
+WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t.o_orderkey)
+UNION ALL SELECT *, 'shuffled', TRUE FROM s
+UNION ALL SELECT *, 'shuffled', TRUE FROM ({ORDERS_TYPED}) t
+WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t.o_orderkey)""",
+    "q37_what_a_load_found_missing": """
+SELECT 'absent' AS kind, 'user_id' AS column_name, count(*) AS n FROM events
+UNION ALL SELECT 'unreadable', 'value', count(*) FROM events WHERE TRY_CAST(value AS DECIMAL(4,2)) IS NULL
+UNION ALL SELECT 'null', 'value', count(*) FROM events WHERE TRY_CAST(value AS DECIMAL(4,2)) IS NULL""",
+    "q38_runs_without_rows": """
+SELECT 1 AS step, 'loaded' AS taken, 'empty' AS state, CAST(NULL AS BIGINT) AS row_count
+UNION ALL SELECT 2, 'loaded', 'loaded', count(*) FROM customer
+UNION ALL SELECT 3, 'up_to_date', 'up_to_date', NULL
+UNION ALL SELECT 4, 'loaded', 'empty', NULL""",
+    "q39_gates_and_isolation": """
+SELECT 'customer' AS dataset, 'loaded' AS state, count(*) AS row_count FROM customer
+UNION ALL SELECT 'nokey', 'skipped', NULL
+UNION ALL SELECT 'nocontract', 'skipped', NULL
+UNION ALL SELECT 'badtype', 'failed', NULL
+UNION ALL SELECT 'reserved', 'failed', NULL
+UNION ALL SELECT 'shared1', 'failed', NULL
+UNION ALL SELECT 'shared2', 'failed', NULL""",
+    "q40_strict_without_ansi": """SELECT o_orderkey,
+        CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN CAST(o_orderdate AS DATE) END AS o_orderdate
+        FROM orders""",
+    "q41_zone_of_a_run": """SELECT event_id, epoch_us(ts - INTERVAL 330 MINUTE) AS at, user_id, event_type,
+        TRY_CAST(value AS DECIMAL(4,2)) AS value FROM events""",
+    "q42_views_in_a_schema": f"""
+SELECT o_orderstatus, count(*) AS row_count, min(o_orderdate) AS first_day,
+       CAST(sum(o_totalprice) AS DECIMAL(22,2)) AS total
+FROM ({ORDERS_MERGED}) GROUP BY o_orderstatus""",
 }

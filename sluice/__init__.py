@@ -19,6 +19,7 @@ from sluice.plans.pipeline import (
     raise_failures,
     read_raw,
     read_typed,
+    read_unfit,
     register_views,
     run_bronze,
     run_silver,
@@ -50,6 +51,7 @@ __all__ = [
     "read_raw",
     "read_registry",
     "read_typed",
+    "read_unfit",
     "register_views",
     "run_bronze",
     "run_silver",

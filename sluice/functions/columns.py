@@ -24,3 +24,11 @@ def any_null(names: Iterable[str]) -> Column:
 
 def none_null(names: Iterable[str]) -> Column:
     return reduce(Column.__and__, [quoted(name).isNotNull() for name in names])
+
+
+def free_name(base: str, *taken: Iterable[str]) -> str:
+    """A name for a temporary column that none of the given ones has."""
+    used = {name.lower() for names in taken for name in names}
+    while base.lower() in used:
+        base += "_"
+    return base

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.columns import any_null, none_null, quoted, quoted_all
+from sluice.functions.columns import any_null, free_name, none_null, quoted, quoted_all
 
 CHANGE_TYPE = "_change_type"
 COMMIT_VERSION = "_commit_version"
@@ -36,32 +36,36 @@ def table_changes(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> D
     paired with one another. A key with a NULL matches nothing, so it is never an update.
     """
     names = before.columns
-    both = before.withColumn("_n", F.lit(-1)).unionByName(after.withColumn("_n", F.lit(1)))
-    net = both.groupBy(*quoted_all(names)).agg(F.sum("_n").alias("_n")).filter(F.col("_n") != 0)
+    n, updated = free_name("_n", names), free_name("_updated", names)
+    side, side_of = free_name("_spread", names), free_name("_spread_of", names)
+    key_of = [free_name(f"_key{i}", names) for i in range(len(keys))]
+    both = before.withColumn(n, F.lit(-1)).unionByName(after.withColumn(n, F.lit(1)))
+    net = both.groupBy(*quoted_all(names)).agg(F.sum(n).alias(n)).filter(F.col(n) != 0)
     # The rows are distinct now. Those with a NULL key are spread by their other values.
     spread = F.when(any_null(keys), F.xxhash64(*quoted_all(names))).otherwise(F.lit(0).cast("long"))
-    net = net.withColumn("_spread", spread)
+    net = net.withColumn(side, spread)
 
-    sides = net.groupBy(*[quoted(key).alias(f"_key{i}") for i, key in enumerate(keys)], "_spread").agg(
-        ((F.min("_n") < 0) & (F.max("_n") > 0)).alias("_updated")
+    sides = net.groupBy(*[quoted(key).alias(name) for key, name in zip(keys, key_of)], side).agg(
+        ((F.min(n) < 0) & (F.max(n) > 0)).alias(updated)
     )
-    sides = sides.withColumnRenamed("_spread", "_spread_of")
+    sides = sides.withColumnRenamed(side, side_of)
     # Null-safe, for both sides to be the same plan: plain equality would filter one of them
-    # below the aggregate, and the shuffle of the two tables could not be shared.
+    # below the aggregate, and the shuffle of the two tables could not be shared. It also makes
+    # Spark shuffle the few updated keys once more, without which AQE could not split a hot key.
     same_key = reduce(
         Column.__and__,
-        [quoted(key).eqNullSafe(F.col(f"_key{i}")) for i, key in enumerate(keys)],
-        F.col("_spread") == F.col("_spread_of"),
+        [quoted(key).eqNullSafe(quoted(name)) for key, name in zip(keys, key_of)],
+        quoted(side) == quoted(side_of),
     )
-    known = net.join(sides.filter("_updated"), same_key, "left")
-    updated = F.col("_updated").isNotNull() & none_null(keys)
+    known = net.join(sides.filter(quoted(updated)), same_key, "left")
+    is_updated = quoted(updated).isNotNull() & none_null(keys)
     change = (
-        F.when(updated & (F.col("_n") > 0), UPDATE_AFTER)
-        .when(updated, UPDATE_BEFORE)
-        .when(F.col("_n") > 0, INSERT)
+        F.when(is_updated & (F.col(n) > 0), UPDATE_AFTER)
+        .when(is_updated, UPDATE_BEFORE)
+        .when(F.col(n) > 0, INSERT)
         .otherwise(DELETE)
     )
-    return known.select(*quoted_all(names), change.alias(CHANGE_TYPE), F.abs("_n").alias(COPIES))
+    return known.select(*quoted_all(names), change.alias(CHANGE_TYPE), F.abs(n).alias(COPIES))
 
 
 def keep_changes(feed: DataFrame, types: Sequence[str] = TAKEN_UP) -> DataFrame:

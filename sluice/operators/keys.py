@@ -7,28 +7,35 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.columns import any_null, none_null, quoted, quoted_all
+from sluice.functions.columns import any_null, free_name, none_null, quoted, quoted_all
 
 
 def latest_per_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], row_id: Sequence[str] = ()
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    row_id: Sequence[str] = (),
+    copies: str | None = None,
 ) -> DataFrame:
     """One row per key: the one with the greatest ``order`` columns, ties by the other columns.
 
     An aggregate rather than a window: copies of a key meet in the map-side combine, so no
     task ever holds all rows of one key. With ``row_id`` (columns that identify a row), rows
-    with a NULL in the key are all kept, since such a key equals no other.
+    with a NULL in the key are all kept, since such a key equals no other. ``copies`` names a
+    further column for the number of rows of the key.
     """
     rest = [name for name in df.columns if name not in keys and name not in order]
     group = quoted_all(keys)
+    loose, best = free_name("_loose", df.columns), free_name("_winner", df.columns)
     if row_id:
         # NULL for whole keys, so these still hash by the key alone.
-        group.append(F.when(any_null(keys), F.struct(*quoted_all(row_id))).alias("_loose"))
-    winner = F.max(F.struct(*quoted_all([*order, *rest]))).alias("_winner")
-    values = [
-        quoted(name) if name in keys else F.col("_winner").getField(name).alias(name) for name in df.columns
-    ]
-    return df.groupBy(*group).agg(winner).select(*values)
+        group.append(F.when(any_null(keys), F.struct(*quoted_all(row_id))).alias(loose))
+    wanted = [F.max(F.struct(*quoted_all([*order, *rest]))).alias(best)]
+    values = [quoted(name) if name in keys else F.col(best).getField(name).alias(name) for name in df.columns]
+    if copies:
+        wanted.append(F.count(F.lit(1)).alias(copies))
+        values.append(quoted(copies))
+    return df.groupBy(*group).agg(*wanted).select(*values)
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.functions.columns import any_null, none_null, quoted, quoted_all
+from sluice.functions.columns import any_null, free_name, none_null, quoted, quoted_all
 
 
 def unmatched(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -42,10 +42,11 @@ def keep_values(target: DataFrame, source: DataFrame, keys: Sequence[str], keep:
     whole = source.filter(none_null(keys))
     # Only the target rows in question go on, and one of them per key.
     matched = target.join(whole.select(*quoted_all(keys)), on=list(keys), how="left_semi")
-    held = matched.groupBy(*quoted_all(keys)).agg(F.max(F.struct(*quoted_all(keep))).alias("_held"))
+    there = free_name("_held", source.columns)
+    held = matched.groupBy(*quoted_all(keys)).agg(F.max(F.struct(*quoted_all(keep))).alias(there))
     joined = whole.join(held, on=list(keys), how="left")
     chosen = [
-        F.when(F.col("_held").isNotNull(), F.col("_held").getField(name)).otherwise(quoted(name)).alias(name)
+        F.when(F.col(there).isNotNull(), F.col(there).getField(name)).otherwise(quoted(name)).alias(name)
         if name in keep
         else quoted(name)
         for name in source.columns

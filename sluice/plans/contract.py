@@ -9,6 +9,13 @@ from pyspark.sql import types as T
 
 from sluice.functions.types import resolve_type
 
+# Names that the raw and the typed table keep for themselves. A test holds them
+# against the tables' own lists.
+RESERVED_NAMES = frozenset(
+    "_change_type _commit_version _commit_timestamp _copies _source_file _file_time _block_start _row_id "
+    "_unfit_line _metadata _load _bucket".split()
+)
+
 
 @dataclass(frozen=True)
 class Field:
@@ -88,6 +95,8 @@ class Contract:
             if field.name.lower() in seen:
                 found.append(f"column {field.name!r} is declared twice")
             seen.add(field.name.lower())
+            if field.name.lower() in RESERVED_NAMES:
+                found.append(f"column {field.name!r} has a reserved name")
             try:
                 self.type_of(field)
             except ValueError as error:
@@ -97,14 +106,20 @@ class Contract:
         return found
 
 
-def check_evolution(stored: T.StructType, stored_keys: list[str], wanted: Contract) -> None:
-    """New and dropped columns are fine; a changed type or key needs a fresh table."""
-    before = {field.name: field.dataType for field in stored}
+def check_evolution(
+    stored: T.StructType, stored_keys: list[str], wanted: Contract, ever: Mapping[str, str] | None = None
+) -> None:
+    """New and dropped columns are fine; a changed type or key needs a fresh table.
+
+    ``ever`` holds the types of all columns there were, dropped ones too, by name in lower case:
+    a dropped column may come back with the same type only, and is NULL until it is loaded anew.
+    """
+    before = {field.name.lower(): field.dataType.simpleString() for field in stored}
+    before = {**(ever or {}), **before}
     for field in wanted.to_struct():
-        old = before.get(field.name, field.dataType)
-        if old != field.dataType:
-            raise ValueError(
-                f"column {field.name!r} changed from {old.simpleString()} to {field.dataType.simpleString()}"
-            )
+        new = field.dataType.simpleString()
+        old = before.get(field.name.lower(), new)
+        if old != new:
+            raise ValueError(f"column {field.name!r} changed from {old} to {new}")
     if sorted(stored_keys) != sorted(wanted.keys):
         raise ValueError(f"primary key changed from {stored_keys} to {wanted.keys}")

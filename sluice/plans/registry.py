@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
 from sluice.plans.contract import Contract
-from sluice.streaming.ingest import MAX_FILES
+from sluice.streaming.ingest import KEEP_ALL, MAX_FILES
 
 
 @dataclass(frozen=True)
@@ -18,6 +19,8 @@ class Dataset:
     contract: Contract | None = None
     csv_options: Mapping[str, str] = field(default_factory=dict)
     max_files: int = MAX_FILES
+    max_file_age: str = KEEP_ALL
+    bucket_bytes: int | None = None
     on_duplicate: str = "latest"
     strict: bool = False
     ignore_case: bool = False
@@ -69,7 +72,8 @@ def read_registry(
     """Datasets from configuration entries, and the entries that are malformed.
 
     An entry has a ``subdir`` and a ``target_table``; ``definitions`` holds the contracts in
-    their JSON form by subdir. ``compat_types`` and the fields of ``Dataset`` are options.
+    their JSON form by subdir; an entry whose contract cannot be built is malformed too.
+    ``compat_types`` and the fields of ``Dataset`` are options.
     """
     compat_types = options.pop("compat_types", False)
     good, bad = [], []
@@ -79,6 +83,26 @@ def read_registry(
             bad.append(entry)
             continue
         definition = definitions.get(name)
-        contract = Contract.from_dict(definition, compat_types) if definition else None
+        try:
+            contract = Contract.from_dict(definition, compat_types) if definition else None
+        except (KeyError, TypeError, ValueError, AttributeError):
+            bad.append(entry)
+            continue
         good.append(Dataset(name, raw_name, contract, **options))
     return good, bad
+
+
+def shared_places(datasets: Iterable[Dataset]) -> dict[str, str]:
+    """Dataset name -> what it shares with another: a landing directory or a raw table.
+
+    Two streams into one raw table would write the same versions, so none of them may run.
+    """
+    known = list(datasets)
+    names, raw_names = Counter(d.name for d in known), Counter(d.raw_name for d in known)
+    found = {}
+    for dataset in known:
+        if names[dataset.name] > 1:
+            found[dataset.name] = f"the name {dataset.name!r} is given to several datasets"
+        elif raw_names[dataset.raw_name] > 1:
+            found[dataset.name] = f"the raw table {dataset.raw_name!r} belongs to several datasets"
+    return found

@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.operators.changes import CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, FEED_COLUMNS, INSERT
-from sluice.sources.csv_files import BLOCK_START, FILE_NO, POSITION, ROW_ID, SOURCE_FILE
+from sluice.sources.csv_files import BLOCK_START, FILE_TIME, METADATA, POSITION, ROW_ID, SOURCE_FILE, UNFIT
 from sluice.sources.log import Log, path_exists
 
-RESERVED = frozenset([*FEED_COLUMNS, *POSITION])
+RESERVED = frozenset([*FEED_COLUMNS, *POSITION, METADATA])
 
 COMMIT = T.StructType(
     [
@@ -39,7 +39,7 @@ class BronzeTable:
         self.spark = spark
         self.root = root.rstrip("/")
         self.data = f"{self.root}/data"
-        self.log = Log(spark, f"{self.root}/commits", COMMIT)
+        self.log = Log(spark, f"{self.root}/commits", COMMIT, key="version")
 
     # -- state ---------------------------------------------------------------------------
 
@@ -48,7 +48,7 @@ class BronzeTable:
 
     def head(self) -> Row | None:
         """The last commit; ``known_columns`` and ``known_bytes`` are of all versions so far."""
-        return self.commits().orderBy(F.desc("version")).first()
+        return self.log.last()
 
     def latest_version(self) -> int | None:
         """The last committed version, None if the table does not exist yet."""
@@ -63,11 +63,13 @@ class BronzeTable:
         head = self.head()
         return [] if head is None else list(head.known_columns)
 
+    def window(self, after: int | None, upto: int | None) -> list[Row]:
+        """Commit entries of the versions in ``(after, upto]``."""
+        return self.log.between(after, upto)
+
     def columns(self, after: int | None, upto: int | None) -> list[str]:
         """Raw columns that some version in ``(after, upto]`` has."""
-        commits = between(self.commits(), "version", after, upto)
-        names = commits.select(F.explode("columns").alias("name")).distinct()
-        return sorted(row.name for row in names.collect())
+        return sorted({name for entry in self.window(after, upto) for name in entry.columns})
 
     # -- writing -------------------------------------------------------------------------
 
@@ -87,7 +89,7 @@ class BronzeTable:
                 return
         columns = [name for name in rows.columns if name not in POSITION]
         known = [] if head is None else list(head.known_columns)
-        clash = RESERVED.intersection(columns)
+        clash = RESERVED.intersection(name.lower() for name in columns)
         if clash:
             raise ValueError(f"reserved column names in the files: {sorted(clash)}")
         counted = Observation()
@@ -117,10 +119,11 @@ class BronzeTable:
         return T.StructType(
             [
                 *text,
+                T.StructField(FILE_TIME, T.TimestampType()),
                 T.StructField(SOURCE_FILE, T.StringType()),
-                T.StructField(FILE_NO, T.IntegerType()),
                 T.StructField(BLOCK_START, T.LongType()),
                 T.StructField(ROW_ID, T.LongType()),
+                T.StructField(UNFIT, T.StringType()),
                 T.StructField(COMMIT_TIMESTAMP, T.TimestampType()),
                 T.StructField(COMMIT_VERSION, T.LongType()),
             ]
@@ -133,8 +136,8 @@ class BronzeTable:
 
     def read_changes(self, after: int, upto: int, head: Row | None = None) -> DataFrame:
         """Feed rows of the versions in ``(after, upto]``; only their directories are listed."""
-        window = between(self.commits(), "version", after, upto).select("version").collect()
-        paths = [f"{self.data}/{COMMIT_VERSION}={version}" for version in sorted(row.version for row in window)]
+        versions = [number for number in self.log.numbers() if after < number <= upto]
+        paths = [f"{self.data}/{COMMIT_VERSION}={version}" for version in versions]
         schema = self._schema(head)
         if paths:
             rows = self.spark.read.schema(schema).option("basePath", self.data).parquet(*paths)
@@ -142,13 +145,13 @@ class BronzeTable:
             rows = self.spark.createDataFrame([], schema)
         return between(rows, COMMIT_VERSION, after, upto).withColumn(CHANGE_TYPE, F.lit(INSERT))
 
-    def assert_versioned(self) -> None:
+    def assert_versioned(self, head: Row | None = None) -> None:
         """Fail unless rows can be told by version: the last commit has its directory."""
-        latest = self.latest_version()
-        if latest is None:
+        head = head or self.head()
+        if head is None:
             raise ValueError(f"{self.root} has no commits")
-        if not path_exists(self.spark, f"{self.data}/{COMMIT_VERSION}={latest}"):
-            raise ValueError(f"{self.root} lacks the rows of version {latest}")
+        if head.rows and not path_exists(self.spark, f"{self.data}/{COMMIT_VERSION}={head.version}"):
+            raise ValueError(f"{self.root} lacks the rows of version {head.version}")
 
 
 def between(df: DataFrame, column: str, after: int | None, upto: int | None) -> DataFrame:

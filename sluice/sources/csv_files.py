@@ -1,18 +1,18 @@
 """CSV files read by column name, whatever order each file has its columns in.
 
-Spark matches CSV columns by position. Here the files of a batch are grouped by header line,
-each group is read with its own header, and the groups are combined by name.
+Spark matches CSV columns by position. Here the files of a batch are grouped by header,
+each group is read with its own columns, and the groups are combined by name.
 """
 
 from __future__ import annotations
 
-import json
 import re
-from collections.abc import Iterator, Mapping, Sequence
+from codecs import BOM_UTF8
+from collections.abc import Iterable, Iterator, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
-from itertools import islice
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,19 +20,27 @@ from pyspark.sql import types as T
 
 from sluice.functions.columns import quoted, quoted_all
 
-# Where a row came from: the file, its number by name among those of the micro-batch, its
-# split, and a number that grows within the split. The last three are the order of the rows;
-# they are short, so a shuffle can carry them.
+# Where a row came from: the file and its time of modification, its split, and a number that
+# grows within the split. Together they are the order of the rows, whichever micro-batch took
+# a file up.
 SOURCE_FILE = "_source_file"
-FILE_NO = "_file_no"
+FILE_TIME = "_file_time"
 BLOCK_START = "_block_start"
 ROW_ID = "_row_id"
-ROW_ORDER = (FILE_NO, BLOCK_START, ROW_ID)
-POSITION = (SOURCE_FILE, *ROW_ORDER)
+ROW_ORDER = (FILE_TIME, SOURCE_FILE, BLOCK_START, ROW_ID)
+# The whole line, where it has more or fewer cells than its file's header.
+UNFIT = "_unfit_line"
+POSITION = (*ROW_ORDER, UNFIT)
+# Spark's own name for what it knows of a row's file.
+METADATA = "_metadata"
 
 LISTING = "path string, modificationTime timestamp, length long, content binary"
 
 
+class HeaderError(ValueError):
+    """The header of a file cannot be used."""
+
+
 @dataclass(frozen=True)
 class LandedFile:
     path: str
@@ -84,13 +92,10 @@ def session_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterat
 # A list of files is checked path by path; Spark would start a task for each of them.
 FEW_LISTING_TASKS = {"spark.sql.sources.parallelPartitionDiscovery.parallelism": "256"}
 
-# Up to this size a file is read whole for its first line; a task of its own would cost more.
-SMALL_FILE = 16 << 20
-
-_ONE_FILE_PER_TASK = {
-    "spark.sql.files.maxPartitionBytes": str(1 << 40),
-    "spark.sql.files.openCostInBytes": str(1 << 40),
-}
+# A header longer than this is an error.
+HEADER_LIMIT = 1 << 20
+# Files the driver has open at the same time for their headers.
+OPEN_AT_ONCE = 32
 
 
 def first_lines(
@@ -98,64 +103,121 @@ def first_lines(
 ) -> dict[str, bytes]:
     """URI -> first line that is neither blank nor a comment, for the files that have one.
 
-    As bytes: lines in an encoding other than UTF-8 stay apart.
+    As bytes: lines in an encoding other than UTF-8 stay apart. The driver, which has the list
+    of files anyway, opens each and takes one line by the reader that Spark's text source uses:
+    a buffer of each file is read and no job runs. Tasks could not do with less, as no operator
+    and no Python function ends the reading of a partition before its end.
     """
-    small = [file.path for file in files if file.length <= SMALL_FILE]
-    large = [file.path for file in files if file.length > SMALL_FILE]
-    line_options = {"lineSep": options["lineSep"]} if "lineSep" in options else {}
+    jvm = spark._jvm
+    settings = spark._jsparkSession.sessionState().newHadoopConf()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(settings)
     comment = options.get("comment", "").encode()
 
-    def lines_of(paths: Sequence[str]) -> DataFrame:
-        text = spark.read.options(**line_options).text([literal_path(path) for path in paths])
-        return text.select(
-            F.col("_metadata.file_path").alias("uri"),
-            F.col("value").cast("binary").alias("line"),
-            F.struct("_metadata.file_block_start", F.monotonically_increasing_id()).alias("place"),
-        )
+    def first(file: LandedFile) -> bytes | None:
+        place = jvm.org.apache.hadoop.fs.Path(file.path)
+        stream = place.getFileSystem(settings).open(place)
+        try:
+            codec = codecs.getCodec(place)
+            source = stream if codec is None else codec.createInputStream(stream)
+            ends = (options["lineSep"].encode(),) if "lineSep" in options else ()
+            reader, text = jvm.org.apache.hadoop.util.LineReader(source, *ends), jvm.org.apache.hadoop.io.Text()
+            start = True
+            while reader.readLine(text, HEADER_LIMIT + 4):
+                line = bytes(text.copyBytes())
+                line = line.removeprefix(BOM_UTF8) if start else line
+                start = False
+                if len(line) > HEADER_LIMIT:
+                    raise HeaderError(f"the header of {file.path} has more than {HEADER_LIMIT} bytes")
+                if max(line, default=0) > 32 and not (comment and line.startswith(comment)):
+                    return line
+            return None
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(OPEN_AT_ONCE) as pool:
+        found = pool.map(first, files)
+        return {file.uri: line for file, line in zip(files, found) if line is not None}
+
+
+# Options of a CSV reader that do not concern the cells of a single line.
+_NOT_OF_A_LINE = frozenset(
+    "header multiline linesep encoding charset comment mode inferschema columnnameofcorruptrecord enforceschema".split()
+)
+_END = "end\u0001of the header"
+
+
+def header_cells(
+    spark: SparkSession, lines: Sequence[bytes], options: Mapping[str, str]
+) -> list[list[str | None] | None]:
+    """The cells of header lines, by Spark's CSV parser, all in one go.
+
+    None for a line that cannot be told on its own: not UTF-8, or with a quoted cell that may
+    run on to the next line.
+    """
+    given = {name.lower(): value for name, value in options.items()}
+    quote = given.get("quote") or '"'
+    sep = given.get("sep", given.get("delimiter", ","))
+    encoding = given.get("encoding", given.get("charset", "utf-8")).lower().replace("_", "-")
+    texts: dict[int, str] = {}
+    for i, line in enumerate(lines):
+        if encoding in ("utf-8", "utf8") and line.count(quote.encode()) % 2 == 0:
+            texts[i] = line.decode(errors="replace").rstrip("\r")
+    out: list[list[str | None] | None] = [None] * len(lines)
+    if texts:
+        width = max(text.count(sep) for text in texts.values()) + 2
+        schema = ", ".join(f"c{i} string" for i in range(width))
+        of_a_line = {name: value for name, value in options.items() if name.lower() not in _NOT_OF_A_LINE}
+        rows = spark.createDataFrame([(i, f"{text}{sep}{_END}") for i, text in texts.items()], "i int, line string")
+        cells = rows.select("i", F.from_csv("line", F.lit(schema), of_a_line).alias("cells"))
+        for i, row in cells.collect():
+            found = list(row)
+            out[i] = found[: found.index(_END)] if _END in found else None
+    return out
 
-    def counts(line: bytes) -> bool:
-        return max(line, default=0) > 32 and not (comment and bytes(line).startswith(comment))
-
-    found = []
-    if small:
-        lines = lines_of(small).filter(F.col("line").cast("string").rlike("[^\\x00-\\x20]"))
-        if comment:
-            lines = lines.filter(~F.startswith("line", F.lit(comment)))
-        found += lines.groupBy("uri").agg(F.min_by("line", "place")).collect()
-    if large:
-        # One task per file, which stops after that line. No DataFrame operator ends one
-        # partition early without ending the others, hence the partition iterator.
-        with session_settings(spark, _ONE_FILE_PER_TASK):
-            found += (
-                lines_of(large)
-                .rdd.mapPartitions(lambda rows: islice((row[:2] for row in rows if counts(row[1])), 1))
-                .collect()
-            )
-    return {uri: bytes(line) for uri, line in found}
+
+def safe_names(cells: Sequence[str | None], null_value: str, case_sensitive: bool) -> tuple[str, ...]:
+    """Column names as Spark makes them of a header: blank cells and repeated names get their place."""
+    plain = [cell if case_sensitive or cell is None else cell.lower() for cell in cells]
+    names = []
+    for place, cell in enumerate(cells):
+        if not cell or cell == null_value:
+            names.append(f"_c{place}")
+        elif plain.count(plain[place]) > 1:
+            names.append(f"{cell}{place}")
+        else:
+            names.append(cell)
+    return tuple(names)
 
 
 def header_groups(
     spark: SparkSession, files: Sequence[LandedFile], options: Mapping[str, str]
 ) -> list[HeaderGroup]:
-    """The files of one micro-batch by header; files without a line drop out.
+    """The files of one micro-batch by columns; files without a line drop out.
 
-    The first line of a file tells its header. Spark itself turns one header of each kind into
-    column names, so quoting, blank and repeated cells follow its rules.
+    The first line of a file tells its header. Headers that a line alone does not tell are
+    left to Spark's reader, one file at a time.
     """
     line_of = first_lines(spark, files, options)
+    ordered = [file for file in sorted(files, key=lambda file: file.uri) if file.uri in line_of]
+    distinct = list(dict.fromkeys(line_of[file.uri] for file in ordered))
+    cells_of = dict(zip(distinct, header_cells(spark, distinct, options)))
+    null_value = next((value for name, value in options.items() if name.lower() == "nullvalue"), "")
+    case_sensitive = spark.conf.get("spark.sql.caseSensitive") == "true"
     quote = (options.get("quote") or '"').encode()
-    by_header: dict[tuple[bytes, str], list[str]] = {}
-    for file in sorted(files, key=lambda file: file.uri):
-        if file.uri in line_of:
-            line = line_of[file.uri]
-            # A quoted cell that runs on to the next line: this header is known from its file only.
-            runs_on = line.count(quote) % 2 == 1
-            by_header.setdefault((line, file.uri if runs_on else ""), []).append(file.path)
-    groups = []
-    for paths in by_header.values():
-        sample = spark.read.options(**options).option("header", True).csv(literal_path(paths[0]))
-        groups.append(HeaderGroup(tuple(sample.columns), tuple(paths)))
-    return groups
+    by_columns: dict[tuple[str, ...], list[str]] = {}
+    read: dict[bytes, tuple[str, ...]] = {}
+    for file in ordered:
+        line = line_of[file.uri]
+        if cells_of[line] is not None:
+            columns = safe_names(cells_of[line], null_value, case_sensitive)
+        elif line in read:
+            columns = read[line]
+        else:
+            columns = tuple(spark.read.options(**options).option("header", True).csv(literal_path(file.path)).columns)
+            if line.count(quote) % 2 == 0:
+                read[line] = columns
+        by_columns.setdefault(columns, []).append(file.path)
+    return [HeaderGroup(columns, tuple(paths)) for columns, paths in by_columns.items()]
 
 
 def fold_names(known: Sequence[str], columns: Sequence[str]) -> list[str]:
@@ -176,44 +238,45 @@ def fold_names(known: Sequence[str], columns: Sequence[str]) -> list[str]:
     return out
 
 
-def numbered(spark: SparkSession, files: Sequence[LandedFile]) -> DataFrame:
-    """(uri, number) of the files in order of their names."""
-    uris = F.from_json(F.lit(json.dumps(sorted(file.uri for file in files))), "array<string>")
-    return spark.range(0, 1, 1, 1).select(F.posexplode(uris).alias(FILE_NO, SOURCE_FILE))
-
-
 def read_by_name(
     spark: SparkSession,
-    files: Sequence[LandedFile],
     groups: Sequence[HeaderGroup],
     known: Sequence[str],
     options: Mapping[str, str],
+    reserved: Iterable[str] = (),
 ) -> DataFrame:
-    """All rows of the groups as text, columns matched by name, plus where each row came from."""
+    """All rows of the groups as text, columns matched by name, plus where each row came from.
+
+    A line with more or fewer cells than its header fills what it can, and is kept whole too.
+    """
+    refused = {name.lower() for name in (*POSITION, METADATA, *reserved)}
+    for group in groups:
+        clash = sorted(name for name in group.columns if name.lower() in refused)
+        if clash:
+            raise HeaderError(f"reserved column names in the files: {clash}, such as in {group.paths[0]}")
     names = list(known)
     parts = []
     for group in groups:
         columns = fold_names(names, group.columns)
         names += [column for column in columns if column not in names]
-        schema = T.StructType([T.StructField(column, T.StringType()) for column in columns])
+        schema = T.StructType([T.StructField(column, T.StringType()) for column in (*columns, UNFIT)])
         rows = (
             spark.read.schema(schema)
             .options(**options)
             .option("header", True)
+            .option("columnNameOfCorruptRecord", UNFIT)
             .csv([literal_path(path) for path in group.paths])
         )
         parts.append(
             rows.select(
                 *quoted_all(columns),
+                F.col("_metadata.file_modification_time").alias(FILE_TIME),
                 F.col("_metadata.file_path").alias(SOURCE_FILE),
                 F.col("_metadata.file_block_start").alias(BLOCK_START),
                 F.monotonically_increasing_id().alias(ROW_ID),
+                UNFIT,
             )
         )
     union = reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), parts)
-    # As many rows as the micro-batch has files, which the driver holds anyway.
-    rows = union.join(F.broadcast(numbered(spark, files)), SOURCE_FILE, "left")
-    unknown = F.raise_error(F.concat(F.lit("a row of a file that was not listed: "), SOURCE_FILE)).cast("int")
-    rows = rows.withColumn(FILE_NO, F.coalesce(FILE_NO, unknown))
-    present = set(rows.columns)
-    return rows.select(*[quoted(name) for name in names if name in present], *POSITION)
+    present = set(union.columns)
+    return union.select(*[quoted(name) for name in names if name in present], *POSITION)

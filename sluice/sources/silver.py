@@ -1,34 +1,45 @@
 """The typed table: Parquet in key buckets, of which a load rewrites only the touched ones.
 
 ``<root>/data/_load=<n>/_bucket=<b>/`` holds the rows and ``<root>/loads/`` an entry for each
-load, which is its commit: rows and merged raw version become visible together. A bucket's
-rows are those of the last load that wrote it. Rows with a NULL in the key match nothing, so
-they are never rewritten: they sit in bucket -1, to which each load only adds.
+load, which is its commit: rows and merged raw version become visible together. The last entry
+tells, for every bucket, which load holds its rows. Rows with a NULL in the key match nothing:
+they sit in bucket -1, to which loads add; now and then a load puts them together.
 """
 
 from __future__ import annotations
 
 import json
 import math
-from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.functions.columns import any_null, quoted_all
+from sluice.functions.columns import any_null, quoted, quoted_all
 from sluice.operators.upsert import keep_values, unmatched
-from sluice.sources.log import Log, path_exists
+from sluice.sources.log import Log, file_sizes, path_exists
 
 LOAD = "_load"
 BUCKET = "_bucket"
 LOOSE = -1
+RESERVED = frozenset([LOAD, BUCKET])
 
-BUCKET_BYTES = 1 << 30
+#: Bytes of Parquet in a bucket, about.
+BUCKET_BYTES = 256 << 20
 MAX_BUCKETS = 1 << 14
 GROWTH = 4  # buckets are recounted once the table calls for this many times more
 
+PLACE = T.StructType(
+    [
+        T.StructField("bucket", T.IntegerType()),
+        T.StructField("load", T.LongType()),
+        T.StructField("bytes", T.LongType()),
+        T.StructField("of", T.IntegerType()),
+    ]
+)
 ENTRY = T.StructType(
     [
         T.StructField("load", T.LongType()),
@@ -39,7 +50,10 @@ ENTRY = T.StructType(
         T.StructField("written", T.ArrayType(T.IntegerType())),
         T.StructField("keys", T.ArrayType(T.StringType())),
         T.StructField("schema", T.StringType()),
+        T.StructField("since", T.MapType(T.StringType(), T.LongType())),
+        T.StructField("ever", T.MapType(T.StringType(), T.StringType())),
         T.StructField("base_load", T.LongType()),
+        T.StructField("places", T.ArrayType(PLACE)),
     ]
 )
 
@@ -48,9 +62,23 @@ MERGE = "merge"
 EMPTY = "empty"
 
 
+@dataclass(frozen=True)
+class Place:
+    """Rows of a bucket: the load that wrote them, their bytes, and how many buckets it wrote."""
+
+    bucket: int
+    load: int
+    bytes: int
+    of: int
+
+
 @dataclass(frozen=True)
 class SilverState:
-    """What the last log entry says. ``base_load`` is the full load the table builds on."""
+    """What the last log entry says.
+
+    ``base_load`` is the full load the table builds on. A column's values count from the load
+    ``since`` which it is in the contract; ``ever`` holds the type of each name that ever was.
+    """
 
     load: int
     raw_version: int
@@ -58,17 +86,24 @@ class SilverState:
     keys: list[str]
     schema: T.StructType
     base_load: int
+    since: Mapping[str, int] = field(default_factory=dict)
+    ever: Mapping[str, str] = field(default_factory=dict)
+    places: tuple[Place, ...] = ()
+
+    @property
+    def bytes(self) -> int:
+        return sum(place.bytes for place in self.places)
 
 
-def bucket_count(size: int, tasks: int) -> int:
-    """Buckets for a table of about ``size`` bytes: a multiple or a divisor of the shuffle width.
+def bucket_count(size: int, tasks: int, bucket_bytes: int) -> int:
+    """Buckets for a table of about ``size`` bytes, at most twice as many as it calls for.
 
-    Then each shuffle task of a load holds whole buckets, or parts of a single one.
+    A multiple or a divisor of the shuffle width, if one is near: then each shuffle task of a
+    load holds whole buckets, or parts of a single one.
     """
-    wanted = min(MAX_BUCKETS, max(1, math.ceil(size / BUCKET_BYTES)))
-    if wanted >= tasks:
-        return tasks * (wanted // tasks)
-    return max(n for n in range(1, wanted + 1) if tasks % n == 0)
+    wanted = min(MAX_BUCKETS, max(1, math.ceil(size / bucket_bytes)))
+    fitting = (n for n in range(wanted, min(MAX_BUCKETS, 2 * wanted) + 1) if n % tasks == 0 or tasks % n == 0)
+    return next(fitting, wanted)
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
@@ -77,13 +112,20 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.when(any_null(keys), F.lit(LOOSE)).otherwise(hashed).cast("int").alias(BUCKET)
 
 
+def nothing_to_check() -> None:
+    pass
+
+
 class SilverTable:
-    def __init__(self, spark: SparkSession, root: str, compact_every: int = 16) -> None:
+    def __init__(
+        self, spark: SparkSession, root: str, compact_every: int = 16, bucket_bytes: int | None = None
+    ) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
         self.data = f"{self.root}/data"
         self.compact_every = compact_every
-        self.log = Log(spark, f"{self.root}/loads", ENTRY)
+        self.bucket_bytes = bucket_bytes or BUCKET_BYTES
+        self.log = Log(spark, f"{self.root}/loads", ENTRY, key="load")
 
     # -- state ---------------------------------------------------------------------------
 
@@ -92,12 +134,19 @@ class SilverTable:
 
     def state(self) -> SilverState | None:
         """The last load, None before the first one."""
-        last = self.loads().drop("written").orderBy(F.desc("load")).first()
+        last = self.log.last()
         if last is None:
             return None
-        schema = T.StructType.fromJson(json.loads(last.schema))
         return SilverState(
-            last.load, last.raw_version, last.buckets, list(last["keys"]), schema, last.base_load
+            last.load,
+            last.raw_version,
+            last.buckets,
+            list(last["keys"]),
+            T.StructType.fromJson(json.loads(last.schema)),
+            last.base_load,
+            dict(last.since),
+            dict(last.ever),
+            tuple(Place(**place) for place in last.places),
         )
 
     def exists(self) -> bool:
@@ -113,42 +162,70 @@ class SilverTable:
         state = self.state()
         if not self.has_rows(state):
             raise ValueError(f"{self.root} holds no table")
-        return self._read(state, state.schema).drop(LOAD, BUCKET)
-
-    def _current(self, state: SilverState) -> DataFrame:
-        """(load, bucket) pairs that make up the table: the last writer of each bucket, and
-        every writer of the bucket of loose rows."""
-        pairs = (
-            self.loads()
-            .filter((F.col("load") >= state.base_load) & (F.col("load") <= state.load))
-            .select("load", F.explode("written").alias("bucket"), F.size("written").alias("of"))
-        )
-        whole = pairs.filter(F.col("bucket") != LOOSE).groupBy("bucket")
-        last = whole.agg(F.max(F.struct("load", "of")).alias("last")).select("last.load", "bucket", "last.of")
-        return last.unionByName(pairs.filter(F.col("bucket") == LOOSE))
-
-    def _read(self, state: SilverState, schema: T.StructType, buckets: Sequence[int] | None = None) -> DataFrame:
-        """The current rows, or those of some buckets, with their load and bucket."""
-        # At most one row per bucket and per load with loose rows.
-        current = self._current(state).collect()
+        return self._read(state, state.schema, state.since).select(*quoted_all(state.schema.names))
+
+    def view_sql(self) -> str | None:
+        """The current rows as a query on their directories, None if there are none."""
+        state = self.state()
+        if not self.has_rows(state):
+            return None
+
+        def mark(name: str) -> str:
+            return "`" + name.replace("`", "``") + "`"
+
+        parts = []
+        for load, places in self._by_load(state.places).items():
+            columns = [
+                mark(f.name)
+                if state.since[f.name] <= load
+                else f"CAST(NULL AS {f.dataType.simpleString()}) AS {mark(f.name)}"
+                for f in state.schema
+            ]
+            buckets = ", ".join(str(place.bucket) for place in places)
+            where = "" if len(places) == places[0].of else f" WHERE {BUCKET} IN ({buckets})"
+            parts.append(f"SELECT {', '.join(columns)} FROM parquet.{mark(self._place(load))}{where}")
+        return " UNION ALL ".join(parts)
+
+    @staticmethod
+    def _by_load(places: Sequence[Place]) -> dict[int, list[Place]]:
+        by_load: dict[int, list[Place]] = {}
+        for place in sorted(places, key=lambda place: (place.load, place.bucket)):
+            by_load.setdefault(place.load, []).append(place)
+        return by_load
+
+    def _read(
+        self,
+        state: SilverState,
+        schema: T.StructType,
+        since: Mapping[str, int],
+        buckets: Sequence[int] | None = None,
+    ) -> DataFrame:
+        """The current rows, or those of some buckets, with their bucket.
+
+        What a load wrote is read with the columns that count since then; others are NULL, also
+        if an earlier column of that name is still in its files.
+        """
         wanted = None if buckets is None else set(buckets)
-        by_load: dict[int, list] = {}
-        for row in current:
-            if wanted is None or row.bucket in wanted:
-                by_load.setdefault(row.load, []).append(row)
-        paths = []
-        for load, rows in sorted(by_load.items()):
+        places = [place for place in state.places if wanted is None or place.bucket in wanted]
+        paths: dict[tuple[str, ...], list[str]] = {}
+        for load, some in self._by_load(places).items():
+            visible = tuple(name for name in schema.names if since.get(name, 0) <= load)
             place = self._place(load)
-            if len(rows) == rows[0].of:
-                paths.append(place)  # all the load wrote
+            if len(some) == some[0].of:
+                paths.setdefault(visible, []).append(place)  # all the load wrote
             else:
-                paths += [f"{place}/{BUCKET}={bucket}" for bucket in sorted(row.bucket for row in rows)]
-        full = T.StructType(
-            [*schema, T.StructField(LOAD, T.LongType()), T.StructField(BUCKET, T.IntegerType())]
-        )
-        if not paths:
+                paths.setdefault(visible, []).extend(f"{place}/{BUCKET}={part.bucket}" for part in some)
+        full = _bucketed(schema)
+        parts = []
+        for visible, some in paths.items():
+            fields = [f for f in schema if f.name in visible]
+            read = T.StructType([*fields, T.StructField(LOAD, T.LongType()), T.StructField(BUCKET, T.IntegerType())])
+            rows = self.spark.read.schema(read).option("basePath", self.data).parquet(*some)
+            columns = [quoted(f.name) if f.name in visible else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+            parts.append(rows.select(*columns, BUCKET))
+        if not parts:
             return self.spark.createDataFrame([], full)
-        return self.spark.read.schema(full).option("basePath", self.data).parquet(*paths)
+        return reduce(DataFrame.unionByName, parts)
 
     def superseded(self) -> DataFrame:
         """Directories of logged loads that the table no longer reads, free to be removed."""
@@ -156,7 +233,10 @@ class SilverTable:
         if state is None:
             return self.spark.createDataFrame([], "path string")
         written = self.loads().select("load", F.explode("written").alias("bucket"))
-        old = written.join(self._current(state), ["load", "bucket"], "left_anti")
+        current = self.spark.createDataFrame(
+            [(place.load, place.bucket) for place in state.places], "load long, bucket int"
+        )
+        old = written.join(current, ["load", "bucket"], "left_anti")
         path = F.concat(F.lit(f"{self.data}/{LOAD}="), "load", F.lit(f"/{BUCKET}="), "bucket")
         return old.select(path.alias("path"))
 
@@ -167,11 +247,13 @@ class SilverTable:
         initial = self.spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
         return int(initial or self.spark.conf.get("spark.sql.shuffle.partitions"))
 
-    @staticmethod
-    def _write(rows: DataFrame, place: str) -> None:
-        """Write a load's buckets; whatever a load that failed left there goes first."""
+    def _write(self, rows: DataFrame, place: str) -> dict[int, int]:
+        """Write buckets; what a load that failed left there goes first. Bytes of each bucket."""
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
         writer.partitionBy(BUCKET).parquet(place)
+        found = file_sizes(self.spark, place)
+        prefix = f"{BUCKET}="
+        return {int(name.removeprefix(prefix)): size for name, size in found.items() if name.startswith(prefix)}
 
     def _by_bucket(self, rows: DataFrame, keys: Sequence[str], buckets: int, shuffled_by_key: bool) -> DataFrame:
         """Add the bucket, with the rows of one bucket in few tasks, so a write makes few files.
@@ -192,16 +274,21 @@ class SilverTable:
         raw_version: int,
         size: int,
         shuffled_by_key: bool = False,
+        check: Callable[[], None] = nothing_to_check,
     ) -> int:
-        """Make ``rows`` the table, in one write. ``size`` is the rough size that sets the buckets."""
+        """Make ``rows`` the table, in one write. ``size`` is about what they will take as Parquet.
+
+        ``check`` runs after the rows are written and before they count.
+        """
         load = 0 if state is None else state.load + 1
-        buckets = bucket_count(size, self._tasks())
+        buckets = bucket_count(size, self._tasks(), self.bucket_bytes)
         counted = Observation()
         placed = self._by_bucket(rows, keys, buckets, shuffled_by_key)
-        self._write(placed.observe(counted, F.count(F.lit(1)).alias("rows")), self._place(load))
+        sizes = self._write(placed.observe(counted, F.count(F.lit(1)).alias("rows")), self._place(load))
+        check()
         count = counted.get["rows"]
         made = SilverState(load, raw_version, buckets, list(keys), rows.schema, base_load=load)
-        self._commit(made, FULL, count, self._buckets_in(load))
+        self._commit(self._with_columns(made, state, load), FULL, count, sizes, ())
         return count
 
     def merge(
@@ -210,51 +297,66 @@ class SilverTable:
         rows: DataFrame,
         keys: Sequence[str],
         raw_version: int,
-        size: int,
         keep: Sequence[str] = (),
         shuffled_by_key: bool = False,
+        check: Callable[[], None] = nothing_to_check,
     ) -> int:
         """Upsert ``rows``, each key at most once, into the buckets they fall in.
 
         The rows are written to a staging place first: they feed the bucket list, the join and
         the new buckets, and a lost executor then costs no recomputation. A table that has
-        outgrown its buckets is written anew with more of them.
+        outgrown its buckets is written anew with more of them; its size is what its files
+        take, and at most what the new rows add.
         """
-        staged, counts = self._stage(rows, keys, state.buckets, shuffled_by_key)
-        buckets = bucket_count(size, self._tasks())
+        staged, touched, counts = self._stage(rows, keys, state.buckets, shuffled_by_key)
+        check()
+        buckets = bucket_count(state.bytes + sum(touched.values()), self._tasks(), self.bucket_bytes)
         grown = buckets >= GROWTH * state.buckets
-        touched = None if grown else sorted(row[BUCKET] for row in staged.select(BUCKET).distinct().collect())
 
         load = state.load + 1
+        made = replace(state, load=load, raw_version=raw_version, keys=list(keys), schema=rows.schema)
+        made = self._with_columns(made, state, load)
         read = None if grown else [bucket for bucket in touched if bucket != LOOSE]
-        target = self._read(state, rows.schema, read).drop(LOAD)
+        target = self._read(state, rows.schema, made.since, read)
         whole = target.filter(F.col(BUCKET) != LOOSE)  # by directory; a loose row has no match
         incoming = keep_values(whole, staged, keys, keep) if keep else staged
         result = unmatched(whole, self._small(staged, counts, keys), keys).unionByName(incoming)
+        loose = [place for place in state.places if place.bucket == LOOSE]
+        gather = bool(self.compact_every) and len(loose) >= self.compact_every
         if grown:
             result = self._by_bucket(result.drop(BUCKET), keys, buckets, shuffled_by_key=False)
             result = result.unionByName(target.filter(F.col(BUCKET) == LOOSE))
-        elif self.compact_every and load % self.compact_every == 0:
-            # A shuffle-free merge adds a file per bucket; now and then put them together.
-            result = result.hint("rebalance", BUCKET)
-        self._write(result, self._place(load))
-
-        made = SilverState(
-            load,
-            raw_version,
-            buckets if grown else state.buckets,
-            list(keys),
-            rows.schema,
-            base_load=load if grown else state.base_load,
-        )
-        self._commit(made, FULL if grown else MERGE, counts["rows"], self._buckets_in(load) if grown else touched)
+            made = replace(made, buckets=buckets, base_load=load)
+        else:
+            if gather:
+                result = result.unionByName(self._read(state, rows.schema, made.since, [LOOSE]))
+            if gather or self.compact_every and load % self.compact_every == 0:
+                # A shuffle-free merge adds a file per bucket; now and then put them together.
+                result = result.hint("rebalance", BUCKET)
+        sizes = self._write(result, self._place(load))
+        replaced = {bucket for bucket in touched if bucket != LOOSE} | ({LOOSE} if gather else set())
+        kept = [] if grown else [place for place in state.places if place.bucket not in replaced]
+        self._commit(made, FULL if grown else MERGE, counts["rows"], sizes, kept)
         return counts["rows"]
 
     def log_empty(self, state: SilverState, raw_version: int) -> None:
         """Note versions that held no rows, so they are not looked at again."""
-        self._commit(replace(state, load=state.load + 1, raw_version=raw_version), EMPTY, 0, [])
+        made = replace(state, load=state.load + 1, raw_version=raw_version)
+        self._commit(made, EMPTY, 0, {}, state.places)
 
-    def _commit(self, made: SilverState, kind: str, rows_in: int, written: Sequence[int]) -> None:
+    @staticmethod
+    def _with_columns(made: SilverState, state: SilverState | None, load: int) -> SilverState:
+        """With the loads since which the columns count, and the types of all there ever were."""
+        old = set() if state is None else set(state.schema.names)
+        since = {name: state.since.get(name, 0) if name in old else load for name in made.schema.names}
+        ever = {} if state is None else dict(state.ever)
+        ever |= {f.name.lower(): f.dataType.simpleString() for f in made.schema}
+        return replace(made, since=since, ever=ever)
+
+    def _commit(
+        self, made: SilverState, kind: str, rows_in: int, sizes: Mapping[int, int], kept: Sequence[Place]
+    ) -> None:
+        written = [Place(bucket, made.load, size, len(sizes)) for bucket, size in sorted(sizes.items())]
         self.log.append(
             {
                 "load": made.load,
@@ -262,24 +364,23 @@ class SilverTable:
                 "raw_version": made.raw_version,
                 "rows_in": rows_in,
                 "buckets": made.buckets,
-                "written": list(written),
+                "written": sorted(sizes),
                 "keys": made.keys,
                 "schema": made.schema.json(),
+                "since": dict(made.since),
+                "ever": dict(made.ever),
                 "base_load": made.base_load,
+                "places": [vars(place) for place in (*kept, *written)],
             }
         )
 
     def _place(self, load: int) -> str:
         return f"{self.data}/{LOAD}={load}"
 
-    def _buckets_in(self, load: int) -> list[int]:
-        """Buckets a load wrote: at most one row each."""
-        written = self.spark.read.schema(f"{BUCKET} int").parquet(self._place(load)).distinct()
-        return sorted(row[BUCKET] for row in written.collect())
-
     def _stage(
         self, rows: DataFrame, keys: Sequence[str], buckets: int, shuffled_by_key: bool
-    ) -> tuple[DataFrame, dict]:
+    ) -> tuple[DataFrame, dict[int, int], dict]:
+        """The rows in a staging place by bucket, the bytes of each bucket, and their counts."""
         place = f"{self.root}/staged"  # of one load; the next one overwrites it
         counted = Observation()
         placed = self._by_bucket(rows, keys, buckets, shuffled_by_key).observe(
@@ -287,8 +388,8 @@ class SilverTable:
             F.count(F.lit(1)).alias("rows"),
             F.sum(_key_bytes(rows.schema, keys)).alias("key_bytes"),
         )
-        placed.write.mode("overwrite").parquet(place)
-        return self.spark.read.schema(_bucketed(rows.schema)).parquet(place), counted.get
+        sizes = self._write(placed, place)
+        return self.spark.read.schema(_bucketed(rows.schema)).parquet(place), sizes, counted.get
 
     def _small(self, staged: DataFrame, counts: dict, keys: Sequence[str]) -> DataFrame:
         """The staged keys, to be broadcast if their measured size allows; else Spark decides."""

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from sluice.sources.bronze import BronzeTable
+from sluice.sources.bronze import RESERVED, BronzeTable
 from sluice.sources.csv_files import (
     FEW_LISTING_TASKS,
     LandedFile,
@@ -71,7 +71,7 @@ def take_up(
     """Write the rows of some files as one version; files without a line make none."""
     groups = header_groups(session, files, options) if files else []
     if groups:
-        rows = read_by_name(session, files, groups, bronze.known_columns(), options)
+        rows = read_by_name(session, groups, bronze.known_columns(), options, RESERVED)
         size = sum(file.length for file in files)
         bronze.write_version(rows, version, stream_id, files=len(files), size=size)
 

@@ -81,6 +81,24 @@ def test_problems_are_all_listed():
     assert Contract(()).problems() == ["no fields"]
 
 
+def test_reserved_names_are_problems():
+    from sluice.plans.contract import RESERVED_NAMES
+    from sluice.sources import bronze, silver
+
+    assert RESERVED_NAMES == bronze.RESERVED | silver.RESERVED
+    for name in ("_bucket", "_Load", "_change_type", "_row_id"):
+        contract = Contract((Field("k", "string", is_primary_key=True), Field(name, "string")))
+        assert contract.problems() == [f"column {name!r} has a reserved name"]
+
+
+def test_a_dropped_column_comes_back_with_its_type_only():
+    stored = T.StructType([T.StructField("k", T.StringType())])
+    key = Field("k", "string", is_primary_key=True)
+    check_evolution(stored, ["k"], Contract((key, Field("x", "long"))), {"x": "bigint"})
+    with pytest.raises(ValueError, match="'X' changed from bigint to string"):
+        check_evolution(stored, ["k"], Contract((key, Field("X", "string"))), {"x": "bigint"})
+
+
 def test_evolution():
     stored = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.IntegerType())])
     key = Field("k", "string", is_primary_key=True)
@@ -105,6 +123,8 @@ def test_registry_reports_malformed_entries():
         ("a", "raw_a", "a_silver", "error"),
         ("d", "raw_d", "d_silver", "error"),
     ]
+    broken = {"a": {"fields": [{"name": "k"}]}, "d": {"fields": "none"}}
+    assert read_registry(entries[:1] + entries[3:], broken) == ([], [entries[0], entries[3]])
     assert good[0].contract.keys == ["k"]
     assert good[1].contract is None
     assert bad == entries[1:3]

@@ -11,7 +11,7 @@ from sluice import BronzeTable, SilverTable, conform, contract_report, latest_pe
 from sluice.operators.upsert import unmatched
 from sluice.sources.csv_files import new_files
 from tests.helpers import MEMBERS, Desk, plan
-from tests.test_ingest import LINE
+from tests.test_ingest import EPOCH, LINE
 from tests.test_runs import KV
 
 
@@ -86,7 +86,7 @@ def test_table_changes_shuffles_both_tables_once(parquet, settings):
 
 def test_the_version_bound_prunes_directories(spark, root):
     bronze = BronzeTable(spark, f"{root}/t")
-    line = spark.createDataFrame([("1", "f", 0, 0, 0)], LINE)
+    line = spark.createDataFrame([("1", EPOCH, "f", 0, 0)], LINE)
     for version in range(4):
         bronze.write_version(line, version, "s")
     text = plan(bronze.read_upto(2))

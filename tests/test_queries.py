@@ -6,15 +6,18 @@ import pytest
 
 import __spark_entry__ as driver
 from checks.compare import spark_rows, sql_rows
+from checks.queries import QUERIES
+from checks.sql import SQL
 
 SMALL = "/root/testdata/sf0.001"
 
 
 def test_each_query_has_its_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(driver.queries()) and set(SQL) <= set(driver.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, name):
     names, got = spark_rows(spark, name, SMALL)
     expected_names, expected = sql_rows(name, SMALL)
