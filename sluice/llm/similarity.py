@@ -177,11 +177,12 @@ class Shingled:
             self.rows.select("text")
             .mapInArrow(deal, "bucket long, entries binary")
             .groupBy("bucket")
-            .applyInArrow(_counted, "item long, shared long")
+            .applyInArrow(_counter(-(-buckets // 2)), "part long, entries binary")
+            .groupBy("part")
+            .applyInArrow(_summed, "item long, shared long")
         )
-        enough = shared.groupBy("item").agg(F.sum("shared").alias("shared"))
         return written(
-            items.join(enough, "item").filter(F.col("shared") * 100 >= F.col("n") * self.percent).drop("shared"),
+            items.join(shared, "item").filter(F.col("shared") * 100 >= F.col("n") * self.percent).drop("shared"),
             "candidates",
         )
 
@@ -194,40 +195,20 @@ class Shingled:
             chosen = F.broadcast(chosen)
         texts = self.rows.join(chosen, "content", "left_semi").select("text")
         buckets = max(1, -(-(total or 0) // BUCKET))
-        k, percent = self.k, self.percent
+        k = self.k
 
-        def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            width = (1 << 64) // buckets + 1
+        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for chunk in _chunks(batches, k):
-                rows: list[tuple[int, int, bytes]] = []
-                for name, own in chunk.items():
-                    cuts = np.searchsorted(own, np.array([i * width for i in range(1, buckets)], np.uint64))
-                    parts = np.split(own, cuts) if buckets > 1 else [own]
-                    rows += [(name, i, part.tobytes()) for i, part in enumerate(parts) if len(part)]
-                yield _arrow(rows, _PART)
-
-        parts = self._wanted(texts.mapInArrow(split, "item long, bucket long, hashes binary"), found)
-        ranked = parts.groupBy("bucket").applyInArrow(
-            _with_frequency, "item long, bucket long, hashes binary, frequency binary"
-        )
-        whole = ranked.groupBy("item").agg(F.array_sort(F.collect_list(F.struct("bucket", "hashes", "frequency"))).alias("parts"))
+                yield _arrow(_ranges(chunk, buckets), _BUCKET)
 
-        def first_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for at in range(0, batch.num_rows, 500):
-                    rows = []
-                    for row in batch.slice(at, 500).to_pylist():
-                        own = np.frombuffer(b"".join(p["hashes"] for p in row["parts"]), np.uint64)
-                        frequency = np.frombuffer(b"".join(p["frequency"] for p in row["parts"]), np.uint8)
-                        n = len(own)
-                        order = np.argsort(frequency, kind="stable")[: n - -(-percent * n // 100) + 1]
-                        keys = own[order[frequency[order] > 1]].view(np.int64).tolist()
-                        if keys:
-                            rows.append((row["item"], n, own.tobytes(), keys))
-                    if rows:
-                        yield _arrow(rows, _KEYED)
-
-        keyed = written(whole.mapInArrow(first_keys, "item long, n long, hashes binary, keys array<long>"), "keyed")
+        keyed = written(
+            texts.mapInArrow(deal, "bucket long, entries binary")
+            .groupBy("bucket")
+            .applyInArrow(_ranker(buckets), "part long, bucket long, entries binary")
+            .groupBy("part")
+            .applyInArrow(_keyer(self.percent), "item long, n long, hashes binary, keys array<long>"),
+            "keyed",
+        )
         by_key = keyed.select("item", F.explode("keys").alias("key"))
         least = by_key.groupBy("key").agg(F.min("item").alias("b"), F.max("item").alias("other")).filter("b < other")
         edges = by_key.join(least.drop("other"), "key").select(F.col("item").alias("a"), "b").distinct()
@@ -236,13 +217,6 @@ class Shingled:
             labels.select(F.col("node").alias("item"), F.col("label").alias("block")), "item"
         )
 
-    @staticmethod
-    def _wanted(parts: DataFrame, found: DataFrame) -> DataFrame:
-        """One row per item and bucket; copies in several chunks count once."""
-        return parts.groupBy("bucket", "item").agg(F.first("hashes").alias("hashes")).join(
-            found.select("item"), "item", "left_semi"
-        )
-
     def links(self, spanning: bool) -> DataFrame:
         """Pairs (a, b) of linked items: all of them, or as many as join what is joined."""
         placed = written(self.blocks(), "placed")
@@ -304,7 +278,7 @@ class Shingled:
         return rows.select("task", "item", "hashes", "label", "side").groupBy("task").applyInArrow(join, "a long, b long")
 
 
-_PART = pa.schema([("item", pa.int64()), ("bucket", pa.int64()), ("hashes", pa.binary())])
+_BUCKET = pa.schema([("bucket", pa.int64()), ("entries", pa.binary())])
 _KEYED = pa.schema([("item", pa.int64()), ("n", pa.int64()), ("hashes", pa.binary()), ("keys", pa.list_(pa.int64()))])
 
 
@@ -371,11 +345,42 @@ def _dealt(chunk: dict[int, np.ndarray], buckets: int) -> Iterator[pa.RecordBatc
         yield _arrow(rows, _BUCKET)
 
 
-_BUCKET = pa.schema([("bucket", pa.int64()), ("entries", pa.binary())])
+def _parts(names: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Items sorted by part, and where each part starts."""
+    part = ((names.view(np.uint64) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    order = np.argsort(part, kind="stable")
+    return order, np.searchsorted(part[order], np.arange(parts + 1))
+
+
+def _counter(parts: int):
+    """For the items of a bucket, by part, how many of their shingles there occur in other items."""
+
+    def run(table: pa.Table) -> pa.Table:
+        names, counts = _counted(table)
+        order, cuts = _parts(names, parts)
+        rows = []
+        for p in range(parts):
+            at = order[cuts[p] : cuts[p + 1]]
+            if len(at):
+                rows.append((p, names[at].tobytes() + counts[at].astype(np.uint32).tobytes()))
+        return pa.Table.from_batches([_arrow(rows, pa.schema([("part", pa.int64()), ("entries", pa.binary())]))])
+
+    return run
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    names, counts = [], []
+    for value in table["entries"].to_pylist():
+        n = len(value) // 12
+        names.append(np.frombuffer(value, np.int64, n))
+        counts.append(np.frombuffer(value, np.uint32, n, 8 * n))
+    items, which = np.unique(np.concatenate(names), return_inverse=True)
+    total = np.bincount(which, np.concatenate(counts), len(items)).astype(np.int64)
+    return pa.table({"item": pa.array(items, pa.int64()), "shared": pa.array(total, pa.int64())})
 
 
-def _counted(table: pa.Table) -> pa.Table:
-    """For each item of a bucket how many of its shingles there occur in other items."""
+def _counted(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Items of a bucket with shingles there that occur in other items, and how many."""
     names, singles, doubled, shingles, seen = [], [], [], [], []
     for value in table["entries"].to_pylist():
         n, tail = np.frombuffer(value, np.uint32, 2).tolist()
@@ -410,19 +415,100 @@ def _counted(table: pa.Table) -> pa.Table:
     is_first = np.zeros(len(name), bool)
     is_first[first] = True
     keep = is_first & (count > 0)
-    return pa.table({"item": pa.array(name[keep], pa.int64()), "shared": pa.array(count[keep], pa.int64())})
-
-
-def _with_frequency(table: pa.Table) -> pa.Table:
-    """The shingles of a bucket with the number of items that have them, 255 at most."""
-    parts = [np.frombuffer(h, np.uint64) for h in table["hashes"].to_pylist()]
-    values = np.concatenate(parts)
-    _, inverse, count = np.unique(values, return_inverse=True, return_counts=True)
-    frequency = np.minimum(count, 255).astype(np.uint8)[inverse]
-    cuts = np.cumsum([len(p) for p in parts])[:-1]
-    return table.append_column(
-        "frequency", pa.array([f.tobytes() for f in np.split(frequency, cuts)], pa.binary())
-    ).select(["item", "bucket", "hashes", "frequency"])
+    return name[keep], count[keep]
+
+
+def _entries(names: np.ndarray, sizes: np.ndarray, *values: np.ndarray) -> bytes:
+    """Items, the number of their shingles, and the shingles by item with what belongs to them."""
+    head = np.array([len(names)], np.uint64)
+    return b"".join(x.tobytes() for x in (head, names.astype(np.int64), sizes.astype(np.int64), *values))
+
+
+def _read_entries(value: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    n = int(np.frombuffer(value, np.uint64, 1)[0])
+    names, sizes = np.frombuffer(value, np.int64, n, 8), np.frombuffer(value, np.int64, n, 8 + 8 * n)
+    total = int(sizes.sum())
+    return (
+        names,
+        sizes,
+        np.frombuffer(value, np.uint64, total, 8 + 16 * n),
+        np.frombuffer(value, np.uint8, offset=8 + 16 * n + 8 * total),
+    )
+
+
+def _ranges(chunk: dict[int, np.ndarray], buckets: int) -> list[tuple[int, bytes]]:
+    """The sets of a chunk cut into ranges of hashes, a bucket each."""
+    names = np.fromiter(chunk, np.int64, len(chunk))
+    sizes = np.array([len(own) for own in chunk.values()])
+    values = np.concatenate(list(chunk.values()))
+    owner = np.repeat(np.arange(len(names)), sizes)
+    bucket = ((values >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+    order = np.argsort(bucket, kind="stable")  # within a bucket still by item, and sorted
+    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    rows = []
+    for b in range(buckets):
+        at = order[cuts[b] : cuts[b + 1]]
+        if len(at):
+            own = owner[at]
+            first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
+            rows.append((b, _entries(names[own[first]], np.diff(np.append(first, len(own))), values[at])))
+    return rows
+
+
+def _ranker(parts: int):
+    """Adds to the shingles of a bucket the number of items that have them, 255 at most; by part."""
+
+    def run(table: pa.Table) -> pa.Table:
+        bucket = table["bucket"][0].as_py()
+        read = [_read_entries(value) for value in table["entries"].to_pylist()]
+        names, sizes = np.concatenate([r[0] for r in read]), np.concatenate([r[1] for r in read])
+        values = np.concatenate([r[2] for r in read])
+        _, first = np.unique(names, return_index=True)  # copies of one item from several chunks are one
+        mine = np.zeros(len(names), bool)
+        mine[first] = True
+        values = values[np.repeat(mine, sizes)]
+        names, sizes = names[mine], sizes[mine]
+        _, which, count = np.unique(values, return_inverse=True, return_counts=True)
+        frequency = np.minimum(count, 255).astype(np.uint8)[which]
+        start = np.cumsum(sizes) - sizes
+        order, cuts = _parts(names, parts)
+        rows = []
+        for p in range(parts):
+            at = order[cuts[p] : cuts[p + 1]]
+            if len(at):
+                places = np.repeat(start[at] - (np.cumsum(sizes[at]) - sizes[at]), sizes[at]) + np.arange(sizes[at].sum())
+                rows.append((p, bucket, _entries(names[at], sizes[at], values[places], frequency[places])))
+        schema = pa.schema([("part", pa.int64()), ("bucket", pa.int64()), ("entries", pa.binary())])
+        return pa.Table.from_batches([_arrow(rows, schema)])
+
+    return run
+
+
+def _keyer(percent: int):
+    """The whole sets of a part's items, and which of their rarest shingles are their keys."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("bucket")
+        read = [_read_entries(value) for value in table["entries"].to_pylist()]
+        names, sizes = np.concatenate([r[0] for r in read]), np.concatenate([r[1] for r in read])
+        values, frequency = np.concatenate([r[2] for r in read]), np.concatenate([r[3] for r in read])
+        start = np.cumsum(sizes) - sizes
+        order = np.argsort(names, kind="stable")  # an item's ranges stay in order
+        ranked = names[order]
+        begin = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
+        rows = []
+        for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(order)]):
+            pieces = [slice(start[i], start[i] + sizes[i]) for i in order[a:b]]
+            own = np.concatenate([values[p] for p in pieces])
+            seen = np.concatenate([frequency[p] for p in pieces])
+            n = len(own)
+            rare = np.argsort(seen, kind="stable")[: n - -(-percent * n // 100) + 1]
+            keys = own[rare[seen[rare] > 1]].view(np.int64).tolist()
+            if keys:
+                rows.append((int(ranked[a]), n, own.tobytes(), keys))
+        return pa.Table.from_batches([_arrow(rows, _KEYED)])
+
+    return run
 
 
 def similar_components(
