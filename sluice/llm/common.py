@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import sys
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -40,10 +43,37 @@ def written(df: DataFrame, what: str) -> DataFrame:
     """The rows, computed once and kept as a table in the shared folder; cuts the lineage."""
     spark = df.sparkSession
     path = scratch(spark, what)
-    df.write.option("compression", "zstd").parquet(path)
+    with small_batches(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of a batch of rows that Spark hands to Python.
+BATCH_BYTES = 16 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Hand rows of long texts to Python in batches of bounded size; restores the setting."""
+    before = spark.conf.get(_BATCH_SETTING)
+    spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH_SETTING, before)
+
+
+def give_back() -> None:
+    """Return freed memory of this Python worker, which lives on, to the machine."""
+    import pyarrow
+
+    pyarrow.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not on every platform
+    if trim:
+        trim(0)
+
+
 def ship(spark: SparkSession) -> None:
     """Give the executors this library, so that functions run there import it by name.
 
@@ -82,8 +112,14 @@ def first_by_hash(df: DataFrame, group: str, order: str, rows: int, groups: int)
     return df.filter(likely).withColumn("_place", F.row_number().over(place)).filter(F.col("_place") <= rows).drop("_place")
 
 
-#: Rows of (id, hash) that are sent to every task, at most.
-BROADCAST_ROWS = 500_000
+#: Rows of a few numbers and short texts that are sent to every task, at most.
+BROADCAST_ROWS = 300_000
+
+
+def small(table: DataFrame, rows: int | None = None) -> DataFrame:
+    """A written table, to be sent to every task if it has at most `rows` rows; else Spark shuffles."""
+    most = BROADCAST_ROWS if rows is None else rows
+    return F.broadcast(table) if table.count() <= most else table
 
 
 def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -91,9 +127,10 @@ def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> Dat
 
     `gone` is sent to every task if it has few rows, else both sides are shuffled by their ids.
     """
-    few = gone.count() <= BROADCAST_ROWS
     text = F.xxhash64(quoted(text_col).cast("string"))
+    gone = small(written(gone, "gone"))
     named = gone.select(F.struct(F.col("doc").alias("id"), F.col("content").alias("text")).alias("gone"))
-    rows = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"), quoted(id_col).alias("id"), text.alias("text"))
+    row = F.struct(*[quoted(c) for c in docs.columns]).alias("row")
+    rows = docs.select(row, quoted(id_col).alias("id"), text.alias("text"))
     same = F.col("id").eqNullSafe(F.col("gone.id")) & (F.col("text") == F.col("gone.text"))
-    return rows.join(F.broadcast(named) if few else named, same, "left_anti").select("row.*")
+    return rows.join(named, same, "left_anti").select("row.*")

@@ -7,6 +7,11 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import written
 
+#: Rows sent to every task, at most.
+BROADCAST_ROWS = 400_000
+#: Tasks over which the edges of one node are spread.
+SALTS = 16
+
 
 def components(edges: DataFrame) -> DataFrame:
     """From edges (a, b) of longs: rows (node, label), label the least node of the component.
@@ -29,12 +34,11 @@ def components(edges: DataFrame) -> DataFrame:
             )
         before = state
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m"))
-        least = least.select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = _to_each(both.filter("v > u"), least, state[0]).select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = large.distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
+        small = _to_each(large, least, state[0])
         now = written(
             small.select(F.col("v").alias("u"), F.col("m").alias("v"))
             .filter("u <> v")
@@ -42,3 +46,15 @@ def components(edges: DataFrame) -> DataFrame:
             .distinct(),
             "edges",
         )
+
+
+def _to_each(edges: DataFrame, least: DataFrame, count: int) -> DataFrame:
+    """Edges with the least neighbour of their node.
+
+    `least` has two rows an edge at most: few are sent to every task. Many are copied `SALTS`
+    times, so that the edges of a node with very many are spread over as many tasks.
+    """
+    if 2 * count <= BROADCAST_ROWS:
+        return edges.join(F.broadcast(least), "u")
+    salted = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return edges.withColumn("salt", F.pmod(F.hash("v"), F.lit(SALTS))).join(salted, ["u", "salt"]).drop("salt")

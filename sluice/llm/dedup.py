@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import BROADCAST_ROWS, SPACES, quoted, without, written
+from sluice.llm.common import SPACES, quoted, small, without, written
 
 
 def normalised(text: Column) -> Column:
@@ -83,20 +83,28 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, hash_of) -> DataFrame:
     several = written(
         hashed.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash"), "several"
     )
+    several = small(several)
     texts = rows.select(content.alias("content"), hash_of(content).alias("hash"))
-    few = several.count() <= BROADCAST_ROWS
-    candidates = texts.join(F.broadcast(several) if few else several, "hash", "left_semi")
+    candidates = texts.join(several, "hash", "left_semi")
     # grouping by the content itself compares bytes
     distinct = candidates.groupBy("hash", "content").agg(F.lit(1).alias("one"))
     collided = written(
         distinct.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash"), "collided"
     )
     # texts of one hash with different bytes are told apart by their SHA-256
-    part = F.when(F.col("apart").isNotNull(), F.col("sha")).otherwise(F.lit(""))
-    marked = hashed.join(collided.withColumn("apart", F.lit(True)), "hash", "left").withColumn("part", part)
-    groups = marked.groupBy("hash", "part").agg(F.count(F.lit(1)).alias("size"), best.alias("best"))
-    of_many = groups.filter("size > 1")
-    joined = marked.join(of_many, ["hash", "part"], "left")
+    if collided.isEmpty():
+        marked = hashed.withColumn("part", F.lit(""))
+    else:
+        part = F.when(F.col("apart").isNotNull(), F.col("sha")).otherwise(F.lit(""))
+        apart = small(collided).withColumn("apart", F.lit(True))
+        marked = hashed.join(apart, "hash", "left").withColumn("part", part)
+    groups = (
+        marked.join(several, "hash", "left_semi")
+        .groupBy("hash", "part")
+        .agg(F.count(F.lit(1)).alias("size"), best.alias("best"))
+        .filter("size > 1")
+    )
+    joined = marked.join(small(written(groups, "groups")), ["hash", "part"], "left")
     alone = F.col("size").isNull()
     keep = F.when(alone, F.col("doc")).otherwise(F.col("best.doc"))
     is_best = F.col("doc").eqNullSafe(F.col("best.doc")) & (F.col("points") == -F.col("best.fewer"))

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import first_by_hash, quoted, ship
+from sluice.llm.common import first_by_hash, give_back, quoted, ship
 
 UNKNOWN = "und"
 #: Labelled rows per language that are learned from, at most.
@@ -157,6 +157,7 @@ def _guessed(docs: DataFrame, languages: Languages, text_col: str) -> DataFrame:
                 [pa.array(columns[0], pa.string()), *(pa.array(c, pa.float64()) for c in columns[1:])],
                 ["lang_pred", "score", "margin"],
             )
+        give_back()
 
     own = [quoted(c) for c in docs.columns]
     return docs.select(F.struct(*own).alias("row"), guess(quoted(text_col).cast("string")).alias("guess"))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import quoted, ship, written
+from sluice.llm.common import give_back, quoted, ship, written
 from sluice.llm.tokens import encoder
 
 #: Partitions whose partial windows one task merges.
@@ -158,6 +158,7 @@ def pack(
             for window in packer.rest():
                 yield from out.put(window, sum(piece[2] for piece in window) < size)
             yield from out.flush()
+        give_back()
 
     packed = written(rows.mapInArrow(run, schema), "packed")
     return _merged(packed, size).select(

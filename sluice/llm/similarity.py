@@ -28,17 +28,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import quoted, ship, without, written
+from sluice.llm.common import give_back, quoted, ship, small, without, written
 from sluice.llm.components import components
 from sluice.llm.hashing import LOWER_BYTES, mixed, running, stretches, words
 from sluice.llm.signature_tree import SignatureTree
 
 #: Bytes of text hashed at once, and shingles merged before they are sent.
-PIECE, CHUNK = 1_000_000, 1_000_000
+PIECE, CHUNK = 250_000, 500_000
 #: Shingles of a bucket, about.
-BUCKET = 2_000_000
+BUCKET = 1_000_000
 #: Sets and shingles of a block that one task joins.
 BLOCK_SETS, BLOCK_SHINGLES = 4000, 6_000_000
+#: From so many sets on, a shingle counts as equally frequent.
+FREQUENT = 255
 #: Items sent to every task to pick their texts, at most; beyond it texts are shuffled to them.
 BROADCAST_ROWS = 1_000_000
 
@@ -130,6 +132,8 @@ def _chunks(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[dict[int, np.
                     chunk, held = {}, 0
     if chunk:
         yield chunk
+    del chunk
+    give_back()
 
 
 class Shingled:
@@ -152,6 +156,7 @@ class Shingled:
                     [batch.column(0), batch.column(2), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64())],
                     ["doc", "content", "n", "item"],
                 )
+            give_back()
 
         fields = T._parse_datatype_string("content long, n long, item long").fields
         schema = T.StructType([T.StructField("doc", kind), *fields])
@@ -206,13 +211,17 @@ class Shingled:
             .groupBy("bucket")
             .applyInArrow(_ranker(buckets), "part long, bucket long, entries binary")
             .groupBy("part")
-            .applyInArrow(_keyer(self.percent), "item long, n long, hashes binary, keys array<long>"),
+            .applyInArrow(
+                _keyer(self.percent), "item long, n long, hashes binary, keys array<long>, near array<long>"
+            ),
             "keyed",
         )
+        # of the items of a part that share a key only the least goes on with it
         by_key = keyed.select("item", F.explode("keys").alias("key"))
         least = by_key.groupBy("key").agg(F.min("item").alias("b"), F.max("item").alias("other")).filter("b < other")
         edges = by_key.join(least.drop("other"), "key").select(F.col("item").alias("a"), "b").distinct()
-        labels = components(edges)
+        inside = keyed.select(F.col("item").alias("a"), F.explode("near").alias("b"))
+        labels = components(edges.unionByName(inside))
         return keyed.select("item", "n", "hashes").join(
             labels.select(F.col("node").alias("item"), F.col("label").alias("block")), "item"
         )
@@ -220,9 +229,7 @@ class Shingled:
     def links(self, spanning: bool) -> DataFrame:
         """Pairs (a, b) of linked items: all of them, or as many as join what is joined."""
         placed = written(self.blocks(), "placed")
-        sizes = placed.groupBy("block").agg(F.count(F.lit(1)).alias("items"), F.sum("n").alias("shingles"))
-        parts = F.greatest(F.ceil(F.col("items") / BLOCK_SETS), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
-        sizes = sizes.select("block", parts.cast("long").alias("parts"))
+        sizes = _sizes(placed)
         dealt = placed.join(sizes, "block").withColumn("part", F.pmod(F.xxhash64("item"), F.col("parts")))
         alone = F.xxhash64("block", "part")
         done = self._joined(dealt.withColumn("task", alone).withColumn("label", F.col("item")), spanning)
@@ -232,10 +239,10 @@ class Shingled:
             return done
         rest = dealt.filter("parts > 1")
         if spanning:
-            leads = self._labelled(rest, done).filter("item = label")
-            task = F.xxhash64("block", F.lit("lead"), F.pmod(F.xxhash64("item"), F.ceil(F.col("items") / BLOCK_SETS)))
-            count = leads.groupBy("block").agg(F.count(F.lit(1)).alias("items"))
-            more = self._joined(leads.join(count, "block").withColumn("task", task), spanning)
+            leads = written(self._labelled(rest, done).filter("item = label").drop("parts", "part"), "leads")
+            leads = leads.join(_sizes(leads), "block")
+            task = F.xxhash64("block", F.lit("lead"), F.pmod(F.xxhash64("item"), F.col("parts")))
+            more = self._joined(leads.withColumn("task", task), spanning)
             done = written(done.unionByName(more), "links")
             rest = written(self._labelled(rest, done), "labelled")
         else:
@@ -273,13 +280,31 @@ class Shingled:
             sets = [np.frombuffer(h, np.uint64) for h in table["hashes"].to_pylist()]
             side = None if table["side"].null_count else table["side"].to_numpy()
             tree = SignatureTree(sets, percent, table["label"].to_numpy(), spanning, side)
-            return _links(list(tree.links()), names)
+            found = list(tree.links())
+            del tree, sets
+            give_back()
+            return _links(found, names)
 
         return rows.select("task", "item", "hashes", "label", "side").groupBy("task").applyInArrow(join, "a long, b long")
 
 
 _BUCKET = pa.schema([("bucket", pa.int64()), ("entries", pa.binary())])
-_KEYED = pa.schema([("item", pa.int64()), ("n", pa.int64()), ("hashes", pa.binary()), ("keys", pa.list_(pa.int64()))])
+_KEYED = pa.schema(
+    [
+        ("item", pa.int64()),
+        ("n", pa.int64()),
+        ("hashes", pa.binary()),
+        ("keys", pa.list_(pa.int64())),
+        ("near", pa.list_(pa.int64())),
+    ]
+)
+
+
+def _sizes(placed: DataFrame) -> DataFrame:
+    """Into how many parts each block is dealt: block, parts."""
+    sizes = placed.groupBy("block").agg(F.count(F.lit(1)).alias("items"), F.sum("n").alias("shingles"))
+    parts = F.greatest(F.ceil(F.col("items") / BLOCK_SETS), F.ceil(F.col("shingles") / BLOCK_SHINGLES))
+    return sizes.select("block", parts.cast("long").alias("parts"))
 
 
 def _arrow(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -363,7 +388,10 @@ def _counter(parts: int):
             at = order[cuts[p] : cuts[p + 1]]
             if len(at):
                 rows.append((p, names[at].tobytes() + counts[at].astype(np.uint32).tobytes()))
-        return pa.Table.from_batches([_arrow(rows, pa.schema([("part", pa.int64()), ("entries", pa.binary())]))])
+        out = _arrow(rows, pa.schema([("part", pa.int64()), ("entries", pa.binary())]))
+        del names, counts, order, rows
+        give_back()
+        return pa.Table.from_batches([out])
 
     return run
 
@@ -437,39 +465,66 @@ def _read_entries(value: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
 
 
 def _ranges(chunk: dict[int, np.ndarray], buckets: int) -> list[tuple[int, bytes]]:
-    """The sets of a chunk cut into ranges of hashes, a bucket each."""
+    """The sets of a chunk cut into ranges of hashes, a bucket each.
+
+    A shingle that `FREQUENT` or more sets of the chunk have is known to be that frequent. Its
+    bucket is told once, under the item -1 in place of all that have it; where they are needed
+    these entries go to the parts of their items at once, under the numbers after the buckets.
+    """
     names = np.fromiter(chunk, np.int64, len(chunk))
     sizes = np.array([len(own) for own in chunk.values()])
     values = np.concatenate(list(chunk.values()))
     owner = np.repeat(np.arange(len(names)), sizes)
+    _, which, count = np.unique(values, return_inverse=True, return_counts=True)
+    frequent = count[which] >= FREQUENT
+    part = ((names.view(np.uint64) >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
     bucket = ((values >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-    order = np.argsort(bucket, kind="stable")  # within a bucket still by item, and sorted
-    cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    target = np.where(frequent, np.uint64(buckets) + part[owner], bucket).astype(np.int64)
+    order = np.argsort(target, kind="stable")  # within a target still by item, and sorted
+    told = np.unique(values[frequent])
+    told_at = (((told >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
     rows = []
-    for b in range(buckets):
+    cuts = np.searchsorted(target[order], np.arange(2 * buckets + 1))
+    for b in range(2 * buckets):
         at = order[cuts[b] : cuts[b + 1]]
-        if len(at):
-            own = owner[at]
-            first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-            rows.append((b, _entries(names[own[first]], np.diff(np.append(first, len(own))), values[at])))
+        own, more = owner[at], told[told_at == b]
+        if len(at) or len(more):
+            first = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(at) else np.zeros(0, np.int64)
+            length = np.diff(np.append(first, len(own)))
+            some, here = names[own[first]], values[at]
+            if len(more):
+                some, length, here = np.append(some, -1), np.append(length, len(more)), np.append(here, more)
+            rows.append((b, _entries(some, length, here)))
     return rows
 
 
 def _ranker(parts: int):
-    """Adds to the shingles of a bucket the number of items that have them, 255 at most; by part."""
+    """Adds to the shingles of a bucket the number of items that have them, `FREQUENT` at most; by part."""
+
+    schema = pa.schema([("part", pa.int64()), ("bucket", pa.int64()), ("entries", pa.binary())])
 
     def run(table: pa.Table) -> pa.Table:
         bucket = table["bucket"][0].as_py()
         read = [_read_entries(value) for value in table["entries"].to_pylist()]
         names, sizes = np.concatenate([r[0] for r in read]), np.concatenate([r[1] for r in read])
         values = np.concatenate([r[2] for r in read])
-        _, first = np.unique(names, return_index=True)  # copies of one item from several chunks are one
-        mine = np.zeros(len(names), bool)
-        mine[first] = True
-        values = values[np.repeat(mine, sizes)]
-        names, sizes = names[mine], sizes[mine]
-        _, which, count = np.unique(values, return_inverse=True, return_counts=True)
-        frequency = np.minimum(count, 255).astype(np.uint8)[which]
+        owner = np.repeat(np.arange(len(names)), sizes)
+        told = np.unique(values[names[owner] == -1])
+        # copies of one item from several chunks are one
+        order = np.lexsort((names[owner], values))
+        v, i = values[order], names[owner[order]]
+        order = order[np.append(True, (v[1:] != v[:-1]) | (i[1:] != i[:-1])) & (i != -1)]
+        if not len(order):
+            return pa.Table.from_batches([_arrow([], schema)])
+        _, which, count = np.unique(values[order], return_inverse=True, return_counts=True)
+        frequency = np.minimum(count, FREQUENT)[which]
+        frequency[np.isin(values[order], told) | (bucket >= parts)] = FREQUENT
+        # by item again, the shingles in order
+        by_item = np.lexsort((values[order], names[owner[order]]))
+        order, frequency = order[by_item], frequency[by_item].astype(np.uint8)
+        values, item = values[order], names[owner[order]]
+        first = np.flatnonzero(np.append(True, item[1:] != item[:-1]))
+        names, sizes = item[first], np.diff(np.append(first, len(item)))
         start = np.cumsum(sizes) - sizes
         order, cuts = _parts(names, parts)
         rows = []
@@ -478,34 +533,59 @@ def _ranker(parts: int):
             if len(at):
                 places = np.repeat(start[at] - (np.cumsum(sizes[at]) - sizes[at]), sizes[at]) + np.arange(sizes[at].sum())
                 rows.append((p, bucket, _entries(names[at], sizes[at], values[places], frequency[places])))
-        schema = pa.schema([("part", pa.int64()), ("bucket", pa.int64()), ("entries", pa.binary())])
-        return pa.Table.from_batches([_arrow(rows, schema)])
+        out = _arrow(rows, schema)
+        del read, values, owner, order, frequency, item, rows
+        give_back()
+        return pa.Table.from_batches([out])
 
     return run
 
 
 def _keyer(percent: int):
-    """The whole sets of a part's items, and which of their rarest shingles are their keys."""
+    """The whole sets of a part's items and, of their rarest shingles, their keys.
+
+    Items of a part that share a key: the least keeps it, the others are near the least.
+    """
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.sort_by("bucket")
         read = [_read_entries(value) for value in table["entries"].to_pylist()]
         names, sizes = np.concatenate([r[0] for r in read]), np.concatenate([r[1] for r in read])
         values, frequency = np.concatenate([r[2] for r in read]), np.concatenate([r[3] for r in read])
-        start = np.cumsum(sizes) - sizes
-        order = np.argsort(names, kind="stable")  # an item's ranges stay in order
-        ranked = names[order]
-        begin = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-        rows = []
-        for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(order)]):
-            pieces = [slice(start[i], start[i] + sizes[i]) for i in order[a:b]]
-            own = np.concatenate([values[p] for p in pieces])
-            seen = np.concatenate([frequency[p] for p in pieces])
-            n = len(own)
+        # a shingle of an item may come straight from a chunk and by its bucket: both say the same
+        item = np.repeat(names, sizes)
+        order = np.lexsort((values, item))
+        v, i = values[order], item[order]
+        order = order[np.append(True, (v[1:] != v[:-1]) | (i[1:] != i[:-1]))]
+        values, frequency, item = values[order], frequency[order], item[order]
+        begin = np.flatnonzero(np.append(True, item[1:] != item[:-1]))
+        found, keys = [], []
+        for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(item)]):
+            own, seen, n = values[a:b], frequency[a:b], b - a
             rare = np.argsort(seen, kind="stable")[: n - -(-percent * n // 100) + 1]
-            keys = own[rare[seen[rare] > 1]].view(np.int64).tolist()
-            if keys:
-                rows.append((int(ranked[a]), n, own.tobytes(), keys))
+            mine = own[rare[seen[rare] > 1]]
+            if len(mine):
+                found.append((int(item[a]), own))
+                keys.append(mine)
+        if not found:
+            return pa.Table.from_batches([_arrow([], _KEYED)])
+        of = np.repeat(np.array([name for name, _ in found], np.int64), [len(k) for k in keys])
+        row = np.repeat(np.arange(len(found)), [len(k) for k in keys])
+        every = np.concatenate(keys)
+        order = np.lexsort((of, every))
+        first = np.append(True, every[order][1:] != every[order][:-1])
+        least = of[order][np.flatnonzero(first)][np.cumsum(first) - 1]
+        goes_on: list[list[int]] = [[] for _ in found]
+        near: list[set[int]] = [set() for _ in found]
+        for r, key, is_first, low in zip(
+            row[order].tolist(), every[order].view(np.int64).tolist(), first.tolist(), least.tolist()
+        ):
+            if is_first:
+                goes_on[r].append(key)
+            else:
+                near[r].add(low)
+        rows = [
+            (name, len(own), own.tobytes(), goes_on[r], sorted(near[r])) for r, (name, own) in enumerate(found)
+        ]
         return pa.Table.from_batches([_arrow(rows, _KEYED)])
 
     return run
@@ -524,11 +604,13 @@ def similar_components(
     An empty table gives no rows; other columns are left out.
     """
     rows = _grouped(docs, id_col, text_col, k, percent)
-    least = rows.filter("group IS NOT NULL").groupBy("group").agg(F.min("doc").alias("least"))
-    return rows.join(least, "group", "left").select(
+    least = rows.groupBy("group").agg(F.min("doc").alias("least"), F.count(F.lit(1)).alias("size"))
+    several = written(least.filter("group IS NOT NULL AND size > 1").select("group", "least"), "several")
+    joined = rows.join(small(several), "group", "left")
+    return joined.select(
         F.col("doc").alias(id_col),
         F.col("n").alias("n_shingles"),
-        F.when(F.col("group").isNull(), F.col("doc")).otherwise(F.col("least")).alias("component_id"),
+        F.coalesce("least", "doc").alias("component_id"),
     )
 
 
@@ -536,7 +618,7 @@ def _grouped(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int)
     """doc, content, n and group of each row; the group is null for empty sets."""
     join = Shingled(docs, id_col, text_col, k, percent)
     labels = components(join.links(spanning=True)).withColumnRenamed("node", "item")
-    return join.described.join(labels, "item", "left").select(
+    return join.described.join(small(written(labels, "labels")), "item", "left").select(
         "doc", "content", "n", F.coalesce("label", "item").alias("group")
     )
 
@@ -553,8 +635,9 @@ def one_of_each(
     best = F.min(F.struct(F.col("doc").isNull().alias("no_id"), "doc", "content")).alias("best")
     several = rows.groupBy("group").agg(best, F.count(F.lit(1)).alias("size")).filter("size > 1")
     stays = F.col("doc").eqNullSafe(F.col("best.doc")) & (F.col("content") == F.col("best.content"))
+    several = small(written(several, "several"))
     gone = rows.join(several, "group").filter(~stays).select("doc", "content").distinct()
-    return without(docs, written(gone, "gone"), id_col, text_col)
+    return without(docs, gone, id_col, text_col)
 
 
 def similar_pairs(

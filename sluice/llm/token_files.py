@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import quoted, ship, written
+from sluice.llm.common import give_back, quoted, ship, written
 from sluice.llm.tokens import encoder
 
 INDEX_MAGIC = 0x184D2A50
@@ -174,6 +174,7 @@ def write_token_files(
             yield pa.RecordBatch.from_pylist(
                 [{"part": part, "file": file, "n_docs": len(out.docs), "n_tokens": tokens}]
             )
+        give_back()
 
     files = written(ordered.mapInArrow(write, "part long, file string, n_docs long, n_tokens long"), "files")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)

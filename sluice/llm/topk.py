@@ -7,8 +7,9 @@ with carry-save adders into the bit slices of the sum. Going through these slice
 significant downward finds the k-th largest sum; the rows whose sum lies within the quantisation
 error of it are the boundary rows, and their scores are computed exactly from the integers.
 
-The index is a table of blocks. A block of queries meets every block of the index once; what is
-carried on is at most k rows per query and block, so nothing grows with the product but time.
+The index is a table of blocks, dealt to as many tasks as a shuffle has; the queries are sent to
+each of these in blocks. A block of queries meets every block of the index once, and what is
+carried on is at most k rows per query and block.
 """
 
 from __future__ import annotations
@@ -239,9 +240,10 @@ def top_k(
     and ranks start anew. Empty tables give no rows. Scores or components beyond 62 bits are
     errors. Other columns are left out.
     """
+    spark = vectors.sparkSession
     index = index_vectors(vectors, id_col, vec_col, scale)
     asked = written(_blocks(vectors.filter(queries), id_col, vec_col, scale, QUERY_ROWS), "queries")
-    parts = max(1, index.count())
+    parts = max(1, min(index.count(), int(spark.conf.get("spark.sql.shuffle.partitions"))))
     spread = index.withColumn("part", F.pmod(F.xxhash64("block"), F.lit(parts)))
     to_all = asked.select(
         F.col("block").alias("q_block"),

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from sluice.llm import common, similarity
+from sluice.llm import components as connected
 from sluice.llm.components import components
 from sluice.llm.signature_tree import SignatureTree
 from sluice.llm.similarity import one_of_each, similar_components, similar_pairs
@@ -27,8 +28,10 @@ def expected(rows: list[tuple]) -> Counter:
 
 
 def small(monkeypatch):
-    for name, value in (("BUCKET", 200), ("CHUNK", 300), ("BLOCK_SETS", 5), ("BROADCAST_ROWS", 3)):
+    monkeypatch.setattr(common, "BROADCAST_ROWS", 3)
+    for name, value in (("BUCKET", 200), ("CHUNK", 300), ("BLOCK_SETS", 5), ("FREQUENT", 3), ("BROADCAST_ROWS", 3)):
         monkeypatch.setattr(similarity, name, value)
+    monkeypatch.setattr(connected, "BROADCAST_ROWS", 3)
 
 
 def test_awkward_rows(spark):
@@ -118,7 +121,10 @@ def test_sides_and_labels():
     assert len(list(sides.links())) == 4
 
 
-def test_connected_components(spark):
+@pytest.mark.parametrize("few", [True, False])
+def test_connected_components(spark, monkeypatch, few):
+    if not few:
+        monkeypatch.setattr(connected, "BROADCAST_ROWS", 0)
     rng = random.Random(9)
     edges = [(rng.randrange(200), rng.randrange(200)) for _ in range(120)] + [(i, i + 1) for i in range(300, 400)]
     rows = components(spark.createDataFrame(edges, "a long, b long")).collect()
