@@ -109,7 +109,8 @@ def first_by_hash(df: DataFrame, group: str, order: str, rows: int, groups: int)
             here &= F.col(order) < F.lit((8 * rows << 64) // n - (1 << 63))
         likely |= here
     place = Window.partitionBy(group).orderBy(order, *[F.col(c) for c in df.columns if c not in (group, order)])
-    return df.filter(likely).withColumn("_place", F.row_number().over(place)).filter(F.col("_place") <= rows).drop("_place")
+    ranked = df.filter(likely).withColumn("_place", F.row_number().over(place))
+    return ranked.filter(F.col("_place") <= rows).drop("_place")
 
 
 #: Rows of a few numbers and short texts that are sent to every task, at most.

@@ -153,7 +153,7 @@ class Shingled:
                 found = [(len(s), set_hash(s)) for s in shingle_sets(batch.column(1).to_pylist(), k)]
                 columns = list(zip(*found)) or [(), ()]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(2), pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64())],
+                    [batch.column(0), batch.column(2), *(pa.array(c, pa.int64()) for c in columns)],
                     ["doc", "content", "n", "item"],
                 )
             give_back()
@@ -249,16 +249,15 @@ class Shingled:
             rest = rest.withColumn("label", F.col("item"))
         of_part = rest.groupBy("block", "part").agg(F.min("label").alias("low"), F.max("label").alias("high"))
         one, two = of_part.alias("x"), of_part.alias("y")
-        apart = (
-            (F.col("x.low") != F.col("x.high")) | (F.col("y.low") != F.col("y.high")) | (F.col("x.low") != F.col("y.low"))
-        )
-        pairs = one.join(two, (F.col("x.block") == F.col("y.block")) & (F.col("x.part") < F.col("y.part")) & apart).select(
+        apart = F.greatest("x.high", "y.high") != F.least("x.low", "y.low")
+        of_block = (F.col("x.block") == F.col("y.block")) & (F.col("x.part") < F.col("y.part")) & apart
+        pairs = one.join(two, of_block).select(
             F.col("x.block").alias("block"), F.col("x.part").alias("i"), F.col("y.part").alias("j")
         )
         task = F.xxhash64("block", "i", "j")
-        sides = pairs.select("block", F.col("i").alias("part"), F.lit(0).alias("side"), task.alias("task")).unionByName(
-            pairs.select("block", F.col("j").alias("part"), F.lit(1).alias("side"), task.alias("task"))
-        )
+        first = pairs.select("block", F.col("i").alias("part"), F.lit(0).alias("side"), task.alias("task"))
+        second = pairs.select("block", F.col("j").alias("part"), F.lit(1).alias("side"), task.alias("task"))
+        sides = first.unionByName(second)
         across = self._joined(rest.join(sides, ["block", "part"]), spanning)
         return done.unionByName(across)
 
@@ -285,7 +284,8 @@ class Shingled:
             give_back()
             return _links(found, names)
 
-        return rows.select("task", "item", "hashes", "label", "side").groupBy("task").applyInArrow(join, "a long, b long")
+        of_task = rows.select("task", "item", "hashes", "label", "side").groupBy("task")
+        return of_task.applyInArrow(join, "a long, b long")
 
 
 _BUCKET = pa.schema([("bucket", pa.int64()), ("entries", pa.binary())])
@@ -313,8 +313,8 @@ def _arrow(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def _links(found: list[tuple[int, int]], names: np.ndarray) -> pa.Table:
-    pairs = names[np.array(found, np.int64).reshape(-1, 2)]
-    return pa.table({"a": pa.array(pairs.min(1, initial=np.iinfo(np.int64).max), pa.int64()), "b": pa.array(pairs.max(1, initial=np.iinfo(np.int64).min), pa.int64())})
+    one, two = names[np.array(found, np.int64).reshape(-1, 2)].T
+    return pa.table({"a": np.minimum(one, two), "b": np.maximum(one, two)})
 
 
 def _dealt(chunk: dict[int, np.ndarray], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -531,7 +531,8 @@ def _ranker(parts: int):
         for p in range(parts):
             at = order[cuts[p] : cuts[p + 1]]
             if len(at):
-                places = np.repeat(start[at] - (np.cumsum(sizes[at]) - sizes[at]), sizes[at]) + np.arange(sizes[at].sum())
+                shift = start[at] - (np.cumsum(sizes[at]) - sizes[at])
+                places = np.repeat(shift, sizes[at]) + np.arange(sizes[at].sum())
                 rows.append((p, bucket, _entries(names[at], sizes[at], values[places], frequency[places])))
         out = _arrow(rows, schema)
         del read, values, owner, order, frequency, item, rows
