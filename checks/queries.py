@@ -133,7 +133,8 @@ def orders_after(orders: DataFrame) -> DataFrame:
 
 
 def typed_orders(orders: DataFrame) -> DataFrame:
-    return orders.withColumns({"o_totalprice": money("o_totalprice"), "o_orderdate": F.col("o_orderdate").cast("date")})
+    day = F.col("o_orderdate").cast("date")
+    return orders.withColumns({"o_totalprice": money("o_totalprice"), "o_orderdate": day})
 
 
 @query
@@ -532,7 +533,8 @@ def q36_merge_in_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q37_what_a_load_found_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the status of a load tells of files with a misspelt header and values out of range."""
     dataset, layout = one_dataset(spark, "events", EVENTS)
-    land(as_text(table(spark, sf_dir, "events"), STAMP_FORMAT).withColumnRenamed("user_id", "user_ld"), dataset, layout, 0)
+    events = as_text(table(spark, sf_dir, "events"), STAMP_FORMAT)
+    land(events.withColumnRenamed("user_id", "user_ld"), dataset, layout, 0)
     raise_failures(run_bronze(spark, [dataset], layout))
     (status,) = run_silver(spark, [dataset], layout)
     raise_failures([status])

@@ -204,13 +204,12 @@ def load_silver(
     absent = tuple(name for name in contract.names if name not in present)
     raw = keep_changes(bronze.read_changes(after, upto, head)) if merging else bronze.read_upto(upto, head)
     rows, counts, check = incoming(raw, dataset)
-    by_key = True  # either rule for repeated keys groups by the key
     if merging:
         keep = absent if dataset.keep_when_missing else ()
-        count = silver.merge(state, rows, contract.keys, upto, keep, shuffled_by_key=by_key, check=check)
+        count = silver.merge(state, rows, contract.keys, upto, keep, shuffled_by_key=True, check=check)
     else:
         size = int(PARQUET_SHARE * sum(entry.bytes for entry in window))
-        count = silver.write_full(state, rows, contract.keys, upto, size, shuffled_by_key=by_key, check=check)
+        count = silver.write_full(state, rows, contract.keys, upto, size, shuffled_by_key=True, check=check)
     return _loaded(dataset, upto, count, absent, counts.get)
 
 
@@ -221,8 +220,9 @@ def _loaded(dataset: Dataset, version: int, rows: int, absent: tuple[str, ...],
     unreadable = {name: n for name, n in unreadable.items() if n}
     nulls = {name: n for name, n in nulls.items() if n}
     parts = [f"not in the files: {', '.join(absent)}"] if absent else []
-    parts += [f"{what}: {', '.join(f'{name} ({n})' for name, n in found.items())}"
-              for what, found in (("unreadable values", unreadable), ("NULL but declared not to be", nulls)) if found]
+    for what, found in (("unreadable values", unreadable), ("NULL but declared not to be", nulls)):
+        if found:
+            parts.append(f"{what}: {', '.join(f'{name} ({n})' for name, n in found.items())}")
     detail = "; ".join(parts)
     if detail:
         logger.warning("dataset %s: %s", dataset.name, detail)

@@ -213,7 +213,8 @@ def header_groups(
         elif line in read:
             columns = read[line]
         else:
-            columns = tuple(spark.read.options(**options).option("header", True).csv(literal_path(file.path)).columns)
+            sample = spark.read.options(**options).option("header", True).csv(literal_path(file.path))
+            columns = tuple(sample.columns)
             if line.count(quote) % 2 == 0:
                 read[line] = columns
         by_columns.setdefault(columns, []).append(file.path)

@@ -221,7 +221,9 @@ class SilverTable:
             fields = [f for f in schema if f.name in visible]
             read = T.StructType([*fields, T.StructField(LOAD, T.LongType()), T.StructField(BUCKET, T.IntegerType())])
             rows = self.spark.read.schema(read).option("basePath", self.data).parquet(*some)
-            columns = [quoted(f.name) if f.name in visible else F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+            columns = [
+                quoted(f.name) if f.name in visible else F.lit(None).cast(f.dataType).alias(f.name) for f in schema
+            ]
             parts.append(rows.select(*columns, BUCKET))
         if not parts:
             return self.spark.createDataFrame([], full)
