@@ -18,7 +18,7 @@ import numpy as np
 from sluice.llm.hashing import BYTES, running, stretches
 
 #: Distinct parts kept per worker. When there are more, the table starts anew.
-PARTS = 1_000_000
+PARTS = 2_000_000
 #: Bytes handled at once.
 BLOCK = 250_000
 #: Set apart the parts at the start of a text, which have no space before them.
