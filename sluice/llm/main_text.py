@@ -13,7 +13,8 @@ The weights below are set by hand; there are no labelled pages to fit them to.
 from __future__ import annotations
 
 import re
-from collections import deque
+from bisect import bisect_left
+from collections import Counter, deque
 from collections.abc import Iterator
 from html import unescape
 
@@ -23,15 +24,24 @@ from pyspark.sql import functions as F
 
 from sluice.llm.common import quoted, ship
 
-#: Elements that never hold text to read; all up to their end is left out.
-SILENT = (
-    "script style noscript template svg math iframe object embed canvas audio video map "
-    "select option button textarea head title"
-).split()
+#: Elements that hold no markup and no text to read; all up to their end tag is left out.
+RAW = frozenset("script style noscript iframe textarea title".split())
+#: Elements whose subtree holds no text to read; one left open ends with its parent.
+SILENT = frozenset("template svg math object canvas audio video map select option button head".split())
+#: Of these, the ones that stand within a line.
+IN_LINE = frozenset("script button select svg math".split())
+#: What may stand in a head; anything else ends it.
+IN_HEAD = frozenset("base basefont bgsound link meta title style script noscript noframes template head html".split())
+#: Elements that end an unclosed svg or math, unless in one that takes HTML.
+BREAKS_OUT = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta "
+    "nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split()
+)
+TAKES_HTML = frozenset("foreignobject desc annotation-xml mi mo mn ms mtext".split())
 #: Elements within a line; all others start and end a block.
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp "
-    "small span strike strong sub sup time tt u var wbr input meta link base".split()
+    "small span strike strong sub sup time tt u var wbr input meta link base embed".split()
 )
 #: Elements without an end.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -49,11 +59,12 @@ GOOD_WORDS = frozenset("article content post entry main story body text maintext
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<silent>" + "|".join(SILENT) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=silent)\s*>|\Z)"
     r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<more>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[!?/][^>]*>",
     re.DOTALL | re.IGNORECASE,
 )
+_ENDS = re.compile(r"</(" + "|".join(sorted(RAW | SILENT)) + r")(?=[\s/>])[^>]*>?", re.IGNORECASE)
+_UNQUOTED = re.compile(r"=\s*[^\s\"']+\Z")
 _HINTS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 _WORDS = re.compile(r"[A-Za-z][a-z]*|[A-Z]+")
 _CLOSES = {
@@ -111,6 +122,65 @@ def _within(element: Element | None, name: str) -> bool:
     return False
 
 
+def _closed(more: str) -> bool:
+    """Whether a tag ends itself; the slash of an unquoted value does not."""
+    return more.endswith("/") and not _UNQUOTED.search(more)
+
+
+class Silent:
+    """The open silent elements and what is open in them, from the outermost."""
+
+    def __init__(self) -> None:
+        self.names: list[str] = []
+        self.counts: Counter[str] = Counter()
+
+    def __bool__(self) -> bool:
+        return bool(self.names)
+
+    def add(self, name: str) -> None:
+        self.names.append(name)
+        self.counts[name] += 1
+
+    def drop(self, *names: str) -> None:
+        """Close until none of these is open."""
+        while self.names and any([self.counts[n] for n in names]):
+            self.counts[self.names.pop()] -= 1
+
+    def clear(self) -> None:
+        self.names.clear()
+        self.counts.clear()
+
+    def in_head(self) -> bool:
+        return len(self.names) == 1 and self.names[0] == "head"
+
+    def foreign(self) -> bool:
+        return bool(self.counts["svg"] or self.counts["math"])
+
+    def follow(self, name: str, end: bool, more: str, node: Element) -> bool:
+        """Take a tag; False if it is outside."""
+        if end:
+            if self.counts[name]:
+                while self.names[-1] != name:
+                    self.counts[self.names.pop()] -= 1
+                self.counts[self.names.pop()] -= 1
+                return True
+            if not _within(node, name):
+                return True
+            self.clear()  # the parent's end
+            return False
+        if name == "body" or self.in_head() and name not in IN_HEAD:
+            self.clear()
+        elif name in BREAKS_OUT and self.foreign() and not any([self.counts[n] for n in TAKES_HTML]):
+            self.drop("svg", "math")
+        elif name in ("option", "optgroup") and self.names[-1] == "option":
+            self.counts[self.names.pop()] -= 1
+        elif name in ("button", "select"):
+            self.drop(name)
+        if self.names and name not in VOID and name != "head" and not _closed(more):
+            self.add(name)
+        return bool(self.names)
+
+
 def blocks(html: str) -> list[Block]:
     out: list[Block] = []
     node = Element("", None, 0.0)
@@ -133,17 +203,44 @@ def blocks(html: str) -> list[Block]:
     def size() -> int:
         return sum(map(len, parts))
 
+    ends: dict[str, list[tuple[int, int]]] = {}
+    for m in _ENDS.finditer(html):
+        ends.setdefault(m[1].lower(), []).append(m.span())
+    inside = Silent()
     at = 0
-    for m in _TAG.finditer(html):
+    while m := _TAG.search(html, at):
         if m.start() > at:
-            parts.append(html[at : m.start()])
+            if inside.in_head() and not html[at : m.start()].isspace():
+                inside.clear()
+            if not inside:
+                parts.append(html[at : m.start()])
         at = m.end()
         name = m["name"]
         if name is None:
-            if m["silent"] and m["silent"].lower() not in ("svg", "math"):
-                flush() if m["silent"].lower() not in ("script", "button", "select") else None
             continue
         name = name.lower()
+        if name in RAW and not m["end"] and not (inside and inside.foreign() and _closed(m["more"])):
+            if not inside and name not in IN_LINE:
+                flush()
+            found = ends.get(name, ())
+            nearest = bisect_left(found, (at, 0))
+            if nearest < len(found):
+                at = found[nearest][1]
+            elif name in ("script", "style"):
+                at = len(html)
+            continue
+        if inside and inside.follow(name, bool(m["end"]), m["more"], node):
+            continue
+        if name in SILENT:
+            if m["end"]:
+                continue
+            if name not in IN_LINE:
+                flush()
+            # one that is never closed holds nothing; the four named need no end tag
+            closes = bool(ends.get(name)) and ends[name][-1][0] >= at
+            if not _closed(m["more"]) and (closes or name in ("head", "option", "svg", "math")):
+                inside.add(name)
+            continue
         if name in INLINE:
             if name == "br":
                 parts.append(" ")
@@ -176,7 +273,7 @@ def blocks(html: str) -> list[Block]:
                 walk = walk.parent
         if name not in VOID and not m["more"].endswith("/"):
             node = Element(name, node, _bias(name, m["more"], node))
-    if at < len(html):
+    if at < len(html) and (not inside or inside.in_head()):
         parts.append(html[at:])
     flush()
     return out

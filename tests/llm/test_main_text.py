@@ -64,6 +64,44 @@ def test_plain_text_and_lists():
     assert len(blocks(f"<table>{rows}</table>")) == 4
 
 
+P = f"<p>{LOREM * 2}</p>"
+
+
+@pytest.mark.parametrize(
+    "between",
+    [
+        '<embed src="a.mp4">',
+        '<svg width="5" viewBox="0 0 1 1"/>',
+        "<math/>",
+        "<svg><style/><path d='x'/><title>no</title></svg>",
+        "<svg><path d='x'>",
+        "<datalist id=d><option value=a>no<option value=b>no</datalist>",
+        "<object data=a><object data=b>no</object>no</object>",
+        "<div><video src=a></div>",
+        "<video src=a />",
+        "<iframe src=a />",
+        "<select><option>no<optgroup label=x><option>no</select>",
+    ],
+)
+@pytest.mark.parametrize("last", ["", "<svg><text>no</text></svg><video>no</video>"])
+def test_silent_elements_end_where_they_end(between, last):
+    assert main_text(f"<body>{P}{between}{P}{P}{last}") == "\n\n".join([(LOREM * 2).strip()] * 3)
+
+
+@pytest.mark.parametrize(
+    "head", ["<head><title>t</title><body>", "<head><title>t</title><meta charset=x>", "<html><head><style>x</style>"]
+)
+def test_a_head_without_an_end(head):
+    assert main_text(f"{head}{P}{P}") == "\n\n".join([(LOREM * 2).strip()] * 2)
+    assert main_text(f"{head}{LOREM * 4}") == (LOREM * 4).strip()
+
+
+def test_silent_elements_within_a_line():
+    assert main_text(f"<p>{LOREM}<svg><g><text>no</text></g></svg>and <button>no<b>no</b></button>{LOREM}</p>") == (
+        f"{LOREM}and {LOREM}".strip()
+    )
+
+
 def test_very_long_pages():
     html = page("<article>" + f"<p>{LOREM}</p>" * 20_000 + "</article>" + "<nav><a href=x>y</a></nav>" * 500)
     assert main_text(html).count("\n\n") == 19_999
