@@ -56,6 +56,12 @@ BAD_WORDS = frozenset(
     "overlay tags pagination pager toolbar copyright legal disclaimer complementary contentinfo".split()
 )
 GOOD_WORDS = frozenset("article content post entry main story body text maintext articlebody".split())
+#: What text in a marked element loses, once however many marks it is under.
+MARKED = 12.0
+#: What kinds and names of elements can add to a block, at most: a long paragraph under a mark that stands stays out.
+GAINS = 7.5
+#: Characters from which a block counts as a paragraph, whatever its element.
+LONG = 80
 
 _TAG = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -78,40 +84,124 @@ _CLOSES = {
 
 
 class Element:
-    __slots__ = ("name", "parent", "depth", "bias", "last")
+    __slots__ = ("name", "parent", "depth", "bias", "last", "gain", "mark", "good", "holder", "held")
 
-    def __init__(self, name: str, parent: Element | None, bias: float) -> None:
-        self.name, self.parent, self.bias = name, parent, bias
+    def __init__(self, name: str, parent: Element | None, more: str = "") -> None:
+        self.name, self.parent, self.bias = name, parent, 0.0
         self.depth = parent.depth + 1 if parent else 0
         self.last = -1
+        self.held: Held | None = None
+        self.gain, self.mark, self.good = _evidence(name, more, parent) if parent else (0.0, "", False)
+        self.good = self.good or bool(parent and parent.good)
+        self.holder: Element = self if self.mark or not parent else parent.holder  # nearest with a mark
+
+
+class Held:
+    """What is in an element with a mark; `free` and `good` leave out what is in further ones."""
+
+    __slots__ = ("text", "free", "good", "mains", "articles", "heads")
+
+    def __init__(self) -> None:
+        self.text = self.free = self.good = self.mains = self.articles = self.heads = 0
+
+    def add(self, inner: Held) -> None:
+        self.text += inner.text
+        self.mains += inner.mains
+        self.articles += inner.articles
+        self.heads += inner.heads
 
 
 class Block:
-    __slots__ = ("text", "links", "parent", "bias")
+    __slots__ = ("text", "links", "parent")
 
     def __init__(self, text: str, links: int, parent: Element) -> None:
-        self.text, self.links, self.parent, self.bias = text, links, parent, parent.bias
+        self.text, self.links, self.parent = text, links, parent
+
+    @property
+    def bias(self) -> float:
+        return self.parent.bias
 
 
-def _bias(name: str, more: str, parent: Element) -> float:
-    """What the element's kind and names say of the text in it, on top of its parent."""
-    bias = parent.bias
-    if name in NOT_MAIN:
-        inside = name == "header" and _within(parent, "article")
-        bias -= 1.0 if inside else 12.0
+def _evidence(name: str, more: str, parent: Element) -> tuple[float, str, bool]:
+    """What the element's kind and names say of the text in it: gain, mark and whether it is marked as content.
+
+    The mark is "kind" where the element is boilerplate by its kind, "names" where a form, a word or
+    hiding says so, which a wrapper around the whole page may have too.
+    """
+    gain, mark, good = 0.0, "", False
+    if name == "header" and _within(parent, "article"):
+        gain -= 1.0
+    elif name in NOT_MAIN:
+        mark = "names" if name == "form" else "kind"
     elif name in ("article", "main"):
-        bias += 3.0
-    if more and ("=" in more):
+        gain += 3.0
+        good = True
+    if more and "=" in more:
         words = set()
         for groups in _HINTS.findall(more):
             words.update(w.lower() for w in _WORDS.findall("".join(groups)))
-        if words & BAD_WORDS and name not in ("body", "html", "article", "main"):
-            bias -= 12.0
+        if words & BAD_WORDS:
+            good = False
+            if name not in ("body", "html", "article", "main"):
+                mark = mark or "names"
         elif words & GOOD_WORDS:
-            bias += 1.5
+            good = True
+        if words & GOOD_WORDS:
+            gain += 1.5
         if "hidden" in more.lower() and re.search(r"\bhidden\b|display\s*:\s*none", more, re.IGNORECASE):
-            bias -= 12.0
-    return bias
+            mark = mark or "names"
+    return gain, mark, good
+
+
+def _weigh(elements: list[Element], found: list[Block]) -> None:
+    """Set each element's bias: the gains on the way to it, less MARKED if it is under a mark that stands.
+
+    A mark by names says what an element is beside the rest of the page. It does not stand where
+    the element holds the page's main, or all its articles and a good part of the text, or nearly
+    all paragraph text that is in no other marked element, unless the page has content marked as
+    such elsewhere. Elements that hold main, articles, a first heading or most text come first.
+    """
+    root = elements[0]
+    marked = [e for e in elements if e.mark or e is root]
+    for element in marked:
+        element.held = Held()
+    for element in elements:
+        held = element.holder.held
+        held.mains += element.name == "main"
+        held.articles += element.name == "article" and element.good
+        held.heads += element.name == "h1"
+    for block in found:
+        n = len(block.text)
+        if block.parent.name in ("p", "blockquote", "pre") or n >= LONG:
+            held, plain = block.parent.holder.held, max(0, n - block.links)
+            held.text += plain
+            held.free += plain
+            held.good += plain if block.parent.good else 0
+    for element in reversed(marked):
+        if element is not root:
+            element.parent.holder.held.add(element.held)
+    stands = {e: bool(e.mark) for e in marked}
+    free, good, articles = root.held.free, root.held.good, root.held.articles
+    judged = [e for e in marked if e.mark == "names"]
+    judged.sort(key=lambda e: (-(e.held.mains > 0), -(e.held.articles > 0), -(e.held.heads > 0), -e.held.text))
+    under = {root: False}
+    for element in judged:
+        held, above = element.held, element.parent.holder
+        if stands[above]:
+            continue
+        wraps = held.mains > 0
+        if not wraps and held.text and good * 10 <= held.text:
+            all_articles = held.articles and held.articles == articles
+            wraps = 4 * held.text >= held.text + free if all_articles else 3 * held.text > 2 * (held.text + free)
+        if wraps:
+            stands[element] = False
+            free += held.free
+            good += held.good
+    for element in elements[1:]:
+        above = element.parent
+        under[element] = under[above] or stands.get(element, False)
+        element.gain += above.gain
+        element.bias = min(GAINS, element.gain) - (MARKED if under[element] else 0.0)
 
 
 def _within(element: Element | None, name: str) -> bool:
@@ -183,7 +273,8 @@ class Silent:
 
 def blocks(html: str) -> list[Block]:
     out: list[Block] = []
-    node = Element("", None, 0.0)
+    node = Element("", None)
+    elements = [node]
     parts: list[str] = []
     links = 0
     linked: list[int] = []  # length of text at the start of each open link
@@ -272,10 +363,12 @@ def blocks(html: str) -> list[Block]:
                         break
                 walk = walk.parent
         if name not in VOID and not m["more"].endswith("/"):
-            node = Element(name, node, _bias(name, m["more"], node))
+            node = Element(name, node, m["more"])
+            elements.append(node)
     if at < len(html) and (not inside or inside.in_head()):
         parts.append(html[at:])
     flush()
+    _weigh(elements, out)
     return out
 
 

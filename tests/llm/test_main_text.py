@@ -96,6 +96,45 @@ def test_a_head_without_an_end(head):
     assert main_text(f"{head}{LOREM * 4}") == (LOREM * 4).strip()
 
 
+WRAPPERS = [
+    "<form id=form1>{}</form>",
+    "<div class='content has-sidebar'>{}</div>",
+    "<div class=no-sidebar><div class=nav-open>{}</div></div>",
+    "<div id=page-with-comments>{}</div>",
+    "<section class=discussion>{}</section>",
+    "<section class=legal>{}</section>",
+    "<div class=overflow-hidden>{}</div>",
+    "<form><div class=form-wrap><div class='sidebar-left'>{}</div></div></form>",
+]
+
+
+@pytest.mark.parametrize("wrap", WRAPPERS)
+@pytest.mark.parametrize("inner", ["<article>{}</article>", "<main>{}</main>", "<div>{}</div>"])
+@pytest.mark.parametrize(
+    "beside",
+    [
+        "",
+        "<nav><a href=x>Home</a></nav><div class=ad>" + LOREM + "</div><footer><p>" + LOREM + "</p></footer>",
+        f"<aside><p>{LOREM * 3}</p></aside><div class='cookie-banner'><p>{LOREM}</p></div>",
+        f"<div id=comments><p>{LOREM}</p><p>{LOREM}</p></div><form><label>Mail</label><input></form>",
+    ],
+)
+def test_marks_on_a_wrapper_do_not_take_the_article(wrap, inner, beside):
+    article = inner.format(ARTICLE)
+    assert main_text(page(wrap.format(article + beside))) == TEXT
+    assert main_text(page(wrap.format(article) + beside)) == TEXT
+
+
+@pytest.mark.parametrize("inner", ["<article>{}</article>", "<main>{}</main>", "<div class=content>{}</div>"])
+def test_marks_beside_the_article_stand(inner):
+    comments = f"<div id=comments><div class=content>{P * 8}</div></div>"
+    cards = f"<div class=related><article class=related-card>{P}</article></div>"
+    form = f"<form class=signup><p>{LOREM * 2}</p></form>"
+    assert main_text(page(inner.format(ARTICLE) + comments + cards + form)) == TEXT
+    nested = f"<main><article class=post><div class=entry><div class=story>{ARTICLE}<aside>{P}</aside></div></div></article></main>"
+    assert main_text(page(nested)) == TEXT
+
+
 def test_silent_elements_within_a_line():
     assert main_text(f"<p>{LOREM}<svg><g><text>no</text></g></svg>and <button>no<b>no</b></button>{LOREM}</p>") == (
         f"{LOREM}and {LOREM}".strip()
