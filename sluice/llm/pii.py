@@ -10,11 +10,13 @@ which keeps it one to one. What is free depends on the type:
 * e-mail: letters and digits of the local part, each among its kind; the domain's names likewise,
   its last label stays;
 * phone: digits after the country code; whether they start with 0 stays, as do punctuation and grouping;
+* IPv6 addresses: the groups that are not 0; the kind of address stays;
 * IPv4 addresses, card numbers (with or without a right check digit), IBANs (checked), other long
   numbers, hexadecimal secrets and key tokens: digits among digits, letters among letters;
 * names after a title or a known first name: consonants among consonants and vowels among vowels
   of their script; the last letter stays, which carries the gender of most names, and known first
-  names are replaced by known ones of the same gender and script.
+  names are replaced by known ones of the same gender and script. What is found so is
+  replaced wherever else the text has it as a whole word.
 
 `collisions` checks the promise on results: originals that share a surrogate.
 """
@@ -22,9 +24,12 @@ which keeps it one to one. What is free depends on the type:
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from ipaddress import IPv6Address
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -73,14 +78,34 @@ _FIND = re.compile(
     r"|(?P<iban>(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?:[ ]?[A-Z0-9]{4}){2,7}(?:[ ]?[A-Z0-9]{1,3})?(?![A-Za-z0-9]))"
     r"|(?P<ip>(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?![\d]|\.\d))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
+    r"|(?P<abroad>(?<![\w.])00[1-9]\d{0,2}[ ./-]?(?:(?<!\d)|(?=\())"
+    r"(?:\(0?\d{0,5}\)[ .-]?)?\d{1,8}(?:[ .-]?\d{2,8}){1,4}(?![ .-]?\d|\w)"
+    r"|(?<![\w.])00[1-9]\d{9,11}(?![ .-]?\d|\w))"
     r"|(?P<card>(?<![\w.])\d(?:[ -]?\d){12,18}(?![\w]))"
-    r"|(?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?)(?:\(\d{1,5}\)[ .-]?)?\d{2,5}(?:[ .-]?\d{2,5}){1,4}(?!\w)"
-    r"|(?<![\w.(])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-]))"
+    r"|(?P<phone>(?<![\w.])(?:\+\d{1,3}[ .-]?)(?:\(\d{1,5}\)[ .-]?)?\d{1,5}(?:[ .-]?\d{2,5}){1,4}(?!\w)"
+    r"|(?<![\w.(])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\w)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w-])"
+    r"|(?<![\w.-])1[ .-](?:\(\d{3}\)|\d{3})[ .-]\d{3}[ .-]\d{4}(?![\w-])"
+    r"|(?<![\w.-])(?<!\d[ ,:/])[2-9]\d\d [2-9]\d\d \d{4}(?![\w-]| \d))"
+    r"|(?P<national>(?<![\w.(])\(0[1-9]\d{0,3}\)[ .-]?\d{2,8}(?:[ .-]\d{2,8}){0,3}(?!\w)"
+    r"|(?<![\w.])(?<!\d[ ,:/-])0[1-9]\d{0,4}(?:(?P<gap>[ .-])\d{2,8}(?:(?P=gap)\d{2,8}){0,4}"
+    r"|(?:[ ]?/[ ]?|-)\d{2,8}(?:[ -]\d{2,8}){0,4}|\d{5,9})(?!\w|[.,/-]\d)"
+    r"|(?<![\w.])(?<!\d[ ,:/-])(?:[6-9]\d \d{3} \d\d \d\d|[6-9]\d\d (?:\d\d \d\d \d\d|\d{3} \d{3}))(?!\w|[ .,/-]\d))"
+    r"|(?P<ipv6>(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,7}:"
+    r"|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}|::(?:[0-9A-Fa-f]{1,4}:){0,6}[0-9A-Fa-f]{1,4})(?![\w:]|\.\d))"
     r"|(?P<secret>(?<![A-Za-z0-9])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![A-Za-z0-9])"
     r"|(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk-[A-Za-z0-9_-]{16,}"
     r"|xox[abp]-[A-Za-z0-9-]{10,}|eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+)(?![A-Za-z0-9]))"
 )
-_MAY_BE = re.compile(r"[0-9@]|eyJ|AKIA|xox|sk-")
+_KINDS = [k for k in _FIND.groupindex if k != "gap"]
+#: What the groups of _FIND are that are not types themselves, and the digits that a phone number has.
+_TYPES = {"abroad": "phone", "national": "phone", "ipv6": "ip"}
+_DIGITS_OF = {"phone": (8, 99), "abroad": (10, 17), "national": (9, 13)}
+#: Country calling codes, so that a number is the same with and without spaces.
+_CODE = re.compile(
+    r"(?:\+|00)(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}|\d{1,2})|1(?=[ .-])"
+)
+_MAY_BE = re.compile(r"[0-9@]|::|eyJ|AKIA|xox|sk-")
+_MENTION = re.compile(r"(?<!\w)" + _NAME + r"(?!\w)")
 _PERSON = re.compile(
     r"(?<!\w)(?:(?P<title>" + "|".join(_titles) + r")\.?[ ]+(?P<after>" + _NAME + r"(?:[ ]" + _NAME + r"){0,2})"
     r"|(?P<first>" + "|".join(sorted(_known, key=len, reverse=True)) + r")[ ](?P<last>" + _NAME + r"))(?!\w)"
@@ -147,6 +172,8 @@ class Surrogates:
             local, domain = text.split("@")
             names, _, last = domain.rpartition(".")
             return self._plain("local", local) + "@" + self._plain("domain", names) + "." + last
+        if kind == "ip" and ":" in text:
+            return self._ipv6(text)
         if kind == "ip":
             numbers = list(map(int, text.split(".")))
             value = int.from_bytes(bytes(numbers), "big")
@@ -160,8 +187,8 @@ class Surrogates:
         if kind == "name":
             return self._name(text)
         if kind == "phone":
-            # the country code stays; a number in brackets or with dashes only has none
-            code = re.match(r"\+(?:1|7|\d{1,3})", text)
+            # the country code stays; a national number has none
+            code = _CODE.match(text)
             return self._numeral("phone", text, code.end() if code else 0)
         if kind == "card":
             valid = luhn(text)
@@ -182,6 +209,36 @@ class Surrogates:
         head = re.match(r"AKIA|gh[pousr]_|sk-|xox[abp]-|eyJ|", text)[0]
         return head + self._plain("token", text[len(head) :])
 
+    def _ipv6(self, text: str) -> str:
+        """Groups that are not 0 among such, so that an address may be shortened as before.
+
+        The first one stays within 2000::/3, or as it is outside it.
+        """
+        packed = IPv6Address(text).packed
+        groups = [packed[i] << 8 | packed[i + 1] for i in range(0, 16, 2)]
+        unicast = 0x2000 <= groups[0] < 0x4000
+        free = [i for i, g in enumerate(groups) if g and (i or unicast)]
+        least = [0x2000 if i == 0 else 1 for i in free]
+        sizes = [0x2000 if i == 0 else 0xFFFF for i in free]
+        size = start = 0
+        if free:
+            size = math.prod(sizes)
+            for i, low, n in zip(free, least, sizes):
+                start = start * n + groups[i] - low
+        kind = "ipv6|" + "".join("x" if i in free else f"{g:x}," for i, g in enumerate(groups))
+        value = self.permuted(kind, start, size)
+        if value == start:
+            value = self.permuted(kind, value, size)
+        for i, low, n in reversed(list(zip(free, least, sizes))):
+            value, rest = divmod(value, n)
+            groups[i] = rest + low
+        new = IPv6Address(b"".join(g.to_bytes(2, "big") for g in groups))
+        if "::" in text:
+            out = new.compressed
+        else:
+            out = new.exploded if len(text) == 39 else ":".join(f"{g:x}" for g in groups)
+        return out.upper() if text == text.upper() else out
+
     def _plain(self, kind: str, text: str) -> str:
         """Letters among letters, digits among digits, the rest as it is."""
         places = [_DIGITS if c in _DIGITS else _LETTERS if c.lower() in _LETTERS else None for c in text]
@@ -241,9 +298,13 @@ def spans(text: str | None, surrogates: Surrogates) -> list[Span]:
         return out
     if _MAY_BE.search(text):
         for m in _FIND.finditer(text):
-            kind, found = m.lastgroup, m[0]
-            if kind == "phone" and sum(c.isdigit() for c in found) < 8:
+            kind, found = next(k for k in _KINDS if m[k] is not None), m[0]
+            least, most = _DIGITS_OF.get(kind, (0, 0))
+            if most and not least <= sum(c.isdigit() for c in found) <= most:
+                continue
+            if kind == "ipv6" and not _is_ipv6(found):
                 continue
+            kind = _TYPES.get(kind, kind)
             out.append((m.start(), m.end(), kind, found, surrogates.of(kind, found)))
     names = []
     for m in _PERSON.finditer(text):
@@ -253,12 +314,52 @@ def spans(text: str | None, surrogates: Surrogates) -> list[Span]:
             at = start + word.start()
             names.append((at, at + len(word[0]), "name", word[0], surrogates.of("name", word[0])))
     if names:
-        taken = [(a, b) for a, b, *_ in out]
-        out += [n for n in names if all(n[1] <= a or b <= n[0] for a, b in taken)]
-        out.sort()
+        out = _merged(out, names)
+        out = _merged(out, _mentions(text, {n[3]: n[4] for n in names}))
     return out
 
 
+def _merged(found: list[Span], more: list[Span]) -> list[Span]:
+    """Both in order, of `more` those that overlap none of `found`; neither overlaps itself."""
+    starts = [f[0] for f in found]
+    kept = []
+    for one in more:
+        i = bisect_left(starts, one[1])
+        if i == 0 or found[i - 1][1] <= one[0]:
+            kept.append(one)
+    return sorted(found + kept)
+
+
+def _mentions(text: str, names: dict[str, str]) -> list[Span]:
+    """Whole words anywhere in the text that are one of its names, also in capitals."""
+    capital = {name.upper(): new.upper() for name, new in names.items()}
+    out: list[Span] = []
+    for m in _MENTION.finditer(text):
+        places = [(p.start(), p.end()) for p in re.finditer(r"[^-’']+", m[0])]
+        i = 0
+        while i < len(places):
+            a = places[i][0]
+            for j in range(min(len(places), i + 6) - 1, i - 1, -1):
+                word = m[0][a : places[j][1]]
+                new = names.get(word) or capital.get(word)
+                if new:
+                    out.append((m.start() + a, m.start() + places[j][1], "name", word, new))
+                    i = j
+                    break
+            i += 1
+    return out
+
+
+def _is_ipv6(text: str) -> bool:
+    """An address, and not a slice or a name of code, the loopback or no address."""
+    try:
+        value = int(IPv6Address(text))
+    except ValueError:
+        return False
+    parts = [p for p in text.split(":") if p]
+    return value > 1 and sum(map(len, parts)) > 4 and (len(parts) > 2 or any(c.isdigit() for c in text))
+
+
 def replaced(text: str | None, found: list[Span]) -> str | None:
     if not found:
         return text

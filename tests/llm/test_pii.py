@@ -74,6 +74,60 @@ def test_distinct_entities_stay_distinct():
         assert not {ONE.of(kind, v) for v in values} & {v for v in values if ONE.of(kind, v) == v}
 
 
+@pytest.mark.parametrize(
+    "number",
+    "030 1234567|01 23 45 67 89|01.23.45.67.89|91 123 45 67|612 34 56 78|612 345 678|212 555 1234|1-800-555-0199|"
+    "1 (800) 555-0199|(020) 7946 0958|020 7946 0958|0049 30 1234567|0049301234567|+33 1 23 45 67 89|030/1234567|"
+    "0171-1234567|0612345678|(030) 123 45 67".split("|"),
+)
+def test_national_phone_numbers(number):
+    text = f"Call {number}, or {number}."
+    found = spans(text, ONE)
+    assert [f[2:4] for f in found] == [("phone", number)] * 2
+    new = found[0][4]
+    assert new != number and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", number) == re.sub(r"\d", "0", found[1][4])
+
+
+def test_a_phone_number_is_the_same_with_either_prefix():
+    forms = ["+49 30 1234567", "0049 30 1234567", "+49301234567", "0049301234567"]
+    assert len({re.sub(r"\D", "", ONE.of("phone", f))[-9:] for f in forms}) == 1
+    assert spans("0054994038693466", ONE)[0][2] == "card"
+    assert len({re.sub(r"\D", "", ONE.of("phone", f))[-10:] for f in ("1-800-555-0199", "+1 800 555 0199")}) == 1
+
+
+@pytest.mark.parametrize(
+    "address", ["2001:db8::8a2e:370:7334", "2001:0db8:85a3:0000:0000:8a2e:0370:7334", "2001:DB8:0:0:8:800:200C:417A", "fe80::1"]
+)
+def test_ipv6(address):
+    from ipaddress import IPv6Address
+
+    found = spans(f"from {address}, to [{address}]:80", ONE)
+    assert [f[2:4] for f in found] == [("ip", address)] * 2
+    new = found[0][4]
+    assert IPv6Address(new) != IPv6Address(address) and ("::" in new) == ("::" in address)
+    assert IPv6Address(ONE.of("ip", IPv6Address(address).exploded)) == IPv6Address(new)
+    assert spans("at 10:30:15 x[1::2] abc::def std::a ::1 12:30", ONE) == []
+
+
+def test_every_mention_of_a_found_name_goes():
+    text = "Smith-Jones met Dr. Smith. Later Smith agreed, SMITH's and (Smith) too; Smithers did not. Anna Müller: Anna."
+    found = spans(text, ONE)
+    new = replaced(text, found)
+    assert not re.search(r"(?i)\bSmith\b|\bMüller\b|\bAnna\b", new) and "Smithers" in new and "Jones" in new
+    assert len({f[4].lower() for f in found if f[3].lower() == "smith"}) == 1
+    assert sum(f[3].lower() == "smith" for f in found) == 5 and found == sorted(found)
+    mail = "Dr. Smith <Smith@x.org> Smith"
+    assert [f[2] for f in spans(mail, ONE)] == ["name", "email", "name"]
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["on 01.02.2020 10:30", "01/02/2020", "01-02-2020 at 12", "1 234 567 890", "0.12 34 56 78 90", "12 345 678", "2020 10 12", "000123"],
+)
+def test_numbers_that_are_no_phone_numbers(text):
+    assert spans(text, ONE) == []
+
+
 @pytest.mark.parametrize(
     "text",
     ["version 1.2.3.4.5", "on 2020-01-02 at 10:30", "call 12 34", "The Ines of", "a@b", "1,234,567.89", "room 555-1234", ""],
