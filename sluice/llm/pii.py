@@ -15,10 +15,12 @@ which keeps it one to one. What is free depends on the type:
   numbers, hexadecimal secrets and key tokens: digits among digits, letters among letters;
 * names after a title or a known first name: consonants among consonants and vowels among vowels
   of their script; the last letter stays, which carries the gender of most names, and known first
-  names are replaced by known ones of the same gender and script. What is found so is
+  names are replaced by known ones of the same gender and script, each by the next in one keyed
+  cycle over them. What is found so is
   replaced wherever else the text has it as a whole word.
 
-`collisions` checks the promise on results: originals that share a surrogate.
+`collisions` checks the promise on results: originals that share a surrogate. `checked` writes
+results and stops if there are any.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import quoted, ship
+from sluice.llm.common import quoted, ship, written
 
 # Titles, first names by gender and script, and the letters of the scripts.
 TITLES = {
@@ -120,6 +122,7 @@ class Surrogates:
             raise ValueError("the key needs 16 bytes at least")
         self.key = key[:64]
         self.of = lru_cache(200_000)(self._of)
+        self._cycles: dict[str, dict[str, str]] = {}
 
     def __reduce__(self):
         return Surrogates, (self.key,)
@@ -259,11 +262,19 @@ class Surrogates:
             out[i] = c
         return "".join(out)
 
+    def _next(self, script: str, gender: str, names: list[str]) -> dict[str, str]:
+        """For each name the one after it in a keyed order that closes, so that none stays."""
+        kind = f"first|{script}|{gender}"
+        if kind not in self._cycles:
+            order = sorted(names, key=lambda name: (self._number(f"{kind}|{name}", 128), name))
+            self._cycles[kind] = dict(zip(order, order[1:] + order[:1]))
+        return self._cycles[kind]
+
     def _name(self, word: str) -> str:
         """One word of a name."""
         if word in _known:
             (script, gender), names = _known[word]
-            return names[self.permuted(f"first|{script}|{gender}", names.index(word), len(names))]
+            return self._next(script, gender, names)[word]
         places = [_KIND.get(c.lower()) for c in word]
         places[-1] = None
         if not any(places):
@@ -432,3 +443,12 @@ def collisions(results: DataFrame) -> DataFrame:
         .agg(F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
     )
+
+
+def checked(results: DataFrame) -> DataFrame:
+    """The results, once written and without collisions; an error if there are any."""
+    results = written(results, "pii")
+    found = collisions(results).limit(5).collect()
+    if found:
+        raise RuntimeError(f"surrogates that stand for several originals: {[tuple(row) for row in found]}")
+    return results

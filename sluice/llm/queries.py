@@ -14,7 +14,7 @@ from sluice.llm.dedup import exact_duplicates
 from sluice.llm.main_text import extract
 from sluice.llm.mixing import mix
 from sluice.llm.packing import pack
-from sluice.llm.pii import pseudonymise
+from sluice.llm.pii import checked, pseudonymise
 from sluice.llm.similarity import similar_components
 from sluice.llm.token_files import read_token_files, write_token_files
 from sluice.llm.topk import top_k
@@ -55,7 +55,8 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = pseudonymise(table(spark, sf_dir, "documents"), DEMO_KEY)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    done = checked(pseudonymise(docs, DEMO_KEY))
     return done.select("doc_id", "text", "n_entities")
 
 

@@ -5,6 +5,7 @@ import re
 import pytest
 
 from sluice.llm.pii import FIRST_NAMES, Surrogates, collisions, iban, luhn, pseudonymise, replaced, spans
+from sluice.llm.queries import DEMO_KEY
 
 from .cases import awkward, awkward_rows, nothing
 
@@ -57,6 +58,25 @@ def test_names_keep_gender_script_and_case():
     assert re.fullmatch("[A-Z][a-z]+", ONE.of("name", "Smith"))
 
 
+@pytest.mark.parametrize("key", [KEY, DEMO_KEY, *(bytes([i]) * 16 for i in range(20))])
+def test_no_known_name_stays(key):
+    surrogates = Surrogates(key)
+    for names in FIRST_NAMES.values():
+        new = [surrogates.of("name", n) for n in names]
+        assert all(a != b for a, b in zip(names, new)) and sorted(new) == sorted(names)
+
+
+def test_the_query_stops_at_collisions(spark, monkeypatch):
+    from sluice.llm.queries import QUERIES
+
+    assert QUERIES["op5_pii"](spark, "/root/testdata/sf0.01").filter("n_entities > 0").count() > 0
+    kind = "doc_id long, text string, n_entities long, entities array<struct<type:string,original:string,surrogate:string>>"
+    mixed = spark.createDataFrame([(1, "9", 2, [("ssn", "1", "9"), ("ssn", "2", "9")])], kind)
+    monkeypatch.setattr("sluice.llm.queries.pseudonymise", lambda *_: mixed)
+    with pytest.raises(RuntimeError, match="several originals"):
+        QUERIES["op5_pii"](spark, "/root/testdata/sf0.01")
+
+
 @pytest.mark.parametrize("size", [2, 3, 10, 1000])
 def test_permutations(size):
     assert sorted(ONE.permuted("x", i, size) for i in range(size)) == list(range(size))
