@@ -11,7 +11,7 @@ import pytest
 import __spark_entry__ as registered
 import corpus_pipeline
 from checks.compare import spark_rows, sql_rows
-from sluice.llm import tokens
+from sluice.llm import langid, tokens
 from sluice.llm.queries import QUERIES, tokenizer
 from sluice.llm.sql import SQL
 
@@ -115,6 +115,27 @@ def test_pipeline_stages_against_plain_python(spark, texts):
     assert got == want
 
 
+def test_the_language_stage_against_a_plain_loop(spark):
+    """On the given rows and on noise, which must go: the same rows stay, and each as it was."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    letters = np.random.default_rng(0).choice(list("abcdefghijklmnopqrstuvwxyz   "), (5, 1500))
+    noise = [(-1 - i, "".join(row), None, "x", 1500) for i, row in enumerate(letters.tolist())]
+    docs = docs.unionByName(spark.createDataFrame(noise, docs.schema))
+    languages = langid.learn(docs)
+    limits = languages.limits()
+    want = []
+    for r in docs.collect():
+        content = langid.letters(r.text or "")
+        if not content:
+            continue
+        sizes = sorted(size for size, _ in languages.sizes(content))
+        place = sum(len(content) >= n for n in langid.LENGTHS[:-1])
+        if (sizes[1] - sizes[0]) / sizes[0] >= limits[place]:
+            want.append(tuple(r))
+    got = [tuple(r) for r in dict(corpus_pipeline.STAGES)["language"](spark, docs, SMALL).collect()]
+    assert sorted(got) == sorted(want) and min(r[0] for r in got) >= 0
+
+
 def test_the_pipeline_bears_awkward_and_empty_tables(spark, tmp_path):
     for i, table in enumerate((awkward(spark), nothing(spark))):
         table.write.parquet(f"file:{tmp_path}/{i}/documents.parquet")
