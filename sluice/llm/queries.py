@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from sluice.llm import langid, toxicity
 from sluice.llm.common import scratch
 from sluice.llm.dedup import exact_duplicates
+from sluice.llm.filter_audit import METRICS, every_order, mask_cells
 from sluice.llm.main_text import extract
 from sluice.llm.mixing import mix
 from sluice.llm.packing import pack
@@ -88,6 +89,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cells = mask_cells(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return every_order(cells, "ABCDE").select("part", "filter_order", "step", *METRICS, "shapley")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
@@ -99,4 +105,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mixing": op10_mixing,
+    "op12_filter_audit": op12_filter_audit,
 }

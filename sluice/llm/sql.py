@@ -98,8 +98,49 @@ SELECT query_id, rank, vec_id, score FROM (
 ) r WHERE rank <= 10
 """
 
+OP12 = r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words,
+           min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id
+    FROM documents
+), l AS (
+    SELECT doc_id, coalesce(max(quality) = 1, FALSE) AS good, coalesce(max(toxic) = 1, FALSE) AS toxic
+    FROM labels GROUP BY doc_id
+), m AS (
+    SELECT part, coalesce(good, FALSE) AS good, coalesce(toxic, FALSE) AS toxic, [
+        len(words) < 100, 100 * len(list_distinct(words)) < 80 * len(words),
+        100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 10 * length(text),
+        regexp_matches(text, '[#$%&*|]'), coalesce(first_id < d.doc_id, FALSE)] AS fails
+    FROM d LEFT JOIN l ON l.doc_id = d.doc_id
+), orders AS (
+    SELECT '' AS filter_order
+    UNION ALL
+    SELECT filter_order || letter FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter)
+    WHERE NOT contains(filter_order, letter)
+), s AS (
+    SELECT part, filter_order, step, good, toxic, n,
+           fails[ascii(filter_order[step]) - 64] AS here,
+           len([x for x in range(1, step) if fails[ascii(filter_order[x]) - 64]]) > 0 AS before,
+           len([x for x in fails if x]) AS failed
+    FROM (SELECT part, good, toxic, fails, count(*) AS n FROM m GROUP BY ALL),
+         (SELECT * FROM orders, (SELECT unnest(range(1, 6)) AS step) WHERE length(filter_order) = 5)
+), r AS (
+    SELECT part, filter_order, step::INT AS step,
+           coalesce(sum(n) FILTER (NOT here AND NOT before), 0)::BIGINT AS kept,
+           coalesce(sum(n) FILTER (here AND NOT before), 0)::BIGINT AS removed,
+           coalesce(sum(n) FILTER (here AND before), 0)::BIGINT AS redundant,
+           coalesce(sum(n) FILTER (here AND failed = 1), 0)::BIGINT AS unique_fails,
+           coalesce(sum(n) FILTER (here AND NOT before AND good), 0)::BIGINT AS good_lost,
+           coalesce(sum(n) FILTER (here AND NOT before AND toxic), 0)::BIGINT AS toxic_lost
+    FROM s GROUP BY part, filter_order, step
+)
+SELECT *, (sum(removed) OVER (PARTITION BY part, filter_order[step]))::BIGINT AS shapley FROM r
+"""
+
 SQL: dict[str, str] = {
     "op4_ngram_join": OP4,
     "op6_topk": OP6,
     "op9_exact_dedup": OP9, "op10_mixing": OP10,
+    "op12_filter_audit": OP12,
 }
