@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from sluice.llm import langid, toxicity
 from sluice.llm.common import scratch
+from sluice.llm.decontaminate import benchmark_hits, words_inside
 from sluice.llm.dedup import exact_duplicates
 from sluice.llm.filter_audit import METRICS, every_order, mask_cells
 from sluice.llm.main_text import extract
@@ -89,6 +90,19 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    n_hit = words_inside(F.col("spans"))
+    return hits.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
+        (n_hit > 0).alias("contaminated"),
+    )
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = mask_cells(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return every_order(cells, "ABCDE").select("part", "filter_order", "step", *METRICS, "shapley")
@@ -105,5 +119,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_mixing": op10_mixing,
+    "op11_decontamination": op11_decontamination,
     "op12_filter_audit": op12_filter_audit,
 }

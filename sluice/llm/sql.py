@@ -98,6 +98,40 @@ SELECT query_id, rank, vec_id, score FROM (
 ) r WHERE rank <= 10
 """
 
+OP11 = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+    FROM documents
+), b AS (
+    SELECT item_id, words, least(10, len(words)) AS size FROM (
+        SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+        FROM benchmark) t
+    WHERE len(words) > 0
+), w AS (
+    SELECT DISTINCT item_id, size, unnest([words[i:i + size - 1] for i in range(1, len(words) - size + 2)]) AS content
+    FROM b
+), p AS (
+    SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS place
+    FROM d, (SELECT DISTINCT size FROM w) z
+), h AS (
+    SELECT p.doc_id, p.place, p.size, w.item_id
+    FROM p JOIN w ON w.size = p.size AND w.content = p.words[p.place:p.place + p.size - 1]
+), n AS (
+    SELECT doc_id, count(*) AS n_hit FROM (
+        SELECT DISTINCT doc_id, unnest(range(place, place + size)) AS word FROM h
+    ) t GROUP BY doc_id
+), i AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS items
+    FROM (SELECT DISTINCT doc_id, item_id FROM h) t GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.words)::BIGINT AS n_words, coalesce(n.n_hit, 0)::BIGINT AS n_hit,
+       coalesce(i.n_items, 0)::BIGINT AS n_items, sha256(coalesce(i.items, '')) AS items_sha256,
+       coalesce(n.n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN i ON i.doc_id = d.doc_id
+"""
+
 OP12 = r"""
 WITH RECURSIVE d AS (
     SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
@@ -142,5 +176,5 @@ SQL: dict[str, str] = {
     "op4_ngram_join": OP4,
     "op6_topk": OP6,
     "op9_exact_dedup": OP9, "op10_mixing": OP10,
-    "op12_filter_audit": OP12,
+    "op11_decontamination": OP11, "op12_filter_audit": OP12,
 }
