@@ -20,6 +20,7 @@ from sluice.llm.pii import checked, pseudonymise
 from sluice.llm.similarity import similar_components
 from sluice.llm.token_files import read_token_files, write_token_files
 from sluice.llm.topk import top_k
+from sluice.llm.vector_codes import compress
 
 TOKENIZER = "byte_bpe_50k.json"
 #: Key of the surrogates in the query; a real run takes a secret one.
@@ -108,6 +109,18 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every_order(cells, "ABCDE").select("part", "filter_order", "step", *METRICS, "shapley")
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = compress(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256)
+    digits = F.transform("code", lambda entry: F.lpad(F.lower(F.hex(entry)), 2, "0"))
+    return codes.select(
+        "vec_id",
+        F.array_join(digits, "").alias("code"),
+        "error",
+        "label_error",
+        F.lit(books.sha256()).alias("codebooks_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_packing": op2_packing,
@@ -121,4 +134,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mixing": op10_mixing,
     "op11_decontamination": op11_decontamination,
     "op12_filter_audit": op12_filter_audit,
+    "op13_vector_codes": op13_vector_codes,
 }

@@ -172,9 +172,57 @@ WITH RECURSIVE d AS (
 SELECT *, (sum(removed) OVER (PARTITION BY part, filter_order[step]))::BIGINT AS shapley FROM r
 """
 
+
+def _op13(rounds: int = 2) -> str:
+    """Each round assigns the parts (a) and replaces the entries of the codebooks (c)."""
+    steps = [r"""
+WITH v AS (
+    SELECT vec_id, label, [floor(256 * x::DOUBLE)::BIGINT for x in embedding] AS ints
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), p AS (
+    SELECT vec_id, label, part, ints[part * (len(ints) // 16) + 1:(part + 1) * (len(ints) // 16)] AS x
+    FROM v, (SELECT unnest(range(16)) AS part)
+), c0 AS (
+    SELECT part, entry, x AS e
+    FROM p JOIN (
+        SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v ORDER BY vec_id LIMIT 64
+    ) f ON f.vec_id = p.vec_id
+)"""]
+    for i in range(rounds + 1):
+        steps.append(f""", a{i} AS (
+    SELECT vec_id, label, part, x, min(d) AS d, arg_min(entry, d * 64 + entry) AS entry
+    FROM (
+        SELECT p.*, entry, list_sum([(x[i] - e[i]) * (x[i] - e[i]) for i in range(1, len(x) + 1)])::BIGINT AS d
+        FROM p JOIN c{i} ON c{i}.part = p.part
+    ) t GROUP BY vec_id, label, part, x
+)""")
+        if i < rounds:
+            steps.append(f""", s{i} AS (
+    SELECT part, entry, i, floor(sum(value)::DOUBLE / count(*))::BIGINT AS value
+    FROM (SELECT part, entry, unnest(x) AS value, unnest(range(len(x))) AS i FROM a{i}) t
+    GROUP BY part, entry, i
+), m{i} AS (
+    SELECT part, entry, list(value ORDER BY i) AS e FROM s{i} GROUP BY part, entry
+), c{i + 1} AS (
+    SELECT c{i}.part, c{i}.entry, coalesce(m{i}.e, c{i}.e) AS e
+    FROM c{i} LEFT JOIN m{i} ON m{i}.part = c{i}.part AND m{i}.entry = c{i}.entry
+)""")
+    steps.append(f""", r AS (
+    SELECT vec_id, label, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error
+    FROM a{rounds} GROUP BY vec_id, label
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(e, ','), ',' ORDER BY part, entry)) FROM c{rounds}) AS codebooks_sha256
+FROM r
+""")
+    return "".join(steps)
+
+
 SQL: dict[str, str] = {
     "op4_ngram_join": OP4,
     "op6_topk": OP6,
     "op9_exact_dedup": OP9, "op10_mixing": OP10,
     "op11_decontamination": OP11, "op12_filter_audit": OP12,
+    "op13_vector_codes": _op13(),
 }
