@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Points of a ball that is not split further.
-LEAF = 48
+LEAF = 32
 #: What the bounds of floating point arithmetic may be off by, relatively and absolutely.
 _LOOSE, _SLACK = 1 + 1e-9, 1e-6
 
@@ -30,10 +30,13 @@ class BallTree:
     right: np.ndarray
     begin: np.ndarray
     end: np.ndarray
-    centre: np.ndarray
     radius: np.ndarray
     total: np.ndarray
 
+    @property
+    def centre(self) -> np.ndarray:
+        return self.total / (self.end - self.begin)[:, None]
+
 
 def _distances(points: np.ndarray, to: np.ndarray) -> np.ndarray:
     return np.sqrt(((points - to) ** 2).sum(axis=1))
@@ -68,41 +71,61 @@ class _Builder:
     def __init__(self, points: np.ndarray) -> None:
         self.exact = points
         self.points = points.astype(np.float64)
-        self.balls: list[tuple] = []
-
-    def _ball(self, own: np.ndarray, left: int, right: int) -> int:
+        self.leaves: dict[int, np.ndarray] = {}
+        self.left: list[int] = []
+        self.right: list[int] = []
+        self.size: list[int] = []
+        self.centre: list[np.ndarray] = []
+        self.radius: list[float] = []
+        self.total: list[np.ndarray] = []
+
+    def _add(self, left: int, right: int, size: int, total: np.ndarray, centre: np.ndarray, radius: float) -> int:
+        self.left.append(left)
+        self.right.append(right)
+        self.size.append(size)
+        self.total.append(total)
+        self.centre.append(centre)
+        self.radius.append(radius)
+        return len(self.left) - 1
+
+    def _leaf(self, own: np.ndarray) -> int:
         total = self.exact[own].sum(axis=0)
         centre = total / len(own)
-        radius = float(_distances(self.points[own], centre).max())
-        self.balls.append((left, right, own, centre, radius, total))
-        return len(self.balls) - 1
+        ball = self._add(-1, -1, len(own), total, centre, float(_distances(self.points[own], centre).max()))
+        self.leaves[ball] = own
+        return ball
+
+    def _pair(self, a: int, b: int) -> int:
+        """A ball around two, from what they cache."""
+        size, total = self.size[a] + self.size[b], self.total[a] + self.total[b]
+        centre = total / size
+        reach = _distances(np.array([self.centre[a], self.centre[b]]), centre)
+        radius = max(float(reach[0]) + self.radius[a], float(reach[1]) + self.radius[b])
+        return self._add(a, b, size, total, centre, radius * _LOOSE)
 
     def build(self, own: np.ndarray) -> int:
         """The number of the ball of these points."""
         if len(own) <= LEAF:
-            return self._ball(own, -1, -1)
+            return self._leaf(own)
         parts = anchors(self.points[own], int(np.ceil(np.sqrt(len(own)))))
         if len(parts) == 1:
-            return self._ball(own, -1, -1)
+            return self._leaf(own)
         return self._merged([self.build(own[part]) for part in parts])
 
-    def _merged(self, tops: list[int]) -> int:
+    def _merged(self, names: list[int]) -> int:
         """Balls merged in pairs, at each step those whose common ball is smallest."""
-        names = list(tops)
-        centres = np.array([self.balls[b][3] for b in names])
-        radii = np.array([self.balls[b][4] for b in names])
+        centres = np.array([self.centre[b] for b in names])
+        radii = np.array([self.radius[b] for b in names])
         common = np.sqrt(((centres[:, None] - centres[None]) ** 2).sum(axis=2)) + radii[:, None] + radii
         np.fill_diagonal(common, np.inf)
         for _ in range(len(names) - 1):
             a, b = divmod(int(common.argmin()), len(names))
-            own = np.concatenate([self.balls[names[a]][2], self.balls[names[b]][2]])
-            names[a] = self._ball(own, names[a], names[b])
-            centres[a], radii[a] = self.balls[names[a]][3], self.balls[names[a]][4]
+            names[a] = last = self._pair(names[a], names[b])
+            centres[a], radii[a] = self.centre[last], self.radius[last]
             common[b], common[:, b] = np.inf, np.inf
-            row = _distances(centres, centres[a]) + radii + radii[a]
+            row = _distances(centres, centres[a]) + (radii + radii[a])
             row[np.isinf(common[a])] = np.inf
             common[a], common[:, a] = row, row
-            last = names[a]
         return last
 
 
@@ -110,17 +133,19 @@ def ball_tree(points: np.ndarray) -> BallTree:
     """The tree of some integer points, at least one."""
     builder = _Builder(points)
     root = builder.build(np.arange(len(points)))
-    left, right, owns, centre, radius, total = zip(*builder.balls)
     # the points of a ball are those of its left child, then those of its right one
-    begin = np.zeros(len(left), np.int64)
-    sizes = np.array([len(own) for own in owns])
+    begin = np.zeros(root + 1, np.int64)
+    order = np.empty(len(points), np.int64)
     for ball in range(root, -1, -1):
-        if left[ball] >= 0:
-            begin[left[ball]] = begin[ball]
-            begin[right[ball]] = begin[ball] + sizes[left[ball]]
+        left, right = builder.left[ball], builder.right[ball]
+        if left >= 0:
+            begin[left] = begin[ball]
+            begin[right] = begin[ball] + builder.size[left]
+        else:
+            order[begin[ball] : begin[ball] + builder.size[ball]] = builder.leaves[ball]
     return BallTree(
-        owns[root], np.array(left), np.array(right), begin, begin + sizes,
-        np.array(centre), np.array(radius), np.array(total),
+        order, np.array(builder.left), np.array(builder.right), begin, begin + np.array(builder.size),
+        np.array(builder.radius), np.array(builder.total),
     )
 
 
@@ -150,10 +175,11 @@ def nearest_entries(points: np.ndarray, tree: BallTree, entries: np.ndarray) ->
     nearest = np.empty(len(points), np.int64)
     counts = np.zeros(size, np.int64)
     totals = np.zeros((size, points.shape[1]), np.int64)
+    centre, count = tree.centre, tree.end - tree.begin
     balls, lists = np.array([len(tree.left) - 1]), alive[None]
     in_balls, open_points, open_lists = 0, [], []
     while len(balls):
-        squares = ((tree.centre[balls][:, None] - real) ** 2).sum(axis=2)
+        squares = ((centre[balls][:, None] - real) ** 2).sum(axis=2)
         squares[~lists] = np.inf
         best = squares.argmin(axis=1)
         least = squares[np.arange(len(balls)), best]
@@ -162,7 +188,7 @@ def nearest_entries(points: np.ndarray, tree: BallTree, entries: np.ndarray) ->
         lists = lists & within
         lists[np.arange(len(balls)), best] = True
         owned = lists.sum(axis=1) == 1
-        np.add.at(counts, best[owned], (tree.end - tree.begin)[balls[owned]])
+        np.add.at(counts, best[owned], count[balls[owned]])
         np.add.at(totals, best[owned], tree.total[balls[owned]])
         for ball, entry in zip(balls[owned].tolist(), best[owned].tolist()):
             own = tree.order[tree.begin[ball] : tree.end[ball]]

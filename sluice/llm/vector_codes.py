@@ -27,12 +27,12 @@ from sluice.llm.common import give_back, quoted, ship, small, written
 from sluice.llm.metric_tree import BallTree, ball_tree, nearest_entries
 
 #: Vectors of a block.
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 16384
 #: Integers must be smaller than this, so that sums of squares of a part stay exact.
 LARGEST = 1 << 26
 
 _TREE = [f.name for f in fields(BallTree)]
-_KINDS = dict(zip(_TREE, ("<i4", "<i4", "<i4", "<i4", "<i4", "<f8", "<f8", "<i8")))
+_KINDS = dict(zip(_TREE, ("<i4", "<i4", "<i4", "<i4", "<i4", "<f8", "<i8")))
 
 
 @dataclass(frozen=True)
@@ -236,7 +236,6 @@ def _blocks_of(
             trees = []
             for p in range(parts):
                 arrays = {name: np.frombuffer(stored[name][p], _KINDS[name]) for name in _TREE}
-                for name in ("centre", "total"):
-                    arrays[name] = arrays[name].reshape(-1, width)
+                arrays["total"] = arrays["total"].reshape(-1, width)
                 trees.append(BallTree(**arrays))
             yield [np.ascontiguousarray(x) for x in np.split(points, parts, axis=1)], trees, row
