@@ -26,7 +26,7 @@ def texts(spark):
 
 
 def test_all_are_registered():
-    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(registered.queries())
     assert set(SQL) <= set(registered.oracle_sql())
 
