@@ -7,9 +7,7 @@ each group is read with its own columns, and the groups are combined by name.
 from __future__ import annotations
 
 import re
-from codecs import BOM_UTF8
 from collections.abc import Iterable, Iterator, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import reduce
@@ -19,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions.columns import quoted, quoted_all
+from sluice.sources.headers import HeaderError, LandedFile
 
 # Where a row came from: the file and its time of modification, its split, and a number that
 # grows within the split. Together they are the order of the rows, whichever micro-batch took
@@ -37,17 +36,6 @@ METADATA = "_metadata"
 LISTING = "path string, modificationTime timestamp, length long, content binary"
 
 
-class HeaderError(ValueError):
-    """The header of a file cannot be used."""
-
-
-@dataclass(frozen=True)
-class LandedFile:
-    path: str
-    uri: str
-    length: int
-
-
 @dataclass(frozen=True)
 class HeaderGroup:
     columns: tuple[str, ...]
@@ -92,53 +80,6 @@ def session_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterat
 # A list of files is checked path by path; Spark would start a task for each of them.
 FEW_LISTING_TASKS = {"spark.sql.sources.parallelPartitionDiscovery.parallelism": "256"}
 
-# A header longer than this is an error.
-HEADER_LIMIT = 1 << 20
-# Files the driver has open at the same time for their headers.
-OPEN_AT_ONCE = 32
-
-
-def first_lines(
-    spark: SparkSession, files: Sequence[LandedFile], options: Mapping[str, str]
-) -> dict[str, bytes]:
-    """URI -> first line that is neither blank nor a comment, for the files that have one.
-
-    As bytes: lines in an encoding other than UTF-8 stay apart. The driver, which has the list
-    of files anyway, opens each and takes one line by the reader that Spark's text source uses:
-    a buffer of each file is read and no job runs. Tasks could not do with less, as no operator
-    and no Python function ends the reading of a partition before its end.
-    """
-    jvm = spark._jvm
-    settings = spark._jsparkSession.sessionState().newHadoopConf()
-    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(settings)
-    comment = options.get("comment", "").encode()
-
-    def first(file: LandedFile) -> bytes | None:
-        place = jvm.org.apache.hadoop.fs.Path(file.path)
-        stream = place.getFileSystem(settings).open(place)
-        try:
-            codec = codecs.getCodec(place)
-            source = stream if codec is None else codec.createInputStream(stream)
-            ends = (options["lineSep"].encode(),) if "lineSep" in options else ()
-            reader, text = jvm.org.apache.hadoop.util.LineReader(source, *ends), jvm.org.apache.hadoop.io.Text()
-            start = True
-            while reader.readLine(text, HEADER_LIMIT + 4):
-                line = bytes(text.copyBytes())
-                line = line.removeprefix(BOM_UTF8) if start else line
-                start = False
-                if len(line) > HEADER_LIMIT:
-                    raise HeaderError(f"the header of {file.path} has more than {HEADER_LIMIT} bytes")
-                if max(line, default=0) > 32 and not (comment and line.startswith(comment)):
-                    return line
-            return None
-        finally:
-            stream.close()
-
-    with ThreadPoolExecutor(OPEN_AT_ONCE) as pool:
-        found = pool.map(first, files)
-        return {file.uri: line for file, line in zip(files, found) if line is not None}
-
-
 # Options of a CSV reader that do not concern the cells of a single line.
 _NOT_OF_A_LINE = frozenset(
     "header multiline linesep encoding charset comment mode inferschema columnnameofcorruptrecord enforceschema".split()
@@ -192,14 +133,13 @@ def safe_names(cells: Sequence[str | None], null_value: str, case_sensitive: boo
 def header_groups(
     spark: SparkSession, files: Sequence[LandedFile], options: Mapping[str, str]
 ) -> list[HeaderGroup]:
-    """The files of one micro-batch by columns; files without a line drop out.
+    """The files of one micro-batch, in order, by columns; files without a line drop out.
 
     The first line of a file tells its header. Headers that a line alone does not tell are
     left to Spark's reader, one file at a time.
     """
-    line_of = first_lines(spark, files, options)
-    ordered = [file for file in sorted(files, key=lambda file: file.uri) if file.uri in line_of]
-    distinct = list(dict.fromkeys(line_of[file.uri] for file in ordered))
+    ordered = [file for file in files if file.line is not None]
+    distinct = list(dict.fromkeys(file.line for file in ordered))
     cells_of = dict(zip(distinct, header_cells(spark, distinct, options)))
     null_value = next((value for name, value in options.items() if name.lower() == "nullvalue"), "")
     case_sensitive = spark.conf.get("spark.sql.caseSensitive") == "true"
@@ -207,7 +147,7 @@ def header_groups(
     by_columns: dict[tuple[str, ...], list[str]] = {}
     read: dict[bytes, tuple[str, ...]] = {}
     for file in ordered:
-        line = line_of[file.uri]
+        line = file.line
         if cells_of[line] is not None:
             columns = safe_names(cells_of[line], null_value, case_sensitive)
         elif line in read:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -10,12 +10,13 @@ from pyspark.sql.streaming import StreamingQuery
 from sluice.sources.bronze import RESERVED, BronzeTable
 from sluice.sources.csv_files import (
     FEW_LISTING_TASKS,
-    LandedFile,
     header_groups,
+    literal_path,
     new_files,
     read_by_name,
     session_settings,
 )
+from sluice.sources.headers import landed_files
 
 STREAM_ID = "sql.streaming.queryId"
 
@@ -44,12 +45,10 @@ def start_ingest(
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        # At most max_files rows, each a path and a size.
-        files = [LandedFile(row.path, row.uri, row.length) for row in batch.collect()]
         stream_id = session.sparkContext.getLocalProperty(STREAM_ID)
         if stream_id is None:
             raise RuntimeError("the stream's id is not known to this thread: Python threads must be pinned")
-        take_up(session, BronzeTable(session, root), batch_id, stream_id, files, csv_options)
+        take_up(session, BronzeTable(session, root), batch_id, stream_id, batch, csv_options)
 
     return (
         new_files(spark, landing, max_files, max_file_age)
@@ -65,11 +64,12 @@ def take_up(
     bronze: BronzeTable,
     version: int,
     stream_id: str,
-    files: Sequence[LandedFile],
+    batch: DataFrame,
     options: Mapping[str, str],
 ) -> None:
-    """Write the rows of some files as one version; files without a line make none."""
-    groups = header_groups(session, files, options) if files else []
+    """Write the rows of some files (path, length, uri) as one version; files without a line make none."""
+    files = landed_files(batch, options, literal_path)  # at most max_files
+    groups = header_groups(session, files, options)
     if groups:
         rows = read_by_name(session, groups, bronze.known_columns(), options, RESERVED)
         size = sum(file.length for file in files)

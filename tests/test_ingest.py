@@ -1,19 +1,26 @@
 from __future__ import annotations
 
+import bz2
 import datetime as dt
 import gzip
+import pickletools
+import subprocess
+import sys
 import time
+import zlib
 from collections import Counter
 from dataclasses import replace
 
+import pyarrow as pa
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from sluice import BronzeTable, Contract, Field, ingest, read_raw, read_typed, read_unfit, run_bronze, run_silver
 from sluice.sources.bronze import LostCheckpointError
-from sluice.sources.csv_files import LandedFile, first_lines, fold_names, header_cells, header_groups, safe_names
-from tests.helpers import MEMBERS, Desk, rows
+from sluice.sources.csv_files import fold_names, header_cells, header_groups, literal_path, new_files, safe_names
+from sluice.sources.headers import header_reader, landed_files
+from tests.helpers import MEMBERS, Desk, plan, rows
 
 KDM = Contract((Field("k", "string", is_primary_key=True), Field("d", "string"), Field("m", "string")))
 
@@ -294,7 +301,7 @@ def test_files_of_one_time_go_by_name(spark, tmp_path, max_files):
 
 
 def test_a_header_of_too_many_bytes_is_an_error(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("sluice.sources.csv_files.HEADER_LIMIT", 100)
+    monkeypatch.setattr("sluice.sources.headers.HEADER_LIMIT", 100)
     desk = Desk(spark, tmp_path, KDM)
     desk.put("a.csv", "k," + "d" * 200 + "\n1,x\n")
     (status,) = run_bronze(spark, [desk.dataset], desk.layout)
@@ -312,9 +319,18 @@ def test_names_of_a_header_are_those_that_spark_gives(spark, tmp_path):
             assert found is not None and list(safe_names(found, options.get("nullValue", ""), False)) == want, line
 
 
+def uri_of(path):
+    return path.as_uri().replace("file:///", "file:/")
+
+
+def listed(spark, paths):
+    rows = [(f"file:{path}", uri_of(path), path.stat().st_size) for path in paths]
+    return spark.createDataFrame(rows, "path string, uri string, length long")
+
+
 def test_many_headers_cost_no_more_jobs_than_two(spark, tmp_path):
-    def jobs(work) -> int:
-        group = f"count-{tmp_path}-{work}"
+    def jobs(number, work) -> int:
+        group = f"count-{tmp_path}-{number}"
         spark.sparkContext.setJobGroup(group, "")
         work()
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
@@ -326,20 +342,133 @@ def test_many_headers_cost_no_more_jobs_than_two(spark, tmp_path):
         for i in range(number):
             path = tmp_path / f"{number}-{i}.csv"
             path.write_text(f"k,c{i}\n1,2\n")
-            files.append(LandedFile(str(path), f"file:{path}", path.stat().st_size))
-        counts.append(jobs(lambda files=files: header_groups(spark, files, {})))
+            files.append(path)
+        counts.append(
+            jobs(number, lambda files=files: header_groups(spark, landed_files(listed(spark, files), {}, literal_path), {}))
+        )
     assert max(counts) <= 2
 
 
 def test_a_header_is_found_without_reading_the_file(spark, tmp_path):
     path = tmp_path / "big.csv"
     path.write_text("k,d,m\n" + "1,x,5\n" * 4_000_000)
-    files = [LandedFile(str(path), f"file:{path}", path.stat().st_size)]
     began = time.perf_counter()
-    assert first_lines(spark, files * 50, {}) == {f"file:{path}": b"k,d,m"}
+    files = landed_files(listed(spark, [path] * 50), {}, literal_path)
+    assert [(file.uri, file.line) for file in files] == [(uri_of(path), b"k,d,m")]
     assert time.perf_counter() - began < 5
 
 
+FIRST_LINES = {
+    "plain": (b"k,d,m\n1,x,5\n", b"k,d,m"),
+    "windows": (b"k,d\r\n1,x\r\n", b"k,d"),
+    "old": (b"\r\rk,d\r1,x\r", b"k,d"),
+    "bom": (b"\xef\xbb\xbfk,d\n1,x\n", b"k,d"),
+    "blank bom": (b"\xef\xbb\xbf\n \t\nk,d\n", b"k,d"),
+    "latin": ("größe,d\n1,x\n".encode("latin-1"), "größe,d".encode("latin-1")),
+    "comment": (b"#a\n\n#b\nk,d\n#c\n", b"k,d"),
+    "no end": (b"k,d", b"k,d"),
+    "empty": (b"", None),
+    "blank": (b"\n \n\t\n" * 50_000, None),
+    "late": (b"\n" * 200_000 + b"k,d\n1,x\n", b"k,d"),
+    "wide": (b",".join(b"column%d" % i for i in range(20_000)) + b"\n1,2\n", None),
+}
+FIRST_LINES["wide"] = (FIRST_LINES["wide"][0], FIRST_LINES["wide"][0].split(b"\n")[0])
+
+
+@pytest.mark.parametrize("suffix,pack", [("", bytes), (".gz", gzip.compress), (".bz2", bz2.compress), (".deflate", zlib.compress)])
+def test_first_lines(spark, tmp_path, suffix, pack):
+    """By the tasks, also of packed files; Spark's own reader takes what Python does not know."""
+    want = {}
+    for name, (content, line) in FIRST_LINES.items():
+        path = tmp_path / f"{name}.csv{suffix}"
+        path.write_bytes(pack(content))
+        want[uri_of(path)] = line
+    paths = sorted(tmp_path.iterdir())
+    files = landed_files(listed(spark, paths).repartition(3), {"comment": "#"}, literal_path)
+    assert {file.uri: file.line for file in files if file.line != b""} == want
+    assert [file.uri for file in files] == sorted(want)
+
+
+def test_first_lines_with_other_ends(spark, tmp_path):
+    for options in ({"lineSep": ";"}, {"linesep": ";"}):
+        for suffix, pack in (("", bytes), (".deflate", zlib.compress)):
+            path = tmp_path / f"x.csv{suffix}"
+            path.write_bytes(pack(b"; ;k,d\n;1,x;"))
+            assert [file.line for file in landed_files(listed(spark, [path]), options, literal_path)] == [b"k,d\n"]
+
+
+@pytest.mark.parametrize("suffix,pack", [("", bytes), (".deflate", zlib.compress)])
+def test_the_limit_of_a_header(spark, tmp_path, monkeypatch, suffix, pack):
+    monkeypatch.setattr("sluice.sources.headers.HEADER_LIMIT", 70_000)
+    good, bad = tmp_path / f"good.csv{suffix}", tmp_path / f"bad.csv{suffix}"
+    good.write_bytes(pack(b"\n" + b"k" * 70_000 + b"\n1\n"))
+    bad.write_bytes(pack(b"\n" + b"k" * 70_001 + b"\n1\n"))
+    assert [len(file.line) for file in landed_files(listed(spark, [good]), {}, literal_path)] == [70_000]
+    with pytest.raises(ValueError, match="bad.csv.* has more than 70000 bytes"):
+        landed_files(listed(spark, [good, bad]), {}, literal_path)
+
+
+def test_a_lost_file_is_an_error_as_spark_gives_it(spark, tmp_path):
+    path = tmp_path / "x.csv"
+    path.write_text("k\n")
+    files = listed(spark, [path])
+    path.unlink()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        landed_files(files, {}, literal_path)
+
+
+def test_tasks_send_each_line_once(tmp_path):
+    paths = []
+    for i in range(6):
+        paths.append(tmp_path / f"{i}.csv")
+        paths[-1].write_text("k,d\n1,x\n" if i % 2 else "d,k\n1,x\n")
+    names = [str(path) for path in paths]
+    batch = pa.RecordBatch.from_pydict({"path": names, "uri": names, "length": [1] * 6})
+    out = list(header_reader({}, None, "", 100)(iter([batch, batch])))
+    lines = [line for part in out for line in part.column("line").to_pylist()]
+    assert lines == [b"d,k", b"k,d"] + [None] * 10
+    assert len({d for part in out for d in part.column("digest").to_pylist()}) == 2
+
+
+def test_the_reader_needs_no_library_on_the_executors():
+    """What tasks run is sent whole: it names no module of this library."""
+    from pyspark import cloudpickle
+
+    sent = pickletools.genops(cloudpickle.dumps(header_reader({".gz": "GzipCodec"}, ";", "#", 100)))
+    named = [arg for op, arg, _ in sent if op.name in ("GLOBAL", "SHORT_BINUNICODE", "BINUNICODE")]
+    assert not any(str(arg).startswith("from sluice") for arg in named)
+    code = cloudpickle.dumps(header_reader({}, None, "", 100))
+    script = (
+        "import sys, pickle; sys.modules['sluice'] = None; "
+        "f = pickle.loads(sys.stdin.buffer.read()); print(list(f(iter([]))))"
+    )
+    done = subprocess.run([sys.executable, "-c", script], input=code, capture_output=True, cwd="/")
+    assert done.stdout.strip() == b"[]", done.stderr
+
+
+def test_the_driver_opens_no_landed_file(spark, tmp_path):
+    """Headers come from the tasks of the scan that lists the files, without a shuffle."""
+    (tmp_path / "in").mkdir()
+    for i in range(3):
+        (tmp_path / "in" / f"{i}.csv").write_text("k,d\n1,x\n")
+    plans, read = [], []
+    statistics = spark._jvm.org.apache.hadoop.fs.FileSystem.getStatistics("file", spark._jvm.java.lang.Class.forName(
+        "org.apache.hadoop.fs.LocalFileSystem"))
+
+    def take(batch, number):
+        files = batch.select("path", "uri", "length")
+        reader = header_reader({}, None, "", 100)
+        plans.append(plan(files.mapInArrow(reader, "path string, uri string, length long, state string, digest binary, line binary")))
+        before = statistics.getBytesRead()
+        assert [file.line for file in landed_files(batch, {}, literal_path)] == [b"k,d"] * 3
+        read.append(statistics.getBytesRead() - before)
+
+    stream = new_files(spark, f"file:{tmp_path}/in", 10, "36500d").writeStream.foreachBatch(take)
+    stream.option("checkpointLocation", f"file:{tmp_path}/c").trigger(availableNow=True).start().awaitTermination()
+    assert read == [0]  # not even in this JVM's tasks: Python opens the files
+    assert "MapInArrow" in plans[0] and "Exchange" not in plans[0]
+
+
 def test_starting_a_stream_leaves_the_session_alone(spark, tmp_path, settings):
     name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
     settings(name, "77")
