@@ -21,6 +21,7 @@ from checks.inputs import (
     one_dataset,
     table,
 )
+from checks.stores import snapshot_store
 from sluice import (
     BronzeTable,
     Contract,
@@ -59,9 +60,10 @@ def query(work: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
     return work
 
 
-def run(spark: SparkSession, dataset: Dataset, layout: Layout) -> None:
+def run(spark: SparkSession, dataset: Dataset, layout: Layout, **options) -> None:
+    """Both stages; ``options`` are those of the second one."""
     raise_failures(run_bronze(spark, [dataset], layout))
-    raise_failures(run_silver(spark, [dataset], layout))
+    raise_failures(run_silver(spark, [dataset], layout, **options))
 
 
 # -- conform -----------------------------------------------------------------------------
@@ -200,16 +202,19 @@ def q17_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- whole runs: files to raw table to typed table ---------------------------------------
 
 
-def orders_in_waves(spark: SparkSession, sf_dir: str) -> tuple[Dataset, Layout]:
-    """Three landings of all orders, each followed by a run; the column order varies."""
-    dataset, layout = one_dataset(spark, "orders", ORDERS)
+def three_waves(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """All orders as text, three times with other keys and prices; the column order varies."""
     orders = table(spark, sf_dir, "orders").withColumn("o_totalprice", money("o_totalprice"))
-    waves = [orders, reordered(orders, "F", 1), reordered(orders, "P", 2)]
-    for number, wave in enumerate(waves):
-        text = as_text(wave)
-        names = text.columns[number:] + text.columns[:number]
-        land(text.select(*names), dataset, layout, number)
-        run(spark, dataset, layout)
+    waves = [as_text(wave) for wave in (orders, reordered(orders, "F", 1), reordered(orders, "P", 2))]
+    return [text.select(*text.columns[n:], *text.columns[:n]) for n, text in enumerate(waves)]
+
+
+def orders_in_waves(spark: SparkSession, sf_dir: str, **options) -> tuple[Dataset, Layout]:
+    """Three landings of all orders, each followed by a run."""
+    dataset, layout = one_dataset(spark, "orders", ORDERS)
+    for number, wave in enumerate(three_waves(spark, sf_dir)):
+        land(wave, dataset, layout, number)
+        run(spark, dataset, layout, **options)
     return dataset, layout
 
 
@@ -619,11 +624,49 @@ def q41_zone_of_a_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def q42_views_in_a_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A view of the catalog on a table of several loads."""
-    dataset, layout = orders_in_waves(spark, sf_dir)
+    """A view of the catalog made after two of three loads; it follows the last one."""
+    dataset, layout = one_dataset(spark, "orders", ORDERS)
+    first, second, last = three_waves(spark, sf_dir)
+    for number, wave in enumerate((first, second)):
+        land(wave, dataset, layout, number)
+        run(spark, dataset, layout)
     (view,) = register_views(spark, [dataset], layout, namespace="typed")
+    land(last, dataset, layout, 2)
+    run(spark, dataset, layout, namespace="typed")
     return spark.sql(
         f"""SELECT o_orderstatus, count(*) AS row_count, min(o_orderdate) AS first_day,
                    cast(sum(o_totalprice) AS decimal(22,2)) AS total
             FROM {view} GROUP BY o_orderstatus"""
     )
+
+
+@query
+def q43_another_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads into a store that stands in, read back through it as rows, as a view and as a summary."""
+    store = {"store": snapshot_store}
+    dataset, layout = orders_in_waves(spark, sf_dir, namespace="snapshots", **store)
+    rows = read_typed(spark, dataset, layout, **store).withColumn("through", F.lit("read"))
+    view = spark.table(f"snapshots.{dataset.typed_name}").withColumn("through", F.lit("view"))
+    (summary,) = summarize(spark, [dataset], layout, **store).collect()
+    return rows.unionByName(view).withColumn("row_count", F.lit(summary.row_count))
+
+
+@query
+def q44_archived_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files move to the archive once the next version is committed; the table is as without that."""
+    dataset, layout = one_dataset(spark, "orders", ORDERS, when_taken="archive")
+    for number, wave in enumerate(three_waves(spark, sf_dir)):
+        land(wave, dataset, layout, number)
+        run(spark, dataset, layout)
+    found = []
+    for place, root in (("landing", layout.landing_of(dataset)), ("archive", layout.archive)):
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        paths = files.option("pathGlobFilter", "*.csv").load(root).select("path")
+        wave = F.regexp_extract("path", "/wave([0-9]+)/", 1).cast("int")
+        found.append(paths.select(wave.alias("wave")).distinct().withColumn("place", F.lit(place)))
+    files = found[0].unionByName(found[1])
+    counted = read_typed(spark, dataset, layout).groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("o_totalprice").cast("decimal(22,2)").alias("total")
+    )
+    nothing = F.lit(None).cast("int").alias("wave"), F.lit("table").alias("place")
+    return counted.select("*", *nothing).unionByName(files, allowMissingColumns=True)

@@ -275,4 +275,13 @@ UNION ALL SELECT 'shared2', 'failed', NULL""",
 SELECT o_orderstatus, count(*) AS row_count, min(o_orderdate) AS first_day,
        CAST(sum(o_totalprice) AS DECIMAL(22,2)) AS total
 FROM ({ORDERS_MERGED}) GROUP BY o_orderstatus""",
+    "q43_another_store": f"""
+WITH t AS ({ORDERS_MERGED})
+SELECT t.*, through, (SELECT count(*) FROM t) AS row_count FROM t CROSS JOIN (VALUES ('read'), ('view')) v(through)""",
+    "q44_archived_files": f"""
+SELECT o_orderstatus, count(*) AS row_count, CAST(sum(o_totalprice) AS DECIMAL(22,2)) AS total,
+       CAST(NULL AS INT) AS wave, 'table' AS place
+FROM ({ORDERS_MERGED}) GROUP BY o_orderstatus
+UNION ALL SELECT NULL, NULL, NULL, wave, place
+FROM (VALUES (2, 'landing'), (0, 'archive'), (1, 'archive')) f(wave, place)""",
 }

@@ -67,7 +67,13 @@ class Status:
 
 
 class TypedStore(Protocol):
-    """What a load needs of a typed table; ``SilverTable`` is the one that comes with it."""
+    """A typed table: what loads and readers need of it. ``SilverTable`` is the one that comes with it."""
+
+    def exists(self) -> bool: ...
+
+    def read(self) -> DataFrame: ...
+
+    def view_sql(self) -> str | None: ...
 
     def state(self) -> SilverState | None: ...
 
@@ -80,6 +86,10 @@ class TypedStore(Protocol):
     def log_empty(self, state: SilverState, raw_version: int) -> None: ...
 
 
+#: Makes the typed table of a dataset.
+Store = Callable[[SparkSession, Dataset, Layout], TypedStore]
+
+
 def typed_table(spark: SparkSession, dataset: Dataset, layout: Layout) -> TypedStore:
     root = layout.typed_of(dataset)
     if dataset.bucket_bytes is None:
@@ -137,6 +147,7 @@ def run_bronze(
             dataset.csv_options,
             dataset.max_files,
             dataset.max_file_age,
+            layout.cleaning_of(dataset),
         ).awaitTermination()
         after = bronze.latest_version()
         return Status(dataset.name, UP_TO_DATE if after == before else LOADED, version=after)
@@ -151,22 +162,34 @@ def run_silver(
     layout: Layout,
     at_once: int = 4,
     time_zone: str = TIME_ZONE,
-    store: Callable[[SparkSession, Dataset, Layout], TypedStore] = typed_table,
+    store: Store = typed_table,
+    namespace: str | None = None,
 ) -> list[Status]:
     """Bring every typed table up to its raw table, several datasets at a time.
 
     ``time_zone`` holds for the run, whatever the session's is. ``store`` makes the typed table
-    of a dataset; another one may stand in for the one that comes with the library.
+    of a dataset; another one may stand in for the one that comes with the library. With
+    ``namespace`` the views of the tables in this schema of the catalog follow: each is made or
+    made anew as part of the run, also after one that loaded and then failed to.
     """
+
+    def work(dataset: Dataset) -> Status:
+        status = load_silver(spark, dataset, layout, store)
+        if namespace and status.state in (LOADED, UP_TO_DATE, EMPTY):
+            refresh_view(spark, store(spark, dataset, layout), namespace, dataset.typed_name)
+        return status
+
+    if namespace:
+        create_namespace(spark, namespace)
     with session_settings(spark, {**FEW_LISTING_TASKS, "spark.sql.session.timeZone": time_zone}):
-        return _isolated(spark, lambda dataset: load_silver(spark, dataset, layout, store), datasets, at_once)
+        return _isolated(spark, work, datasets, at_once)
 
 
 def load_silver(
     spark: SparkSession,
     dataset: Dataset,
     layout: Layout,
-    store: Callable[[SparkSession, Dataset, Layout], TypedStore] = typed_table,
+    store: Store = typed_table,
 ) -> Status:
     """Merge the raw versions that came after the last load into the typed table."""
     contract = dataset.contract
@@ -268,8 +291,8 @@ def incoming(raw: DataFrame, dataset: Dataset) -> tuple[DataFrame, Observation,
     return unique.select(*quoted_all(contract.names)), counts, check
 
 
-def read_typed(spark: SparkSession, dataset: Dataset, layout: Layout) -> DataFrame:
-    return SilverTable(spark, layout.typed_of(dataset)).read()
+def read_typed(spark: SparkSession, dataset: Dataset, layout: Layout, store: Store = typed_table) -> DataFrame:
+    return store(spark, dataset, layout).read()
 
 
 def read_raw(spark: SparkSession, dataset: Dataset, layout: Layout) -> DataFrame:
@@ -290,9 +313,11 @@ def read_unfit(spark: SparkSession, dataset: Dataset, layout: Layout) -> DataFra
     return unfit.select(F.col(SOURCE_FILE).alias("file"), F.col(UNFIT).alias("line"))
 
 
-def summarize(spark: SparkSession, datasets: Sequence[Dataset], layout: Layout) -> DataFrame:
+def summarize(
+    spark: SparkSession, datasets: Sequence[Dataset], layout: Layout, store: Store = typed_table
+) -> DataFrame:
     """Row count of every typed table that exists."""
-    tables = [(d.name, SilverTable(spark, layout.typed_of(d))) for d in datasets]
+    tables = [(d.name, store(spark, d, layout)) for d in datasets]
     counts = [load_summary(table.read(), name) for name, table in tables if table.exists()]
     if not counts:
         return spark.createDataFrame([], "dataset string, row_count long")
@@ -302,24 +327,45 @@ def summarize(spark: SparkSession, datasets: Sequence[Dataset], layout: Layout)
     return union
 
 
+def create_namespace(spark: SparkSession, namespace: str) -> None:
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {marked(namespace)}")
+
+
+def marked(name: str) -> str:
+    """A name of one or more parts as SQL takes it, whatever signs it holds; dots part the parts."""
+    return ".".join("`" + part.replace("`", "``") + "`" for part in name.split("."))
+
+
+def refresh_view(spark: SparkSession, table: TypedStore, namespace: str, name: str) -> bool:
+    """Make or replace the view of the catalog on a typed table; whether there is one to look at."""
+    text = table.view_sql()
+    if text is None:
+        return False
+    view = f"{marked(namespace)}.`{name.replace('`', '``')}`"
+    spark.sql(f"CREATE OR REPLACE VIEW {view} AS {text}")
+    return True
+
+
 def register_views(
-    spark: SparkSession, datasets: Sequence[Dataset], layout: Layout, namespace: str | None = None
+    spark: SparkSession,
+    datasets: Sequence[Dataset],
+    layout: Layout,
+    namespace: str | None = None,
+    store: Store = typed_table,
 ) -> list[str]:
     """Views on the typed tables as they are now, for SQL; names of the views made.
 
-    Without ``namespace`` they are views of the session. With it they are views of the catalog,
-    in this schema, which is made if it is not there; make them anew after a load.
+    Without ``namespace`` they are views of the session, to be made anew after a load. With it they
+    are views of the catalog, in this schema, which is made if it is not there; ``run_silver`` with
+    the same ``namespace`` keeps them current.
     """
     if namespace:
-        spark.sql("CREATE SCHEMA IF NOT EXISTS IDENTIFIER(:name)", args={"name": namespace})
+        create_namespace(spark, namespace)
     made = []
     for dataset in datasets:
-        table = SilverTable(spark, layout.typed_of(dataset))
+        table = store(spark, dataset, layout)
         if namespace:
-            text = table.view_sql()
-            if text:
-                name = f"{namespace}.`{dataset.typed_name}`"
-                spark.sql(f"CREATE OR REPLACE VIEW {name} AS {text}")
+            if refresh_view(spark, table, namespace, dataset.typed_name):
                 made.append(f"{namespace}.{dataset.typed_name}")
         elif table.exists():
             table.read().createOrReplaceTempView(dataset.typed_name)

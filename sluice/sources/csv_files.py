@@ -42,12 +42,15 @@ class HeaderGroup:
     paths: tuple[str, ...]
 
 
-def new_files(spark: SparkSession, directory: str, max_files: int, max_file_age: str) -> DataFrame:
+def new_files(
+    spark: SparkSession, directory: str, max_files: int, max_file_age: str, cleaning: Mapping[str, str] | None = None
+) -> DataFrame:
     """Stream of the files that appear under a directory, at any depth, old ones included.
 
     The binary source lists files; its content column is pruned, so nothing is read here.
     ``max_file_age`` bounds the list of seen files the stream keeps: a file that much older
-    than the newest one is passed over.
+    than the newest one is passed over. ``cleaning`` are the file source's options for files
+    that it is done with: it moves or deletes those of a micro-batch once the next one is committed.
     """
     return (
         spark.readStream.format("binaryFile")
@@ -55,6 +58,7 @@ def new_files(spark: SparkSession, directory: str, max_files: int, max_file_age:
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", max_files)
         .option("maxFileAge", max_file_age)
+        .options(**(cleaning or {}))
         .load(directory)
         .select("path", "length", F.col("_metadata.file_path").alias("uri"))
     )

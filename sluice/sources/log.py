@@ -27,7 +27,7 @@ class Log:
         self.schema = T.StructType([*schema, T.StructField(WRITTEN_AT, T.TimestampType())])
 
     def numbers(self) -> list[int]:
-        names = file_sizes(self.spark, self.path)
+        names = file_names(self.spark, self.path)
         return sorted(int(name.removesuffix(".json")) for name in names if name.endswith(".json"))
 
     def read(self, number: int) -> Row:
@@ -72,16 +72,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(place)
 
 
-def file_sizes(spark: SparkSession, path: str) -> dict[str, int]:
-    """Name and size of what lies directly in a directory; a directory counts with all its files."""
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a directory, by one listing; none if it is not there."""
     place, system = _place(spark, path)
     if not system.exists(place):
-        return {}
-    found = {}
-    for status in system.listStatus(place):
-        size = system.getContentSummary(status.getPath()).getLength() if status.isDirectory() else status.getLen()
-        found[status.getPath().getName()] = size
-    return found
+        return []
+    return [status.getPath().getName() for status in system.listStatus(place)]
 
 
 def read_text(spark: SparkSession, path: str) -> str:

@@ -20,7 +20,8 @@ from pyspark.sql import types as T
 
 from sluice.functions.columns import any_null, quoted, quoted_all
 from sluice.operators.upsert import keep_values, unmatched
-from sluice.sources.log import Log, file_sizes, path_exists
+from sluice.sources.csv_files import literal_path
+from sluice.sources.log import Log, path_exists
 
 LOAD = "_load"
 BUCKET = "_bucket"
@@ -112,6 +113,25 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.when(any_null(keys), F.lit(LOOSE)).otherwise(hashed).cast("int").alias(BUCKET)
 
 
+def in_buckets(place: str, buckets: Sequence[int]) -> str:
+    """Some bucket directories as one pattern: a path for each is looked up by the driver, one by one."""
+    return f"{literal_path(place)}/{BUCKET}={{{','.join(map(str, buckets))}}}"
+
+
+def bucket_sizes(spark: SparkSession, place: str) -> dict[int, int]:
+    """Bytes of each bucket in the directory of a load.
+
+    Spark lists the files: where there are more than a few directories its tasks do that. What
+    comes to the driver is two numbers a file.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    bucket = F.regexp_extract("path", f"/{BUCKET}=(-?[0-9]+)/[^/]*$", 1).cast("int")
+    found: dict[int, int] = {}
+    for row in files.load(literal_path(place)).select(bucket.alias("bucket"), "length").collect():
+        found[row.bucket] = found.get(row.bucket, 0) + row.length
+    return found
+
+
 def nothing_to_check() -> None:
     pass
 
@@ -211,10 +231,9 @@ class SilverTable:
         for load, some in self._by_load(places).items():
             visible = tuple(name for name in schema.names if since.get(name, 0) <= load)
             place = self._place(load)
-            if len(some) == some[0].of:
-                paths.setdefault(visible, []).append(place)  # all the load wrote
-            else:
-                paths.setdefault(visible, []).extend(f"{place}/{BUCKET}={part.bucket}" for part in some)
+            everything = len(some) == some[0].of  # all the load wrote
+            path = literal_path(place) if everything else in_buckets(place, [part.bucket for part in some])
+            paths.setdefault(visible, []).append(path)
         full = _bucketed(schema)
         parts = []
         for visible, some in paths.items():
@@ -253,9 +272,7 @@ class SilverTable:
         """Write buckets; what a load that failed left there goes first. Bytes of each bucket."""
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
         writer.partitionBy(BUCKET).parquet(place)
-        found = file_sizes(self.spark, place)
-        prefix = f"{BUCKET}="
-        return {int(name.removeprefix(prefix)): size for name, size in found.items() if name.startswith(prefix)}
+        return bucket_sizes(self.spark, place)
 
     def _by_bucket(self, rows: DataFrame, keys: Sequence[str], buckets: int, shuffled_by_key: bool) -> DataFrame:
         """Add the bucket, with the rows of one bucket in few tasks, so a write makes few files.

@@ -35,11 +35,13 @@ def start_ingest(
     options: Mapping[str, str] | None = None,
     max_files: int = MAX_FILES,
     max_file_age: str = KEEP_ALL,
+    cleaning: Mapping[str, str] | None = None,
 ) -> StreamingQuery:
     """Start a stream that appends every file not seen before, then stops.
 
     Each micro-batch takes at most ``max_files`` files and becomes one version. The checkpoint
-    remembers the files, so a file is taken once, also if it is rewritten in place.
+    remembers the files, so a file is taken once, also if it is rewritten in place. ``cleaning``
+    as in ``new_files``.
     """
     csv_options = dict(options or {})
 
@@ -51,7 +53,7 @@ def start_ingest(
         take_up(session, BronzeTable(session, root), batch_id, stream_id, batch, csv_options)
 
     return (
-        new_files(spark, landing, max_files, max_file_age)
+        new_files(spark, landing, max_files, max_file_age, cleaning)
         .writeStream.foreachBatch(write_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -84,7 +86,8 @@ def ingest(
     options: Mapping[str, str] | None = None,
     max_files: int = MAX_FILES,
     max_file_age: str = KEEP_ALL,
+    cleaning: Mapping[str, str] | None = None,
 ) -> None:
     """Take up all new files and wait until they are committed."""
     with session_settings(spark, FEW_LISTING_TASKS):
-        start_ingest(spark, landing, root, checkpoint, options, max_files, max_file_age).awaitTermination()
+        start_ingest(spark, landing, root, checkpoint, options, max_files, max_file_age, cleaning).awaitTermination()

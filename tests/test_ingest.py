@@ -469,6 +469,50 @@ def test_the_driver_opens_no_landed_file(spark, tmp_path):
     assert "MapInArrow" in plans[0] and "Exchange" not in plans[0]
 
 
+def left(desk):
+    return sorted(path.name for path in desk.landing.rglob("*.csv"))
+
+
+@pytest.mark.parametrize("when_taken", ["archive", "delete"])
+def test_files_leave_the_landing_directory(spark, tmp_path, when_taken):
+    """Those of a version go once the next one is committed; the rows and what was seen stay."""
+    desk = Desk(spark, tmp_path, KDM, when_taken=when_taken, max_files=1)
+    desk.put("a.csv", "k,d,m\n1,x,5\n")
+    desk.put("deep/b [1].csv", "m,k,d\n6,2,y\n")
+    desk.put("c.csv", "k,d,m\n3,z\n")
+    desk.run()
+    assert left(desk) == ["c.csv"]
+    desk.run()
+    assert left(desk) == ["c.csv"]
+    desk.put("a.csv", "k,d,m\n9,never,5\n")  # a name that was taken before
+    desk.put("d.csv", "k,d,m\n1,w,7\n")
+    desk.run()
+    assert left(desk) == ["a.csv", "d.csv"]
+    archived = sorted(path.name for path in (tmp_path / "archive").rglob("*.csv"))
+    assert archived == (["a.csv", "b [1].csv", "c.csv"] if when_taken == "archive" else [])
+    typed = rows(read_typed(spark, desk.dataset, desk.layout))
+    assert typed == Counter([("1", "w", "7"), ("2", "y", "6"), ("3", "z", None)])
+    assert [r.line for r in read_unfit(spark, desk.dataset, desk.layout).collect()] == ["3,z"]
+
+
+def test_a_failed_version_keeps_its_files(spark, tmp_path):
+    desk = Desk(spark, tmp_path, KDM, when_taken="delete")
+    desk.put("a.csv", "k,d,m\n1,x,5\n")
+    desk.take_up()
+    desk.put("b.csv", "_change_type\nA\n")
+    for _ in range(2):
+        (status,) = run_bronze(spark, [desk.dataset], desk.layout)
+        assert status.state == "failed" and "b.csv" in left(desk)
+
+
+def test_choices_for_taken_files_are_checked(spark, tmp_path):
+    with pytest.raises(ValueError, match="when_taken"):
+        Desk(spark, tmp_path, KDM, when_taken="burn")
+    desk = Desk(spark, tmp_path, KDM, when_taken="archive")
+    (status,) = run_bronze(spark, [desk.dataset], replace(desk.layout, archive=None))
+    assert status.state == "failed" and "no archive" in status.detail
+
+
 def test_starting_a_stream_leaves_the_session_alone(spark, tmp_path, settings):
     name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
     settings(name, "77")

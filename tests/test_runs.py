@@ -12,8 +12,10 @@ import pytest
 from hypothesis import HealthCheck, given
 from hypothesis import settings as hypothesis_settings
 from hypothesis import strategies as st
+from pyspark.sql import DataFrameReader
 from pyspark.sql import functions as F
 
+from checks.stores import snapshot_store
 from sluice import (
     BronzeTable,
     Contract,
@@ -27,6 +29,7 @@ from sluice import (
     run_silver,
     summarize,
 )
+from sluice.sources import log
 from sluice.sources.silver import bucket_count
 from tests.helpers import MEMBERS, RESULTS, Desk, rows
 
@@ -458,6 +461,102 @@ def test_another_store_may_stand_in(spark, tmp_path):
     assert Loud.calls == ["full", "merge"]
 
 
+def test_another_store_is_read_through_itself(spark, tmp_path):
+    """Everything that looks at a typed table asks the store that it was loaded into."""
+    desk = Desk(spark, tmp_path, KV)
+    store = {"store": snapshot_store}
+    for name, value in (("a", 1), ("b", 2), ("a", 3)):
+        desk.put(f"{name}{value}.csv", f"k,v,w\n{name},{value},x\n")
+        desk.take_up()
+        raise_failures(run_silver(spark, [desk.dataset], desk.layout, namespace="another", **store))
+    want = Counter([("a", 3, "x"), ("b", 2, "x")])
+    assert rows(read_typed(spark, desk.dataset, desk.layout, **store)) == want
+    assert rows(spark.table("another.members_silver")) == want
+    assert rows(summarize(spark, [desk.dataset], desk.layout, **store)) == Counter([("members", 2)])
+    assert register_views(spark, [desk.dataset], desk.layout, **store) == ["members_silver"]
+    assert rows(spark.table("members_silver")) == want
+    # the table of the library was never made
+    assert not silver(desk).exists()
+    with pytest.raises(ValueError, match="holds no table"):
+        read_typed(spark, desk.dataset, desk.layout)
+
+
+def test_an_empty_load_into_another_store(spark, tmp_path):
+    desk = Desk(spark, tmp_path, KV)
+    for wave in ("k,v,w\n", "k,v,w\na,1,x\n", "k,v,w\n", "k,v,w\na,2,x\n"):
+        desk.put(f"f{desk.clock}.csv", wave)
+        desk.take_up()
+        raise_failures(run_silver(spark, [desk.dataset], desk.layout, store=snapshot_store))
+    assert rows(read_typed(spark, desk.dataset, desk.layout, snapshot_store)) == Counter([("a", 2, "x")])
+
+
+def test_views_follow_loads(spark, tmp_path):
+    """A view of the catalog shows the rows of the last run, also where the run had nothing to load."""
+    desk = Desk(spark, tmp_path, KV)
+    view = "select.members_silver"
+    follow = {"namespace": "select"}
+    assert run_silver(spark, [desk.dataset], desk.layout, **follow)[0].state == "skipped"
+    desk.put("a.csv", "k,v,w\nA,1,x\n")
+    desk.take_up()
+    raise_failures(run_silver(spark, [desk.dataset], desk.layout, **follow))
+    shown = spark.table("`select`.members_silver")
+    assert rows(shown) == Counter([("A", 1, "x")])
+    desk.put("b.csv", "k,v,w\nA,2,x\nB,1,y\n")
+    desk.run()  # a run that does not know of the view
+    raise_failures(run_silver(spark, [desk.dataset], desk.layout, **follow))
+    assert rows(spark.table("`select`.members_silver")) == Counter([("A", 2, "x"), ("B", 1, "y")])
+    assert register_views(spark, [desk.dataset], desk.layout, "select") == [view]
+    wider = Contract((*KV.fields, Field("new", "string")))
+    desk.dataset = replace(desk.dataset, contract=wider)
+    desk.put("c.csv", "k,v,w,new\nC,3,z,n\n")
+    desk.take_up()
+    raise_failures(run_silver(spark, [desk.dataset], desk.layout, **follow))
+    assert spark.table("`select`.members_silver").columns == ["k", "v", "w", "new"]
+
+
+def test_file_system_calls_of_a_merge_do_not_grow_with_the_buckets(spark, tmp_path, monkeypatch):
+    """Neither the driver's own calls nor the paths that it hands to readers, which look each of them up."""
+    calls, paths = [], []
+    place, load = log._place, DataFrameReader.load
+    monkeypatch.setattr(log, "_place", lambda *args: calls.append(args) or place(*args))
+    parquet = DataFrameReader.parquet
+    monkeypatch.setattr(DataFrameReader, "parquet", lambda self, *some, **o: paths.extend(some) or parquet(self, *some, **o))
+    monkeypatch.setattr(DataFrameReader, "load", lambda self, path=None, *a, **o: paths.append(path) or load(self, path, *a, **o))
+    spent = []
+    for buckets in (8, 512):
+        table = SilverTable(spark, f"file:{tmp_path}/{buckets}", bucket_bytes=1 << 20)
+        first = spark.range(6000).selectExpr("id AS k", "'old' AS v")
+        table.write_full(None, first, ["k"], 0, size=buckets << 20)
+        state = table.state()
+        assert state.buckets == buckets and len(state.places) == buckets
+        calls.clear()
+        paths.clear()
+        of_bucket = F.pmod(F.hash("id"), F.lit(buckets))
+        for version, (value, share) in enumerate((("new", 0.75), ("last", 0.5)), 1):
+            some = spark.range(7000).filter(of_bucket < share * buckets)
+            table.merge(table.state(), some.select(F.col("id").alias("k"), F.lit(value).alias("v")), ["k"], version)
+        got = table.read().groupBy("v").count().collect()
+        spent.append((len(calls), len(paths)))
+        assert sum(r["count"] for r in got) > 6000 and {r.v for r in got} == {"old", "new", "last"}
+    assert spent[0] == spent[1]
+
+
+def test_bucket_sizes_are_those_of_the_files(spark, tmp_path):
+    table = SilverTable(spark, f"file:{tmp_path}/t [1]", bucket_bytes=1 << 20)
+    rows_ = spark.range(900).selectExpr("if(id % 9 = 0, null, id) AS k", "'x' AS v")
+    table.write_full(None, rows_, ["k"], 0, size=40 << 20)
+    found = {}
+    for path in (tmp_path / "t [1]" / "data" / "_load=0").rglob("*.parquet"):
+        bucket = int(path.parent.name.removeprefix("_bucket="))
+        found[bucket] = found.get(bucket, 0) + path.stat().st_size
+    assert {p.bucket: p.bytes for p in table.state().places} == found and -1 in found and len(found) > 33
+    table.merge(table.state(), spark.createDataFrame([(1, "y"), (2, "y")], "k long, v string"), ["k"], 1)
+    assert table.read().count() == 900 and table.read().filter("v = 'y'").count() == 2
+    table.write_full(table.state(), rows_.limit(0), ["k"], 2, size=0)
+    assert table.read().count() == 0
+
+
+
 def fails_at(monkeypatch, target: str, after: bool):
     """Make a method raise, before or after its work."""
     from importlib import import_module
