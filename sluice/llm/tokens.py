@@ -1,11 +1,11 @@
 """Token ids of whole texts by a tokenizer file of the `tokenizers` library.
 
-The ids of a text are those of `Tokenizer.encode(text, add_special_tokens=False)`, with the
-strings of special tokens taken as ordinary text. For byte-level BPE files without a normaliser
-a text is the sum of its parts at single spaces: the library encodes every distinct part once,
-and its ids are kept in a table of bounded size per Python worker, found by a 64-bit hash of the
-part. Two of a worker's parts share a hash with a probability of about one in ten million. Other
-files encode each text as it stands.
+The ids of a text are those of `Tokenizer.encode(text, add_special_tokens=False)`. For byte-level
+BPE files without a normaliser a text is the sum of its parts at single spaces: the library encodes
+every distinct part once, and its ids are kept in a table of bounded size per Python worker, found
+by a 64-bit hash of the part and used only if the part's bytes are those of the entry. A text with a
+part that is not, or with the string of an added token, is encoded as it stands; so is each text
+under other files.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ def encoder(path: str) -> Encoder:
 
 
 class Table:
-    """Runs of ids by 64-bit keys: open addressing in numpy arrays."""
+    """Parts and their runs of ids by 64-bit keys: open addressing in numpy arrays."""
 
     def __init__(self, dtype: np.dtype) -> None:
         self.dtype = dtype
@@ -46,7 +46,10 @@ class Table:
         self.keys = np.zeros(1 << self.bits, np.uint64)
         self.at = np.zeros(1 << self.bits, np.int32)
         self.count = np.zeros(1 << self.bits, np.int32)
+        self.part_at = np.zeros(1 << self.bits, np.int64)
+        self.part_size = np.zeros(1 << self.bits, np.int32)
         self.ids = np.zeros(1 << 18, self.dtype)
+        self.parts, self.part_bytes = np.zeros(1 << 18, np.uint8), 0
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The slot of each key, -1 if it is not there."""
@@ -63,7 +66,20 @@ class Table:
             which, slots = which[on], slots[on] + 1 & mask
         return out
 
-    def put(self, keys: np.ndarray, runs: list[bytes], counts: np.ndarray) -> None:
+    def same(self, slots: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Whether the part in each slot is the bytes of `data` from start to end."""
+        sizes = ends - starts
+        out = self.part_size[slots] == sizes
+        slots, starts, sizes = slots[out], starts[out], sizes[out]
+        total = np.cumsum(sizes)
+        within = np.arange(total[-1] if len(total) else 0) - np.repeat(total - sizes, sizes)
+        differ = self.parts[np.repeat(self.part_at[slots], sizes) + within] != data[np.repeat(starts, sizes) + within]
+        if differ.any():
+            wrong = np.searchsorted(total, np.flatnonzero(differ), "right")
+            out[np.flatnonzero(out)[wrong]] = False
+        return out
+
+    def put(self, keys: np.ndarray, parts: list[bytes], runs: list[bytes], counts: np.ndarray) -> None:
         """New, distinct keys. A count of -1 stands for a part that has no ids of its own."""
         while 2 * (self.n + len(keys)) > len(self.keys):
             self._grow()
@@ -72,12 +88,18 @@ class Table:
             more = max(len(self.ids), len(raw))
             self.ids = np.concatenate([self.ids, np.zeros(more, self.dtype)])
         self.ids[self.used : self.used + len(raw)] = raw
-        sizes = np.maximum(counts, 0)
-        self._place(keys, self.used + np.cumsum(sizes) - sizes, counts)
+        text = np.frombuffer(b"".join(parts), np.uint8)
+        if self.part_bytes + len(text) > len(self.parts):
+            self.parts = np.concatenate([self.parts, np.zeros(max(len(self.parts), len(text)), np.uint8)])
+        self.parts[self.part_bytes : self.part_bytes + len(text)] = text
+        sizes, lengths = np.maximum(counts, 0), np.array([len(part) for part in parts], np.int64)
+        begin = self.part_bytes + np.cumsum(lengths) - lengths
+        self._place(keys, self.used + np.cumsum(sizes) - sizes, counts, begin, lengths)
         self.used += len(raw)
+        self.part_bytes += len(text)
         self.n += len(keys)
 
-    def _place(self, keys: np.ndarray, at: np.ndarray, counts: np.ndarray) -> None:
+    def _place(self, keys: np.ndarray, at: np.ndarray, counts: np.ndarray, part_at: np.ndarray, size: np.ndarray) -> None:
         mask = len(self.keys) - 1
         slots = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
         which = np.arange(len(keys))
@@ -87,16 +109,17 @@ class Table:
             won = self.keys[slots] == keys[which]
             mine, here = which[won], slots[won]
             self.at[here], self.count[here] = at[mine], counts[mine]
+            self.part_at[here], self.part_size[here] = part_at[mine], size[mine]
             which, slots = which[~won], slots[~won] + 1 & mask
 
     def _grow(self) -> None:
         full = np.flatnonzero(self.keys)
-        keys, at, count = self.keys[full], self.at[full], self.count[full]
+        held = [x[full] for x in (self.keys, self.at, self.count, self.part_at, self.part_size)]
         self.bits += 1
         self.keys = np.zeros(1 << self.bits, np.uint64)
-        self.at = np.zeros(1 << self.bits, np.int32)
-        self.count = np.zeros(1 << self.bits, np.int32)
-        self._place(keys, at, count)
+        self.at, self.count, self.part_size = (np.zeros(1 << self.bits, np.int32) for _ in range(3))
+        self.part_at = np.zeros(1 << self.bits, np.int64)
+        self._place(*held)
 
 
 class Encoder:
@@ -105,12 +128,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         #: Ids are held as little-endian unsigned integers of this many bytes.
         self.width = 2 if size <= 1 << 16 else 4
         self.dtype = np.dtype(f"<u{self.width}")
         self.by_parts = self._splits_at_spaces(path)
+        self.added = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.first = np.zeros(size, bool)
         for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.first[i] = token.startswith("Ġ")
@@ -127,6 +150,7 @@ class Encoder:
             and bool(splitter.get("use_regex", True))
             and not splitter.get("add_prefix_space")
             and all(token.get("special") for token in spec.get("added_tokens", []))
+            and not any(c.isspace() for token in spec.get("added_tokens", []) for c in token["content"])
             and spec["model"].get("type") == "BPE"
             and not spec["model"].get("dropout")
         )
@@ -145,6 +169,9 @@ class Encoder:
         waiting: list[tuple[int, bytes, bool]] = []
         held = 0
         for i, text in enumerate(texts):
+            if text and any(token in text for token in self.added):
+                out[i].append(self.whole(text))
+                continue
             for piece, is_head in _pieces((text or "").encode()):
                 waiting.append((i, piece, is_head))
                 held += len(piece)
@@ -170,7 +197,7 @@ class Encoder:
         if len(missing):
             self._learn(data, starts, ends, keys, missing, heads)
             slots[missing] = self.table.find(keys[missing])
-        counts = self.table.count[slots]
+        counts = np.where(self.table.same(slots, data, starts, ends), self.table.count[slots], -1)
         unsafe = np.logical_or.reduceat(counts < 0, first)
         sizes = np.maximum(counts, 0)
         total = np.concatenate([[0], np.cumsum(sizes)])
@@ -192,7 +219,8 @@ class Encoder:
         is_head = np.zeros(len(starts), bool)
         is_head[heads] = True
         raw = data.tobytes()
-        words = [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist())]
+        parts = [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]
+        words = [part.decode() for part in parts]
         runs: list[bytes | None] = [None] * len(words)
         plain = []
         for j, (word, head) in enumerate(zip(words, is_head[at].tolist())):
@@ -205,7 +233,7 @@ class Encoder:
         for j, run in zip(plain, self._encode([words[j] for j in plain])):
             runs[j] = run
         counts = np.array([-1 if run is None else len(run) // self.width for run in runs], np.int32)
-        self.table.put(new, [run or b"" for run in runs], counts)
+        self.table.put(new, parts, [run or b"" for run in runs], counts)
 
     def _encode(self, words: list[str]) -> list[bytes]:
         """Ids of ' word' for words that touch no white space.

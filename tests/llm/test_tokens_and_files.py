@@ -8,6 +8,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import zstandard
+from tokenizers import Tokenizer
 
 from sluice.llm import tokens
 from sluice.llm.common import scratch
@@ -17,6 +18,13 @@ from sluice.llm.token_files import TokenFileReader, TokenFileWriter, open_file,
 from .cases import awkward, awkward_rows, nothing
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
+LIBRARY = Tokenizer.from_file(BPE)
+
+
+def by_library(text: str, width: int = 2) -> bytes:
+    return np.array(LIBRARY.encode(text, add_special_tokens=False).ids, f"<u{width}").tobytes()
+
+
 ALPHABET = [" ", "  ", "\n", "\t", "a", "Ab", "é", "12", "!!", "日本", "\x1c", "'s", "<|endoftext|>", "\r\n", "😀", " "]
 
 
@@ -31,7 +39,41 @@ def test_parts_give_the_ids_of_the_whole_text(monkeypatch, block):
     coder = tokens.Encoder(BPE)
     assert coder.by_parts
     some = texts(block, 2000, 40)
-    assert coder.many(some) == [coder.whole(t) if t else b"" for t in some]
+    assert coder.many(some) == [by_library(t, coder.width) for t in some]
+    assert any("<|endoftext|>" in t for t in some)
+
+
+def thue_morse(letters: str) -> str:
+    """1,024 letters, which collide with those of the exchanged pair under polynomials modulo 2^64."""
+    return "".join(letters[i.bit_count() % 2] for i in range(1024))
+
+
+@pytest.mark.parametrize("block", [1500, 1_000_000])
+def test_parts_of_one_hash_keep_their_ids(monkeypatch, block):
+    monkeypatch.setattr(tokens, "BLOCK", block)
+    one, two = thue_morse("ab"), thue_morse("ba")
+    data = np.frombuffer(f"{one} {two}".encode(), np.uint8)
+    keys = tokens.stretches(tokens.running(data, tokens.BYTES), np.array([0, 1025]), np.array([1024, 2049]))
+    assert keys[0] == keys[1]
+    coder = tokens.Encoder(BPE)
+    some = [f"x {one} y {two} z", two, one, f"{two} {one}", f" {one}", f"a {two}"]
+    assert coder.many(some) == [by_library(t, coder.width) for t in some]
+    assert [coder.ids(t) for t in some] == [by_library(t, coder.width) for t in some]
+
+
+def test_every_part_may_have_one_hash(monkeypatch):
+    """The bytes decide, whatever the hash."""
+    monkeypatch.setattr(tokens, "stretches", lambda sums, starts, ends: np.full(len(starts), 7, np.uint64))
+    coder = tokens.Encoder(BPE)
+    some = texts(3, 300, 20)
+    assert coder.many(some) == [by_library(t, coder.width) for t in some]
+
+
+def test_the_string_of_a_special_token_is_that_token():
+    coder = tokens.Encoder(BPE)
+    for text in ("a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>y <|endof text|>", "word " * 200_000 + "<|endoftext|>"):
+        assert coder.ids(text) == by_library(text, coder.width)
+    assert np.frombuffer(coder.ids("a <|endoftext|> b"), coder.dtype).tolist().count(50256) == 1
 
 
 def test_the_table_starts_anew_when_full(monkeypatch):
