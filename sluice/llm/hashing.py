@@ -70,3 +70,39 @@ def words(data: np.ndarray, separators: np.ndarray = IS_SPACE) -> tuple[np.ndarr
     np.logical_not(separators[data], out=inside[1:-1])
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     return edges[::2], edges[1::2]
+
+
+# -- modulo primes -----------------------------------------------------------------------------
+#
+# Stretches that agree in the hash above can be written down: modulo 2^64 the Thue-Morse word of
+# 1,024 letters agrees with its complement. The hash below is that sum modulo two primes below 2^31.
+
+PRIMES = ((1 << 31) - 1, (1 << 31) - 19)
+_ROOTS = (0x2545F491 % PRIMES[0], 0x4F6CDD1D % PRIMES[1])
+_prime_powers = [np.ones(1, np.uint64) for _ in PRIMES]
+_prime_inverses = [np.ones(1, np.uint64) for _ in PRIMES]
+
+
+def _powers_of(root: int, prime: int, size: int) -> np.ndarray:
+    out = np.ones(1, np.uint64)
+    while len(out) < size:
+        out = np.concatenate([out, out * np.uint64(pow(root, len(out), prime)) % np.uint64(prime)])
+    return out
+
+
+def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each word of a block, as `table` has them."""
+    out = np.zeros(len(begin), np.uint64)
+    for i, (prime, root) in enumerate(zip(PRIMES, _ROOTS)):
+        if len(_prime_powers[i]) <= len(data):
+            size = 2 * len(data)
+            _prime_powers[i] = _powers_of(root, prime, size)
+            _prime_inverses[i] = _powers_of(pow(root, -1, prime), prime, size)
+        p = np.uint64(prime)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        # of fewer than 2^33 terms below 2^31
+        np.cumsum((table % p)[data] * _prime_powers[i][: len(data)] % p, out=sums[1:])
+        own = (sums[end] - sums[begin]) % p * _prime_inverses[i][begin] % p
+        out = (out << np.uint64(31)) | own
+    lengths = (end - begin).astype(np.uint64)
+    return mixed(out + lengths * np.uint64(0xD6E8FEB86659FD93))

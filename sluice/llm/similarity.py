@@ -2,11 +2,11 @@
 
 Texts with equal sets of shingles are one item from the start. Then:
 
-1. *Shared shingles.* A linked set has nearly all its shingles in common with another, so a set
-   too few of whose shingles occur in any other set has no link. Shingles are dealt by hash to
-   buckets of bounded size, which count for every set how many of its shingles occur elsewhere. A
-   task merges what it has read before it sends it, so a shingle of a third of all texts takes
-   one entry per chunk. This test only lets through too much, never too little.
+1. *Shared shingles.* Of two linked sets the least of the common shingles are among the least of
+   either, by hash. Each set deals those (half of it, for 75 %) to buckets of bounded size, which
+   find those that other sets have dealt; a set with too few of them has no link. A task merges
+   what it has read before it sends it, so a shingle of a third of all texts takes one entry per
+   chunk. This test only lets through too much, never too little.
 2. *Blocks.* Of the sets left, shingles are ordered by the number of sets that have them. Two
    linked sets share one of the first few (a quarter, for 75 %). Sets that share one of those are
    in one block, by connected components; no link leaves a block.
@@ -24,19 +24,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.llm.common import give_back, quoted, ship, small, without, written
 from sluice.llm.components import components
-from sluice.llm.hashing import LOWER_BYTES, mixed, running, stretches, words
+from sluice.llm import hashing
+from sluice.llm.hashing import LOWER_BYTES, mixed, words
 from sluice.llm.signature_tree import SignatureTree
 
 #: Bytes of text hashed at once, and shingles merged before they are sent.
-PIECE, CHUNK = 250_000, 500_000
+PIECE, CHUNK, LARGEST_CHUNK = 250_000, 500_000, 4_000_000
 #: Shingles of a bucket, about.
 BUCKET = 1_000_000
+#: Per cent of a set that has to be among the shingles it deals and has in common with a linked one.
+COUNTED = 25
+#: Sets of a chunk, at most: numbers of two bytes, of which the last one is no set's.
+NUMBERS = (1 << 16) - 1
 #: Sets and shingles of a block that one task joins.
 BLOCK_SETS, BLOCK_SHINGLES = 4000, 6_000_000
 #: From so many sets on, a shingle counts as equally frequent.
@@ -57,7 +63,7 @@ def word_hashes(text: bytes) -> np.ndarray:
                 stop += 1
         data = np.frombuffer(text[start:stop], np.uint8)
         begin, end = words(data)
-        parts.append(stretches(running(data, LOWER_BYTES), begin, end))
+        parts.append(hashing.word_hashes(data, begin, end, LOWER_BYTES))
         start = stop
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
@@ -86,7 +92,7 @@ def _sets(texts: list[bytes], k: int) -> Iterator[np.ndarray]:
         return
     data = np.frombuffer(b"\n".join(texts), np.uint8)
     begin, end = words(data)
-    hashes = stretches(running(data, LOWER_BYTES), begin, end)
+    hashes = hashing.word_hashes(data, begin, end, LOWER_BYTES)
     text_at = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
     yield from _of_words(hashes, np.searchsorted(begin, text_at), k)
 
@@ -115,8 +121,10 @@ def set_hash(own: np.ndarray) -> int:
     return int(mixed(total ^ np.array([len(own)], np.uint64) * _FACTORS[7]).view(np.int64)[0])
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[dict[int, np.ndarray]]:
-    """Distinct sets by hash, `CHUNK` shingles or a little more at a time."""
+def _chunks(
+    batches: Iterator[pa.RecordBatch], k: int, shingles: int, most: int | None = None
+) -> Iterator[dict[int, np.ndarray]]:
+    """Distinct sets by hash, so many shingles or a little more at a time, of at most so many sets."""
     chunk: dict[int, np.ndarray] = {}
     held = 0
     for batch in batches:
@@ -127,7 +135,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[dict[int, np.
                     if name not in chunk:
                         chunk[name] = own
                         held += len(own)
-                if held >= CHUNK:
+                if held >= shingles or len(chunk) == most:
                     yield chunk
                     chunk, held = {}, 0
     if chunk:
@@ -170,26 +178,28 @@ class Shingled:
         items = self.described.filter("n > 0").groupBy("item").agg(
             F.min("n").alias("n"), F.min("content").alias("content")
         )
-        total = items.agg(F.sum("n")).first()[0] or 0
-        buckets = max(1, -(-total // BUCKET))
-        k = self.k
+        dealt = F.sum(F.col("n") - _ceil_share(F.col("n"), self.percent) + _ceil_share(F.col("n"), COUNTED))
+        buckets = max(1, -(-(items.agg(dealt).first()[0] or 0) // BUCKET))
+        k, percent = self.k, self.percent
+        # with more buckets, larger chunks, so that a row holds some shingles
+        size = min(LARGEST_CHUNK, max(CHUNK, 32 * buckets))
 
         def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for chunk in _chunks(batches, k):
-                yield from _dealt(chunk, buckets)
+            number = TaskContext.get().partitionId() << 32
+            for chunk in _chunks(batches, k, size, NUMBERS):
+                yield from _dealt(chunk, number, buckets, percent)
+                number += 1
 
-        shared = (
+        passing = (
             self.rows.select("text")
-            .mapInArrow(deal, "bucket long, entries binary")
+            .mapInArrow(deal, "bucket long, chunk long, entries binary")
             .groupBy("bucket")
-            .applyInArrow(_counter(-(-buckets // 2)), "part long, entries binary")
-            .groupBy("part")
-            .applyInArrow(_summed, "item long, shared long")
-        )
-        return written(
-            items.join(shared, "item").filter(F.col("shared") * 100 >= F.col("n") * self.percent).drop("shared"),
-            "candidates",
+            .applyInArrow(_shared, "bucket long, chunk long, entries binary")
+            .groupBy("chunk")
+            .applyInArrow(_passing(percent), "item long")
+            .distinct()
         )
+        return written(items.join(passing, "item"), "candidates")
 
     def blocks(self) -> DataFrame:
         """Items that may have links, with their sets and block: item, n, hashes, block."""
@@ -203,7 +213,7 @@ class Shingled:
         k = self.k
 
         def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for chunk in _chunks(batches, k):
+            for chunk in _chunks(batches, k, CHUNK):
                 yield _arrow(_ranges(chunk, buckets), _BUCKET)
 
         keyed = written(
@@ -317,133 +327,108 @@ def _links(found: list[tuple[int, int]], names: np.ndarray) -> pa.Table:
     return pa.table({"a": np.minimum(one, two), "b": np.maximum(one, two)})
 
 
-def _dealt(chunk: dict[int, np.ndarray], buckets: int) -> Iterator[pa.RecordBatch]:
-    """The shingles of a chunk by bucket.
+def _ceil_share(n: Column | np.ndarray | int, percent: int) -> Column | np.ndarray | int:
+    """`percent` per cent of n, rounded up."""
+    if isinstance(n, Column):
+        return F.ceil(n * percent / 100)
+    return -(-n * percent // 100)
+
+
+_DEALT = pa.schema([("bucket", pa.int64()), ("chunk", pa.int64()), ("entries", pa.binary())])
+
 
-    Shingles are told apart by 32 bits beside the bucket, which can only make more of them look
-    shared. Those of several sets of the chunk are sent once, as seen twice; the sets that have
-    them get the number of theirs at once. The entries of a bucket are four arrays: the items,
-    the number of their shingles that follow, the number of those seen twice, and the shingles by
-    item; and last the shingles seen twice.
+def _dealt(chunk: dict[int, np.ndarray], number: int, buckets: int, percent: int) -> Iterator[pa.RecordBatch]:
+    """The least shingles of a chunk's sets by bucket, and who they are, under a bucket of their own.
+
+    A set of n deals so many that what it lacks in a linked one, n less `percent` per cent of it,
+    still leaves `COUNTED` per cent of n. So the least common shingles, that share of the smaller
+    one of two linked sets, are among those that both deal. Shingles are told apart by 32 bits
+    beside the bucket, which can only make more of them look shared. Those of several sets of the
+    chunk are sent once, under the number `NUMBERS`; the sets that have them get the number of
+    theirs at once. The entries of a bucket are the shingles, then the numbers of the sets.
     """
     names = np.fromiter(chunk, np.int64, len(chunk))
     sizes = np.array([len(own) for own in chunk.values()])
-    values = np.concatenate(list(chunk.values()))
-    owner = np.repeat(np.arange(len(names)), sizes)
-    bucket = ((values >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-    short = values.astype(np.uint32)
+    dealt = np.minimum(sizes, sizes - _ceil_share(sizes, percent) + _ceil_share(sizes, COUNTED))
+    values = np.concatenate([own[:n] for own, n in zip(chunk.values(), dealt.tolist())])
+    owner = np.repeat(np.arange(len(names)), dealt)
     order = np.argsort(values, kind="stable")
     ranked = values[order]
     start = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
     length = np.diff(np.append(start, len(ranked)))
-    twice = np.zeros(len(values), bool)
-    twice[order] = np.repeat(length > 1, length)
-    seen = order[start[length > 1]]
-    by_bucket = np.argsort(bucket, kind="stable")  # within a bucket still by item
-    cuts = np.searchsorted(bucket[by_bucket], np.arange(buckets + 1))
-    seen = seen[np.argsort(bucket[seen], kind="stable")]
-    seen_cuts = np.searchsorted(bucket[seen], np.arange(buckets + 1))
-    rows = []
-    for b in range(buckets):
-        at = by_bucket[cuts[b] : cuts[b + 1]]
-        if not len(at):
-            continue
-        own, doubled = owner[at], twice[at]
-        first = np.flatnonzero(np.append(True, own[1:] != own[:-1]))
-        dup = np.add.reduceat(doubled.astype(np.uint32), first)
-        single = (np.diff(np.append(first, len(own))) - dup).astype(np.uint32)
-        tail = short[seen[seen_cuts[b] : seen_cuts[b + 1]]]
-        head = np.array([len(first), len(tail)], np.uint32)
-        rows.append(
-            (
-                b,
-                b"".join(
-                    x.tobytes()
-                    for x in (head, names[own[first]], single, dup.astype(np.uint32), short[at[~doubled]], tail)
-                ),
-            )
-        )
+    # in order of their hashes: those of one set, and those of several, once
+    several = length > 1
+    local = np.bincount(owner[order[np.repeat(several, length)]], minlength=len(names)).astype(np.uint32)
+    values = ranked[start]
+    owner = np.where(several, NUMBERS, owner[order[start]]).astype(np.uint16)
+    bucket = ((values & np.uint64(0xFFFFFFFF)) * np.uint64(buckets)) >> np.uint64(32)
+    by_bucket = np.argsort(bucket, kind="stable")
+    bucket, short, owner = bucket[by_bucket], (values >> np.uint64(32)).astype(np.uint32)[by_bucket], owner[by_bucket]
+    cuts = np.append(np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])), len(bucket)).tolist()
+    head = names.tobytes() + sizes.astype(np.uint32).tobytes() + local.tobytes()
+    rows = [(-1 - number, number, head)]
+    for a, b in zip(cuts, cuts[1:]):
+        rows.append((int(bucket[a]), number, short[a:b].tobytes() + owner[a:b].tobytes()))
         if len(rows) >= 64:
-            yield _arrow(rows, _BUCKET)
+            yield _arrow(rows, _DEALT)
             rows = []
-    if rows:
-        yield _arrow(rows, _BUCKET)
+    yield _arrow(rows, _DEALT)
 
 
-def _parts(names: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Items sorted by part, and where each part starts."""
-    part = ((names.view(np.uint64) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
-    order = np.argsort(part, kind="stable")
-    return order, np.searchsorted(part[order], np.arange(parts + 1))
+def _shared(table: pa.Table) -> pa.Table:
+    """Of a bucket, by chunk, the numbers of sets whose shingles occur in other chunks, once for each."""
+    if table["bucket"][0].as_py() < 0:
+        return table.select(_DEALT.names)
+    chunks, shorts, owners = table["chunk"].to_pylist(), [], []
+    for value in table["entries"].to_pylist():
+        n = len(value) // 6
+        shorts.append(np.frombuffer(value, np.uint32, n))
+        owners.append(np.frombuffer(value, np.uint16, n, 4 * n))
+    short, owner = np.concatenate(shorts), np.concatenate(owners)
+    of = np.repeat(np.arange(len(chunks)), [len(x) for x in shorts])
+    order = np.argsort(short, kind="stable")
+    ranked = short[order]
+    begin = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
+    length = np.diff(np.append(begin, len(ranked)))
+    again = np.zeros(len(short), bool)
+    again[order] = np.repeat(length > 1, length)
+    again &= owner != NUMBERS
+    cuts = np.searchsorted(of[again], np.arange(len(chunks) + 1)).tolist()
+    owner = owner[again]
+    rows = [
+        (0, chunk, owner[a:b].tobytes()) for chunk, a, b in zip(chunks, cuts, cuts[1:]) if b > a
+    ]
+    del shorts, owners, short, of, order, ranked, again
+    give_back()
+    return pa.Table.from_batches([_arrow(rows, _DEALT)])
 
 
-def _counter(parts: int):
-    """For the items of a bucket, by part, how many of their shingles there occur in other items."""
+def _passing(percent: int):
+    """The sets of a chunk that have enough of what they dealt in common with others."""
 
     def run(table: pa.Table) -> pa.Table:
-        names, counts = _counted(table)
-        order, cuts = _parts(names, parts)
-        rows = []
-        for p in range(parts):
-            at = order[cuts[p] : cuts[p + 1]]
-            if len(at):
-                rows.append((p, names[at].tobytes() + counts[at].astype(np.uint32).tobytes()))
-        out = _arrow(rows, pa.schema([("part", pa.int64()), ("entries", pa.binary())]))
-        del names, counts, order, rows
-        give_back()
-        return pa.Table.from_batches([out])
+        counts = np.zeros(NUMBERS + 1, np.int64)
+        names = sizes = np.zeros(0, np.int64)
+        for bucket, value in zip(table["bucket"].to_pylist(), table["entries"].to_pylist()):
+            if bucket < 0:
+                n = len(value) // 16
+                names = np.frombuffer(value, np.int64, n)
+                sizes = np.frombuffer(value, np.uint32, n, 8 * n).astype(np.int64)
+                counts[:n] += np.frombuffer(value, np.uint32, n, 12 * n)
+            else:
+                counts += np.bincount(np.frombuffer(value, np.uint16), minlength=len(counts))
+        # a linked set may be as small as this one's share, and deal that much less
+        wanted = _ceil_share(_ceil_share(sizes, percent), COUNTED)
+        return pa.table({"item": pa.array(names[counts[: len(names)] >= wanted], pa.int64())})
 
     return run
 
 
-def _summed(table: pa.Table) -> pa.Table:
-    names, counts = [], []
-    for value in table["entries"].to_pylist():
-        n = len(value) // 12
-        names.append(np.frombuffer(value, np.int64, n))
-        counts.append(np.frombuffer(value, np.uint32, n, 8 * n))
-    items, which = np.unique(np.concatenate(names), return_inverse=True)
-    total = np.bincount(which, np.concatenate(counts), len(items)).astype(np.int64)
-    return pa.table({"item": pa.array(items, pa.int64()), "shared": pa.array(total, pa.int64())})
-
-
-def _counted(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Items of a bucket with shingles there that occur in other items, and how many."""
-    names, singles, doubled, shingles, seen = [], [], [], [], []
-    for value in table["entries"].to_pylist():
-        n, tail = np.frombuffer(value, np.uint32, 2).tolist()
-        names.append(np.frombuffer(value, np.int64, n, 8))
-        singles.append(np.frombuffer(value, np.uint32, n, 8 + 8 * n))
-        doubled.append(np.frombuffer(value, np.uint32, n, 8 + 12 * n))
-        rest = np.frombuffer(value, np.uint32, offset=8 + 16 * n)
-        shingles.append(rest[: len(rest) - tail])
-        seen.append(rest[len(rest) - tail :])
-    name, single, dup = np.concatenate(names), np.concatenate(singles).astype(np.int64), np.concatenate(doubled)
-    short, known = np.concatenate(shingles), np.unique(np.concatenate(seen))
-    _, first, item = np.unique(name, return_index=True, return_inverse=True)
-    owner = np.repeat(np.arange(len(name)), single)
-    shared = np.zeros(len(short), bool)
-    if len(known):
-        at = np.minimum(np.searchsorted(known, short), len(known) - 1)
-        shared = known[at] == short
-    order = np.argsort(short)
-    ranked = short[order]
-    begin = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])) if len(ranked) else np.zeros(0, int)
-    length = np.diff(np.append(begin, len(ranked)))
-    several = order[np.repeat(length > 1, length)]
-    if len(several):
-        # copies of one item from several chunks are one
-        order = several[np.lexsort((item[owner[several]], short[several]))]
-        h, i = short[order], item[owner[order]]
-        new = np.append(True, h[1:] != h[:-1])
-        other = np.append(False, ~new[1:] & (i[1:] != i[:-1]))
-        group = np.cumsum(new) - 1
-        shared[order] |= np.bincount(group, other)[group] > 0
-    count = np.bincount(owner, shared, len(name)).astype(np.int64) + dup
-    is_first = np.zeros(len(name), bool)
-    is_first[first] = True
-    keep = is_first & (count > 0)
-    return name[keep], count[keep]
+def _parts(names: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Items sorted by part, and where each part starts."""
+    part = ((names.view(np.uint64) >> np.uint64(32)) * np.uint64(parts)) >> np.uint64(32)
+    order = np.argsort(part, kind="stable")
+    return order, np.searchsorted(part[order], np.arange(parts + 1))
 
 
 def _entries(names: np.ndarray, sizes: np.ndarray, *values: np.ndarray) -> bytes:

@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from sluice.llm import common, similarity
+from sluice.llm import common, hashing, similarity
 from sluice.llm import components as connected
 from sluice.llm.components import components
 from sluice.llm.signature_tree import SignatureTree
@@ -49,6 +49,51 @@ def test_components_against_brute_force(spark, monkeypatch, seed):
     assert Counter(map(tuple, similar_components(docs).collect())) == expected(rows)
 
 
+@pytest.mark.parametrize("percent", [10, 25, 40, 90, 100])
+def test_other_similarities(spark, monkeypatch, percent):
+    """Also those below the share of a set that has to be counted as shared."""
+    small(monkeypatch)
+    texts = families(percent, 70)
+    sets = [shingles(text) for text in texts]
+    root = groups(sets, percent)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r.doc_id: r.component_id for r in similar_components(docs, percent=percent).collect()}
+    assert got == {i: r if sets[i] else i for i, r in enumerate(root)}
+
+
+def test_sets_of_very_different_chunks(spark, monkeypatch):
+    """Copies in many chunks, and linked sets of the least and the largest size that can be linked."""
+    monkeypatch.setattr(similarity, "CHUNK", 1)
+    rng = random.Random(6)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    texts = [" ".join(base[: 400 - n]) for n in (0, 98, 99, 100, 101, 102, 0, 0, 99)]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert Counter(map(tuple, similar_components(docs).collect())) == expected(rows)
+
+
+def test_words_that_collide_modulo_a_power_of_two(spark):
+    def word(letters):
+        return "".join(letters[i.bit_count() % 2] for i in range(1024))
+
+    texts = [f"x {w} y z" for w in (word("ab"), word("ba"), word("ab"))]
+    rows = list(enumerate(texts))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in similar_components(docs).orderBy("doc_id").collect()]
+    assert got == [(0, 1, 0), (1, 1, 1), (2, 1, 0)]
+
+
+def test_word_hashes_of_blocks():
+    """The same word has one hash wherever it stands, and other words have others."""
+    data = np.frombuffer(b"ab ba ab aab b ab", np.uint8)
+    begin, end = hashing.words(data)
+    found = hashing.word_hashes(data, begin, end, hashing.BYTES).tolist()
+    assert found[0] == found[2] == found[5] and len(set(found)) == 4
+    late = np.frombuffer(b"x" * 100_000 + b" ab", np.uint8)
+    begin, end = hashing.words(late)
+    assert hashing.word_hashes(late, begin, end, hashing.BYTES)[1] == found[0]
+
+
 @pytest.mark.parametrize("is_small", [True, False])
 def test_pairs_against_brute_force(spark, monkeypatch, is_small):
     if is_small:
