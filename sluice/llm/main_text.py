@@ -47,13 +47,25 @@ INLINE = frozenset(
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that are boilerplate by their kind.
 NOT_MAIN = frozenset("nav footer aside form menu dialog header".split())
+HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 #: Words of class, id and role that mark boilerplate, and those that mark content.
 BAD_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies "
     "consent gdpr notice alert nav navbar navigation menu breadcrumb breadcrumbs footer foot header masthead sidebar "
     "side rail widget widgets comment comments commentlist reply replies respond disqus discussion share sharing "
     "social related recommended newsletter subscribe subscription signup login signin form search popup modal "
-    "overlay tags pagination pager toolbar copyright legal disclaimer complementary contentinfo".split()
+    "overlay tags pagination pager toolbar copyright legal disclaimer complementary contentinfo "
+    "kommentar kommentare leserkommentare commentaire commentaires comentario comentarios werbung anzeige "
+    "publicite publicidad anuncio anuncios impressum datenschutz seitenleiste fusszeile".split()
+)
+#: Headings, letters and spaces only, of a section or division with what readers wrote.
+COMMENT_HEADINGS = frozenset(
+    {
+        "comment", "comments", "reader comments", "leave a comment", "leave a reply", "replies", "responses",
+        "kommentar", "kommentare", "leserkommentare", "kommentar schreiben",
+        "commentaire", "commentaires", "commentaires des lecteurs", "laisser un commentaire",
+        "comentario", "comentarios", "comentarios de los lectores", "deja un comentario",
+    }
 )
 GOOD_WORDS = frozenset("article content post entry main story body text maintext articlebody".split())
 #: What text in a marked element loses, once however many marks it is under.
@@ -63,12 +75,6 @@ GAINS = 7.5
 #: Characters from which a block counts as a paragraph, whatever its element.
 LONG = 80
 
-_TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<more>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?/][^>]*>",
-    re.DOTALL | re.IGNORECASE,
-)
 _ENDS = re.compile(r"</(" + "|".join(sorted(RAW | SILENT)) + r")(?=[\s/>])[^>]*>?", re.IGNORECASE)
 _UNQUOTED = re.compile(r"=\s*[^\s\"']+\Z")
 _HINTS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
@@ -83,14 +89,91 @@ _CLOSES = {
 }
 
 
+_SPACES_AND_QUOTES = frozenset(" \t\n\r\f\v\"'")
+_NAME = re.compile(r"[^\s/>]*")
+_STOP = re.compile(r"[>\"']")
+
+
+class Tags:
+    """The tags and comments of a page from left to right; the time grows with the page's length only.
+
+    A tag is a name behind < or </ and goes on to the next > outside quotes; other things behind <!,
+    <? and </ go on to the next >. A < that starts neither is text. What was looked for and not
+    found is remembered: a place where a name or a tag ends, and quotes that lead to no end.
+    """
+
+    def __init__(self, html: str) -> None:
+        self.html = html
+        self.last = html.rfind(">")
+        self.next_stop = self.next_end = (0, -1)  # from where the place was looked for, and the place
+        self.hopeless: set[int] = set()
+
+    def _stop(self, at: int) -> int:
+        """The next > or quote."""
+        since, place = self.next_stop
+        if not since <= at <= place:
+            found = _STOP.search(self.html, at)
+            place = found.start() if found else len(self.html)
+            self.next_stop = (at, place)
+        return place
+
+    def _name_end(self, at: int) -> int:
+        since, place = self.next_end
+        if not since <= at <= place:
+            place = _NAME.match(self.html, at).end()
+            self.next_end = (at, place)
+        return place
+
+    def _tag_end(self, at: int) -> int:
+        """The > that ends the tag of which `at` is past the name, -1 if there is none."""
+        html, quotes = self.html, []
+        while True:
+            stop = self._stop(at)
+            if stop < len(html) and html[stop] == ">":
+                return stop
+            if stop < len(html) and stop not in self.hopeless:
+                quotes.append(stop)
+                close = html.find(html[stop], stop + 1)
+                if close >= 0:
+                    at = close + 1
+                    continue
+            self.hopeless.update(quotes)
+            return -1
+
+    def search(self, at: int) -> tuple[int, int, str | None, bool, str] | None:
+        """Start, end, name, whether it is an end tag, and what is behind the name; no name for the others."""
+        html = self.html
+        while (start := html.find("<", at)) >= 0:
+            at = start + 1
+            if html.startswith("<!--", start):
+                end = html.find("-->", start + 4)
+                return start, end + 3 if end >= 0 else len(html), None, False, ""
+            if start > self.last:
+                at = html.find("<!--", at)
+                if at < 0:
+                    return None
+                continue
+            sign = html[at]
+            first = at + (sign == "/")
+            if html[first].isascii() and html[first].isalpha():
+                name_end = self._name_end(first)
+                end = self._tag_end(name_end)
+                if end >= 0:
+                    return start, end + 1, html[first:name_end], sign == "/", html[name_end:end]
+            if sign in "!?/":
+                return start, html.find(">", at) + 1, None, False, ""
+        return None
+
+
 class Element:
-    __slots__ = ("name", "parent", "depth", "bias", "last", "gain", "mark", "good", "holder", "held")
+    __slots__ = ("name", "parent", "depth", "bias", "last", "gain", "mark", "good", "holder", "held", "in_article")
 
     def __init__(self, name: str, parent: Element | None, more: str = "") -> None:
         self.name, self.parent, self.bias = name, parent, 0.0
         self.depth = parent.depth + 1 if parent else 0
         self.last = -1
         self.held: Held | None = None
+        self.in_article = name == "article" or bool(parent and parent.in_article)
         self.gain, self.mark, self.good = _evidence(name, more, parent) if parent else (0.0, "", False)
         self.good = self.good or bool(parent and parent.good)
         self.holder: Element = self if self.mark or not parent else parent.holder  # nearest with a mark
@@ -129,7 +212,7 @@ def _evidence(name: str, more: str, parent: Element) -> tuple[float, str, bool]:
     hiding says so, which a wrapper around the whole page may have too.
     """
     gain, mark, good = 0.0, "", False
-    if name == "header" and _within(parent, "article"):
+    if name == "header" and parent.in_article:
         gain -= 1.0
     elif name in NOT_MAIN:
         mark = "names" if name == "form" else "kind"
@@ -153,6 +236,21 @@ def _evidence(name: str, more: str, parent: Element) -> tuple[float, str, bool]:
     return gain, mark, good
 
 
+def _mark_comments(text: str, heading: Element, before: list[Block]) -> None:
+    """Mark a section or division that begins with a heading of readers' comments."""
+    holder = heading.parent
+    if holder.name not in ("section", "div") or holder.mark:
+        return
+    if " ".join("".join(c if c.isalpha() else " " for c in text.lower()).split()) not in COMMENT_HEADINGS:
+        return
+    inner = before[-1].parent if before else None
+    while inner and inner.depth > holder.depth:
+        inner = inner.parent
+    if inner is not holder:  # nothing in it comes before
+        holder.mark = "names"
+        holder.holder = heading.holder = holder
+
+
 def _weigh(elements: list[Element], found: list[Block]) -> None:
     """Set each element's bias: the gains on the way to it, less MARKED if it is under a mark that stands.
 
@@ -204,17 +302,21 @@ def _weigh(elements: list[Element], found: list[Block]) -> None:
         element.bias = min(GAINS, element.gain) - (MARKED if under[element] else 0.0)
 
 
-def _within(element: Element | None, name: str) -> bool:
-    while element:
-        if element.name == name:
-            return True
-        element = element.parent
-    return False
+def _last_value(more: str) -> int:
+    """Where the signs without a space or quote at the end begin, or the = before them."""
+    at = len(more)
+    while at and more[at - 1] not in _SPACES_AND_QUOTES:
+        at -= 1
+    equals = more.find("=", at)
+    if equals >= 0:
+        return equals
+    before = len(more[:at].rstrip())
+    return before - 1 if before and more[before - 1] == "=" else at
 
 
 def _closed(more: str) -> bool:
     """Whether a tag ends itself; the slash of an unquoted value does not."""
-    return more.endswith("/") and not _UNQUOTED.search(more)
+    return more.endswith("/") and not _UNQUOTED.search(more, _last_value(more))
 
 
 class Silent:
@@ -246,15 +348,15 @@ class Silent:
     def foreign(self) -> bool:
         return bool(self.counts["svg"] or self.counts["math"])
 
-    def follow(self, name: str, end: bool, more: str, node: Element) -> bool:
-        """Take a tag; False if it is outside."""
+    def follow(self, name: str, end: bool, more: str, outside: Counter[str]) -> bool:
+        """Take a tag; False if it is outside, where so many elements of each name are open."""
         if end:
             if self.counts[name]:
                 while self.names[-1] != name:
                     self.counts[self.names.pop()] -= 1
                 self.counts[self.names.pop()] -= 1
                 return True
-            if not _within(node, name):
+            if not outside[name]:
                 return True
             self.clear()  # the parent's end
             return False
@@ -276,41 +378,56 @@ def blocks(html: str) -> list[Block]:
     node = Element("", None)
     elements = [node]
     parts: list[str] = []
-    links = 0
+    links = length = 0
     linked: list[int] = []  # length of text at the start of each open link
+    opened: Counter[str] = Counter()
 
     def flush() -> None:
-        nonlocal links
+        nonlocal links, length
         if parts:
             raw = "".join(parts)
             text = " ".join((unescape(raw) if "&" in raw else raw).split())
             if text:
+                if node.name in HEADINGS and len(text) < 60:
+                    _mark_comments(text, node, out)
                 out.append(Block(text, links, node))
             parts.clear()
-        links = 0
+        links = length = 0
         if linked:
             linked[:] = [0]
 
-    def size() -> int:
-        return sum(map(len, parts))
+    def add(text: str) -> None:
+        nonlocal length
+        parts.append(text)
+        length += len(text)
+
+    def close(element: Element) -> None:
+        """Close this element and all that are open in it."""
+        nonlocal node
+        while True:
+            opened[node.name] -= 1
+            node, left = node.parent, node
+            if left is element:
+                return
 
     ends: dict[str, list[tuple[int, int]]] = {}
     for m in _ENDS.finditer(html):
         ends.setdefault(m[1].lower(), []).append(m.span())
     inside = Silent()
     at = 0
-    while m := _TAG.search(html, at):
-        if m.start() > at:
-            if inside.in_head() and not html[at : m.start()].isspace():
+    tags = Tags(html)
+    while tag := tags.search(at):
+        start, past, name, is_end, more = tag
+        if start > at:
+            if inside.in_head() and not html[at:start].isspace():
                 inside.clear()
             if not inside:
-                parts.append(html[at : m.start()])
-        at = m.end()
-        name = m["name"]
+                add(html[at:start])
+        at = past
         if name is None:
             continue
         name = name.lower()
-        if name in RAW and not m["end"] and not (inside and inside.foreign() and _closed(m["more"])):
+        if name in RAW and not is_end and not (inside and inside.foreign() and _closed(more)):
             if not inside and name not in IN_LINE:
                 flush()
             found = ends.get(name, ())
@@ -320,53 +437,57 @@ def blocks(html: str) -> list[Block]:
             elif name in ("script", "style"):
                 at = len(html)
             continue
-        if inside and inside.follow(name, bool(m["end"]), m["more"], node):
+        if inside and inside.follow(name, is_end, more, opened):
             continue
         if name in SILENT:
-            if m["end"]:
+            if is_end:
                 continue
             if name not in IN_LINE:
                 flush()
             # one that is never closed holds nothing; the four named need no end tag
             closes = bool(ends.get(name)) and ends[name][-1][0] >= at
-            if not _closed(m["more"]) and (closes or name in ("head", "option", "svg", "math")):
+            if not _closed(more) and (closes or name in ("head", "option", "svg", "math")):
                 inside.add(name)
             continue
         if name in INLINE:
             if name == "br":
-                parts.append(" ")
+                add(" ")
             elif name == "a":
                 if linked:
-                    links += size() - linked.pop()
-                if not m["end"]:
-                    linked.append(size())
+                    links += length - linked.pop()
+                if not is_end:
+                    linked.append(length)
             continue
         if linked:
-            links += size() - linked[-1]
+            links += length - linked[-1]
         flush()
-        if m["end"]:
-            walk = node
-            while walk.parent and walk.name != name:
-                walk = walk.parent
-            if walk.parent:
-                node = walk.parent
+        if is_end:
+            if opened[name]:
+                walk = node
+                while walk.name != name:
+                    walk = walk.parent
+                close(walk)
             continue
-        if node.name == "p" or node.name in ("h1", "h2", "h3", "h4", "h5", "h6"):
-            node = node.parent
+        if node.name == "p" or node.name in HEADINGS:
+            close(node)
         if name in _CLOSES:
             same, until = _CLOSES[name]
-            walk = node
+            closing = None
+            walk = node if any([opened[n] for n in same.split()]) else elements[0]
             while walk.parent and walk.name not in until:
                 if walk.name in same.split():
-                    node = walk.parent
+                    closing = walk
                     if name != "tr":
                         break
                 walk = walk.parent
-        if name not in VOID and not m["more"].endswith("/"):
-            node = Element(name, node, m["more"])
+            if closing:
+                close(closing)
+        if name not in VOID and not more.endswith("/"):
+            node = Element(name, node, more)
+            opened[name] += 1
             elements.append(node)
     if at < len(html) and (not inside or inside.in_head()):
-        parts.append(html[at:])
+        add(html[at:])
     flush()
     _weigh(elements, out)
     return out
@@ -380,7 +501,7 @@ def score(block: Block) -> float:
     out += min(n, 400) / 160
     if name in ("p", "blockquote", "pre"):
         out += 1.0
-    elif name in ("h1", "h2", "h3", "h4", "h5", "h6"):
+    elif name in HEADINGS:
         out += 0.6
     elif name == "li":
         out -= 0.4

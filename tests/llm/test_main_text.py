@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import itertools
 import random
+import time
 
 import pytest
 
@@ -185,3 +186,53 @@ def test_given_pages_give_their_article(spark):
         inside = row.html[row.html.index("<article>") + 9 : row.html.index("</article>")]
         parts = [" ".join(references.unescape(re.sub("<[^>]*>", " ", p)).split()) for p in re.split("</?(?:p|h1)>", inside)]
         assert main_text(row.html) == "\n\n".join(p for p in parts if p)
+
+
+MALFORMED = {
+    "open names": ("a<b ", ""),
+    "open paragraphs": ("<p ", ""),
+    "open quotes": ('<a "', ""),
+    "quotes with an end": ('<a "', ">"),
+    "one name": ("<a", " '>"),
+    "ends": ("</x ", ""),
+    "declarations": ("<!", ""),
+    "deep": ("<div>", ""),
+    "links": ("x<a>", ""),
+    "list items": ("<li>x", ""),
+    "rows": ("<tr><div>x", ""),
+    "headers": ("<div><header>", ""),
+    "an attribute": ("=a", " x/>"),
+    "deep and ends that fit nothing": ("<div></x>", ""),
+}
+
+
+@pytest.mark.parametrize("unit,tail", MALFORMED.values(), ids=list(MALFORMED))
+def test_a_malformed_page_takes_time_by_its_length(unit, tail):
+    began = time.perf_counter()
+    main_text("<p>First." + unit * (1_000_000 // len(unit)) + tail)
+    assert time.perf_counter() - began < 6  # quadratic ones would take an hour
+
+
+def test_ends_that_fit_nothing_are_passed_over():
+    assert main_text("<div>" * 3000 + "</x>" * 3000 + f"<p>{LONG}</p>") == LONG
+
+
+COMMENTS = {
+    "en": ("Comments (3)", "comments"),
+    "de": ("3 Kommentare", "kommentare"),
+    "fr": ("Commentaires", "commentaires"),
+    "es": ("Comentarios:", "comentarios"),
+}
+LONG = "A sentence of the article that is long enough to count as a paragraph of it, and goes on for a while."
+
+
+@pytest.mark.parametrize("heading,name", COMMENTS.values(), ids=list(COMMENTS))
+def test_comments_of_readers_by_name_and_by_heading(heading, name):
+    article = f"<article><h1>Title</h1><p>{LONG}</p><p>{LONG}</p></article>"
+    said = f"<p>{LONG.replace('article', 'reader')}</p>"
+    want = f"Title\n\n{LONG}\n\n{LONG}"
+    assert main_text(f"<body>{article}<div class='{name}'>{said}</div></body>") == want
+    assert main_text(f"<body>{article}<section><h2>{heading}</h2>{said}{said}</section></body>") == want
+    # in the middle of a text it is a heading like others
+    inside = f"<article><h1>Title</h1><div><p>{LONG}</p><h2>{heading}</h2><p>{LONG}</p></div></article>"
+    assert main_text(f"<body>{inside}</body>").count(LONG) == 2
