@@ -2,30 +2,33 @@
 
 An entity's replacement is a keyed permutation of all texts of its form, so no table of what was
 replaced is needed and every task decides alone: the same entity gets the same surrogate in every
-document (coreference), and two entities of one form never share one. The permutation is a Feistel
-network over the number that an entity's free places spell; results that break a rule of the type
-(an octet above 255, a wrong check digit, a leading zero, the entity itself) are permuted again,
-which keeps it one to one. What is free depends on the type:
-
-* e-mail: letters and digits of the local part, each among its kind; the domain's names likewise,
-  its last label stays;
+document (coreference), and two entities of one form never share one. A Feistel network orders the
+numbers that an entity's free places can spell, and the replacement is some keyed steps further in
+that order, which goes through all of them before it comes back. Results that break a rule of the
+type (an octet above 255, a wrong check digit, a leading zero) are stepped over, which keeps it one
+to one, and no entity stands for itself unless its form allows no other; then it is left and not
+counted. What is free depends on the type:
+
+* e-mail: letters of any script and digits of the local part, each among its kind; the domain's
+  names likewise, its last label stays;
 * phone: digits after the country code; whether they start with 0 stays, as do punctuation and grouping;
 * IPv6 addresses: the groups that are not 0; the kind of address stays;
 * IPv4 addresses, card numbers (with or without a right check digit), IBANs (checked), other long
   numbers, hexadecimal secrets and key tokens: digits among digits, letters among letters;
 * names after a title or a known first name: consonants among consonants and vowels among vowels
   of their script; the last letter stays, which carries the gender of most names, and known first
-  names are replaced by known ones of the same gender and script, each by the next in one keyed
-  cycle over them. What is found so is
-  replaced wherever else the text has it as a whole word.
+  names, whatever their case, are replaced by known ones of the same gender and script, each by the
+  next in one keyed cycle over them. What is found so is replaced wherever else the text has it as a
+  whole word.
 
 `collisions` checks the promise on results: originals that share a surrogate. `checked` writes
-results and stops if there are any.
+results and tells of any.
 """
 
 from __future__ import annotations
 
 import hashlib
+import logging
 import math
 import re
 from bisect import bisect_left
@@ -40,6 +43,8 @@ from pyspark.sql import types as T
 
 from sluice.llm.common import quoted, ship, written
 
+logger = logging.getLogger(__name__)
+
 # Titles, first names by gender and script, and the letters of the scripts.
 TITLES = {
     "m": "Mr Mister Sir Herr Herrn Monsieur Señor Signor Господин".split(),
@@ -73,6 +78,8 @@ _HEX = "abcdef"
 
 #: First names by name: script and gender, and all names of these.
 _known = {name: (key, names) for key, names in FIRST_NAMES.items() for name in names}
+#: The names by their small letters.
+_as_known = {name.lower(): name for name in _known}
 _titles = sorted((t for ts in TITLES.values() for t in ts), key=len, reverse=True)
 _NAME = r"[A-ZÀ-ÖØ-ÞŠŽČŘА-ЯΑ-Ω][^\W\d_]+(?:[-’'][^\W\d_]+)*"
 _FIND = re.compile(
@@ -134,31 +141,55 @@ class Surrogates:
             out += hashlib.blake2b(f"{len(out)}:{message}".encode(), key=self.key, digest_size=32).digest()
         return int.from_bytes(out[:size], "big") & ((1 << bits) - 1)
 
-    def permuted(self, kind: str, value: int, size: int) -> int:
-        """A permutation of 0 ... size - 1 that the key and the kind fix."""
+    def permuted(self, kind: str, value: int, size: int, back: bool = False) -> int:
+        """A permutation of 0 ... size - 1 that the key and the kind fix, or its inverse."""
         if size < 2:
             return value
         half = max(1, ((size - 1).bit_length() + 1) // 2)
         mask = (1 << half) - 1
+        turns = range(7, -1, -1) if back else range(8)
         while True:
             left, right = value >> half, value & mask
-            for turn in range(8):
+            if back:
+                left, right = right, left
+            for turn in turns:
                 left, right = right, left ^ self._number(f"{kind}|{size}|{turn}|{right}", half)
+            if back:
+                left, right = right, left
             value = left << half | right
             if value < size:
                 return value
 
+    def following(self, kind: str, value: int, size: int) -> Iterator[int]:
+        """The numbers after this one in a keyed order of 0 ... size - 1 that closes, this one last."""
+        if size < 2:
+            yield value
+            return
+        step = self._number(f"step|{kind}|{size}", 64) % (size - 1) + 1
+        while math.gcd(step, size) > 1:
+            step = step % (size - 1) + 1
+        place = self.permuted(kind, value, size)
+        while True:
+            place = (place + step) % size
+            found = self.permuted(kind, place, size, back=True)
+            yield found
+            if found == value:
+                return
+
     def spelled(self, kind: str, text: str, alphabets: list[str | None], allowed=lambda text: True) -> str:
-        """The text with each place that has an alphabet changed within it."""
+        """The text with the places that have an alphabet changed within it, to one that is allowed.
+
+        The text itself if it is the only one.
+        """
         size, value = 1, 0
         for letter, alphabet in zip(text, alphabets):
             if alphabet:
                 size *= len(alphabet)
                 value = value * len(alphabet) + alphabet.index(letter.lower())
         form = "".join(c if a is None else f"<{ord(a[0])}>" for c, a in zip(text.lower(), alphabets))
-        for _ in range(10_000):
-            value = self.permuted(f"{kind}|{form}", value, size)
-            rest, out = value, []
+        result = text
+        for rest in self.following(f"{kind}|{form}", value, size):
+            out = []
             for letter, alphabet in zip(reversed(text), reversed(alphabets)):
                 if alphabet:
                     rest, i = divmod(rest, len(alphabet))
@@ -166,8 +197,8 @@ class Surrogates:
                 else:
                     out.append(letter)
             result = "".join(reversed(out))
-            if result.lower() != text.lower() and allowed(result) or size < 2:
-                return result
+            if allowed(result):
+                break
         return result
 
     def _of(self, kind: str, text: str) -> str:
@@ -180,13 +211,10 @@ class Surrogates:
         if kind == "ip":
             numbers = list(map(int, text.split(".")))
             value = int.from_bytes(bytes(numbers), "big")
-            start = value
-            while True:
-                value = self.permuted("ip", value, 1 << 32)
-                if value != start and 0 < value >> 24 < 224 and value >> 24 not in (10, 127):
-                    return ".".join(map(str, value.to_bytes(4, "big")))
-                if value == start:
-                    return text
+            for new in self.following("ip", value, 1 << 32):
+                if 0 < new >> 24 < 224 and new >> 24 not in (10, 127):
+                    break
+            return ".".join(map(str, new.to_bytes(4, "big")))
         if kind == "name":
             return self._name(text)
         if kind == "phone":
@@ -223,15 +251,11 @@ class Surrogates:
         free = [i for i, g in enumerate(groups) if g and (i or unicast)]
         least = [0x2000 if i == 0 else 1 for i in free]
         sizes = [0x2000 if i == 0 else 0xFFFF for i in free]
-        size = start = 0
-        if free:
-            size = math.prod(sizes)
-            for i, low, n in zip(free, least, sizes):
-                start = start * n + groups[i] - low
+        size, start = math.prod(sizes), 0
+        for i, low, n in zip(free, least, sizes):
+            start = start * n + groups[i] - low
         kind = "ipv6|" + "".join("x" if i in free else f"{g:x}," for i, g in enumerate(groups))
-        value = self.permuted(kind, start, size)
-        if value == start:
-            value = self.permuted(kind, value, size)
+        value = next(self.following(kind, start, size))
         for i, low, n in reversed(list(zip(free, least, sizes))):
             value, rest = divmod(value, n)
             groups[i] = rest + low
@@ -244,7 +268,7 @@ class Surrogates:
 
     def _plain(self, kind: str, text: str) -> str:
         """Letters among letters, digits among digits, the rest as it is."""
-        places = [_DIGITS if c in _DIGITS else _LETTERS if c.lower() in _LETTERS else None for c in text]
+        places = [_DIGITS if c in _DIGITS else _LETTERS if c.lower() in _LETTERS else alphabet_of(c) for c in text]
         if kind == "iban-body":
             places[:2] = [None, None]
         return self.spelled(kind, text, places)
@@ -272,14 +296,37 @@ class Surrogates:
 
     def _name(self, word: str) -> str:
         """One word of a name."""
-        if word in _known:
-            (script, gender), names = _known[word]
-            return self._next(script, gender, names)[word]
-        places = [_KIND.get(c.lower()) for c in word]
-        places[-1] = None
-        if not any(places):
-            places = [_KIND.get(c.lower()) for c in word]
-        return self.spelled("name", word, places, lambda t: t not in _known)
+        known = _as_known.get(word.lower())
+        if known:
+            (script, gender), names = _known[known]
+            new = self._next(script, gender, names)[known]
+            return new.upper() if word.isupper() else new
+        places = [alphabet_of(c) for c in word]
+        if any(places[:-1]):
+            places[-1] = None
+        return self.spelled("name", word, places, lambda t: t.lower() not in _as_known)
+
+
+@lru_cache(10_000)
+def alphabet_of(letter: str) -> str | None:
+    """The small letters that may stand for a letter; None for other signs.
+
+    Letters outside `ALPHABETS` go with those of the 32 code points that theirs is in.
+    """
+    small = letter.lower()
+    if small in _KIND:
+        return _KIND[small] if _turns(small) or letter == small else None
+    if not letter.isalpha() or len(small) > 1 or letter not in (small, small.upper()):
+        return None
+    first = ord(small) & ~31
+    near = [chr(i) for i in range(first, first + 32)]
+    found = "".join(c for c in near if c.isalpha() and c == c.lower() and c not in _KIND and _turns(c) == _turns(small))
+    return found if len(found) > 1 and small in found else None
+
+
+def _turns(small: str) -> bool:
+    """Whether the letter has a capital one that it comes back from."""
+    return len(small.upper()) == 1 and small.upper() != small and small.upper().lower() == small
 
 
 def luhn(text: str) -> bool:
@@ -316,14 +363,17 @@ def spans(text: str | None, surrogates: Surrogates) -> list[Span]:
             if kind == "ipv6" and not _is_ipv6(found):
                 continue
             kind = _TYPES.get(kind, kind)
-            out.append((m.start(), m.end(), kind, found, surrogates.of(kind, found)))
+            new = surrogates.of(kind, found)
+            if new != found:
+                out.append((m.start(), m.end(), kind, found, new))
     names = []
     for m in _PERSON.finditer(text):
         words = m["after"] if m["title"] else m[0]
         start = m.start("after") if m["title"] else m.start()
         for word in re.finditer(r"[^\s]+", words):
-            at = start + word.start()
-            names.append((at, at + len(word[0]), "name", word[0], surrogates.of("name", word[0])))
+            at, new = start + word.start(), surrogates.of("name", word[0])
+            if new != word[0]:
+                names.append((at, at + len(word[0]), "name", word[0], new))
     if names:
         out = _merged(out, names)
         out = _merged(out, _mentions(text, {n[3]: n[4] for n in names}))
@@ -446,9 +496,15 @@ def collisions(results: DataFrame) -> DataFrame:
 
 
 def checked(results: DataFrame) -> DataFrame:
-    """The results, once written and without collisions; an error if there are any."""
+    """The results, once written; tells in the log of surrogates that stand for several originals.
+
+    Raises RuntimeError if an entity is its own surrogate, which `spans` leaves none of.
+    """
     results = written(results, "pii")
+    stays = results.select(F.explode("entities").alias("e")).filter("e.original = e.surrogate")
+    if not stays.isEmpty():
+        raise RuntimeError("an entity is its own surrogate")
     found = collisions(results).limit(5).collect()
     if found:
-        raise RuntimeError(f"surrogates that stand for several originals: {[tuple(row) for row in found]}")
+        logger.warning("surrogates that stand for several originals, such as %s", [tuple(row) for row in found])
     return results

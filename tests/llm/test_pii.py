@@ -66,20 +66,104 @@ def test_no_known_name_stays(key):
         assert all(a != b for a, b in zip(names, new)) and sorted(new) == sorted(names)
 
 
-def test_the_query_stops_at_collisions(spark, monkeypatch):
+def test_the_query_tells_of_collisions_and_goes_on(spark, monkeypatch, caplog):
     from sluice.llm.queries import QUERIES
 
     assert QUERIES["op5_pii"](spark, "/root/testdata/sf0.01").filter("n_entities > 0").count() > 0
     kind = "doc_id long, text string, n_entities long, entities array<struct<type:string,original:string,surrogate:string>>"
     mixed = spark.createDataFrame([(1, "9", 2, [("ssn", "1", "9"), ("ssn", "2", "9")])], kind)
     monkeypatch.setattr("sluice.llm.queries.pseudonymise", lambda *_: mixed)
-    with pytest.raises(RuntimeError, match="several originals"):
+    assert QUERIES["op5_pii"](spark, "/root/testdata/sf0.01").count() == 1
+    assert "several originals" in caplog.text
+    same = spark.createDataFrame([(1, "9", 1, [("ssn", "9", "9")])], kind)
+    monkeypatch.setattr("sluice.llm.queries.pseudonymise", lambda *_: same)
+    with pytest.raises(RuntimeError, match="its own surrogate"):
         QUERIES["op5_pii"](spark, "/root/testdata/sf0.01")
 
 
+def test_the_query_against_a_plain_reading(spark):
+    """What a reader of the results alone can tell: the text around entities, their forms, who is who."""
+    from sluice.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.01"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    results = {r.doc_id: r for r in QUERIES["op5_pii"](spark, sf).collect()}
+    assert set(results) == set(texts)
+    mail, address = re.compile(r"[\w.+-]+@[\w-]+(?:\.[\w-]+)*\.[a-z]+"), re.compile(r"\b\d{1,3}(?:\.\d{1,3}){3}\b")
+    ssn, titled = re.compile(r"\b\d{3}-\d\d-\d{4}\b"), re.compile(r"\b(?:Dr|Mr|Mrs|Frau|Herr)\.? ([A-Z]\w+)")
+    new_of: dict[str, set] = {}
+    seen = 0
+    for doc, text in texts.items():
+        text, new = text or "", results[doc].text or ""
+        for pattern in (mail, address, ssn, titled):
+            old = [m[pattern.groups] for m in pattern.finditer(text)]
+            now = [m[pattern.groups] for m in pattern.finditer(new)]
+            assert len(old) == len(now)
+            for a, b in zip(old, now):
+                assert a != b and a not in new
+                new_of.setdefault(a, set()).add(b)
+            seen += len(old)
+        if results[doc].n_entities == 0:
+            assert new == text
+        # letters and digits may change, all other signs stay in their order
+        assert re.sub(r"\w", "", new) == re.sub(r"\w", "", text)
+    assert seen > 30 and all(len(v) == 1 for v in new_of.values())
+    assert len({next(iter(v)) for v in new_of.values()}) == len(new_of)
+
+
+KEYS = [DEMO_KEY, *(bytes([i]) * 16 for i in range(20))]
+
+
+@pytest.mark.parametrize("key", KEYS)
+def test_no_short_name_or_local_part_stays(key):
+    surrogates = Surrogates(key)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    for names in ([a.upper() + b for a in letters for b in letters], [a.upper() + b + "r" for a in letters for b in letters]):
+        names = [n for n in names if n not in ("Mr", "Dr")]
+        new = [surrogates.of("name", n) for n in names]
+        assert all(a.lower() != b.lower() for a, b in zip(names, new)) and len(set(new)) == len(new)
+    for local in (*letters, "0", "7"):
+        assert surrogates.of("email", f"{local}@x.com")[0] != local
+    assert surrogates.of("email", "w@x.com").split("@")[1] != "x.com"
+
+
+def test_every_letter_of_a_local_part_may_change():
+    new = ONE.of("email", "иван.петров@mail.ru").split("@")[0]
+    assert new != "иван.петров" and re.fullmatch("[а-яё]{4}[.][а-яё]{6}", new)
+    for local in ("żółć", "đorđe", "東京", "عمر"):
+        new = ONE.of("email", f"{local}@mail.ru").split("@")[0]
+        assert new != local and len(new) == len(local)
+    assert "Har" not in replaced("Dr. Har wrote.", spans("Dr. Har wrote.", Surrogates(DEMO_KEY)))
+
+
+@pytest.mark.parametrize("key", KEYS)
+def test_names_in_capitals_and_known_names_do_not_meet(spark, key):
+    surrogates = Surrogates(key)
+    words = [f"{a}{b}{c}A" for a in "HJKLMNR" for b in "AEIO" for c in "ZSTLN"] + [n.upper() for n in FIRST_NAMES["latin", "f"]]
+    new = [surrogates.of("name", w) for w in words] + [surrogates.of("name", n) for n in FIRST_NAMES["latin", "f"]]
+    old = [w.lower() for w in words] + [n.lower() for n in FIRST_NAMES["latin", "f"]]
+    of: dict[str, set] = {}
+    for a, b in zip(old, new):
+        of.setdefault(b.lower(), set()).add(a)
+    assert all(len(v) == 1 for v in of.values())
+    assert surrogates.of("name", "JULIA") == surrogates.of("name", "Julia").upper()
+
+
+def test_one_pair_does_not_stop_a_corpus(spark):
+    from sluice.llm.pii import checked
+
+    docs = spark.createDataFrame([(1, "Dr. HEZA wrote."), (2, "Julia Smith came.")], "doc_id int, text string")
+    rows = checked(pseudonymise(docs, DEMO_KEY)).collect()
+    assert sorted(r.n_entities for r in rows) == [1, 2]
+
+
 @pytest.mark.parametrize("size", [2, 3, 10, 1000])
 def test_permutations(size):
-    assert sorted(ONE.permuted("x", i, size) for i in range(size)) == list(range(size))
+    new = [ONE.permuted("x", i, size) for i in range(size)]
+    assert sorted(new) == list(range(size)) and [ONE.permuted("x", n, size, back=True) for n in new] == list(range(size))
+    for start in range(min(size, 20)):
+        order = list(ONE.following("x", start, size))
+        assert sorted(order) == list(range(size)) and order[-1] == start
 
 
 def test_distinct_entities_stay_distinct():
