@@ -124,9 +124,9 @@ def mix(
     most_epochs: int = 2,
     size: Column | None = None,
 ) -> DataFrame:
-    """One row per row of `docs`: id_col, source, size, source_size, target, taken, positions, text_hash.
+    """One row per row of `docs`: id_col, source, size, source_size, target, taken, positions, text_hash, start.
 
-    `positions` holds the training time of each reading of the document, an epoch after the other
+    `start` counts the words of the source before the document in the source's order. `positions` holds the training time of each reading of the document, an epoch after the other
     (empty if it is not read). The reading at which a source's demand ends may be cut, so `taken`,
     words read in all, adds up to the target to the nearest word. A null text has size 0 and is
     never read; a null source is a source. Order within a source is by the MD5 of the id, so
@@ -185,6 +185,7 @@ def mix(
         total.alias("taken"),
         F.filter(F.array(*times), lambda x: x.isNotNull()).alias("positions"),
         F.col("content").alias("text_hash"),
+        begin.cast("long").alias("start"),
     )
 
 
@@ -195,6 +196,7 @@ def _readings(mixed: DataFrame, id_col: str) -> DataFrame:
         "source",
         "size",
         "taken",
+        "start",
         F.posexplode("positions").alias("epoch", "position"),
     )
     words = F.least(F.col("size"), F.col("taken") - F.col("size") * F.col("epoch"))
@@ -202,12 +204,31 @@ def _readings(mixed: DataFrame, id_col: str) -> DataFrame:
 
 
 def in_training_order(mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """A row per reading, range-sorted by position: id_col, source, epoch, words, position."""
+    """A row per reading, range-sorted by position: id_col, source, start, epoch, words, position.
+
+    Source and start tell the rows of `mix` apart that are read at all. Readings of one position,
+    of several sources, are in order of their ids. No readings, no rows.
+    """
     return _readings(mixed, id_col).select(
-        F.col("doc").alias(id_col), "source", "epoch", "words", "position"
+        F.col("doc").alias(id_col), "source", "start", "epoch", "words", "position"
     ).orderBy("position", id_col, "epoch")
 
 
+def by_document(mixed: DataFrame, order: DataFrame) -> DataFrame:
+    """The rows of `mix` with what the readings of `in_training_order` say of them.
+
+    Adds readings (their number) and first_position (null if there is none), and `taken` is the sum
+    of their words. Rows of `mixed` without readings stay.
+    """
+    read = order.groupBy(F.col("source").alias("of"), F.col("start").alias("at")).agg(
+        F.sum("words").alias("words"), F.count(F.lit(1)).alias("readings"), F.min("position").alias("first_position")
+    )
+    same = F.col("source").eqNullSafe(F.col("of")) & (F.col("start") == F.col("at")) & (F.col("size") > 0)
+    joined = mixed.join(read, same, "left").drop("of", "at")
+    found = {"taken": F.coalesce("words", F.lit(0)).cast("long"), "readings": F.coalesce("readings", F.lit(0)).cast("long")}
+    return joined.withColumns(found).drop("words")
+
+
 def mixed_documents(
     docs: DataFrame,
     mixed: DataFrame,
@@ -237,6 +258,7 @@ def mixed_documents(
             F.first("source").alias("source"),
             F.first("size").alias("size"),
             F.sum("taken").alias("taken"),
+            F.min("start").alias("start"),
             F.flatten(F.collect_list("positions")).alias("positions"),
         )
         each = _readings(together, "doc")

@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.llm import langid, toxicity
-from sluice.llm.common import scratch
+from sluice.llm.common import scratch, written
 from sluice.llm.decontaminate import benchmark_hits, words_inside
 from sluice.llm.dedup import exact_duplicates
 from sluice.llm.filter_audit import METRICS, every_order, mask_cells
 from sluice.llm.main_text import extract
-from sluice.llm.mixing import mix
+from sluice.llm.mixing import by_document, in_training_order, mix
 from sluice.llm.packing import pack
 from sluice.llm.pii import checked, pseudonymise
 from sluice.llm.similarity import similar_components
@@ -87,8 +87,10 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mix(table(spark, sf_dir, "documents"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    mixed = written(mix(table(spark, sf_dir, "documents")), "mix")
+    order = written(in_training_order(mixed), "training-order")
+    found = by_document(mixed, order)
+    return found.select("doc_id", "size", "source_size", "target", "taken", "readings", "first_position")
 
 
 def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

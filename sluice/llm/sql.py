@@ -22,13 +22,13 @@ WITH RECURSIVE d AS (
     FROM documents
 ), s AS (
     SELECT source, sum(size)::BIGINT AS source_size,
-           CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
-                WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+           (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS kind,
+           CASE kind WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
     FROM d GROUP BY source
 ), rounds AS (
-    SELECT 0 AS i, source, source_size, weight, FALSE AS capped FROM s
+    SELECT 0 AS i, source, source_size, kind, weight, FALSE AS capped FROM s
     UNION ALL
-    SELECT i + 1, source, source_size, weight, capped OR weight * left_over > 200 * source_size * weights
+    SELECT i + 1, source, source_size, kind, weight, capped OR weight * left_over > 200 * source_size * weights
     FROM (
         SELECT *,
                sum(source_size) OVER () * 150
@@ -38,20 +38,26 @@ WITH RECURSIVE d AS (
     ) r
     WHERE i < 40
 ), t AS (
-    SELECT source, source_size,
+    SELECT source, source_size, kind,
            CASE WHEN capped THEN 2.0::DOUBLE * source_size
                 ELSE (weight * (sum(source_size) OVER () * 150
                         - coalesce(sum(200 * source_size) FILTER (capped) OVER (), 0)))::DOUBLE
                      / (sum(weight) FILTER (NOT capped) OVER () * 100)::DOUBLE END AS target
     FROM rounds WHERE i = 40
 ), p AS (
-    SELECT d.doc_id, d.size, t.source_size, t.target, floor(t.target + 0.5)::BIGINT AS wanted,
+    SELECT d.doc_id, d.size, t.source_size, t.kind, t.target, floor(t.target + 0.5)::BIGINT AS wanted,
            (coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY md5(d.doc_id::VARCHAR), d.doc_id
                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS before
     FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, size, source_size, target,
-       greatest(0, least(size, wanted - before)) + greatest(0, least(size, wanted - source_size - before)) AS taken
+       greatest(0, least(size, wanted - before)) + greatest(0, least(size, wanted - source_size - before)) AS taken,
+       (least(size, wanted - before) > 0)::BIGINT + (least(size, wanted - source_size - before) > 0)::BIGINT AS readings,
+       -- the demand is the integral of the schedule: 7.5 t - 2.5 t^2, 2 t and 0.5 t + 0.5 t^2
+       CASE WHEN least(size, wanted - before) <= 0 THEN NULL WHEN before = 0 THEN 0.0::DOUBLE
+            WHEN kind = 0 THEN 2 * (before / wanted * 5) / (7.5 + sqrt(56.25 - 10 * (before / wanted * 5)))
+            WHEN kind = 1 THEN 2 * (before / wanted * 2) / (2.0 + sqrt(4.0 + 0 * (before / wanted * 2)))
+            ELSE 2 * (before / wanted * 1) / (0.5 + sqrt(0.25 + 2 * (before / wanted * 1))) END AS first_position
 FROM p
 """
 
