@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,10 +42,16 @@ _PIECE = [
     ("offset", pa.int64()),
     ("ids", pa.binary()),
     ("open", pa.bool_()),
+    ("place", pa.int64()),
+    ("position", pa.int64()),
 ]
-_FIELDS = "start long, length long, doc_tokens long, sequence_id long, offset long, ids binary, open boolean"
+_FIELDS = (
+    "start long, length long, doc_tokens long, sequence_id long, offset long, ids binary, open boolean, "
+    "place long, position long"
+)
 
-Piece = tuple[object, int, int, int, np.ndarray]  # document, place in it, length, its ids in all, ids
+# document and its place in training, start in it, length, its ids in all, ids
+Piece = tuple[tuple[object, int], int, int, int, np.ndarray]
 
 
 class Packer:
@@ -128,9 +134,13 @@ def pack(
     size: int = 1024,
     open_windows: int = 64,
     least_cut: int = 32,
+    place: Column | None = None,
 ) -> DataFrame:
     """One row per piece: id_col, start, length, doc_tokens, sequence_id, offset, ids.
 
+    With `place`, a number by which the documents are in order, also position: that of the first of
+    the documents in the sequence, so that sorting by it brings the sequences in order.
+
     `ids` holds the piece's ids as little-endian unsigned 32-bit integers. A document is the ids
     of its whole text and then `end_id`, so an empty or null text is one id. Rows with a null or
     repeated id are documents like any other. An empty table gives no rows. Other columns of
@@ -138,7 +148,11 @@ def pack(
     """
     ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType
-    rows = docs.select(quoted(id_col).alias("doc"), quoted(text_col).cast("string").alias("text"))
+    rows = docs.select(
+        quoted(id_col).alias("doc"),
+        quoted(text_col).cast("string").alias("text"),
+        (F.lit(0) if place is None else F.coalesce(place, F.lit(0))).cast("long").alias("place"),
+    )
     schema = T.StructType([T.StructField("doc", kind), *T._parse_datatype_string(_FIELDS).fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,7 +164,8 @@ def pack(
             for start in range(0, batch.num_rows, 256):
                 part = batch.slice(start, 256)
                 coded = coder.many(part.column(1).to_pylist())
-                for doc, raw in zip(part.column(0).to_pylist(), coded):
+                named = zip(part.column(0).to_pylist(), part.column(2).to_pylist())
+                for doc, raw in zip(named, coded):
                     ids = np.concatenate([np.frombuffer(raw, coder.dtype).astype("<u4"), end])
                     for window in packer.add(doc, ids):
                         yield from out.put(window, False)
@@ -162,7 +177,8 @@ def pack(
 
     packed = written(rows.mapInArrow(run, schema), "packed")
     return _merged(packed, size).select(
-        quoted("doc").alias(id_col), "start", "length", "doc_tokens", "sequence_id", "offset", "ids"
+        quoted("doc").alias(id_col), "start", "length", "doc_tokens", "sequence_id", "offset", "ids",
+        *([] if place is None else ["position"]),
     )
 
 
@@ -185,7 +201,8 @@ def _merged(packed: DataFrame, size: int) -> DataFrame:
             table = table.sort_by([("sequence_id", "ascending"), ("offset", "ascending")])
             rows = table.to_pylist()
             pieces = [
-                (r["doc"], r["start"], r["length"], r["doc_tokens"], np.frombuffer(r["ids"], "<u4")) for r in rows
+                ((r["doc"], r["place"]), r["start"], r["length"], r["doc_tokens"], np.frombuffer(r["ids"], "<u4"))
+                for r in rows
             ]
             group = (rows[0]["sequence_id"] >> _SHIFT & (1 << _SHIFT) - 1) // FAN_IN
             out = _Rows(table.schema.field("doc").type, level, group)
@@ -222,10 +239,10 @@ class _Rows:
 
     def put(self, window: list[Piece], is_open: bool) -> Iterator[pa.RecordBatch]:
         offset = 0
-        for doc, start, length, total, ids in window:
-            for column, value in zip(
-                self.columns, (doc, start, length, total, self.next, offset, ids.tobytes(), is_open)
-            ):
+        position = min((piece[0][1] for piece in window), default=0)
+        for (doc, place), start, length, total, ids in window:
+            row = (doc, start, length, total, self.next, offset, ids.tobytes(), is_open, place, position)
+            for column, value in zip(self.columns, row):
                 column.append(value)
             offset += length
         self.next += 1
