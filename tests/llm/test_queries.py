@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
+import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -12,6 +16,8 @@ import __spark_entry__ as registered
 import corpus_pipeline
 from checks.compare import spark_rows, sql_rows
 from sluice.llm import langid, tokens
+from sluice.llm.common import written
+from sluice.llm.mixing import mix
 from sluice.llm.queries import QUERIES, tokenizer
 from sluice.llm.sql import SQL
 
@@ -115,6 +121,60 @@ def test_pipeline_stages_against_plain_python(spark, texts):
     assert got == want
 
 
+def test_sequences_read_in_order_of_position_follow_the_training_time(spark, monkeypatch):
+    """The curriculum reaches the last stage: later sequences hold documents of later readings."""
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").repartition(6)
+    mixed = written(corpus_pipeline.mixing(spark, docs, sf), "mixed")
+    time_of: dict[int, list] = {}
+    for r in mix(docs).collect():
+        time_of[r.doc_id] = r.positions
+    packed = corpus_pipeline.packing(spark, mixed, sf).collect()
+    position, times = {}, {}
+    for r in packed:
+        assert position.setdefault(r.sequence_id, r.position) == r.position
+        if len(time_of[r.doc_id]) == 1:
+            times.setdefault(r.sequence_id, []).extend(time_of[r.doc_id] * r.length)
+    order = sorted(times, key=position.get)
+    tenths = np.array_split(order, 10)
+    means = [np.mean([np.mean(times[s]) for s in part]) for part in tenths]
+    # a document of one reading may stand in a window that stayed open, so by tenths, not one by one
+    assert all(a < b for a, b in zip(means, means[1:])) and means[0] < 0.12 and means[-1] > 0.88
+
+
+def test_mixing_against_a_plain_computation(spark, texts):
+    """Which documents are read, how often and how far, in each source."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    rows = sorted(docs.collect(), key=lambda r: (hashlib.md5(str(r.doc_id).encode()).hexdigest(), r.doc_id))
+    size = {r.doc_id: len(re.findall("[^\x20\x09-\x0d]+", r.text or "")) for r in rows}
+    total = Counter()
+    for r in rows:
+        total[r.source] += size[r.doc_id]
+    names = sorted(total, key=lambda s: (s is None, s))
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    target: dict = {}
+    while len(target) < len(names):
+        left = Fraction(3, 2) * sum(total.values()) - sum(target.values())
+        free = [s for s in names if s not in target]
+        share = {s: left * weight[s] / sum(weight[f] for f in free) for s in free}
+        over = [s for s in free if share[s] > 2 * total[s]]
+        target.update({s: 2 * total[s] for s in over} if over else share)
+    wanted = Counter()
+    for source in names:
+        words = math.floor(target[source] + Fraction(1, 2))
+        for _ in range(2):
+            for r in rows:
+                if r.source == source and words > 0 and size[r.doc_id]:
+                    wanted[r.doc_id, min(words, size[r.doc_id])] += 1
+                    words -= size[r.doc_id]
+    got = Counter()
+    for r in corpus_pipeline.mixing(spark, docs, SMALL).collect():
+        found = len(re.findall("[^\x20\x09-\x0d]+", r.text))
+        assert texts[r.doc_id].text.startswith(r.text) and r.source == texts[r.doc_id].source
+        got[r.doc_id, found] += 1
+    assert got == wanted
+
+
 def test_the_language_stage_against_a_plain_loop(spark):
     """On the given rows and on noise, which must go: the same rows stay, and each as it was."""
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
