@@ -97,11 +97,10 @@ def first_by_hash(df: DataFrame, group: str, order: str, rows: int, groups: int)
     """At most `rows` rows of each group, those with the least values of `order`, a 64-bit hash.
 
     Groups are counted first, so that about eight times as many rows as are wanted get as far as
-    the window. More than `groups` groups are an error.
+    the window. Of more than `groups` groups those with the most rows are taken, ties by value.
     """
-    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("n")).limit(groups + 1).collect()
-    if len(counts) > groups:
-        raise ValueError(f"{group} has more than {groups} values")
+    counted = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"))
+    counts = counted.orderBy(F.desc("n"), group).limit(groups).collect()
     likely = F.lit(False)
     for value, n in counts:
         here = F.col(group).eqNullSafe(F.lit(value))

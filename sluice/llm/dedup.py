@@ -50,7 +50,8 @@ def exact_duplicates(
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs`, with all their columns, that `exact_duplicates` keeps.
 
-    Of rows repeated with one id and text, one stays.
+    Of rows repeated with one id and text, one stays. Null and empty texts are one group. An empty
+    table gives no rows.
     """
     marked = written(_marked(docs, id_col, text_col, content_hash).select("doc", "content", "kept"), "marked")
     unique = without(docs, marked.filter("not kept").select("doc", "content").distinct(), id_col, text_col)

@@ -35,7 +35,7 @@ ROWS = 400
 PIECE = 1000
 #: Bytes of a dictionary, at most.
 DICTIONARY = 32_000
-#: Languages, at most; their dictionaries are held by every task.
+#: Languages that are learned, at most, those with the most labelled rows; tasks hold their dictionaries.
 LANGUAGES = 256
 #: Bytes compressed at once.
 BLOCK = 1024
@@ -161,7 +161,8 @@ def learn(
 
     Rows with a null language or text, or for which `use` is not true, are not learned from. Of a
     chosen text a piece of `PIECE` characters counts, at a place given by the hash. The driver
-    gets at most `rows` pieces for each of at most `LANGUAGES` languages.
+    gets at most `rows` pieces for each of at most `LANGUAGES` languages; texts of others are of no
+    learned language. An empty table, or one without labels, gives no languages.
     """
     usable = F.lit(True) if use is None else use
     known = docs.filter(usable & quoted(lang_col).isNotNull() & quoted(text_col).isNotNull())
@@ -229,5 +230,9 @@ def identify(
 def accepted(
     docs: DataFrame, languages: Languages, text_col: str = "text", margin: float | None = None
 ) -> DataFrame:
-    """The rows of `docs`, with all their columns, that `identify` does not reject."""
+    """The rows of `docs`, with all their columns, that `identify` does not reject.
+
+    Null texts, those without a letter and, if no language was learned, all texts go. Repeated rows
+    stay or go alike; an empty table gives no rows.
+    """
     return _guessed(docs, languages, text_col, margin).filter("not guess.rejected").select("row.*")

@@ -240,7 +240,8 @@ def mixed_documents(
 
     A reading that is cut has the text up to the end of its last word, and its number of code
     points in `length_col`, if that is named. `mixed` is `mix` of the same `docs`. Rows repeated
-    with one id and text are read as one row, as often as all of them.
+    with one id and text are read as one row, as often as all of them. Null texts and those
+    without words are never read. An empty table gives no rows.
     """
     text = quoted(text_col).cast("string")
     row = F.struct(*[quoted(c) for c in docs.columns]).alias("row")

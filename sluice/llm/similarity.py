@@ -615,7 +615,8 @@ def one_of_each(
     """The rows of `docs`, with all their columns, without the linked copies of the first of a group.
 
     The row with the least id stays (a null id only if all are null; then the least hash of the
-    text). Rows without words stay. Rows repeated with one id and text stay or go together.
+    text). Rows without words, null texts too, stay. Rows repeated with one id and text stay or go
+    together. An empty table gives no rows.
     """
     rows = written(_grouped(docs, id_col, text_col, k, percent).filter("group IS NOT NULL"), "grouped")
     best = F.min(F.struct(F.col("doc").isNull().alias("no_id"), "doc", "content")).alias("best")
@@ -633,7 +634,8 @@ def similar_pairs(
 
     The first table has a row per linked pair of sets, as ids (a, b) of their first documents; the
     second a row per document: id_col, n_shingles, and `set_id`, the least id with an equal set
-    (null for empty sets). Copies are not expanded into pairs.
+    (null for empty sets). Copies are not expanded into pairs. Null ids are passed over as in
+    `similar_components`. An empty table gives two empty ones; other columns are left out.
     """
     join = Shingled(docs, id_col, text_col, k, percent)
     first = join.described.filter("item IS NOT NULL").groupBy("item").agg(F.min("doc").alias("set_id"))

@@ -185,7 +185,8 @@ def read_token_files(files: DataFrame, wanted: list[int] | None = None) -> DataF
     """One row per document: doc_id, start, n_tokens, ids (little-endian unsigned 32-bit).
 
     `files` is what `write_token_files` returned. With `wanted`, a list of ids that fits into
-    a closure, only the frames of these documents are read and unpacked.
+    a closure, only the frames of these documents are read and unpacked. Documents of null texts
+    have their end id alone; those of a repeated id are all returned. No files, no rows.
     """
     spark: SparkSession = files.sparkSession
     ship(spark)

@@ -42,7 +42,8 @@ def index_vectors(
     """A row per block: the ids, the integers floor(scale * x) and the slices of their codes.
 
     Rows with a null id, a null vector or null or non-finite components are left out. Vectors of
-    different lengths may meet; what a shorter one lacks counts as zero.
+    different lengths may meet; what a shorter one lacks counts as zero. Repeated rows are all
+    indexed, other columns left out; an empty table has no blocks.
     """
     ship(vectors.sparkSession)
     return written(
