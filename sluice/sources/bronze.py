@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.operators.changes import CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, FEED_COLUMNS, INSERT
-from sluice.sources.csv_files import BLOCK_START, FILE_TIME, METADATA, POSITION, ROW_ID, SOURCE_FILE, UNFIT
+from sluice.sources.csv_files import BLOCK_START, FILE_TIME, METADATA, POSITION, ROW_ID, SOURCE_FILE, UNFIT, literal_path
 from sluice.sources.log import Log, path_exists
 
 RESERVED = frozenset([*FEED_COLUMNS, *POSITION, METADATA])
@@ -131,13 +131,13 @@ class BronzeTable:
 
     def read_upto(self, upto: int, head: Row | None = None) -> DataFrame:
         """Every row of the versions up to and including ``upto``; ``head`` if it is at hand."""
-        table = self.spark.read.schema(self._schema(head)).parquet(self.data)
+        table = self.spark.read.schema(self._schema(head)).parquet(literal_path(self.data))
         return table.filter(F.col(COMMIT_VERSION) <= upto)
 
     def read_changes(self, after: int, upto: int, head: Row | None = None) -> DataFrame:
         """Feed rows of the versions in ``(after, upto]``; only their directories are listed."""
         versions = [number for number in self.log.numbers() if after < number <= upto]
-        paths = [f"{self.data}/{COMMIT_VERSION}={version}" for version in versions]
+        paths = [literal_path(f"{self.data}/{COMMIT_VERSION}={version}") for version in versions]
         schema = self._schema(head)
         if paths:
             rows = self.spark.read.schema(schema).option("basePath", self.data).parquet(*paths)

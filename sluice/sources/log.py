@@ -80,6 +80,15 @@ def file_names(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in system.listStatus(place)]
 
 
+def directory_sizes(spark: SparkSession, path: str, most: int) -> dict[str, int] | None:
+    """Bytes in each directory of a directory by its name; None if there are more than ``most``."""
+    place, system = _place(spark, path)
+    found = [status.getPath() for status in system.listStatus(place) if status.isDirectory()]
+    if len(found) > most:
+        return None
+    return {one.getName(): system.getContentSummary(one).getLength() for one in found}
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     place, system = _place(spark, path)
     stream = system.open(place)

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 from sluice.functions.columns import any_null, quoted, quoted_all
 from sluice.operators.upsert import keep_values, unmatched
 from sluice.sources.csv_files import literal_path
-from sluice.sources.log import Log, path_exists
+from sluice.sources.log import Log, directory_sizes, path_exists
 
 LOAD = "_load"
 BUCKET = "_bucket"
@@ -118,14 +118,22 @@ def in_buckets(place: str, buckets: Sequence[int]) -> str:
     return f"{literal_path(place)}/{BUCKET}={{{','.join(map(str, buckets))}}}"
 
 
+#: Directories that the driver lists itself, at most; as many as Spark's own listing does without a job.
+FEW = 32
+
+
 def bucket_sizes(spark: SparkSession, place: str) -> dict[int, int]:
     """Bytes of each bucket in the directory of a load.
 
-    Spark lists the files: where there are more than a few directories its tasks do that. What
-    comes to the driver is two numbers a file.
+    Where there are more than a few, Spark lists the files, in tasks, and two numbers a file come to
+    the driver.
     """
+    sign = f"{BUCKET}="
+    few = directory_sizes(spark, place, FEW)
+    if few is not None:
+        return {int(name.removeprefix(sign)): size for name, size in few.items() if name.startswith(sign)}
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
-    bucket = F.regexp_extract("path", f"/{BUCKET}=(-?[0-9]+)/[^/]*$", 1).cast("int")
+    bucket = F.regexp_extract("path", f"/{sign}(-?[0-9]+)/[^/]*$", 1).cast("int")
     found: dict[int, int] = {}
     for row in files.load(literal_path(place)).select(bucket.alias("bucket"), "length").collect():
         found[row.bucket] = found.get(row.bucket, 0) + row.length
@@ -408,7 +416,7 @@ class SilverTable:
             F.sum(_key_bytes(rows.schema, keys)).alias("key_bytes"),
         )
         sizes = self._write(placed, place)
-        return self.spark.read.schema(_bucketed(rows.schema)).parquet(place), sizes, counted.get
+        return self.spark.read.schema(_bucketed(rows.schema)).parquet(literal_path(place)), sizes, counted.get
 
     def _small(self, staged: DataFrame, counts: dict, keys: Sequence[str]) -> DataFrame:
         """The staged keys, to be broadcast if their measured size allows; else Spark decides."""

@@ -30,7 +30,7 @@ from sluice import (
     summarize,
 )
 from sluice.sources import log
-from sluice.sources.silver import bucket_count
+from sluice.sources.silver import FEW, bucket_count, bucket_sizes
 from tests.helpers import MEMBERS, RESULTS, Desk, rows
 
 KV = Contract((Field("k", "string", is_primary_key=True), Field("v", "integer"), Field("w", "string")))
@@ -523,7 +523,7 @@ def test_file_system_calls_of_a_merge_do_not_grow_with_the_buckets(spark, tmp_pa
     monkeypatch.setattr(DataFrameReader, "parquet", lambda self, *some, **o: paths.extend(some) or parquet(self, *some, **o))
     monkeypatch.setattr(DataFrameReader, "load", lambda self, path=None, *a, **o: paths.append(path) or load(self, path, *a, **o))
     spent = []
-    for buckets in (8, 512):
+    for buckets in (8, 128, 512):
         table = SilverTable(spark, f"file:{tmp_path}/{buckets}", bucket_bytes=1 << 20)
         first = spark.range(6000).selectExpr("id AS k", "'old' AS v")
         table.write_full(None, first, ["k"], 0, size=buckets << 20)
@@ -538,7 +538,21 @@ def test_file_system_calls_of_a_merge_do_not_grow_with_the_buckets(spark, tmp_pa
         got = table.read().groupBy("v").count().collect()
         spent.append((len(calls), len(paths)))
         assert sum(r["count"] for r in got) > 6000 and {r.v for r in got} == {"old", "new", "last"}
-    assert spent[0] == spent[1]
+    assert spent[1] == spent[2]
+    # a few directories are listed one by one in place of a job
+    assert FEW <= 32 and spent[0][0] == spent[1][0] and spent[0][1] < spent[1][1]
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_sizes_by_a_job_and_by_the_driver_agree(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr("sluice.sources.silver.FEW", few)
+    place = f"file:{tmp_path}/load"
+    spark.range(500).selectExpr("id", "cast(id % 40 - 1 as int) AS _bucket").write.partitionBy("_bucket").parquet(place)
+    found = {}
+    for path in (tmp_path / "load").rglob("*.parquet"):
+        bucket = int(path.parent.name.removeprefix("_bucket="))
+        found[bucket] = found.get(bucket, 0) + path.stat().st_size
+    assert bucket_sizes(spark, place) == found and len(found) == 40
 
 
 def test_bucket_sizes_are_those_of_the_files(spark, tmp_path):
