@@ -8,6 +8,7 @@ way. Every ball caches the number and the sum of its points.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,7 +40,8 @@ class BallTree:
 
 
 def _distances(points: np.ndarray, to: np.ndarray) -> np.ndarray:
-    return np.sqrt(((points - to) ** 2).sum(axis=1))
+    apart = points - to
+    return np.sqrt(np.einsum("ij,ij->i", apart, apart))
 
 
 def anchors(points: np.ndarray, wanted: int) -> list[np.ndarray]:
@@ -75,11 +77,11 @@ class _Builder:
         self.left: list[int] = []
         self.right: list[int] = []
         self.size: list[int] = []
-        self.centre: list[np.ndarray] = []
+        self.centre: list[list[float]] = []
         self.radius: list[float] = []
-        self.total: list[np.ndarray] = []
+        self.total: list[list[int]] = []
 
-    def _add(self, left: int, right: int, size: int, total: np.ndarray, centre: np.ndarray, radius: float) -> int:
+    def _add(self, left: int, right: int, size: int, total: list[int], centre: list[float], radius: float) -> int:
         self.left.append(left)
         self.right.append(right)
         self.size.append(size)
@@ -89,18 +91,19 @@ class _Builder:
         return len(self.left) - 1
 
     def _leaf(self, own: np.ndarray) -> int:
-        total = self.exact[own].sum(axis=0)
-        centre = total / len(own)
-        ball = self._add(-1, -1, len(own), total, centre, float(_distances(self.points[own], centre).max()))
+        total = self.exact[own].sum(axis=0).tolist()
+        centre = [t / len(own) for t in total]
+        radius = math.sqrt(float(((self.points[own] - centre) ** 2).sum(axis=1).max()))
+        ball = self._add(-1, -1, len(own), total, centre, radius)
         self.leaves[ball] = own
         return ball
 
     def _pair(self, a: int, b: int) -> int:
         """A ball around two, from what they cache."""
-        size, total = self.size[a] + self.size[b], self.total[a] + self.total[b]
-        centre = total / size
-        reach = _distances(np.array([self.centre[a], self.centre[b]]), centre)
-        radius = max(float(reach[0]) + self.radius[a], float(reach[1]) + self.radius[b])
+        size = self.size[a] + self.size[b]
+        total = [x + y for x, y in zip(self.total[a], self.total[b])]
+        centre = [t / size for t in total]
+        radius = max(math.dist(self.centre[ball], centre) + self.radius[ball] for ball in (a, b))
         return self._add(a, b, size, total, centre, radius * _LOOSE)
 
     def build(self, own: np.ndarray) -> int:
@@ -190,15 +193,14 @@ def nearest_entries(points: np.ndarray, tree: BallTree, entries: np.ndarray) ->
         owned = lists.sum(axis=1) == 1
         np.add.at(counts, best[owned], count[balls[owned]])
         np.add.at(totals, best[owned], tree.total[balls[owned]])
-        for ball, entry in zip(balls[owned].tolist(), best[owned].tolist()):
-            own = tree.order[tree.begin[ball] : tree.end[ball]]
-            nearest[own] = entry
-            in_balls += len(own)
+        own, sizes = _points_of(tree, balls[owned])
+        nearest[own] = np.repeat(best[owned], sizes)
+        in_balls += len(own)
         leaf = ~owned & (tree.left[balls] < 0)
-        for ball, own_list in zip(balls[leaf].tolist(), lists[leaf]):
-            own = tree.order[tree.begin[ball] : tree.end[ball]]
+        if leaf.any():
+            own, sizes = _points_of(tree, balls[leaf])
             open_points.append(own)
-            open_lists.append(np.broadcast_to(own_list, (len(own), size)))
+            open_lists.append(np.repeat(lists[leaf], sizes, axis=0))
         inner = ~owned & ~leaf
         balls = np.concatenate([tree.left[balls[inner]], tree.right[balls[inner]]])
         lists = np.concatenate([lists[inner], lists[inner]])
@@ -213,6 +215,13 @@ def nearest_entries(points: np.ndarray, tree: BallTree, entries: np.ndarray) ->
     return Decided(nearest, counts, totals, in_balls)
 
 
+def _points_of(tree: BallTree, balls: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The points of some balls one after the other, and the number of each ball's."""
+    begin, sizes = tree.begin[balls], (tree.end - tree.begin)[balls]
+    before = np.cumsum(sizes) - sizes
+    return tree.order[np.repeat(begin - before, sizes) + np.arange(sizes.sum())], sizes
+
+
 def _closest(points: np.ndarray, entries: np.ndarray, allowed: np.ndarray) -> np.ndarray:
     """Exact: floating point numbers hold the integers up to 2^53, beyond that 64-bit integers do."""
     largest = max(np.abs(points).max(initial=0), np.abs(entries).max(initial=0))

@@ -37,8 +37,18 @@ HAS_CHECKSUMS = 0x80
 BATCH = 4_000_000
 
 
+#: Schemes of Hadoop's clients and what pyarrow calls them.
+SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
+def arrow_uri(uri: str) -> str:
+    """The URI with the scheme by which pyarrow knows the store."""
+    scheme, sign, rest = uri.partition("://")
+    return SCHEMES.get(scheme.lower(), scheme) + sign + rest
+
+
 def open_file(uri: str, mode: str) -> BinaryIO:
-    """A file by path or URI, on any store that pyarrow can open."""
+    """A file by path or URI, on any store that pyarrow can open, with credentials of its own."""
     parts = urlparse(uri)
     if parts.scheme in ("", "file"):
         path = unquote(parts.path) if parts.scheme else uri
@@ -47,7 +57,7 @@ def open_file(uri: str, mode: str) -> BinaryIO:
         return open(path, mode)
     from pyarrow import fs
 
-    store, path = fs.FileSystem.from_uri(uri)
+    store, path = fs.FileSystem.from_uri(arrow_uri(uri))
     return store.open_output_stream(path) if "w" in mode else store.open_input_file(path)
 
 

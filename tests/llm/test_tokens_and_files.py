@@ -13,7 +13,14 @@ from tokenizers import Tokenizer
 from sluice.llm import tokens
 from sluice.llm.common import scratch
 from sluice.llm.packing import Packer, pack
-from sluice.llm.token_files import TokenFileReader, TokenFileWriter, open_file, read_token_files, write_token_files
+from sluice.llm.token_files import (
+    TokenFileReader,
+    TokenFileWriter,
+    arrow_uri,
+    open_file,
+    read_token_files,
+    write_token_files,
+)
 
 from .cases import awkward, awkward_rows, nothing
 
@@ -217,3 +224,8 @@ def test_crc_is_that_of_the_ids(spark):
     docs = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
     row = pack(docs, BPE).select(F.crc32("ids").alias("c")).first()
     assert row.c == zlib.crc32(plain_ids("some words", 0).tobytes())
+
+
+def test_uris_of_hadoop_clients_are_taken():
+    assert arrow_uri("s3a://lake/ingest/x y") == "s3://lake/ingest/x y"
+    assert arrow_uri("s3://lake/x") == "s3://lake/x" and arrow_uri("/a/b") == "/a/b"
