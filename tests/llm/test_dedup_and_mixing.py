@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.llm import common
+from sluice.llm import common, dedup
 from sluice.llm.dedup import deduplicated, exact_duplicates
 from sluice.llm.mixing import CURRICULUM, Schedule, in_training_order, mix, mixed_documents, targets
 
@@ -42,6 +42,25 @@ def test_exact_duplicates(spark, monkeypatch, few, weak):
     assert exact_duplicates(nothing(spark), **hashing).count() == 0
 
 
+def test_only_texts_of_repeated_hashes_pass_the_bitmap(spark):
+    """Whatever the number of rows, texts that occur once do not move, but for a few that share a bit."""
+    texts = spark.range(20_000).selectExpr("concat('text ', id % 19990) AS content")
+    hashed = texts.withColumn("hash", dedup.content_hash(F.col("content")))
+    several = hashed.groupBy("hash").count().filter("count > 1").select("hash")
+    passing = hashed.filter(dedup._in_bitmap(F.col("hash"), dedup._bitmap(several)))
+    assert 20 <= passing.count() <= 22
+    assert passing.join(several, "hash", "left_semi").count() == 20
+    none = hashed.filter(dedup._in_bitmap(F.col("hash"), dedup._bitmap(several.limit(0))))
+    assert none.count() == 0
+
+
+def test_a_crowded_bitmap_changes_nothing(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "BITS", 64)
+    monkeypatch.setattr(common, "BROADCAST_ROWS", -1)
+    rows = exact_duplicates(awkward(spark)).collect()
+    assert Counter(map(tuple, rows)) == model(awkward_rows())
+
+
 @pytest.mark.parametrize("few", [True, False])
 def test_deduplicated_keeps_rows_whole(spark, monkeypatch, few):
     if not few:
