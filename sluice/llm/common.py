@@ -134,3 +134,31 @@ def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> Dat
     rows = docs.select(row, quoted(id_col).alias("id"), text.alias("text"))
     same = F.col("id").eqNullSafe(F.col("gone.id")) & (F.col("text") == F.col("gone.text"))
     return rows.join(named, same, "left_anti").select("row.*")
+
+
+#: Bits of a bitmap (2 MB), which every task of a scan gets.
+BITS = 1 << 24
+
+
+def _slot(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BITS))
+
+
+def bitmap(keys: DataFrame) -> DataFrame:
+    """One row: an array of `BITS` bits, as longs, with those of the values of the only column set."""
+    slots = keys.select(_slot(quoted(keys.columns[0])).alias("slot"))
+    bit = F.expr("shiftleft(1L, cast(slot & 63 as int))")
+    words = slots.groupBy(F.shiftright("slot", 6).alias("id")).agg(F.bit_or(bit).alias("bits"))
+    every = keys.sparkSession.range(BITS // 64).join(words, "id", "left")
+    listed = F.sort_array(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0)).alias("bits"))))
+    return written(every.agg(listed["bits"].alias("bitmap")), "bitmap")
+
+
+def in_bitmap(key: Column, made: DataFrame) -> Column:
+    """False only for values that are not in it; true for them too by the share of bits that are set.
+
+    For a filter before a join, so that the rows that have no partner need not move.
+    """
+    slot = _slot(key)
+    word = F.get(made.scalar(), F.shiftright(slot, 6).cast("int"))
+    return F.getbit(word, slot.bitwiseAND(F.lit(63)).cast("int")) == 1

@@ -6,8 +6,8 @@ Three steps, none of which brings the rows of a group together:
 2. Rows are counted per hash, with the best row of each group by a partial aggregate.
 3. The texts of hashes that occur more than once are grouped by hash *and* bytes, again with a
    partial aggregate, so copies meet in the map tasks and one text per group and task moves. The
-   scan tells most others by a bitmap of these hashes, which has `BITS` bits whatever the number of
-   rows, so they do not move. A hash with two byte strings is a collision; its texts get groups of
+   scan tells most others by a bitmap of these hashes, of a fixed size whatever the number of rows, so
+   they do not move. A hash with two byte strings is a collision; its texts get groups of
    their own.
 """
 
@@ -16,11 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import SPACES, quoted, small, without, written
-
-
-#: Bits of the bitmap of repeated hashes (2 MB).
-BITS = 1 << 24
+from sluice.llm.common import SPACES, bitmap, in_bitmap, quoted, small, without, written
 
 
 def normalised(text: Column) -> Column:
@@ -91,7 +87,7 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, hash_of) -> DataFrame:
         hashed.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash"), "several"
     )
     texts = rows.select(content.alias("content"), hash_of(content).alias("hash"))
-    maybe = texts.filter(_in_bitmap(F.col("hash"), _bitmap(several)))
+    maybe = texts.filter(in_bitmap(F.col("hash"), bitmap(several)))
     several = small(several)
     candidates = maybe.join(several, "hash", "left_semi")
     # grouping by the content itself compares bytes
@@ -124,24 +120,3 @@ def _marked(docs: DataFrame, id_col: str, text_col: str, hash_of) -> DataFrame:
         (alone | is_best).alias("kept"),
         F.col("sha").alias("text_sha256"),
     )
-
-
-def _slot(hash_col: Column) -> Column:
-    return F.pmod(F.xxhash64(hash_col), F.lit(BITS))
-
-
-def _bitmap(hashes: DataFrame) -> DataFrame:
-    """One row: an array of `BITS` bits, as longs, with those of the hashes set."""
-    slots = hashes.select(_slot(F.col("hash")).alias("slot"))
-    bit = F.expr("shiftleft(1L, cast(slot & 63 as int))")
-    words = slots.groupBy(F.shiftright("slot", 6).alias("id")).agg(F.bit_or(bit).alias("bits"))
-    every = hashes.sparkSession.range(BITS // 64).join(words, "id", "left")
-    listed = F.sort_array(F.collect_list(F.struct("id", F.coalesce("bits", F.lit(0)).alias("bits"))))
-    return written(every.agg(listed["bits"].alias("bitmap")), "bitmap")
-
-
-def _in_bitmap(hash_col: Column, bitmap: DataFrame) -> Column:
-    """False only for hashes that are not in it."""
-    slot = _slot(hash_col)
-    word = F.get(bitmap.scalar(), F.shiftright(slot, 6).cast("int"))
-    return F.getbit(word, slot.bitwiseAND(F.lit(63)).cast("int")) == 1

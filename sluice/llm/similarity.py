@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import give_back, quoted, ship, small, without, written
+from sluice.llm.common import bitmap, give_back, in_bitmap, quoted, ship, small, without, written
 from sluice.llm.components import components
 from sluice.llm import hashing
 from sluice.llm.hashing import LOWER_BYTES, mixed, words
@@ -47,8 +47,6 @@ NUMBERS = (1 << 16) - 1
 BLOCK_SETS, BLOCK_SHINGLES = 4000, 6_000_000
 #: From so many sets on, a shingle counts as equally frequent.
 FREQUENT = 255
-#: Items sent to every task to pick their texts, at most; beyond it texts are shuffled to them.
-BROADCAST_ROWS = 1_000_000
 
 _FACTORS = mixed(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 
@@ -204,11 +202,10 @@ class Shingled:
     def blocks(self) -> DataFrame:
         """Items that may have links, with their sets and block: item, n, hashes, block."""
         found = self.candidates()
-        count, total = found.agg(F.count(F.lit(1)), F.sum("n")).first()
+        total = found.agg(F.sum("n")).first()[0]
         chosen = found.select("content")
-        if count <= BROADCAST_ROWS:
-            chosen = F.broadcast(chosen)
-        texts = self.rows.join(chosen, "content", "left_semi").select("text")
+        maybe = self.rows.filter(in_bitmap(F.col("content"), bitmap(chosen)))
+        texts = maybe.join(small(chosen), "content", "left_semi").select("text")
         buckets = max(1, -(-(total or 0) // BUCKET))
         k = self.k
 

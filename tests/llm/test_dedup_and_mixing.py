@@ -47,15 +47,15 @@ def test_only_texts_of_repeated_hashes_pass_the_bitmap(spark):
     texts = spark.range(20_000).selectExpr("concat('text ', id % 19990) AS content")
     hashed = texts.withColumn("hash", dedup.content_hash(F.col("content")))
     several = hashed.groupBy("hash").count().filter("count > 1").select("hash")
-    passing = hashed.filter(dedup._in_bitmap(F.col("hash"), dedup._bitmap(several)))
+    passing = hashed.filter(common.in_bitmap(F.col("hash"), common.bitmap(several)))
     assert 20 <= passing.count() <= 22
     assert passing.join(several, "hash", "left_semi").count() == 20
-    none = hashed.filter(dedup._in_bitmap(F.col("hash"), dedup._bitmap(several.limit(0))))
+    none = hashed.filter(common.in_bitmap(F.col("hash"), common.bitmap(several.limit(0))))
     assert none.count() == 0
 
 
 def test_a_crowded_bitmap_changes_nothing(spark, monkeypatch):
-    monkeypatch.setattr(dedup, "BITS", 64)
+    monkeypatch.setattr(common, "BITS", 64)
     monkeypatch.setattr(common, "BROADCAST_ROWS", -1)
     rows = exact_duplicates(awkward(spark)).collect()
     assert Counter(map(tuple, rows)) == model(awkward_rows())

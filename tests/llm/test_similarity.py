@@ -29,7 +29,7 @@ def expected(rows: list[tuple]) -> Counter:
 
 def small(monkeypatch):
     monkeypatch.setattr(common, "BROADCAST_ROWS", 3)
-    for name, value in (("BUCKET", 200), ("CHUNK", 300), ("BLOCK_SETS", 5), ("FREQUENT", 3), ("BROADCAST_ROWS", 3)):
+    for name, value in (("BUCKET", 200), ("CHUNK", 300), ("BLOCK_SETS", 5), ("FREQUENT", 3)):
         monkeypatch.setattr(similarity, name, value)
     monkeypatch.setattr(connected, "BROADCAST_ROWS", 3)
 
