@@ -20,7 +20,7 @@ from sluice.operators.reports import load_summary
 from sluice.plans.contract import check_evolution
 from sluice.plans.registry import Dataset, Layout, shared_places
 from sluice.sources.bronze import BronzeTable
-from sluice.sources.csv_files import FEW_LISTING_TASKS, POSITION, ROW_ORDER, SOURCE_FILE, UNFIT, session_settings
+from sluice.sources.csv_files import FEW_LISTING_TASKS, POSITION, ROW_ORDER, SOURCE_FILE, UNFIT, own_session
 from sluice.sources.silver import SilverState, SilverTable
 from sluice.streaming.ingest import start_ingest
 
@@ -135,12 +135,13 @@ def run_bronze(
     spark: SparkSession, datasets: Sequence[Dataset], layout: Layout, at_once: int = 8
 ) -> list[Status]:
     """Take up the new files of every dataset, several datasets at a time."""
+    session = own_session(spark, FEW_LISTING_TASKS)
 
     def work(dataset: Dataset) -> Status:
-        bronze = BronzeTable(spark, layout.raw_of(dataset))
+        bronze = BronzeTable(session, layout.raw_of(dataset))
         before = bronze.latest_version()
         start_ingest(
-            spark,
+            session,
             layout.landing_of(dataset),
             bronze.root,
             layout.checkpoint_of(dataset),
@@ -152,8 +153,7 @@ def run_bronze(
         after = bronze.latest_version()
         return Status(dataset.name, UP_TO_DATE if after == before else LOADED, version=after)
 
-    with session_settings(spark, FEW_LISTING_TASKS):
-        return _isolated(spark, work, datasets, at_once)
+    return _isolated(session, work, datasets, at_once)
 
 
 def run_silver(
@@ -167,22 +167,23 @@ def run_silver(
 ) -> list[Status]:
     """Bring every typed table up to its raw table, several datasets at a time.
 
-    ``time_zone`` holds for the run, whatever the session's is. ``store`` makes the typed table
+    ``time_zone`` holds for the run, which has a session of its own, whatever the given one's is.
+    ``store`` makes the typed table
     of a dataset; another one may stand in for the one that comes with the library. With
     ``namespace`` the views of the tables in this schema of the catalog follow: each is made or
     made anew as part of the run, also after one that loaded and then failed to.
     """
+    session = own_session(spark, {**FEW_LISTING_TASKS, "spark.sql.session.timeZone": time_zone})
 
     def work(dataset: Dataset) -> Status:
-        status = load_silver(spark, dataset, layout, store)
+        status = load_silver(session, dataset, layout, store)
         if namespace and status.state in (LOADED, UP_TO_DATE, EMPTY):
-            refresh_view(spark, store(spark, dataset, layout), namespace, dataset.typed_name)
+            refresh_view(session, store(session, dataset, layout), namespace, dataset.typed_name)
         return status
 
     if namespace:
-        create_namespace(spark, namespace)
-    with session_settings(spark, {**FEW_LISTING_TASKS, "spark.sql.session.timeZone": time_zone}):
-        return _isolated(spark, work, datasets, at_once)
+        create_namespace(session, namespace)
+    return _isolated(session, work, datasets, at_once)
 
 
 def load_silver(

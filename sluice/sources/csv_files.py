@@ -81,6 +81,20 @@ def session_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterat
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def own_session(spark: SparkSession, settings: Mapping[str, str]) -> SparkSession:
+    """A session with the settings of this one and some of its own, on the same catalog.
+
+    Other work of the given session, also at the same time, does not see them.
+    """
+    session = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            session.conf.set(name, value)
+    for name, value in settings.items():
+        session.conf.set(name, value)
+    return session
+
+
 # A list of files is checked path by path; Spark would start a task for each of them.
 FEW_LISTING_TASKS = {"spark.sql.sources.parallelPartitionDiscovery.parallelism": "256"}
 

@@ -13,8 +13,8 @@ from sluice.sources.csv_files import (
     header_groups,
     literal_path,
     new_files,
+    own_session,
     read_by_name,
-    session_settings,
 )
 from sluice.sources.headers import landed_files
 
@@ -89,5 +89,5 @@ def ingest(
     cleaning: Mapping[str, str] | None = None,
 ) -> None:
     """Take up all new files and wait until they are committed."""
-    with session_settings(spark, FEW_LISTING_TASKS):
-        start_ingest(spark, landing, root, checkpoint, options, max_files, max_file_age, cleaning).awaitTermination()
+    session = own_session(spark, FEW_LISTING_TASKS)
+    start_ingest(session, landing, root, checkpoint, options, max_files, max_file_age, cleaning).awaitTermination()

@@ -481,6 +481,24 @@ def test_another_store_is_read_through_itself(spark, tmp_path):
         read_typed(spark, desk.dataset, desk.layout)
 
 
+def test_a_run_leaves_the_settings_of_the_session_alone(spark, tmp_path, settings):
+    """Also while it is under way, and it takes over those that the session has."""
+    settings("spark.sql.session.timeZone", "Asia/Tokyo")
+    settings("spark.sql.shuffle.partitions", "3")
+    seen = []
+
+    def store(session, dataset, layout):
+        names = ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions")
+        seen.append(tuple(one.conf.get(name) for one in (session, spark) for name in names))
+        return SilverTable(session, layout.typed_of(dataset))
+
+    desk = Desk(spark, tmp_path, KV)
+    desk.put("a.csv", "k,v,w\nA,1,x\n")
+    desk.take_up()
+    raise_failures(run_silver(spark, [desk.dataset], desk.layout, store=store))
+    assert seen == [("UTC", "3", "Asia/Tokyo", "3")]
+
+
 def test_an_empty_load_into_another_store(spark, tmp_path):
     desk = Desk(spark, tmp_path, KV)
     for wave in ("k,v,w\n", "k,v,w\na,1,x\n", "k,v,w\n", "k,v,w\na,2,x\n"):
