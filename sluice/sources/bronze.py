@@ -11,7 +11,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.operators.changes import CHANGE_TYPE, COMMIT_TIMESTAMP, COMMIT_VERSION, FEED_COLUMNS, INSERT
-from sluice.sources.csv_files import BLOCK_START, FILE_TIME, METADATA, POSITION, ROW_ID, SOURCE_FILE, UNFIT, literal_path
+from sluice.sources.csv_files import (
+    BLOCK_START,
+    FILE_TIME,
+    METADATA,
+    POSITION,
+    ROW_ID,
+    SOURCE_FILE,
+    UNFIT,
+    literal_path,
+)
 from sluice.sources.log import Log, path_exists
 
 RESERVED = frozenset([*FEED_COLUMNS, *POSITION, METADATA])

@@ -207,5 +207,6 @@ def lines_by_spark(
     if comment:
         counts &= ~F.col("value").startswith(comment)
     line = F.when(F.octet_length("raw") <= limit, F.col("raw"))
-    first = lines.filter(counts).groupBy("uri").agg(F.min(F.struct("block", "number", line.alias("line"))).alias("first"))
+    first = F.min(F.struct("block", "number", line.alias("line"))).alias("first")
+    first = lines.filter(counts).groupBy("uri").agg(first)
     return first.select("uri", "first.line")
