@@ -68,8 +68,8 @@ def benchmark_hits(
 
     `spans` holds the stretches of words inside any occurrence of a window, as (start, end) in word
     numbers, joined where they overlap or touch; `items` the ids, as strings in order, of the items
-    with an occurring window. Both are empty for clean documents. Null and empty texts have no words; an item
-    without words has no window. An item's null id lists no item, but its windows count for spans.
+    with an occurring window. Both are empty for clean documents. Null and empty texts have no words;
+    an item without words has no window. An item's null id lists no item, but its windows count for spans.
     Repeated rows of a document each get their row, repeated items count once. Either table may be
     empty. Other columns are left out.
     """
@@ -281,10 +281,12 @@ def _occurrences(runs: DataFrame, windows: DataFrame) -> DataFrame:
     rarest = own.join(counts, "hash", "left").groupBy("name")
     rarest = rarest.agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "hash", "offset")).alias("prefix"))
     prefixes = rarest.filter("prefix.n > 0").join(windows, "name")
-    prefixes = written(prefixes.select("name", "prefix.hash", "prefix.offset", F.col("words").alias("window")), "prefix")
+    prefixes = prefixes.select("name", "prefix.hash", "prefix.offset", F.col("words").alias("window"))
+    prefixes = written(prefixes, "prefix")
     begin = F.col("start") + F.col("at") - F.col("offset")
     candidates = shingles.join(prefixes, "hash").withColumn("begin", begin)
-    candidates = candidates.filter((F.col("begin") >= F.col("start")) & (F.col("begin") + F.size("window") <= F.col("stop")))
+    past = F.col("begin") + F.size("window")
+    candidates = candidates.filter((F.col("begin") >= F.col("start")) & (past <= F.col("stop")))
     # the candidates of a run meet it once, whatever its length
     candidate = F.struct("begin", "name", "window").alias("candidate")
     listed = candidates.groupBy("row", "run").agg(F.collect_list(candidate).alias("candidates"))
@@ -294,9 +296,8 @@ def _occurrences(runs: DataFrame, windows: DataFrame) -> DataFrame:
     )
     confirmed = run.join(listed, ["row", "run"]).select("row", F.explode(same).alias("c"))
     end = F.col("c.begin") + F.size("c.window")
-    return written(
-        confirmed.select("row", F.col("c.begin").alias("start"), end.alias("end"), F.col("c.name").alias("name")), "found"
-    )
+    places = F.col("c.begin").alias("start"), end.alias("end"), F.col("c.name").alias("name")
+    return written(confirmed.select("row", *places), "found")
 
 
 def _joined(found: DataFrame) -> DataFrame:

@@ -126,7 +126,8 @@ def mix(
 ) -> DataFrame:
     """One row per row of `docs`: id_col, source, size, source_size, target, taken, positions, text_hash, start.
 
-    `start` counts the words of the source before the document in the source's order. `positions` holds the training time of each reading of the document, an epoch after the other
+    `start` counts the words of the source before the document in the source's order. `positions`
+    holds the training time of each reading of the document, an epoch after the other
     (empty if it is not read). The reading at which a source's demand ends may be cut, so `taken`,
     words read in all, adds up to the target to the nearest word. A null text has size 0 and is
     never read; a null source is a source. Order within a source is by the MD5 of the id, so
@@ -225,7 +226,7 @@ def by_document(mixed: DataFrame, order: DataFrame) -> DataFrame:
     )
     same = F.col("source").eqNullSafe(F.col("of")) & (F.col("start") == F.col("at")) & (F.col("size") > 0)
     joined = mixed.join(read, same, "left").drop("of", "at")
-    found = {"taken": F.coalesce("words", F.lit(0)).cast("long"), "readings": F.coalesce("readings", F.lit(0)).cast("long")}
+    found = {new: F.coalesce(old, F.lit(0)).cast("long") for new, old in (("taken", "words"), ("readings", "readings"))}
     return joined.withColumns(found).drop("words")
 
 

@@ -99,7 +99,9 @@ class Table:
         self.part_bytes += len(text)
         self.n += len(keys)
 
-    def _place(self, keys: np.ndarray, at: np.ndarray, counts: np.ndarray, part_at: np.ndarray, size: np.ndarray) -> None:
+    def _place(
+        self, keys: np.ndarray, at: np.ndarray, counts: np.ndarray, part_at: np.ndarray, size: np.ndarray
+    ) -> None:
         mask = len(self.keys) - 1
         slots = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
         which = np.arange(len(keys))

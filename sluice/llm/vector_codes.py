@@ -182,7 +182,8 @@ def compress(
     blocks = VectorBlocks(vectors, parts, scale, id_col, vec_col, label_col)
     if blocks.blocks is None:
         kind = T.StructType().add(id_col, blocks.id_type).add("label", blocks.label_type)
-        kind = kind.add("code", T.ArrayType(T.IntegerType())).add("error", T.LongType()).add("label_error", T.LongType())
+        kind = kind.add("code", T.ArrayType(T.IntegerType())).add("error", T.LongType())
+        kind = kind.add("label_error", T.LongType())
         return vectors.sparkSession.createDataFrame([], kind), Codebooks(np.zeros((parts, 0, 0), np.int64))
     books = blocks.first(entries)
     for _ in range(rounds):
