@@ -136,8 +136,8 @@ def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> Dat
     return rows.join(named, same, "left_anti").select("row.*")
 
 
-#: Bits of a bitmap (2 MB), which every task of a scan gets.
-BITS = 1 << 24
+#: Bits of a bitmap (512 KB), which every task of a scan gets.
+BITS = 1 << 22
 
 
 def _slot(key: Column) -> Column:

@@ -17,8 +17,8 @@ import numpy as np
 
 from sluice.llm.hashing import BYTES, running, stretches
 
-#: Distinct parts kept per worker. When there are more, the table starts anew.
-PARTS = 2_000_000
+#: Distinct parts kept per worker, and their bytes. When there are more, the table starts anew.
+PARTS, PART_BYTES = 2_000_000, 64 << 20
 #: Bytes handled at once.
 BLOCK = 250_000
 #: Set apart the parts at the start of a text, which have no space before them.
@@ -46,7 +46,7 @@ class Table:
         self.keys = np.zeros(1 << self.bits, np.uint64)
         self.at = np.zeros(1 << self.bits, np.int32)
         self.count = np.zeros(1 << self.bits, np.int32)
-        self.part_at = np.zeros(1 << self.bits, np.int64)
+        self.part_at = np.zeros(1 << self.bits, np.int32)
         self.part_size = np.zeros(1 << self.bits, np.int32)
         self.ids = np.zeros(1 << 18, self.dtype)
         self.parts, self.part_bytes = np.zeros(1 << 18, np.uint8), 0
@@ -119,8 +119,7 @@ class Table:
         held = [x[full] for x in (self.keys, self.at, self.count, self.part_at, self.part_size)]
         self.bits += 1
         self.keys = np.zeros(1 << self.bits, np.uint64)
-        self.at, self.count, self.part_size = (np.zeros(1 << self.bits, np.int32) for _ in range(3))
-        self.part_at = np.zeros(1 << self.bits, np.int64)
+        self.at, self.count, self.part_at, self.part_size = (np.zeros(1 << self.bits, np.int32) for _ in range(4))
         self._place(*held)
 
 
@@ -212,7 +211,7 @@ class Encoder:
                 out[i].append(self.whole(text if is_head else " " + text) if text or not is_head else b"")
             else:
                 out[i].append(raw[cuts[j] : cuts[j + 1]])
-        if self.table.n > PARTS:
+        if self.table.n > PARTS or self.table.part_bytes > PART_BYTES:
             self.table.clear()
 
     def _learn(self, data, starts, ends, keys, missing, heads) -> None:
