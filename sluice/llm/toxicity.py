@@ -94,23 +94,22 @@ class Network:
         self.out_bias = np.zeros(1, np.float32)
 
     def sides(self, rows: np.ndarray) -> np.ndarray:
-        """What each word adds to the filters, for each place in them."""
-        embedded = self.table[rows[:, 0]] + self.table[rows[:, 1]]
-        for k in range(2, _FEATURES):
-            embedded += self.table[rows[:, k]]
-        return embedded @ np.concatenate([part for kernel in self.filters for part in kernel], 1)
+        """What each word adds to the filters: as their first word, as the second of those that have one, ..."""
+        embedded = self.table.take(rows[:, 0], 0)
+        for k in range(1, _FEATURES):
+            embedded += self.table.take(rows[:, k], 0)
+        parts = [kernel[k] for k in range(WIDTHS[-1]) for kernel in self.filters if len(kernel) > k]
+        return embedded @ np.concatenate(parts, 1)
 
     def _responses(self, side: np.ndarray, n: int) -> np.ndarray:
         """Filter values at the first n words of `side`; beyond its last word all is zero."""
-        out = np.empty((n, len(WIDTHS) * FILTERS), np.float32)
-        at = 0
-        for i, kernel in enumerate(self.filters):
-            mine = out[:, i * FILTERS : (i + 1) * FILTERS]
-            mine[:] = self.bias[i * FILTERS : (i + 1) * FILTERS]
-            for k in range(len(kernel)):
-                part = side[k : k + n, at : at + FILTERS]
-                mine[: len(part)] += part
-                at += FILTERS
+        at = len(WIDTHS) * FILTERS
+        out = side[:n, :at] + self.bias
+        for k in range(1, WIDTHS[-1]):
+            size = sum(w > k for w in WIDTHS) * FILTERS
+            part = side[k : k + n, at : at + size]
+            out[: len(part), -size:] += part
+            at += size
         return out
 
     def _steps(self, side: Callable[[slice], np.ndarray], n: int) -> Iterator[tuple[int, np.ndarray]]:
