@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import give_back, quoted, ship, small, written
+from sluice.llm.common import BROADCAST_ROWS, give_back, quoted, ship, written
 from sluice.llm.hashing import BYTES, mixed, running, stretches, words
 from sluice.llm.langid import Languages
 
@@ -456,7 +456,9 @@ def train(
     marks = labels.filter(quoted(label_col).isin(0, 1)).select(
         quoted(id_col).alias("doc"), quoted(label_col).cast("int").alias("label")
     )
-    known = usable.join(small(written(marks.distinct(), "marks")), "doc")
+    marks = written(marks.distinct(), "marks")
+    # texts need not be sorted, nor spilled, to meet their labels
+    known = usable.join(marks.hint("broadcast" if marks.count() <= BROADCAST_ROWS else "shuffle_hash"), "doc")
     order = F.xxhash64("doc")
     back = F.pmod(F.shiftright(order, 6), F.lit(KEPT_BACK)) == 0
     content = F.xxhash64("text").alias("content")

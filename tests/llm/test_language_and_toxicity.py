@@ -211,8 +211,10 @@ def test_every_label_is_learned_from(spark):
     assert classifier.score("demi verdict") < 0.7
 
 
-def test_many_shards_learn_together(spark, monkeypatch):
+@pytest.mark.parametrize("broadcast_rows", [0, 1000])
+def test_many_shards_learn_together(spark, monkeypatch, broadcast_rows):
     monkeypatch.setattr(toxicity, "SHARD_ROWS", 150)
+    monkeypatch.setattr(toxicity, "BROADCAST_ROWS", broadcast_rows)
     rows = spark.createDataFrame(labelled_texts(900, 1), "doc_id long, text string, toxic int")
     made = toxicity.train(rows.drop("toxic"), rows.drop("text"), Languages({}))
     held_out = labelled_texts(300, 2)
