@@ -39,12 +39,17 @@ def scratch(spark: SparkSession, what: str) -> str:
     return f"{shared.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, what: str) -> DataFrame:
-    """The rows, computed once and kept as a table in the shared folder; cuts the lineage."""
+def written(df: DataFrame, what: str, group_rows: int | None = None) -> DataFrame:
+    """The rows, computed once and kept as a table in the shared folder; cuts the lineage.
+
+    `group_rows` bounds the rows of a Parquet row group, for rows of some MB each: a reader holds a
+    whole group.
+    """
     spark = df.sparkSession
     path = scratch(spark, what)
+    options = {"parquet.block.row.count.limit": group_rows} if group_rows else {}
     with small_batches(spark):
-        df.write.option("compression", "zstd").parquet(path)
+        df.write.options(compression="zstd", **options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

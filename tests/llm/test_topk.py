@@ -94,3 +94,61 @@ def test_numbers_too_large_are_errors(spark):
     table = spark.createDataFrame([(0, [1e9, 1e9]), (1, [1e9, 1e9])], "vec_id long, embedding array<double>")
     with pytest.raises(Exception, match="64-bit"):
         top_k(table, F.lit(True)).collect()
+
+
+def test_a_task_holds_few_queries_and_one_block(spark, monkeypatch):
+    """Blocks meet in the tasks of a grid; they were joined, a row of both for each pair of them."""
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 3)
+    monkeypatch.setattr(topk, "QUERY_ROWS", 2)
+    into: list = []
+    in_arrow = type(spark.range(0)).mapInArrow
+
+    def noted(self, *args, **options):
+        into.append(self)
+        return in_arrow(self, *args, **options)
+
+    rng = np.random.default_rng(6)
+    rows = [(i % 41, rng.normal(size=4).tolist()) for i in range(45)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
+    monkeypatch.setattr(type(table), "mapInArrow", noted)
+    for part_bytes in (64 << 20, 2_000, 1):
+        monkeypatch.setattr(topk, "PART_BYTES", part_bytes, raising=False)
+        into.clear()
+        got: dict = {}
+        for r in top_k(table, F.col("vec_id") % 3 == 0, k=4).orderBy("query_id", "rank").collect():
+            got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        want = model(rows, 4)
+        assert set(got) == set(want)
+        for q, lists in want.items():
+            assert sorted(got[q]) == sorted(pair for one in lists for pair in one)
+        (searched,) = [df for df in into if "slices" in df.columns]
+        asks = searched.filter("slices is null").select("block").distinct().count()
+        blocks = searched.filter("slices is not null")
+        copies = [r["count"] for r in blocks.groupBy("block").count().collect()]
+        most = {64 << 20: 1, 2_000: 6, 1: asks}[part_bytes]
+        assert asks >= 8 and len(copies) >= 15 and max(copies) <= most
+        assert blocks.filter("octet_length(ints) != 2 * n * dims").isEmpty()
+
+
+def test_blocks_of_long_vectors_are_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK_BYTES", 8_000, raising=False)
+    sizes = [2, 1, 3, 100, 2, 5_000, 4, 100, 100] + [100] * 30
+    rows = [(i, [float(i)] * n) for i, n in enumerate(sizes)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1)
+    blocks = topk.index_vectors(table).select("n", "dims", "ids").collect()
+    assert all(b.n == 1 or 8 * b.n * b.dims <= 8_000 for b in blocks) and len(blocks) < 10
+    assert [i for b in blocks for i in np.frombuffer(b.ids, "<i8").tolist()] == list(range(len(rows)))
+
+
+def test_rows_below_the_best_so_far_may_stay_away():
+    rng = np.random.default_rng(8)
+    ints = rng.integers(-600, 600, (500, 9))
+    index = block(range(500), ints)
+    for q in range(40):
+        scores = ints @ ints[q]
+        order = [i for i in np.lexsort((np.arange(500), -scores)) if i != q][:10]
+        for least in (scores[order[0]] + 1, scores[order[0]], scores[order[4]], scores[order[9]], -(10**9)):
+            ids, found = index.top(q, ints[q], 10, int(least))
+            there = found >= least
+            wanted = [i for i in order if scores[i] >= least]
+            assert ids[there].tolist() == wanted and found[there].tolist() == scores[wanted].tolist()
