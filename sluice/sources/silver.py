@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import json
 import math
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
 from functools import reduce
 
@@ -96,6 +96,44 @@ class SilverState:
         return sum(place.bytes for place in self.places)
 
 
+#: Keys of a merge that are broadcast at once take at most this part of the driver's heap, which holds
+#: them several times over; more of them are broadcast slice by slice, those of more slices shuffled.
+HEAP_PART = 16
+SLICES = 32
+
+
+@dataclass(frozen=True)
+class Slice:
+    """What one write of a merge takes: all, some buckets, or a part of a bucket's keys by their hash."""
+
+    buckets: tuple[int, ...] | None = None
+    part: int = 0
+    of: int = 1
+
+    def rows(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
+        some = df if self.buckets is None else df.filter(F.col(BUCKET).isin(*self.buckets))
+        return some if self.of == 1 else some.filter(F.pmod(F.xxhash64(*quoted_all(keys)), F.lit(self.of)) == self.part)
+
+
+def key_slices(shares: Mapping[int, float], most: float) -> list[Slice]:
+    """Buckets put together up to ``most`` bytes of keys; a bucket with more is cut."""
+    together: list[Slice] = []
+    cut: list[Slice] = []
+    held: list[int] = []
+    size = 0.0
+    for bucket, share in sorted(shares.items()):
+        if share > most:
+            parts = math.ceil(share / most)
+            cut += [Slice((bucket,), part, parts) for part in range(parts)]
+            continue
+        if held and size + share > most:
+            together.append(Slice(tuple(held)))
+            held, size = [], 0.0
+        held.append(bucket)
+        size += share
+    return [*together, *([Slice(tuple(held))] if held else []), *cut]
+
+
 def bucket_count(size: int, tasks: int, bucket_bytes: int) -> int:
     """Buckets for a table of about ``size`` bytes, at most twice as many as it calls for.
 
@@ -276,10 +314,11 @@ class SilverTable:
         initial = self.spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
         return int(initial or self.spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def _write(self, rows: DataFrame, place: str) -> dict[int, int]:
+    def _write(self, tables: Iterable[DataFrame], place: str) -> dict[int, int]:
         """Write buckets; what a load that failed left there goes first. Bytes of each bucket."""
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy(BUCKET).parquet(place)
+        for number, rows in enumerate(tables):
+            writer = rows.write.mode("append" if number else "overwrite")
+            writer.option("partitionOverwriteMode", "static").partitionBy(BUCKET).parquet(place)
         return bucket_sizes(self.spark, place)
 
     def _by_bucket(self, rows: DataFrame, keys: Sequence[str], buckets: int, shuffled_by_key: bool) -> DataFrame:
@@ -311,7 +350,7 @@ class SilverTable:
         buckets = bucket_count(size, self._tasks(), self.bucket_bytes)
         counted = Observation()
         placed = self._by_bucket(rows, keys, buckets, shuffled_by_key)
-        sizes = self._write(placed.observe(counted, F.count(F.lit(1)).alias("rows")), self._place(load))
+        sizes = self._write([placed.observe(counted, F.count(F.lit(1)).alias("rows"))], self._place(load))
         check()
         count = counted.get["rows"]
         made = SilverState(load, raw_version, buckets, list(keys), rows.schema, base_load=load)
@@ -331,7 +370,8 @@ class SilverTable:
         """Upsert ``rows``, each key at most once, into the buckets they fall in.
 
         The rows are written to a staging place first: they feed the bucket list, the join and
-        the new buckets, and a lost executor then costs no recomputation. A table that has
+        the new buckets, and a lost executor then costs no recomputation. Keys to be broadcast that
+        the driver should not hold at once go slice by slice, a write each. A table that has
         outgrown its buckets is written anew with more of them; its size is what its files
         take, and at most what the new rows add.
         """
@@ -343,24 +383,34 @@ class SilverTable:
         load = state.load + 1
         made = replace(state, load=load, raw_version=raw_version, keys=list(keys), schema=rows.schema)
         made = self._with_columns(made, state, load)
-        read = None if grown else [bucket for bucket in touched if bucket != LOOSE]
-        target = self._read(state, rows.schema, made.since, read)
-        whole = target.filter(F.col(BUCKET) != LOOSE)  # by directory; a loose row has no match
-        incoming = keep_values(whole, staged, keys, keep) if keep else staged
-        result = unmatched(whole, self._small(staged, counts, keys), keys).unionByName(incoming)
         loose = [place for place in state.places if place.bucket == LOOSE]
         gather = bool(self.compact_every) and len(loose) >= self.compact_every
-        if grown:
-            result = self._by_bucket(result.drop(BUCKET), keys, buckets, shuffled_by_key=False)
-            result = result.unionByName(target.filter(F.col(BUCKET) == LOOSE))
-            made = replace(made, buckets=buckets, base_load=load)
-        else:
-            if gather:
-                result = result.unionByName(self._read(state, rows.schema, made.since, [LOOSE]))
-            if gather or self.compact_every and load % self.compact_every == 0:
+        others = [place.bucket for place in state.places] if grown else []
+        slices, join = self._slices(touched, others, counts["key_bytes"] or 0)
+
+        def old(wanted: Sequence[int] | None) -> DataFrame:
+            return self._read(state, rows.schema, made.since, wanted)
+
+        def merged(some: Slice) -> DataFrame:
+            here = [bucket for bucket in some.buckets or touched if bucket != LOOSE]
+            target = old(None if grown and some.buckets is None else here)
+            whole = some.rows(target.filter(F.col(BUCKET) != LOOSE), keys)  # by directory; a loose row has no match
+            new = some.rows(staged, keys)
+            wanted = new.select(*quoted_all(keys))
+            incoming = keep_values(whole, new, keys, keep) if keep else new
+            result = unmatched(whole, wanted.hint(join) if join else wanted, keys).unionByName(incoming)
+            if grown:
+                result = self._by_bucket(result.drop(BUCKET), keys, buckets, shuffled_by_key=False)
+            if (grown or gather) and some is slices[0]:
+                result = result.unionByName(old([LOOSE]))
+            if not grown and (gather or self.compact_every and load % self.compact_every == 0):
                 # A shuffle-free merge adds a file per bucket; now and then put them together.
                 result = result.hint("rebalance", BUCKET)
-        sizes = self._write(result, self._place(load))
+            return result
+
+        sizes = self._write(map(merged, slices), self._place(load))
+        if grown:
+            made = replace(made, buckets=buckets, base_load=load)
         replaced = {bucket for bucket in touched if bucket != LOOSE} | ({LOOSE} if gather else set())
         kept = [] if grown else [place for place in state.places if place.bucket not in replaced]
         self._commit(made, FULL if grown else MERGE, counts["rows"], sizes, kept)
@@ -415,13 +465,25 @@ class SilverTable:
             F.count(F.lit(1)).alias("rows"),
             F.sum(_key_bytes(rows.schema, keys)).alias("key_bytes"),
         )
-        sizes = self._write(placed, place)
+        sizes = self._write([placed], place)
         return self.spark.read.schema(_bucketed(rows.schema)).parquet(literal_path(place)), sizes, counted.get
 
-    def _small(self, staged: DataFrame, counts: dict, keys: Sequence[str]) -> DataFrame:
-        """The staged keys, to be broadcast if their measured size allows; else Spark decides."""
-        narrow = staged.select(*quoted_all(keys))
-        return F.broadcast(narrow) if (counts["key_bytes"] or 0) <= self._broadcast_limit() else narrow
+    def _slices(
+        self, touched: Mapping[int, int], others: Sequence[int], key_bytes: int
+    ) -> tuple[list[Slice], str]:
+        """Slices to be written one after the other, and the hint of their joins.
+
+        Keys of a measured size within the limit for broadcasts are broadcast, each slice's by
+        itself. Of others Spark decides, but for so many that the driver could not hold them.
+        """
+        at_once = self.spark._jvm.java.lang.Runtime.getRuntime().maxMemory() // HEAP_PART
+        if key_bytes > min(self._broadcast_limit(), SLICES * at_once):
+            return [Slice()], "merge" if key_bytes > at_once else ""
+        if key_bytes <= at_once:
+            return [Slice()], "broadcast"
+        whole = sum(size for bucket, size in touched.items() if bucket != LOOSE)
+        shares = {bucket: key_bytes * size / max(1, whole) for bucket, size in touched.items() if bucket != LOOSE}
+        return key_slices(dict.fromkeys([*others, *touched], 0) | shares, at_once), "broadcast"
 
     def _broadcast_limit(self) -> int:
         threshold = self.spark.conf.get("spark.sql.autoBroadcastJoinThreshold")

@@ -29,7 +29,9 @@ from sluice import (
     run_silver,
     summarize,
 )
+from sluice.operators.upsert import unmatched
 from sluice.sources import log
+from sluice.sources import silver as silver_module
 from sluice.sources.silver import FEW, bucket_count, bucket_sizes
 from tests.helpers import MEMBERS, RESULTS, Desk, rows
 
@@ -588,6 +590,56 @@ def test_bucket_sizes_are_those_of_the_files(spark, tmp_path):
     assert table.read().count() == 0
 
 
+@pytest.mark.parametrize("layout", ["buckets", "one bucket", "outgrown"])
+@pytest.mark.parametrize("limit", ["1g", "-1"])
+def test_keys_are_broadcast_in_slices_that_the_driver_can_hold(spark, tmp_path, monkeypatch, settings, layout, limit):
+    """All the keys of a load were broadcast at once, whatever the driver's memory, if the limit allowed."""
+    heap = spark._jvm.java.lang.Runtime.getRuntime().maxMemory()
+    monkeypatch.setattr(silver_module, "HEAP_PART", heap // 10_000, raising=False)
+    settings("spark.sql.autoBroadcastJoinThreshold", limit)
+    joined = []
+
+    def noted(target, source, keys):
+        joined.append(source.filter("k is not null").count())
+        result = unmatched(target, source, keys)
+        text = result._jdf.queryExecution().executedPlan().toString()
+        assert "<empty>" in text or ("BroadcastHashJoin" in text) == (limit == "1g")
+        return result
+
+    monkeypatch.setattr(silver_module, "unmatched", noted)
+    size = 1 << 20
+    table = SilverTable(spark, f"file:{tmp_path}/t", compact_every=2, bucket_bytes=size)
+    keys = F.expr("if(id % 50 = 0, null, id)").alias("k")
+    first = spark.range(1500).select(keys, F.lit(0).alias("v"), F.lit("first").alias("w"))
+    table.write_full(None, first, ["k"], 0, size=size if layout != "buckets" else 12 * size)
+    want = {i: (i, 0, "first") for i in range(1500) if i % 50}
+    loose = [(None, 0, "first")] * 30
+    if layout == "outgrown":
+        table.bucket_bytes = 1000
+    for load, (start, end) in enumerate(((700, 2000), (0, 900), (5, 6)), 1):
+        joined.clear()
+        more = spark.range(start, end).select(keys, F.lit(load).alias("v"), F.lit(None).cast("string").alias("w"))
+        table.merge(table.state(), more, ["k"], load, keep=["w"] if load == 2 else [])
+        for i in range(start, end):
+            if i % 50:
+                want[i] = (i, load, want.get(i, (0, 0, None))[2] if load == 2 else None)
+            else:
+                loose.append((None, load, None))
+        assert rows(table.read()) == Counter([*want.values(), *loose])
+        # 48 bytes a key; shares of buckets are told by their files
+        assert sum(joined) == sum(1 for i in range(start, end) if i % 50)
+        assert max(joined) <= 1.5 * 10_000 / 48 or limit == "-1" and len(joined) == 1
+    assert (table.state().buckets >= 4) == (layout != "one bucket")
+
+
+def test_slices_hold_every_bucket_once():
+    shares = {-1: 0, 0: 4.0, 1: 5.0, 2: 25.0, 3: 10.0, 4: 0, 5: 1.0}
+    slices = silver_module.key_slices(shares, 10)
+    assert [(s.buckets, s.part, s.of) for s in slices] == [
+        ((-1, 0, 1), 0, 1), ((3, 4), 0, 1), ((5,), 0, 1), ((2,), 0, 3), ((2,), 1, 3), ((2,), 2, 3)
+    ]
+    assert [s.buckets for s in silver_module.key_slices({-1: 0}, 10)] == [(-1,)]
+
 
 def fails_at(monkeypatch, target: str, after: bool):
     """Make a method raise, before or after its work."""
