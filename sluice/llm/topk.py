@@ -353,7 +353,7 @@ def _grid(index: DataFrame, asked: DataFrame, k: int) -> tuple[list[int], int, i
     # bytes of the index for a byte of the queries and what they find, as they are moved
     ratio = (3 * numbers + 8 * rows) / (2 * of_queries.numbers + of_queries.rows * (8 + 24 * results))
     parts = max(1, min(blocks, round(math.sqrt(tasks * ratio))))
-    asks = max(math.ceil(held / PART_BYTES), math.ceil(tasks / parts))
+    asks = max(1, math.ceil(held / PART_BYTES), round(tasks / parts))
     return before, parts, min(of_queries.blocks, asks)
 
 
